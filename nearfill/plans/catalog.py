@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from ..operators import stats
+from ..operators import sampling, scaling, stats
 from . import inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,4 +132,106 @@ def q_imputation_profile(spark, sf_dir):
     med = stats.class_medians(li, "l_returnflag", LINE_COLS)
     filled = stats.median_fill(li, LINE_COLS, med, ["l_returnflag"])
     return stats.imputation_profile(li, filled, LINE_COLS)
+
+
+# --------------------------------------------------------------------------- SC-01/02
+ORDER_FEATURES = ["price", "custkey", "days"]
+
+
+def _scale_sql(src: str, cols: list[str], key: str, by: str | None = None) -> str:
+    stats_cols = ", ".join(f"avg({c}) as m_{c}, stddev_pop({c}) as s_{c}" for c in cols)
+    outs = ", ".join(f"round(({c} - m_{c}) / case when s_{c} = 0 then 1 else s_{c} end, 6) as {c}" for c in cols)
+    if by:
+        return (f"with src as ({src}), p as (select {by}, {stats_cols} from src group by {by}) "
+                f"select {key}, {by}, {outs} from src join p using ({by})")
+    return f"with src as ({src}), p as (select {stats_cols} from src) select {key}, {outs} from src cross join p"
+
+
+@register("standard_scale", _scale_sql(SQL_ORDERS, ORDER_FEATURES, "o_orderkey"))
+def q_standard_scale(spark, sf_dir):
+    """SC-01/02: global population z-scores of price (zeros kept), customer and day number."""
+    o = inputs.orders_frame(spark, sf_dir)
+    sc = scaling.fit_scaler(o, ORDER_FEATURES)
+    return scaling.apply_scaler(o, ORDER_FEATURES, sc).select("o_orderkey", *ORDER_FEATURES)
+
+
+CUST_FEATURES = ["acctbal", "nation", "custno"]
+
+
+@register("standard_scale_by_class", _scale_sql(SQL_CUSTOMER, CUST_FEATURES, "c_custkey", "c_mktsegment"))
+def q_standard_scale_by_class(spark, sf_dir):
+    """SC-01/02 per class: z-scores within each market segment."""
+    c = inputs.customer_frame(spark, sf_dir)
+    sc = scaling.fit_scaler(c, CUST_FEATURES, ["c_mktsegment"])
+    return scaling.apply_scaler(c, CUST_FEATURES, sc, ["c_mktsegment"]).select(
+        "c_custkey", "c_mktsegment", *CUST_FEATURES)
+
+
+@register("scaler_fit", f"""
+with src as ({SQL_CUSTOMER})
+select c_mktsegment, 'acctbal' as "column", round(avg(acctbal), 6) as mean,
+       round(case when stddev_pop(acctbal) = 0 then 1 else stddev_pop(acctbal) end, 6) as scale
+from src group by 1
+union all
+select c_mktsegment, 'nation', round(avg(nation), 6),
+       round(case when stddev_pop(nation) = 0 then 1 else stddev_pop(nation) end, 6) from src group by 1
+union all
+select c_mktsegment, 'custno', round(avg(custno), 6),
+       round(case when stddev_pop(custno) = 0 then 1 else stddev_pop(custno) end, 6) from src group by 1
+""")
+def q_scaler_fit(spark, sf_dir):
+    """SC-01: the fitted per-segment scaler table (mean, population sd)."""
+    return scaling.fit_scaler(inputs.customer_frame(spark, sf_dir), CUST_FEATURES, ["c_mktsegment"])
+
+
+# --------------------------------------------------------------------------- S-01, AG-04, S-02
+def _rank_sql(src: str, target: str, key: str, seed: int = 42) -> str:
+    return (f"select *, row_number() over (partition by {target} "
+            f"order by md5(concat_ws('|', '{seed}', cast({key} as varchar))), {key}) as rn from ({src})")
+
+
+def _split_sql(src: str, target: str, key: str, cols: str, test_size: float = 0.2, seed: int = 42) -> str:
+    return f"""
+with r as ({_rank_sql(src, target, key, seed)}),
+cnt as (select {target} as cls, count(*) as c from r group by 1),
+tot as (select sum(c) as n, cast(ceil({test_size} * sum(c)) as bigint) as n_test from cnt),
+q as (select cls, c * 1.0 / n * (n - n_test) as cont from cnt, tot),
+q2 as (select cls, cont, floor(cont) as fl, cont - floor(cont) as rem from q),
+nd as (select (select n - n_test from tot) - sum(fl) as k from q2),
+q3 as (select cls, fl, row_number() over (order by rem desc, cls) as rr from q2),
+quota as (select cls, fl + case when rr <= (select k from nd) then 1 else 0 end as train_q from q3)
+select {cols}, case when rn <= train_q then 'train' else 'test' end as split
+from r join quota on r.{target} = quota.cls"""
+
+
+@register("stratified_split", _split_sql(
+    "select o_orderkey, o_orderstatus from orders", "o_orderstatus", "o_orderkey", "o_orderkey, o_orderstatus"))
+def q_stratified_split(spark, sf_dir):
+    """S-01: exact 80/20 split of orders stratified by status, seed 42."""
+    o = inputs.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    return sampling.stratified_split(o, "o_orderstatus", ["o_orderkey"], 0.2, 42)
+
+
+@register("split_profile", f"""
+with s as ({_split_sql("select doc_id, quality from labels", "quality", "doc_id", "doc_id, quality")})
+select split, count(*) as total, cast(sum(quality) as bigint) as positive,
+       cast(count(*) - sum(quality) as bigint) as negative, round(avg(quality), 6) as positive_ratio
+from s group by split
+""")
+def q_split_profile(spark, sf_dir):
+    """S-01 + AG-04: split of the labels by quality and its class profile."""
+    lab = inputs.table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return stats.split_profile(sampling.stratified_split(lab, "quality", ["doc_id"]), "split", "quality")
+
+
+@register("stratified_folds", f"""
+with r as ({_rank_sql(SQL_DOCS, "quality", "doc_id")})
+select doc_id, quality, cast((rn - 1) % 5 as integer) as fold from r
+""")
+def q_stratified_folds(spark, sf_dir):
+    """S-02: five stratified folds of the labelled documents."""
+    d = inputs.docs_frame(spark, sf_dir).select("doc_id", "quality")
+    return sampling.stratified_folds(d, "quality", ["doc_id"], 5, 42)
+
+
 FLAGSHIP = "median_fill"
