@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from ..operators import sampling, scaling, stats
+from ..operators import classify, metrics, neighbors, sampling, scaling, stats
 from . import inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -234,4 +234,205 @@ def q_stratified_folds(spark, sf_dir):
     return sampling.stratified_folds(d, "quality", ["doc_id"], 5, 42)
 
 
+
+# --------------------------------------------------------------------------- NN-01/02
+KNN_K = 5
+SQL_EMB_LONG = """
+  select vec_id, cast(unnest(embedding) as double) as x, unnest(generate_series(1, len(embedding))) as i
+  from embeddings"""
+_PAIR_EXPR = {
+    "euclidean": "sqrt(sum((a.x - b.x) * (a.x - b.x)))",
+    "manhattan": "sum(abs(a.x - b.x))",
+    "chebyshev": "max(abs(a.x - b.x))",
+    "minkowski": "pow(sum(pow(abs(a.x - b.x), 3.0)), 1.0 / 3.0)",
+    "cosine": "1.0 - sum(a.x * b.x) / (sqrt(sum(a.x * a.x)) * sqrt(sum(b.x * b.x)))",
+}
+
+
+def _knn_sql(metric: str) -> str:
+    return f"""
+with e as ({SQL_EMB_LONG}),
+d as (select a.vec_id as q, b.vec_id as r, {_PAIR_EXPR[metric]} as dist
+      from e a join e b on a.i = b.i and a.vec_id <> b.vec_id group by a.vec_id, b.vec_id),
+t as (select q, r, dist, row_number() over (partition by q order by dist, r) as rn from d)
+select q as vec_id, r as neighbor_id, cast(rn as integer) as rank, round(dist, 6) as distance
+from t where rn <= {KNN_K}"""
+
+
+def _knn_query(metric: str):
+    def run(spark, sf_dir):
+        e = inputs.embedding_frame(spark, sf_dir)
+        nb = neighbors.knn_join(e, e, KNN_K, inputs.EMBED_FEATURES, query_id="vec_id", ref_id="vec_id",
+                                metric=metric, p=3.0, exclude_self=True)
+        return nb.select("vec_id", "neighbor_id", "rank", "distance")
+    run.__doc__ = f"NN-01/02: {KNN_K} nearest other embeddings of every embedding, {metric} distance."
+    return run
+
+
+for _m in ["euclidean", "manhattan", "chebyshev", "minkowski", "cosine"]:
+    register(f"knn_join_{_m}", _knn_sql(_m))(_knn_query(_m))
+
+
+# --------------------------------------------------------------------------- AG-11/12
+@register("confusion_matrix", """
+select count(*) filter (where quality <> 1 and toxic <> 1) as tn,
+       count(*) filter (where quality <> 1 and toxic = 1) as fp,
+       count(*) filter (where quality = 1 and toxic <> 1) as fn,
+       count(*) filter (where quality = 1 and toxic = 1) as tp
+from labels
+""")
+def q_confusion_matrix(spark, sf_dir):
+    """AG-11: quality as the label, toxic as the prediction."""
+    lab = inputs.table(spark, sf_dir, "labels")
+    return metrics.confusion(lab, "quality", "toxic")
+
+
+@register("classification_metrics", """
+with c as (
+  select count(*) filter (where quality <> 1 and toxic <> 1) as tn,
+         count(*) filter (where quality <> 1 and toxic = 1) as fp,
+         count(*) filter (where quality = 1 and toxic <> 1) as fn,
+         count(*) filter (where quality = 1 and toxic = 1) as tp
+  from labels)
+select round(case when tn + fp + fn + tp = 0 then 0 else (tn + tp) * 1.0 / (tn + fp + fn + tp) end, 6) as accuracy,
+       round(case when tp + fp = 0 then 0 else tp * 1.0 / (tp + fp) end, 6) as precision,
+       round(case when tp + fn = 0 then 0 else tp * 1.0 / (tp + fn) end, 6) as recall,
+       round(case when 2 * tp + fp + fn = 0 then 0 else 2.0 * tp / (2 * tp + fp + fn) end, 6) as f1,
+       tn, fp, fn, tp
+from c
+""")
+def q_classification_metrics(spark, sf_dir):
+    """AG-12: accuracy, precision, recall, F1 of toxic as a predictor of quality."""
+    lab = inputs.table(spark, sf_dir, "labels")
+    return metrics.classification_metrics(lab, "quality", "toxic")
+
+
+
+# --------------------------------------------------------------------------- KC-01/02/06/07/08, PL-02
+PREDICT_K = 7
+DOC_COLS = ["doc_id", "quality"] + inputs.DOC_FEATURES
+_DF = inputs.DOC_FEATURES
+
+
+def _doc_split(spark, sf_dir):
+    d = inputs.docs_frame(spark, sf_dir).select(*DOC_COLS)
+    s = sampling.stratified_split(d, "quality", ["doc_id"], 0.2, 42).cache()
+    return s.where("split = 'train'").drop("split"), s.where("split = 'test'").drop("split")
+
+
+def _z(alias_src: str) -> str:
+    return ", ".join(f"({alias_src}.{f} - p.m_{f}) / case when p.s_{f} = 0 then 1 else p.s_{f} end as {f}" for f in _DF)
+
+
+def _dist(a: str, b: str) -> str:
+    return "sqrt(" + " + ".join(f"({a}.{f} - {b}.{f}) * ({a}.{f} - {b}.{f})" for f in _DF) + ")"
+
+
+SQL_DOC_BASE = f"""
+s as ({_split_sql(SQL_DOCS, "quality", "doc_id", "doc_id, quality, " + ", ".join(_DF))}),
+tr as (select * from s where split = 'train'),
+te as (select * from s where split = 'test'),
+p as (select {", ".join(f"avg({f}) as m_{f}, stddev_pop({f}) as s_{f}" for f in _DF)} from tr),
+ztr as (select tr.doc_id, tr.quality, {_z("tr")} from tr cross join p),
+zte as (select te.doc_id, te.quality, {_z("te")} from te cross join p),
+fr as (select *, row_number() over (partition by quality
+         order by md5(concat_ws('|', '42', cast(doc_id as varchar))), doc_id) as rn from ztr),
+fo as (select *, (rn - 1) % 5 as fold from fr),
+cvd as (select a.doc_id as q, a.fold, a.quality as lq, b.doc_id as r, b.quality as lr, {_dist("a", "b")} as dist
+        from fo a join fo b on a.fold <> b.fold),
+cvt as (select *, row_number() over (partition by q order by dist, r) as rk from cvd),
+cum as (select q, fold, lq, rk as k,
+               sum(case when lr = 1 then 1 else 0 end) over (partition by q order by rk rows unbounded preceding) as pos
+        from cvt where rk <= 29),
+votes as (select q, fold, lq, k, case when pos * 2 > k then 1 else 0 end as pred from cum where k % 2 = 1 and k >= 3),
+ff as (select k, fold, count(*) filter (where lq <> 1 and pred = 1) as fp, count(*) filter (where lq = 1 and pred <> 1) as fn,
+              count(*) filter (where lq = 1 and pred = 1) as tp from votes group by k, fold),
+cv as (select k, avg(case when 2 * tp + fp + fn = 0 then 0 else 2.0 * tp / (2 * tp + fp + fn) end) as f1 from ff group by k),
+kbest as (select coalesce((select k from cv where f1 > 0 order by round(f1, 12) desc, k limit 1), 5) as k),
+pd as (select a.doc_id as q, b.doc_id as r, b.quality as lr, {_dist("a", "b")} as dist from zte a cross join ztr b),
+pt as (select *, row_number() over (partition by q order by dist, r) as rk from pd)"""
+
+
+def _vote_sql(k_expr: str) -> str:
+    return f"""
+nb as (select * from pt where rk <= {k_expr}),
+agg as (select q, min(dist) as dmin,
+               sum(case when lr = 0 and dist > 0 then 1.0 / dist end) as s0, sum(case when lr = 1 and dist > 0 then 1.0 / dist end) as s1,
+               count(case when lr = 0 and dist = 0 then 1 end) as z0, count(case when lr = 1 and dist = 0 then 1 end) as z1
+        from nb group by q),
+w as (select q, case when dmin = 0 then z0 else coalesce(s0, 0) end as w0,
+             case when dmin = 0 then z1 else coalesce(s1, 0) end as w1 from agg),
+pr as (select q, case when w1 > w0 then 1 else 0 end as pred, w0 / (w0 + w1) as p0, w1 / (w0 + w1) as p1 from w)"""
+
+
+@register("knn_predict", f"""
+with {SQL_DOC_BASE}, {_vote_sql(str(PREDICT_K))}
+select q as doc_id, pred as prediction, round(p1, 6) as probability from pr
+""")
+def q_knn_predict(spark, sf_dir):
+    """KC-01/06/07 + NN-01/03: scaled 7-NN with inverse-distance vote, test split of the labelled documents."""
+    train, test = _doc_split(spark, sf_dir)
+    model = classify.fit(train, "quality", "doc_id", features=_DF, n_neighbors=PREDICT_K)
+    v = classify.predict(model, test)
+    return v.select("doc_id", "prediction", F.col(f"proba_{classify.positive_index(model)}").alias("probability"))
+
+
+@register("knn_proba", f"""
+with {SQL_DOC_BASE}, {_vote_sql(str(PREDICT_K))}
+select q as doc_id, 0 as class, round(p0, 6) as probability from pr
+union all
+select q, 1, round(p1, 6) from pr
+""")
+def q_knn_proba(spark, sf_dir):
+    """KC-07: class probabilities (weight shares) per test document, long form."""
+    train, test = _doc_split(spark, sf_dir)
+    model = classify.fit(train, "quality", "doc_id", features=_DF, n_neighbors=PREDICT_K)
+    v = classify.predict(model, test)
+    return v.select("doc_id", F.inline(F.array(*[
+        F.struct(F.lit(c).cast("int").alias("class"), F.col(f"proba_{i}").alias("probability"))
+        for i, c in enumerate(model.classes)])))
+
+
+@register("knn_cv_scores", f"""
+with {SQL_DOC_BASE}
+select cast(k as integer) as k, round(f1, 6) as f1 from cv
+""")
+def q_knn_cv_scores(spark, sf_dir):
+    """KC-02 + NN-04: 5-fold stratified CV F1 of a uniform vote for k = 3, 5, ..., 29."""
+    train, _ = _doc_split(spark, sf_dir)
+    model = classify.fit(train, "quality", "doc_id", features=_DF)
+    return model.k_scores
+
+
+@register("prediction_table", f"""
+with {SQL_DOC_BASE}, {_vote_sql("(select k from kbest)")}
+select te.doc_id, te.quality, {", ".join("te." + f for f in _DF)}, pr.pred as "Prediction", round(pr.p1, 6) as "Probability"
+from te join pr on te.doc_id = pr.q
+""")
+def q_prediction_table(spark, sf_dir):
+    """KC-08: test rows with Prediction and Probability, k chosen by CV."""
+    train, test = _doc_split(spark, sf_dir)
+    model = classify.fit(train, "quality", "doc_id", features=_DF)
+    return classify.prediction_table(model, test)
+
+
+@register("baseline_run", f"""
+with {SQL_DOC_BASE}, {_vote_sql("(select k from kbest)")},
+ev as (select te.quality as y, pr.pred as yh from te join pr on te.doc_id = pr.q),
+c as (select count(*) filter (where y <> 1 and yh <> 1) as tn, count(*) filter (where y <> 1 and yh = 1) as fp,
+             count(*) filter (where y = 1 and yh <> 1) as fn, count(*) filter (where y = 1 and yh = 1) as tp from ev)
+select round(case when tn + fp + fn + tp = 0 then 0 else (tn + tp) * 1.0 / (tn + fp + fn + tp) end, 6) as accuracy,
+       round(case when tp + fp = 0 then 0 else tp * 1.0 / (tp + fp) end, 6) as precision,
+       round(case when tp + fn = 0 then 0 else tp * 1.0 / (tp + fn) end, 6) as recall,
+       round(case when 2 * tp + fp + fn = 0 then 0 else 2.0 * tp / (2 * tp + fp + fn) end, 6) as f1,
+       tn, fp, fn, tp, cast((select k from kbest) as integer) as n_neighbors, true as auto_k
+from c
+""")
+def q_baseline_run(spark, sf_dir):
+    """PL-02: split → scale → CV-chosen k → weighted kNN → test metrics, no imputation."""
+    from .workflow import run
+    d = inputs.docs_frame(spark, sf_dir).select(*DOC_COLS)
+    return run(d, "quality", "doc_id", imputer=None)["metrics"]
+
+
 FLAGSHIP = "median_fill"
