@@ -30,7 +30,7 @@ def fit_scaler(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) ->
 
 
 def apply_scaler(df: DataFrame, cols: Sequence[str], scaler: DataFrame, keys: Sequence[str] = (),
-                 suffix: str = "") -> DataFrame:
+                 suffix: str = "", src_suffix: str = "") -> DataFrame:
     """SC-02: ``(x - mean) / scale`` with stored parameters.
 
     Unkeyed parameters are a handful of scalars and are inlined as literals;
@@ -40,12 +40,12 @@ def apply_scaler(df: DataFrame, cols: Sequence[str], scaler: DataFrame, keys: Se
     cols, keys = list(cols), list(keys)
     if not keys:
         p = {r["column"]: (r["mean"], r["scale"]) for r in scaler.collect()}
-        return df.withColumns({c + suffix: (F.col(c).cast("double") - F.lit(p[c][0])) / F.lit(p[c][1])
+        return df.withColumns({c + suffix: (F.col(c + src_suffix).cast("double") - F.lit(p[c][0])) / F.lit(p[c][1])
                                for c in cols})
     wide = scaler.groupBy(*keys).agg(*[
         F.first(F.when(F.col("column") == c, F.struct("mean", "scale")), ignorenulls=True).alias(f"_sp_{c}")
         for c in cols]).cache()
     out = lookup_join(df, wide, keys, "left")
-    out = out.withColumns({c + suffix: (F.col(c).cast("double") - F.col(f"_sp_{c}.mean")) / F.col(f"_sp_{c}.scale")
-                           for c in cols})
+    out = out.withColumns({c + suffix: (F.col(c + src_suffix).cast("double") - F.col(f"_sp_{c}.mean"))
+                           / F.col(f"_sp_{c}.scale") for c in cols})
     return out.drop(*[f"_sp_{c}" for c in cols])

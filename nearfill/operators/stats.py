@@ -73,12 +73,14 @@ def scalar_params(long: DataFrame, value: str = "median") -> dict:
 
 
 def median_fill(df: DataFrame, cols: Sequence[str], medians: DataFrame, keys: Sequence[str] = (),
-                sentinel=0, global_fallback: DataFrame | None = None) -> DataFrame:
+                sentinel=0, global_fallback: DataFrame | None = None, out_suffix: str = "") -> DataFrame:
     """AG-03: replace sentinels in ``cols`` by the medians of the row's key.
 
     ``medians`` is long form (keys..., column, median); with no keys it is
     one row per column and is inlined as literals.  Rows whose key has no
     entry take ``global_fallback`` ((column, median), inlined), then 0.
+    With ``out_suffix`` the filled values go to ``column+out_suffix`` and the
+    original columns are kept.
     """
     cols = list(cols)
     keys = list(keys)
@@ -94,7 +96,8 @@ def median_fill(df: DataFrame, cols: Sequence[str], medians: DataFrame, keys: Se
     fills = {}
     for c in cols:
         fb = [key_med[c]] + ([F.lit(glob[c]).cast("double")] if glob.get(c) is not None else []) + [F.lit(0.0)]
-        fills[c] = F.when(is_sentinel(F.col(c), sentinel), F.coalesce(*fb)).otherwise(F.col(c).cast("double"))
+        fills[c + out_suffix] = F.when(is_sentinel(F.col(c), sentinel), F.coalesce(*fb)).otherwise(
+            F.col(c).cast("double"))
     out = out.withColumns(fills)
     return out.drop(*["_m_" + c for c in cols]) if keys else out
 

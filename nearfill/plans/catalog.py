@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from ..operators import classify, metrics, neighbors, sampling, scaling, stats
+from ..operators import classify, clustering, impute_kmeans, metrics, neighbors, sampling, scaling, stats
 from . import inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -435,4 +435,145 @@ def q_baseline_run(spark, sf_dir):
     return run(d, "quality", "doc_id", imputer=None)["metrics"]
 
 
+
+# --------------------------------------------------------------------------- CL-04, AG-06, CL-05
+SQL_EMB_CENTRES = f"""
+e as ({SQL_EMB_LONG}),
+lab as (select vec_id, label from embeddings),
+ctr as (select l.label as c, e.i, avg(e.x) as y from e join lab l using (vec_id) group by l.label, e.i),
+dd as (select e.vec_id, ctr.c, sqrt(sum((e.x - ctr.y) * (e.x - ctr.y))) as dist
+       from e join ctr on e.i = ctr.i group by e.vec_id, ctr.c),
+asg as (select vec_id, c as cluster, dist from
+          (select *, row_number() over (partition by vec_id order by dist, c) as rn from dd) where rn = 1)"""
+
+
+def _label_centres(spark, sf_dir):
+    e = inputs.embedding_frame(spark, sf_dir)
+    rows = e.groupBy("label").agg(*[F.avg(f).alias(f) for f in inputs.EMBED_FEATURES]).orderBy("label").collect()
+    ids = [r["label"] for r in rows]
+    return e, ids, {None: [[r[f] for f in inputs.EMBED_FEATURES] for r in rows]}
+
+
+@register("cluster_assign", f"""
+with {SQL_EMB_CENTRES}
+select vec_id, cast(cluster as integer) as cluster, round(dist, 6) as distance from asg
+""")
+def q_cluster_assign(spark, sf_dir):
+    """CL-04: each embedding to the nearest of the per-label mean vectors (Euclidean)."""
+    e, ids, centres = _label_centres(spark, sf_dir)
+    a = clustering.assign_nearest(e, inputs.EMBED_FEATURES, centres, out="_ci", dist_out="distance")
+    ids_arr = F.array(*[F.lit(i) for i in ids])
+    return a.select("vec_id", ids_arr[F.col("_ci")].cast("int").alias("cluster"), "distance")
+
+
+@register("cluster_sizes", f"""
+with {SQL_EMB_CENTRES}
+select cast(c.label as integer) as cluster, count(a.vec_id) as count
+from (select distinct label from embeddings) c left join asg a on a.cluster = c.label group by c.label
+""")
+def q_cluster_sizes(spark, sf_dir):
+    """AG-06: rows per nearest-centre cluster, empty clusters included as 0."""
+    e, ids, centres = _label_centres(spark, sf_dir)
+    a = clustering.assign_nearest(e, inputs.EMBED_FEATURES, centres, out="_ci")
+    grid = spark.createDataFrame([(i, int(x)) for i, x in enumerate(ids)], "_ci int, cluster int")
+    cnt = a.groupBy("_ci").agg(F.count(F.lit(1)).alias("count"))
+    return grid.join(cnt, "_ci", "left").select("cluster", F.coalesce("count", F.lit(0)).alias("count"))
+
+
+@register("silhouette", f"""
+with e as ({SQL_EMB_LONG}),
+lab as (select vec_id, label from embeddings),
+pts as (select e.vec_id, l.label, e.i, e.x from e join lab l using (vec_id)),
+nrm as (select vec_id, label, sum(x * x) as sq from pts group by vec_id, label),
+cs as (select label as c, count(*) as n, sum(sq) as psi from nrm group by label),
+cy as (select label as c, i, sum(x) as y from pts group by label, i),
+dots as (select p.vec_id, cy.c, sum(p.x * cy.y) as dot from pts p join cy on p.i = cy.i group by p.vec_id, cy.c),
+dist as (select d.vec_id, n2.label as own, d.c, cs.n, n2.sq + cs.psi / cs.n - 2 * d.dot / cs.n as dd
+         from dots d join cs on d.c = cs.c join nrm n2 on n2.vec_id = d.vec_id),
+ab as (select vec_id, max(case when c = own then dd * n / (n - 1) end) as a, min(case when c <> own then dd end) as b,
+              max(case when c = own then n end) as n_own from dist group by vec_id),
+s as (select case when n_own <= 1 or b is null then 0.0 when a < b then 1 - a / b when a > b then b / a - 1 else 0.0 end as s
+      from ab)
+select round(avg(s), 6) as silhouette from s
+""")
+def q_silhouette(spark, sf_dir):
+    """CL-05: squared-Euclidean silhouette of the embedding labels (linear time)."""
+    e = inputs.embedding_frame(spark, sf_dir)
+    return clustering.silhouette(e, inputs.EMBED_FEATURES, "label")
+
+
+# --------------------------------------------------------------------------- AG-07, IM-02/03 with fixed centres
+ORDER_IMPUTE = ["price"]
+_OF = ORDER_FEATURES
+
+
+def _order_centres(spark, sf_dir):
+    """Orders filled with class medians, scaled per class; centres = per
+    (status, priority) means of the scaled rows (priority rank = cluster id)."""
+    o = inputs.orders_frame(spark, sf_dir)
+    gm = stats.global_medians(o, ORDER_IMPUTE)
+    cm = stats.class_medians(o, "o_orderstatus", ORDER_IMPUTE, fallback=gm)
+    filled = stats.median_fill(o, ORDER_IMPUTE, cm, ["o_orderstatus"], global_fallback=gm, out_suffix="__t")
+    filled = filled.withColumns({f + "__t": F.col(f) for f in _OF if f not in ORDER_IMPUTE})
+    sc = scaling.fit_scaler(filled.select("o_orderstatus", *[F.col(f + "__t").alias(f) for f in _OF]),
+                            _OF, ["o_orderstatus"])
+    z = scaling.apply_scaler(filled, _OF, sc, ["o_orderstatus"], suffix="__z", src_suffix="__t").cache()
+    rows = (z.groupBy("o_orderstatus", "o_orderpriority").agg(*[F.avg(f + "__z").alias(f) for f in _OF])
+            .orderBy("o_orderstatus", "o_orderpriority").collect())
+    centres: dict = {}
+    for r in rows:
+        centres.setdefault(r["o_orderstatus"], []).append([r[f] for f in _OF])
+    assigned = clustering.assign_nearest(z, [f + "__z" for f in _OF], centres, "o_orderstatus")
+    return o, gm, cm, assigned
+
+
+SQL_ORDER_CLUSTERS = f"""
+src as ({SQL_ORDERS}),
+g as (select median(price) filter (where price <> 0) as gm from src),
+cm as (select o_orderstatus, coalesce(median(price) filter (where price <> 0), (select gm from g)) as cmed
+       from src group by o_orderstatus),
+fl as (select src.*, case when price = 0 then cm.cmed else price end as price_t from src join cm using (o_orderstatus)),
+sp as (select o_orderstatus, avg(price_t) as m_p, stddev_pop(price_t) as s_p, avg(custkey) as m_c, stddev_pop(custkey) as s_c,
+              avg(days) as m_d, stddev_pop(days) as s_d from fl group by o_orderstatus),
+z as (select fl.o_orderkey, fl.o_orderstatus, fl.o_orderpriority, fl.price,
+             (price_t - m_p) / case when s_p = 0 then 1 else s_p end as zp,
+             (custkey - m_c) / case when s_c = 0 then 1 else s_c end as zc,
+             (days - m_d) / case when s_d = 0 then 1 else s_d end as zd
+      from fl join sp using (o_orderstatus)),
+ctr as (select o_orderstatus, o_orderpriority, avg(zp) as cp, avg(zc) as cc, avg(zd) as cd,
+               row_number() over (partition by o_orderstatus order by o_orderpriority) - 1 as cluster
+        from z group by o_orderstatus, o_orderpriority),
+dd as (select z.*, ctr.cluster, sqrt((zp - cp) * (zp - cp) + (zc - cc) * (zc - cc) + (zd - cd) * (zd - cd)) as dist
+       from z join ctr using (o_orderstatus)),
+asg as (select * from (select *, row_number() over (partition by o_orderkey order by dist, cluster) as rn from dd) where rn = 1),
+cmed as (select c.o_orderstatus, c.cluster,
+                coalesce(median(a.price) filter (where a.price <> 0), min(cm.cmed)) as median
+         from ctr c left join asg a on a.o_orderstatus = c.o_orderstatus and a.cluster = c.cluster
+         join cm on cm.o_orderstatus = c.o_orderstatus
+         group by c.o_orderstatus, c.cluster)"""
+
+
+@register("cluster_medians", f"""
+with {SQL_ORDER_CLUSTERS}
+select o_orderstatus, cast(cluster as integer) as cluster, 'price' as "column", round(median, 6) as median from cmed
+""")
+def q_cluster_medians(spark, sf_dir):
+    """AG-07: median of real prices per (status, cluster), falling back to the status median."""
+    o, gm, cm, assigned = _order_centres(spark, sf_dir)
+    return impute_kmeans.cluster_medians(assigned, "o_orderstatus", "cluster", ORDER_IMPUTE, cm)
+
+
+@register("cluster_impute", f"""
+with {SQL_ORDER_CLUSTERS}
+select a.o_orderkey, round(case when a.price = 0 then coalesce(m.median, (select gm from g)) else a.price end, 6) as price
+from asg a left join cmed m on m.o_orderstatus = a.o_orderstatus and m.cluster = a.cluster
+""")
+def q_cluster_impute(spark, sf_dir):
+    """IM-02/03: zero prices take the median of their (status, cluster)."""
+    o, gm, cm, assigned = _order_centres(spark, sf_dir)
+    med = impute_kmeans.cluster_medians(assigned, "o_orderstatus", "cluster", ORDER_IMPUTE, cm)
+    out = impute_kmeans.fill_from_clusters(assigned, ORDER_IMPUTE, med, "o_orderstatus", "cluster", gm)
+    return out.select("o_orderkey", "price")
+
+
 FLAGSHIP = "median_fill"
