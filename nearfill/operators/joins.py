@@ -1,4 +1,13 @@
-"""Lookup joins against small parameter tables with a checked size."""
+"""Lookup joins against small parameter tables.
+
+Parameter tables (per class, per cluster, per group) are joined without a
+broadcast hint: adaptive query execution measures the materialised size of
+the small side at run time and broadcasts it only when it is below
+``spark.sql.autoBroadcastJoinThreshold``; above that the join stays a
+shuffle join.  That is the size check, and it costs no extra job.
+``force_broadcast`` is for tables whose size is bounded by a parameter
+(centres, pivots), never by the data.
+"""
 from __future__ import annotations
 
 from collections.abc import Sequence
@@ -6,18 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Parameter tables (per class / per cluster / per column) above this many rows
-# are joined with a shuffle instead of being broadcast.
-BROADCAST_MAX_ROWS = 200_000
-
 
 def lookup_join(df: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "left",
-                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join ``df`` with a parameter table, broadcasting it only after a size check.
-
-    ``small`` should be materialised (cached) by the caller; the row count is
-    one cheap job over it.  Above ``max_rows`` the join is left to Catalyst/AQE.
-    """
-    n = small.count()
-    side = F.broadcast(small) if n <= max_rows else small
-    return df.join(side, on=on, how=how)
+                force_broadcast: bool = False) -> DataFrame:
+    """Join ``df`` with a small parameter table (see module notes)."""
+    return df.join(F.broadcast(small) if force_broadcast else small, on=on, how=how)

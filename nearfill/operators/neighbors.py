@@ -1,24 +1,25 @@
 """Exact top-k nearest-neighbour join and neighbour votes (NN-01..NN-04).
 
-The join never forms all query × reference pairs.  It partitions the
-references into Voronoi cells around ``P`` pivots and uses the triangle
-inequality to visit, for each query, only the cells that can hold one of its
-k nearest neighbours:
-
-* every reference gets its nearest pivot (``cell``) and radius ``rad``;
-* per (group, cell): count, min/max radius and the k smallest radii (a
-  windowed top-k, partial ``WindowGroupLimit`` before the exchange);
-* per query: an upper bound ``theta`` on its k-th neighbour distance — the
-  k-th smallest of ``d(q, p_c) + r`` over those per-cell radii (each such
-  reference is provably that close) — and the candidate cells whose lower
-  bound ``max(d(q,p_c) - rmax_c, (d(q,p_c) - min_p d(q,p)) / 2, rmin_c - d(q,p_c))``
-  does not exceed ``theta``;
-* queries are exploded to their candidate cells, equi-joined with the
-  references on (group, cell, sub-block) and ranked by ``(distance, ref id)``.
+The join never forms all query × reference pairs.  References are
+partitioned into Voronoi cells around ``P`` pivots (a seeded hash sample of
+the references; P grows with √n up to ``MAX_PIVOTS``), and the triangle
+inequality limits the cells each query visits:
+
+1. every reference gets its nearest pivot (``cell``) and radius; per
+   (group, cell) the count and min / max radius are kept (a small table);
+2. **home phase** — every query is joined with the references of its own
+   nearest pivot's cell; the top k there are real neighbours, so the k-th
+   distance ``theta`` bounds the final k-th distance (a query whose home cell
+   holds fewer than k references gets ``theta = inf``);
+3. **expansion phase** — the query visits only the other cells whose lower
+   bound ``max(d(q,p_c) - rmax_c, (d(q,p_c) - d(q,p_home)) / 2,
+   rmin_c - d(q,p_c), 0)`` does not exceed ``theta``;
+4. both phases' candidates are ranked per query by ``(distance, ref id)``.
 
 Hot cells are split into sub-blocks of at most ``block_rows`` references
-(salted by a hash of the reference id) so no join task holds more than that
-many references of one cell; AQE's skew handling splits the query side.
+(salted by a hash of the reference id) so that no join task holds more than
+that many references of one cell; a query is replicated to every sub-block
+of a cell it visits, and AQE's skew handling splits a hot query side.
 Cosine distance is ranked through the Euclidean distance of unit vectors
 (a monotone function of it), so the same bounds apply.
 """
@@ -36,7 +37,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 from ..functions import distance
 from .joins import lookup_join
 
-MAX_PIVOTS = 64
+MAX_PIVOTS = 256
 # Above this many (pivot × feature) terms the pivot distances are computed in
 # Arrow batches with numpy instead of one unrolled expression (which would
 # exceed the generated-method size limit and fall back to interpretation).
@@ -44,7 +45,7 @@ EXPR_TERMS_MAX = 256
 
 
 def _pivot_count(n_refs: int) -> int:
-    return max(1, min(MAX_PIVOTS, int(math.sqrt(max(n_refs, 1)) / 2)))
+    return max(1, min(MAX_PIVOTS, int(math.sqrt(max(n_refs, 1)))))
 
 
 def _unit(cols: Sequence[str]) -> list[Column]:
@@ -141,62 +142,69 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, features: Sequence[str
     def pdists(cols):
         return pivot_distances(cols, pivots, prune_metric, p)
 
-    # 2. references: nearest pivot, radius, sub-block; cell summaries
-    kk = k + (1 if exclude_self else 0)
+    # 2. references: nearest pivot, radius, sub-block; cell summaries (groups × P rows)
     r2 = (r.withColumn("_pd", pdists(rs))
           .withColumn("_rad", F.array_min("_pd"))
           .withColumn("_cell", (F.expr("array_position(_pd, _rad)") - 1).cast("int"))
           .drop("_pd"))
-    r2 = r2.cache()
-    wr = Window.partitionBy(*gnames, "_cell").orderBy("_rad")
-    radii = (r2.select(*gnames, "_cell", "_rad").withColumn("_rn", F.row_number().over(wr))
-             .where(F.col("_rn") <= kk)
-             .groupBy(*gnames, "_cell").agg(F.sort_array(F.collect_list("_rad")).alias("radii")))
     cells = (r2.groupBy(*gnames, "_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_rad").alias("rmax"),
                                               F.min("_rad").alias("rmin"))
-             .join(radii, gnames + ["_cell"])
              .withColumn("nsub", F.ceil(F.col("n") / F.lit(block_rows)).cast("int"))).cache()
     packed = cells.groupBy(*gnames).agg(F.map_from_entries(F.collect_list(F.struct(
-        "_cell", F.struct("rmax", "rmin", "radii", "nsub")))).alias("_cells")).cache()
-
-    # 3. queries: bound theta and candidate (cell, sub-block) pairs
-    q2 = q.withColumn("_qd", pdists(qs)).withColumn("_qmin", F.array_min("_qd"))
-    q2 = lookup_join(q2, packed, gnames, "inner")
+        "_cell", F.struct("n", "rmax", "rmin", "nsub")))).alias("_cells"))
+    rsub = (r2.drop(*[c for c in rs if c not in rx]).join(cells.select(*gnames, "_cell", "nsub"), gnames + ["_cell"])
+            .withColumn("_sub", F.pmod(F.xxhash64("_rid", F.lit(seed + 1)), F.col("nsub")).cast("int"))
+            .drop("nsub", "_rad")).cache()
+
+    # 3. queries: pivot distances, home cell
+    q2 = (q.withColumn("_qd", pdists(qs)).withColumn("_qmin", F.array_min("_qd"))
+          .withColumn("_home", (F.expr("array_position(_qd, _qmin)") - 1).cast("int")))
+    q2 = lookup_join(q2, packed, gnames, "inner").drop(*[c for c in qs if c not in qx]).cache()
+    keep = ["_qid", *gnames, *qx, *query_carry]
+
+    def ranked(cands: DataFrame) -> DataFrame:
+        j = cands.join(rsub, gnames + ["_cell", "_sub"])
+        if exclude_self:
+            j = j.where(F.col("_qid") != F.col("_rid"))
+        j = j.withColumn("distance", distance(qx, rx, metric, p))
+        w = Window.partitionBy("_qid").orderBy("distance", "_rid")
+        return (j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+                .select(*keep, "_rid", "distance", *[f"nb_{c}" for c in ref_carry]))
+
+    # 4. home phase: exact top k within the home cell
+    home_n = F.element_at("_cells", F.col("_home"))
+    subs = F.when(home_n["nsub"] > 0, F.sequence(F.lit(0), home_n["nsub"] - 1)).otherwise(F.array().cast("array<int>"))
+    home = q2.select(*keep, F.col("_home").alias("_cell"), F.explode(subs).alias("_sub"))
+    top1 = ranked(home).cache()
+    theta = top1.groupBy("_qid").agg(F.count(F.lit(1)).alias("_hn"), F.max("distance").alias("_hd"))
+
+    # 5. expansion phase: other cells whose lower bound is within theta
+    qt = q2.join(theta, "_qid", "left").withColumn(
+        "_theta", F.when(F.col("_hn") >= k, F.col("_hd") * F.lit(1 + 1e-9) + F.lit(1e-12))
+        .otherwise(F.lit(float("inf"))))
     qd_at = lambda e: F.col("_qd")[e["key"]]
-    ubs = F.flatten(F.transform(F.map_entries("_cells"),
-                                lambda e: F.transform(e["value"]["radii"], lambda x: qd_at(e) + x)))
-    theta = F.when(F.size(ubs) >= kk, F.element_at(F.array_sort(ubs), kk)).otherwise(F.lit(float("inf")))
-    q2 = q2.withColumn("_theta", theta * F.lit(1 + 1e-9) + F.lit(1e-12))
 
     def lower(e):
         dq = qd_at(e)
         return F.greatest(dq - e["value"]["rmax"], (dq - F.col("_qmin")) / 2.0,
                           e["value"]["rmin"] - dq, F.lit(0.0))
 
-    cand = F.filter(F.map_entries("_cells"), lambda e: lower(e) <= F.col("_theta"))
+    cand = F.filter(F.map_entries("_cells"), lambda e: (e["key"] != F.col("_home")) & (lower(e) <= F.col("_theta")))
     pairs = F.flatten(F.transform(cand, lambda e: F.transform(
         F.sequence(F.lit(0), e["value"]["nsub"] - 1),
-        lambda s: F.struct(e["key"].alias("c"), s.alias("s")))))
-    qe = (q2.select("_qid", *gnames, *qx, *query_carry, F.explode(pairs).alias("_cs"))
-          .select("_qid", *gnames, *qx, *query_carry, F.col("_cs.c").alias("_cell"), F.col("_cs.s").alias("_sub")))
-
-    rsub = lookup_join(r2.drop(*([c for c in rs if c not in rx])),
-                       cells.select(*gnames, "_cell", "nsub"), gnames + ["_cell"], "inner")
-    rsub = rsub.withColumn("_sub", F.pmod(F.xxhash64("_rid", F.lit(seed + 1)), F.col("nsub")).cast("int")).drop(
-        "nsub", "_rad")
-
-    # 4. candidate pairs, exact distance, top-k per query
-    j = qe.join(rsub, gnames + ["_cell", "_sub"])
-    if exclude_self:
-        j = j.where(F.col("_qid") != F.col("_rid"))
-    j = j.withColumn("distance", distance(qx, rx, metric, p))
+        lambda s_: F.struct(e["key"].alias("c"), s_.alias("s")))))
+    more = (qt.select(*keep, F.explode(pairs).alias("_cs"))
+            .select(*keep, F.col("_cs.c").alias("_cell"), F.col("_cs.s").alias("_sub")))
+    top2 = ranked(more)
+
+    # 6. merge: top k of both phases per query
+    both = top1.unionByName(top2)
     w = Window.partitionBy("_qid").orderBy("distance", "_rid")
-    top = j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    out = top.select(F.col("_qid").alias(query_id),
-                     *[F.col(n).alias(g) for g, n in zip(groups, gnames)],
-                     *query_carry, F.col("_rid").alias("neighbor_id"), "rank", "distance",
-                     *[f"nb_{c}" for c in ref_carry])
-    return out
+    top = both.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return top.select(F.col("_qid").alias(query_id),
+                      *[F.col(n).alias(g) for g, n in zip(groups, gnames)],
+                      *query_carry, F.col("_rid").alias("neighbor_id"), "rank", "distance",
+                      *[f"nb_{c}" for c in ref_carry])
 
 
 def _empty_result(spark, q, r, query_id, groups, gnames, query_carry, ref_carry):

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from ..operators import classify, clustering, impute_kmeans, metrics, neighbors, sampling, scaling, stats
+from ..operators import (classify, clustering, impute_kmeans, impute_knn, metrics, neighbors, sampling, scaling,
+                         stats)
 from . import inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -576,4 +577,145 @@ def q_cluster_impute(spark, sf_dir):
     return out.select("o_orderkey", "price")
 
 
+
+# --------------------------------------------------------------------------- IM-08..13
+CUST_IMPUTE = ["acctbal", "nation"]
+
+
+def _knn_impute_sql(k: int, weights: str) -> str:
+    feats, cols = CUST_FEATURES, CUST_IMPUTE
+    z = lambda e, f: f"(({e}) - sc.m_{f}) / case when sc.s_{f} = 0 then 1 else sc.s_{f} end"
+    ctes = [
+        f"src as ({SQL_CUSTOMER})",
+        "gm as (select " + ", ".join(f"median({c}) filter (where {c} <> 0) as g_{c}" for c in cols) + " from src)",
+        "cmed as (select c_mktsegment, " + ", ".join(f"median({c}) filter (where {c} <> 0) as c_{c}" for c in cols)
+        + " from src group by c_mktsegment)",
+        "fil as (select s.c_mktsegment, " + ", ".join(
+            f"case when s.{c} = 0 then coalesce(cmed.c_{c}, gm.g_{c}, 0) else s.{c} end as {c}" for c in cols)
+        + ", " + ", ".join(f"s.{f}" for f in feats if f not in cols)
+        + " from src s join cmed using (c_mktsegment) cross join gm)",
+        "sc as (select c_mktsegment, " + ", ".join(f"avg({f}) as m_{f}, stddev_pop({f}) as s_{f}" for f in feats)
+        + " from fil group by c_mktsegment)",
+        "cn as (select c_mktsegment, count(*) as n from src group by c_mktsegment)",
+        "d1 as (select s.c_custkey, s.c_mktsegment, cn.n, " + ", ".join(
+            (f"case when cn.n < {k} and s.{f} = 0 then gm.g_{f} else s.{f} end as {f}" if f in cols else f"s.{f}")
+            for f in feats) + " from src s join cn using (c_mktsegment) cross join gm)",
+    ]
+    prev = "d1"
+    for i, col in enumerate(cols):
+        others = [f for f in feats if f != col]
+        qv = lambda f: f"case when d.{f} = 0 then gm.g_{f} else d.{f} end" if f in cols else f"d.{f}"
+        ctes.append(f"don{i} as (select d.c_custkey as r, d.c_mktsegment as g, d.{col} as v, "
+                    + ", ".join(f"{z('d.' + f, f)} as {f}" for f in others)
+                    + f" from {prev} d join sc using (c_mktsegment) where d.n >= {k} and d.{col} <> 0)")
+        ctes.append(f"qry{i} as (select d.c_custkey as q, d.c_mktsegment as g, "
+                    + ", ".join(f"{z(qv(f), f)} as {f}" for f in others)
+                    + f" from {prev} d join sc using (c_mktsegment) cross join gm where d.n >= {k} and d.{col} = 0)")
+        ctes.append(f"dn{i} as (select g, count(*) as dn from don{i} group by g)")
+        dist = "sqrt(" + " + ".join(f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in others) + ")"
+        ctes.append(f"pr{i} as (select a.q, b.r, b.v, {dist} as dist from qry{i} a join don{i} b on a.g = b.g)")
+        ctes.append(f"rk{i} as (select * from (select *, row_number() over (partition by q order by dist, r) as rn "
+                    f"from pr{i}) where rn <= {k})")
+        agg = ("sum((1.0 / (dist + 1e-10)) * v) / sum(1.0 / (dist + 1e-10))" if weights == "distance"
+               else "median(v)")
+        ctes.append(f"fv{i} as (select q, {agg} as fill from rk{i} group by q)")
+        sel = []
+        for f in feats:
+            if f == col:
+                sel.append(f"case when d.n >= {k} and d.{col} = 0 then (case when coalesce(dn.dn, 0) >= {k} "
+                           f"and fv.fill is not null then fv.fill else gm.g_{col} end) else d.{col} end as {col}")
+            else:
+                sel.append(f"d.{f}")
+        ctes.append(f"d{i + 2} as (select d.c_custkey, d.c_mktsegment, d.n, {', '.join(sel)} from {prev} d "
+                    f"left join fv{i} fv on fv.q = d.c_custkey left join dn{i} dn on dn.g = d.c_mktsegment "
+                    f"cross join gm)")
+        prev = f"d{i + 2}"
+    return ("with " + ",\n".join(ctes) + f"\nselect c_custkey, c_mktsegment, "
+            + ", ".join(f"round({f}, 6) as {f}" for f in feats) + f" from {prev}")
+
+
+def _knn_impute_query(k: int, weights: str, doc: str):
+    def run(spark, sf_dir):
+        c = inputs.customer_frame(spark, sf_dir)
+        model = impute_knn.fit(c, "c_mktsegment", "c_custkey", CUST_IMPUTE, n_neighbors=k, weights=weights)
+        return impute_knn.transform(model, c)
+    run.__doc__ = doc
+    return run
+
+
+register("knn_impute_weighted", _knn_impute_sql(5, "distance"))(_knn_impute_query(
+    5, "distance", "IM-08..11: balance then nation zeros filled, per segment, by the inverse-distance "
+                   "mean of the 5 nearest donors."))
+register("knn_impute_median", _knn_impute_sql(5, "uniform"))(_knn_impute_query(
+    5, "uniform", "IM-12: the same fill with the median of the 5 nearest donors."))
+register("knn_impute_fallback", _knn_impute_sql(290, "distance"))(_knn_impute_query(
+    290, "distance", "IM-13: 290 neighbours — segments with fewer rows or donors fall back to global medians."))
+
+
+@register("knn_imputer_summary")
+def q_knn_imputer_summary(spark, sf_dir):
+    """AG-10: parameters and global medians of a fitted neighbour imputer."""
+    c = inputs.customer_frame(spark, sf_dir)
+    return impute_knn.summary(impute_knn.fit(c, "c_mktsegment", "c_custkey", CUST_IMPUTE))
+
+
+
+# --------------------------------------------------------------------------- CL-01..03/06, IM-01..05, AG-08/09, PL-01
+ORDER_COLS = ["o_orderkey", "o_orderstatus"] + ORDER_FEATURES
+
+
+def _orders_model(spark, sf_dir, **kw):
+    o = inputs.orders_frame(spark, sf_dir).select(*ORDER_COLS).cache()
+    return o, impute_kmeans.fit(o, "o_orderstatus", "o_orderkey", ORDER_IMPUTE, **kw)
+
+
+@register("kmeans_impute")
+def q_kmeans_impute(spark, sf_dir):
+    """IM-01/02/05: class-aware k-means imputation of the zero prices of all orders
+    (k by silhouette over 2..8 per status, best of 10 restarts)."""
+    o, model = _orders_model(spark, sf_dir)
+    return impute_kmeans.transform(model, o).select("o_orderkey", "o_orderstatus", "price")
+
+
+@register("kmeans_impute_global")
+def q_kmeans_impute_global(spark, sf_dir):
+    """CL-03 / IM-04: one global k-means model (class_aware=False), 4 clusters."""
+    o = inputs.orders_frame(spark, sf_dir).select(*ORDER_COLS)
+    model = impute_kmeans.fit(o, "o_orderstatus", "o_orderkey", ORDER_IMPUTE, class_aware=False, n_clusters=4)
+    return impute_kmeans.transform(model, o).select("o_orderkey", "price")
+
+
+@register("cluster_search")
+def q_cluster_search(spark, sf_dir):
+    """CL-06 + AG-08: per status and k, silhouette / inertia / iterations of the
+    best restart, plus the chosen k per status."""
+    o, model = _orders_model(spark, sf_dir)
+    rows = [(str(c), int(k), float(s) if s is not None else None, float(i), int(n))
+            for c, k, s, i, n in model.search.scores]
+    df = spark.createDataFrame(rows, "o_orderstatus string, k int, silhouette double, inertia double, "
+                                     "n_iterations int")
+    chosen = spark.createDataFrame([(str(c), int(k)) for c, k in model.k.items()], "o_orderstatus string, k int")
+    return df.join(chosen.withColumn("chosen", F.lit(True)), ["o_orderstatus", "k"], "left").fillna(
+        {"chosen": False})
+
+
+@register("cluster_summary")
+def q_cluster_summary(spark, sf_dir):
+    """AG-08/09: per-status clusters, inertia, silhouette, iterations and rows per cluster."""
+    o, model = _orders_model(spark, sf_dir)
+    per = impute_kmeans.class_summary(model).withColumnRenamed("class", "o_orderstatus")
+    cpc = impute_kmeans.clusters_per_class(model, o).withColumnRenamed("class", "o_orderstatus")
+    return per.join(cpc.drop("clusters"), "o_orderstatus")
+
+
+@register("full_run")
+def q_full_run(spark, sf_dir):
+    """PL-01: split → class-aware k-means imputation of price → CV-chosen weighted
+    kNN predicting order status 'F' → test metrics."""
+    o = inputs.orders_frame(spark, sf_dir).select(
+        "o_orderkey", (F.col("o_orderstatus") == "F").cast("int").alias("is_f"), *ORDER_FEATURES)
+    from .workflow import run
+    return run(o, "is_f", "o_orderkey", imputer="kmeans", impute_cols=ORDER_IMPUTE)["metrics"]
+
+
 FLAGSHIP = "median_fill"
