@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import metrics as M
+from .joins import small_table
 from .neighbors import knn_join, uniform_votes, weighted_vote
 from .sampling import stratified_folds
 from .scaling import apply_scaler, fit_scaler
@@ -96,8 +97,8 @@ def fit(train: DataFrame, target: str, key: str, *, features: Sequence[str] | No
     k_scores, score_map = None, {}
     k = n_neighbors
     if k is None:
-        k_scores = cv_k_scores(scaled, target, key, selected, classes, k_range, cv_folds, seed, metric, p,
-                               positive).cache()
+        k_scores = small_table(cv_k_scores(scaled, target, key, selected, classes, k_range, cv_folds, seed,
+                                           metric, p, positive))
         k, score_map = choose_k(k_scores)
     return KNNClassifierModel(target, key, feats, list(selected), classes, int(k), n_neighbors is None, metric, p,
                               scaler, scaled, k_scores, fscores, score_map)

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType, DoubleType
 
-from ..functions import distance
+from ..functions.columns import distance_sql
 from .neighbors import EXPR_TERMS_MAX
 
 
@@ -49,7 +49,7 @@ def assign_nearest(df: DataFrame, features: Sequence[str], centres: dict, group:
     terms = sum(len(c) for c in centres.values()) * len(feats)
     if terms <= EXPR_TERMS_MAX:
         def arr(cs):
-            return F.array(*[distance(feats, [F.lit(float(v)) for v in c]) for c in cs])
+            return F.expr("array(" + ", ".join(distance_sql(feats, [float(v) for v in c]) for c in cs) + ")")
         if group is None:
             dists = arr(centres[None])
         else:

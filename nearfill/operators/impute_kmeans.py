@@ -24,7 +24,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, St
 
 from ..functions import is_sentinel
 from .clustering import ClusterSearch, assign_nearest, kmeans_search
-from .joins import lookup_join
+from .joins import lookup_join, small_table
 from .quantiles import grouped_median
 from .scaling import apply_scaler, fit_scaler
 from .stats import class_medians, evidence, global_medians, median_fill, scalar_params, wide_params
@@ -155,8 +155,8 @@ def cluster_medians(assigned: DataFrame, group: str, cluster: str, cols: Sequenc
     full = grid.select(group, "cluster", F.explode(F.array(*[F.lit(c) for c in cols])).alias("column"))
     on = [group, "column"] if class_key else ["column"]
     fb = fallback.select(*on, F.col("median").alias("_fb"))
-    return (full.join(per, [group, "cluster", "column"], "left").join(fb, on, "left")
-            .select(group, "cluster", "column", F.coalesce("median", "_fb").alias("median"))).cache()
+    return small_table(full.join(per, [group, "cluster", "column"], "left").join(fb, on, "left")
+                       .select(group, "cluster", "column", F.coalesce("median", "_fb").alias("median")))
 
 
 def fill_from_clusters(df: DataFrame, cols: Sequence[str], medians: DataFrame, group: str | None, cluster: str,
@@ -167,7 +167,7 @@ def fill_from_clusters(df: DataFrame, cols: Sequence[str], medians: DataFrame, g
     glob = scalar_params(global_fallback)
     keys = ([group] if group else []) + [cluster]
     med = medians if cluster == "cluster" else medians.withColumnRenamed("cluster", cluster)
-    params = wide_params(med, keys, cols, "_cm_").cache()
+    params = small_table(wide_params(med, keys, cols, "_cm_"))
     out = lookup_join(df, params, keys, "left")
     fills = {c: F.when(is_sentinel(F.col(c), sentinel),
                        F.coalesce(F.col("_cm_" + c), F.lit(glob.get(c)).cast("double"))).otherwise(F.col(c))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..functions import is_sentinel, not_sentinel
 from ..session import ensure_checkpoint_dir
-from .joins import lookup_join
+from .joins import lookup_join, small_table
 from .neighbors import knn_join
 from .scaling import apply_scaler, fit_scaler
 from .stats import class_medians, global_medians, median_fill, scalar_params
@@ -84,7 +84,7 @@ def transform(model: KNNImputerModel, df: DataFrame) -> DataFrame:
 
     data = widen(df, cols).withColumn("_grp", grp)
     seen = [0] if not ca else model.classes
-    sizes = data.groupBy("_grp").agg(F.count(F.lit(1)).alias("_class_n")).cache()
+    sizes = small_table(data.groupBy("_grp").agg(F.count(F.lit(1)).alias("_class_n")))
     data = lookup_join(data, sizes, ["_grp"], "left")
     ok_class = F.col("_grp").isin(seen) & (F.col("_class_n") >= k)
     # IM-03 / IM-13: unseen class or a class smaller than k → global medians everywhere
@@ -119,7 +119,7 @@ def transform(model: KNNImputerModel, df: DataFrame) -> DataFrame:
             fill = nb.groupBy(key).agg(F.median(v).alias("_fill"), F.count(F.lit(1)).alias("_nn"))
         donors_n = donors.groupBy("_grp").agg(F.count(F.lit(1)).alias("_dn"))
         upd = data.join(fill, key, "left")
-        upd = lookup_join(upd, donors_n.cache(), ["_grp"], "left")
+        upd = lookup_join(upd, small_table(donors_n), ["_grp"], "left")
         enough = F.coalesce(F.col("_dn"), F.lit(0)) >= k
         newv = F.when(ok_class & is_sentinel(F.col(col), s),
                       F.when(enough & F.col("_fill").isNotNull(), F.col("_fill")).otherwise(gl[col])

@@ -20,3 +20,22 @@ def lookup_join(df: DataFrame, small: DataFrame, on: Sequence[str] | str, how: s
                 force_broadcast: bool = False) -> DataFrame:
     """Join ``df`` with a small parameter table (see module notes)."""
     return df.join(F.broadcast(small) if force_broadcast else small, on=on, how=how)
+
+
+# Parameter tables with at most this many rows become local relations.
+SMALL_TABLE_MAX_ROWS = 100_000
+
+
+def small_table(df: DataFrame, max_rows: int = SMALL_TABLE_MAX_ROWS) -> DataFrame:
+    """Materialise a small parameter table as a leaf of later plans.
+
+    Medians, scalers and cell summaries are joined back onto the data they
+    were computed from; keeping them as lazy sub-plans would copy the whole
+    input plan into every consumer (plans then grow multiplicatively through
+    fit → transform → profile).  At most ``max_rows`` rows are fetched; a
+    larger table is written to the reliable checkpoint folder instead.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        return df.sparkSession.createDataFrame(rows, df.schema)
+    return df.checkpoint(eager=True)

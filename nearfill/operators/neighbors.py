@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from ..functions import distance
-from .joins import lookup_join
+from ..functions.columns import distance_sql
+from .joins import lookup_join, small_table
 
 MAX_PIVOTS = 256
 # Above this many (pivot × feature) terms the pivot distances are computed in
@@ -49,8 +50,8 @@ def _pivot_count(n_refs: int) -> int:
 
 
 def _unit(cols: Sequence[str]) -> list[Column]:
-    norm = F.sqrt(sum((F.col(c) * F.col(c) for c in cols[1:]), F.col(cols[0]) * F.col(cols[0])))
-    return [F.when(norm == 0, F.lit(0.0)).otherwise(F.col(c) / norm) for c in cols]
+    norm = "sqrt(" + " + ".join(f"`{c}` * `{c}`" for c in cols) + ")"
+    return [F.expr(f"CASE WHEN _norm = 0 THEN 0.0D ELSE `{c}` / _norm END") for c in cols], F.expr(norm)
 
 
 def _np_dist(x: np.ndarray, piv: np.ndarray, metric: str, p: float) -> np.ndarray:
@@ -71,7 +72,7 @@ def _np_dist(x: np.ndarray, piv: np.ndarray, metric: str, p: float) -> np.ndarra
 def pivot_distances(cols: Sequence[str], pivots: list[list[float]], metric: str, p: float = 2.0) -> Column:
     """array<double> of distances from the row to each pivot."""
     if len(pivots) * len(cols) <= EXPR_TERMS_MAX:
-        return F.array(*[distance(list(cols), [F.lit(v) for v in pv], metric, p) for pv in pivots])
+        return F.expr("array(" + ", ".join(distance_sql(list(cols), list(pv), metric, p) for pv in pivots) + ")")
     piv = np.asarray(pivots, dtype=float)
 
     @F.pandas_udf(ArrayType(DoubleType()))
@@ -111,20 +112,24 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, features: Sequence[str
 
     qx = [f"_q{j}" for j in range(d)]
     rx = [f"_r{j}" for j in range(d)]
-    q = queries.select(F.col(query_id).alias("_qid"), *gq,
-                       *[F.col(f).cast("double").alias(n) for f, n in zip(feats, qx)],
-                       *[F.col(c) for c in query_carry])
-    r = refs.select(F.col(ref_id).alias("_rid"),
-                    *([F.col(g).alias(n) for g, n in zip(groups, gnames)] or [F.lit(0).alias("_g0")]),
-                    *[F.col(f).cast("double").alias(n) for f, n in zip(rfeats, rx)],
-                    *[F.col(c).alias(f"nb_{c}") for c in ref_carry])
-    valid = lambda cols: F.lit(True) if not cols else F.expr(" and ".join(f"({c} is not null and not isnan({c}))" for c in cols))
+    bq = lambda c: "`" + c.replace("`", "``") + "`"
+    q = queries.selectExpr(f"{bq(query_id)} AS _qid",
+                           *([f"{bq(g)} AS {n}" for g, n in zip(groups, gnames)] or ["0 AS _g0"]),
+                           *[f"CAST({bq(f)} AS DOUBLE) AS {n}" for f, n in zip(feats, qx)],
+                           *[bq(c) for c in query_carry])
+    r = refs.selectExpr(f"{bq(ref_id)} AS _rid",
+                        *([f"{bq(g)} AS {n}" for g, n in zip(groups, gnames)] or ["0 AS _g0"]),
+                        *[f"CAST({bq(f)} AS DOUBLE) AS {n}" for f, n in zip(rfeats, rx)],
+                        *[f"{bq(c)} AS {bq('nb_' + c)}" for c in ref_carry])
+    valid = lambda cols: F.expr(" and ".join(f"({c} is not null and not isnan({c}))" for c in cols))
     q = q.where(valid(qx))
     r = r.where(valid(rx))
     if metric == "cosine":
         qs, rs = [f"_qs{j}" for j in range(d)], [f"_rs{j}" for j in range(d)]
-        q = q.select("*", *[e.alias(n) for e, n in zip(_unit(qx), qs)])
-        r = r.select("*", *[e.alias(n) for e, n in zip(_unit(rx), rs)])
+        qu, qn = _unit(qx)
+        ru, rn = _unit(rx)
+        q = q.withColumn("_norm", qn).select("*", *[e.alias(n) for e, n in zip(qu, qs)]).drop("_norm")
+        r = r.withColumn("_norm", rn).select("*", *[e.alias(n) for e, n in zip(ru, rs)]).drop("_norm")
     else:
         qs, rs = qx, rx
 
@@ -149,9 +154,10 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, features: Sequence[str
           .drop("_pd"))
     cells = (r2.groupBy(*gnames, "_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_rad").alias("rmax"),
                                               F.min("_rad").alias("rmin"))
-             .withColumn("nsub", F.ceil(F.col("n") / F.lit(block_rows)).cast("int"))).cache()
-    packed = cells.groupBy(*gnames).agg(F.map_from_entries(F.collect_list(F.struct(
-        "_cell", F.struct("n", "rmax", "rmin", "nsub")))).alias("_cells"))
+             .withColumn("nsub", F.ceil(F.col("n") / F.lit(block_rows)).cast("int")))
+    cells = small_table(cells)
+    packed = small_table(cells.groupBy(*gnames).agg(F.map_from_entries(F.collect_list(F.struct(
+        "_cell", F.struct("n", "rmax", "rmin", "nsub")))).alias("_cells")))
     rsub = (r2.drop(*[c for c in rs if c not in rx]).join(cells.select(*gnames, "_cell", "nsub"), gnames + ["_cell"])
             .withColumn("_sub", F.pmod(F.xxhash64("_rid", F.lit(seed + 1)), F.col("nsub")).cast("int"))
             .drop("nsub", "_rad")).cache()

@@ -25,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import small_table
+
 
 def unpivot_long(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """(keys..., column, value) with NULL / NaN values dropped (pandas ``dropna``)."""
@@ -73,11 +75,10 @@ def grouped_median(df: DataFrame, keys: Sequence[str], cols: Sequence[str], *,
     hit_hi = inside & (F.col("_start") <= F.col("_rhi")) & (F.col("_rhi") <= F.col("_end"))
     res = ranked.groupBy(*gk).agg(F.max(F.when(hit_lo, F.col("_v"))).alias("_vlo"),
                                   F.max(F.when(hit_hi, F.col("_v"))).alias("_vhi"))
-    res = res.select(*gk, ((F.col("_vlo") + F.col("_vhi")) / 2.0).alias("median")).cache()
-
+    res = small_table(res.select(*gk, ((F.col("_vlo") + F.col("_vhi")) / 2.0).alias("median")))
     missing = res.where(F.col("median").isNull())
-    if missing.limit(1).count() == 0:
+    if not any(r["median"] is None for r in res.collect()):
         return res
     redo = (long.join(missing.select(*gk), gk, "left_semi")
             .groupBy(*gk).agg(F.median("value").alias("median")))
-    return res.where(F.col("median").isNotNull()).unionByName(redo).cache()
+    return small_table(res.where(F.col("median").isNotNull()).unionByName(redo))

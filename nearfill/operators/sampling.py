@@ -3,11 +3,11 @@
 Rows of a class are ordered by ``md5(seed|key)`` (ties by key).  The rank of
 every row in that order is computed without a per-class window:
 
-1. histogram of the first 16 hash bits per class (65,536 buckets, partial
-   aggregation);
+1. histogram of the first 12 hash bits per class (4,096 buckets, partial
+   aggregation), kept as a small local table;
 2. running offsets over the buckets of each class (a small window);
 3. ``row_number`` inside (class, bucket) only — each bucket holds about
-   1/65,536 of its class, so even a class with a third of all rows is spread
+   1/4,096 of its class, so even a class with a third of all rows is spread
    over many tasks.
 
 The split keeps the first ``quota`` rows of each class for training; the
@@ -24,9 +24,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import hash_order
+from .joins import small_table
 from .validate import require_target
 
-BUCKET_HEX = 4  # 16 bits of the hash select the bucket
+BUCKET_HEX = 3  # 12 bits of the hash select the bucket
 
 
 def hash_rank(df: DataFrame, target: str, keys: Sequence[str], seed: int = 42, rank_col: str = "_rank") -> DataFrame:
@@ -36,7 +37,7 @@ def hash_rank(df: DataFrame, target: str, keys: Sequence[str], seed: int = 42, r
         "_b", F.conv(F.substring("_h", 1, BUCKET_HEX), 16, 10).cast("int"))
     hist = h.groupBy(target, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(target).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = hist.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
+    offsets = small_table(hist.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt"))
     ranked = h.join(offsets, [target, "_b"])
     wb = Window.partitionBy(target, "_b").orderBy("_h", *keys)
     return ranked.withColumn(rank_col, F.col("_off") + F.row_number().over(wb)).drop("_h", "_b", "_off")

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import lookup_join
+from .joins import lookup_join, small_table
 
 
 def fit_scaler(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -26,7 +26,7 @@ def fit_scaler(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) ->
         F.struct(F.lit(c).alias("column"), F.col(f"m_{c}").alias("mean"),
                  F.when(F.col(f"s_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"s_{c}")).alias("scale"))
         for c in cols])))
-    return long.cache()
+    return small_table(long)
 
 
 def apply_scaler(df: DataFrame, cols: Sequence[str], scaler: DataFrame, keys: Sequence[str] = (),
@@ -34,7 +34,7 @@ def apply_scaler(df: DataFrame, cols: Sequence[str], scaler: DataFrame, keys: Se
     """SC-02: ``(x - mean) / scale`` with stored parameters.
 
     Unkeyed parameters are a handful of scalars and are inlined as literals;
-    keyed ones (one row per class) come through a checked broadcast join.
+    keyed ones (one row per class) are a small local table joined on the key.
     Rows whose key has no parameters get NULL features.
     """
     cols, keys = list(cols), list(keys)
@@ -44,8 +44,8 @@ def apply_scaler(df: DataFrame, cols: Sequence[str], scaler: DataFrame, keys: Se
                                for c in cols})
     wide = scaler.groupBy(*keys).agg(*[
         F.first(F.when(F.col("column") == c, F.struct("mean", "scale")), ignorenulls=True).alias(f"_sp_{c}")
-        for c in cols]).cache()
-    out = lookup_join(df, wide, keys, "left")
+        for c in cols])
+    out = lookup_join(df, small_table(wide), keys, "left")
     out = out.withColumns({c + suffix: (F.col(c + src_suffix).cast("double") - F.col(f"_sp_{c}.mean"))
                            / F.col(f"_sp_{c}.scale") for c in cols})
     return out.drop(*[f"_sp_{c}" for c in cols])

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import is_sentinel, sentinel_to_null
-from .joins import lookup_join
+from .joins import lookup_join, small_table
 from .quantiles import grouped_median
 
 
@@ -35,7 +35,7 @@ def global_medians(df: DataFrame, cols: Sequence[str], sentinel=0, method: str =
     out = anyrows.join(med, "column", "left").select(
         "column",
         F.coalesce(F.col("median"), F.when(F.col("_has"), F.lit(float(sentinel)))).alias("median"))
-    return out.cache()
+    return small_table(out)
 
 
 def class_medians(df: DataFrame, target: str, cols: Sequence[str], sentinel=0,
@@ -53,7 +53,7 @@ def class_medians(df: DataFrame, target: str, cols: Sequence[str], sentinel=0,
     out = (grid.join(med, [target, "column"], "left")
            .join(fallback.withColumnRenamed("median", "_g"), "column", "left")
            .select(target, "column", F.coalesce("median", "_g", F.lit(0.0)).alias("median")))
-    return out.cache()
+    return small_table(out)
 
 
 def wide_params(long: DataFrame, keys: Sequence[str], cols: Sequence[str], prefix: str,
@@ -86,7 +86,7 @@ def median_fill(df: DataFrame, cols: Sequence[str], medians: DataFrame, keys: Se
     keys = list(keys)
     glob = scalar_params(global_fallback) if global_fallback is not None else {}
     if keys:
-        params = wide_params(medians, keys, cols, "_m_").cache()
+        params = small_table(wide_params(medians, keys, cols, "_m_"))
         out = lookup_join(df, params, keys, "left")
         key_med = {c: F.col("_m_" + c) for c in cols}
     else:

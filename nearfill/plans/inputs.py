@@ -67,8 +67,8 @@ DOC_FEATURES = ["n_chars", "n_words", "n_lines", "n_digits"]
 def embedding_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings as wide double columns e0..e63 (codegen-friendly arithmetic)."""
     e = table(spark, sf_dir, "embeddings")
-    return e.select("vec_id", "label",
-                    *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(EMBED_DIM)])
+    return e.selectExpr("vec_id", "label",
+                        *[f"CAST(embedding[{i}] AS DOUBLE) AS e{i}" for i in range(EMBED_DIM)])
 
 
 EMBED_FEATURES = [f"e{i}" for i in range(EMBED_DIM)]
