@@ -185,8 +185,13 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, features: Sequence[str
     theta = top1.groupBy("_qid").agg(F.count(F.lit(1)).alias("_hn"), F.max("distance").alias("_hd"))
 
     # 5. expansion phase: other cells whose lower bound is within theta
+    # theta lives in the pruning space: for cosine that is the Euclidean
+    # distance of unit vectors, sqrt(2 * cosine distance) (small absolute slack
+    # for rounding near 0).
+    hd = F.sqrt(F.lit(2.0) * F.greatest(F.col("_hd"), F.lit(0.0)) + F.lit(1e-14)) if metric == "cosine" \
+        else F.col("_hd")
     qt = q2.join(theta, "_qid", "left").withColumn(
-        "_theta", F.when(F.col("_hn") >= k, F.col("_hd") * F.lit(1 + 1e-9) + F.lit(1e-12))
+        "_theta", F.when(F.col("_hn") >= k, hd * F.lit(1 + 1e-9) + F.lit(1e-12))
         .otherwise(F.lit(float("inf"))))
     qd_at = lambda e: F.col("_qd")[e["key"]]
 

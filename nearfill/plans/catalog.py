@@ -718,4 +718,4 @@ def q_full_run(spark, sf_dir):
     return run(o, "is_f", "o_orderkey", imputer="kmeans", impute_cols=ORDER_IMPUTE)["metrics"]
 
 
-FLAGSHIP = "median_fill"
+FLAGSHIP = "prediction_table"
