@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..operators import (classify, clustering, impute_kmeans, impute_knn, metrics, neighbors, sampling, scaling,
-                         stats)
+                         select, stats)
+from ..operators.select import digamma_sql
 from . import inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -718,4 +719,65 @@ def q_full_run(spark, sf_dir):
     return run(o, "is_f", "o_orderkey", imputer="kmeans", impute_cols=ORDER_IMPUTE)["metrics"]
 
 
+
+# --------------------------------------------------------------------------- KC-03/04/05
+def _mi_sql() -> str:
+    lng = " union all ".join(f"select o_orderkey as k, o_orderstatus as y, '{f}' as feature, {f} as v from src"
+                             for f in ORDER_FEATURES)
+    jit = ("((('0x' || substr(md5(concat_ws('|', '42', x.feature, cast(x.k as varchar))), 1, 8))::UBIGINT"
+           " / 4294967296.0) - 0.5)")
+    return f"""
+with src as ({SQL_ORDERS}),
+lng as ({lng}),
+sd as (select feature, stddev_pop(v) as sd from lng group by feature),
+xs as (select l.*, l.v / case when sd.sd = 0 then 1 else sd.sd end as xs from lng l join sd using (feature)),
+ma as (select feature, avg(abs(xs)) as ma from xs group by feature),
+ny as (select feature, y, count(*) as n_y from lng group by feature, y),
+pts as (select x.feature, x.k, x.y, ny.n_y, least(3, ny.n_y - 1) as kk,
+               x.xs + 1e-10 * greatest(1.0, ma.ma) * {jit} as x
+        from xs x join ma using (feature) join ny using (feature, y) where ny.n_y > 1),
+nb as (select *, x - lag(x, 1) over w as a1, x - lag(x, 2) over w as a2, x - lag(x, 3) over w as a3,
+              lead(x, 1) over w - x as b1, lead(x, 2) over w - x as b2, lead(x, 3) over w - x as b3
+       from pts window w as (partition by feature, y order by x, k)),
+rad as (select feature, k, y, x, kk, n_y,
+               list_sort(list_filter([a1, a2, a3, b1, b2, b3], lambda e: e is not null))[kk] as r from nb),
+mm as (select a.feature, a.k, greatest(count(*), 1) as m from rad a join pts b
+       on a.feature = b.feature and b.x > a.x - a.r * (1.0 - 1e-9) and b.x < a.x + a.r * (1.0 - 1e-9)
+       group by a.feature, a.k),
+agg as (select r.feature, count(*) as n, avg({digamma_sql("r.kk")}) as pk, avg({digamma_sql("r.n_y")}) as py,
+               avg({digamma_sql("mm.m")}) as pm
+        from rad r join mm on r.feature = mm.feature and r.k = mm.k group by r.feature)"""
+
+
+@register("mutual_information", _mi_sql() + """
+select feature, round(greatest(""" + digamma_sql("n") + """ + pk - py - pm, 0.0), 6) as score from agg
+""")
+def q_mutual_information(spark, sf_dir):
+    """KC-03: nearest-neighbour mutual information of price, customer and day number with order status."""
+    o = inputs.orders_frame(spark, sf_dir)
+    return select.mutual_information(o, "o_orderstatus", "o_orderkey", ORDER_FEATURES)
+
+
+@register("select_features", _mi_sql() + """,
+sc as (select feature, greatest(""" + digamma_sql("n") + """ + pk - py - pm, 0.0) as score from agg),
+rk as (select feature, row_number() over (order by score desc, feature) as rn from sc)
+select feature, cast(rn as integer) as rank from rk where rn <= 2
+""")
+def q_select_features(spark, sf_dir):
+    """KC-04: the two features with the highest mutual information."""
+    o = inputs.orders_frame(spark, sf_dir)
+    sc = select.mutual_information(o, "o_orderstatus", "o_orderkey", ORDER_FEATURES)
+    best = select.top_features(sc, 2, ORDER_FEATURES)
+    ranked = select.importance_report(sc, 2).collect()
+    return spark.createDataFrame([(r["feature"], i + 1) for i, r in enumerate(ranked) if r["feature"] in best],
+                                 "feature string, rank int")
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    """KC-05: top-5 importance report (features by descending mutual information)."""
+    o = inputs.orders_frame(spark, sf_dir)
+    return select.importance_report(select.mutual_information(o, "o_orderstatus", "o_orderkey", ORDER_FEATURES))
+
+
 FLAGSHIP = "prediction_table"
