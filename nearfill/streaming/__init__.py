@@ -1,0 +1,3 @@
+from .scoring import impute_stream, score_stream
+
+__all__ = ["impute_stream", "score_stream"]
