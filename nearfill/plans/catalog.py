@@ -773,7 +773,10 @@ def q_select_features(spark, sf_dir):
                                  "feature string, rank int")
 
 
-@register("feature_importance")
+@register("feature_importance", _mi_sql() + """
+select feature, round(greatest(""" + digamma_sql("n") + """ + pk - py - pm, 0.0), 6) as score from agg
+order by score desc, feature limit 5
+""")
 def q_feature_importance(spark, sf_dir):
     """KC-05: top-5 importance report (features by descending mutual information)."""
     o = inputs.orders_frame(spark, sf_dir)
