@@ -97,6 +97,11 @@ def assign_nearest(df: DataFrame, features: Sequence[str], centres: dict, group:
 
 
 # ----------------------------------------------------------------- batched Lloyd passes
+def _sq_dists(x: np.ndarray, sq: np.ndarray, C: np.ndarray) -> np.ndarray:
+    """Squared Euclidean distances rows × centres via one matrix product."""
+    return np.maximum(sq[:, None] - 2.0 * (x @ C.T) + (C * C).sum(1)[None, :], 0.0)
+
+
 def _stats_pass(data: DataFrame, models: dict, d: int) -> dict:
     """One pass: per (model, cluster) count, SSE, feature sums, squared-norm sum.
 
@@ -118,14 +123,13 @@ def _stats_pass(data: DataFrame, models: dict, d: int) -> dict:
                 sq = (xc * xc).sum(1)
                 for m, C in by_cls.get(int(c), []):
                     k = C.shape[0]
-                    d2 = ((xc[:, None, :] - C[None, :, :]) ** 2).sum(-1)
+                    d2 = _sq_dists(xc, sq, C)
                     lab = d2.argmin(1)
                     dmin = d2[np.arange(len(lab)), lab]
                     cnt = np.bincount(lab, minlength=k)
                     sse = np.bincount(lab, weights=dmin, minlength=k)
                     sqs = np.bincount(lab, weights=sq, minlength=k)
-                    sums = np.zeros((k, d))
-                    np.add.at(sums, lab, xc)
+                    sums = np.stack([np.bincount(lab, weights=xc[:, j], minlength=k) for j in range(d)], axis=1)
                     for j in range(k):
                         rows.append((m, j, int(cnt[j]), float(sse[j]), float(sqs[j]), *sums[j].tolist()))
             yield pd.DataFrame(rows, columns=["m", "cluster", "n", "sse", "sq", *xcols])
@@ -173,7 +177,7 @@ def silhouette_values(xc, sq, C, n, psi, Y, labels=None) -> np.ndarray:
     """Per-row squared-Euclidean silhouette given cluster sums (n, psi, Y)."""
     k = len(n)
     if labels is None:
-        labels = ((xc[:, None, :] - C[None, :, :]) ** 2).sum(-1).argmin(1)
+        labels = _sq_dists(xc, sq, np.asarray(C, dtype=float)).argmin(1)
     safe_n = np.where(n > 0, n, 1.0)
     dist = sq[:, None] + (psi / safe_n)[None, :] - 2.0 * (xc @ Y.T) / safe_n[None, :]
     dist = np.where((n > 0)[None, :], dist, np.inf)
@@ -255,7 +259,7 @@ def kmeans_search(data: DataFrame, classes: list, d: int, k_choices: dict, *, n_
     data = data.select("_cls", key, *xcols)
     # Small inputs go to few partitions: each pass is one Python task per partition.
     n_rows = data.count()
-    parts = max(1, min(data.sparkSession.sparkContext.defaultParallelism, -(-n_rows // 100_000)))
+    parts = max(1, min(data.sparkSession.sparkContext.defaultParallelism, -(-n_rows // 20_000)))
     if n_rows < 1_000_000:
         data = data.repartition(parts)
     data = data.cache()

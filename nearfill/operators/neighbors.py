@@ -32,21 +32,21 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType
 
 from ..functions import distance
 from ..functions.columns import distance_sql
 from .joins import lookup_join, small_table
 
-MAX_PIVOTS = 256
-# Above this many (pivot × feature) terms the pivot distances are computed in
-# Arrow batches with numpy instead of one unrolled expression (which would
-# exceed the generated-method size limit and fall back to interpretation).
+MAX_PIVOTS = 1024
+# Above this many (centre × feature) terms, distances to fixed points are
+# computed in Arrow batches with numpy instead of one unrolled expression
+# (which would exceed the generated-method size limit).
 EXPR_TERMS_MAX = 256
 
 
 def _pivot_count(n_refs: int) -> int:
-    return max(1, min(MAX_PIVOTS, int(math.sqrt(max(n_refs, 1)))))
+    return max(1, min(MAX_PIVOTS, int(2 * math.sqrt(max(n_refs, 1)))))
 
 
 def _unit(cols: Sequence[str]) -> list[Column]:
@@ -69,17 +69,54 @@ def _np_dist(x: np.ndarray, piv: np.ndarray, metric: str, p: float) -> np.ndarra
     return out
 
 
-def pivot_distances(cols: Sequence[str], pivots: list[list[float]], metric: str, p: float = 2.0) -> Column:
-    """array<double> of distances from the row to each pivot."""
-    if len(pivots) * len(cols) <= EXPR_TERMS_MAX:
-        return F.expr("array(" + ", ".join(distance_sql(list(cols), list(pv), metric, p) for pv in pivots) + ")")
-    piv = np.asarray(pivots, dtype=float)
-
-    @F.pandas_udf(ArrayType(DoubleType()))
-    def _dists(x: pd.DataFrame) -> pd.Series:
-        return pd.Series(list(_np_dist(x.to_numpy(dtype=float), piv, metric, p)))
-
-    return _dists(F.struct(*[F.col(c) for c in cols]))
+def _assign_udf(pivots: np.ndarray, metric: str, p: float):
+    """Nearest pivot and its distance for every row (numpy in Arrow batches)."""
+    schema = "cell int, rad double"
+
+    @F.pandas_udf(schema)
+    def _assign(x: pd.DataFrame) -> pd.DataFrame:
+        d = _np_dist(x.to_numpy(dtype=float), pivots, metric, p)
+        cell = d.argmin(1)
+        return pd.DataFrame({"cell": cell.astype("int32"), "rad": d[np.arange(len(cell)), cell]})
+
+    return _assign
+
+
+def _candidates_udf(pivots: np.ndarray, metric: str, p: float, stats: dict, n_groups: int, d: int):
+    """Cells other than the home cell whose triangle-inequality lower bound is
+    within the query's theta.  ``stats`` maps a group key to (n, rmax, rmin)
+    arrays over the P cells (a small table: groups × P)."""
+    P = pivots.shape[0]
+
+    @F.pandas_udf(ArrayType(IntegerType()))
+    def _cands(x: pd.DataFrame) -> pd.Series:
+        out = [None] * len(x)
+        gcols = [f"g{i}" for i in range(n_groups)]
+        feats = x[[f"f{j}" for j in range(d)]].to_numpy(dtype=float)
+        theta = x["theta"].to_numpy(dtype=float)
+        home = x["home"].to_numpy()
+        keys = list(zip(*[x[c].tolist() for c in gcols]))
+        by_key: dict = {}
+        for i, key in enumerate(keys):
+            by_key.setdefault(key, []).append(i)
+        for key, idx in by_key.items():
+            idx = np.asarray(idx)
+            st = stats.get(key)
+            if st is None:
+                for i in idx:
+                    out[i] = []
+                continue
+            n, rmax, rmin = st
+            dq = _np_dist(feats[idx], pivots, metric, p)
+            qmin = dq.min(1, keepdims=True)
+            lb = np.maximum.reduce([dq - rmax[None, :], (dq - qmin) / 2.0, rmin[None, :] - dq, np.zeros_like(dq)])
+            ok = (lb <= theta[idx, None]) & (n[None, :] > 0)
+            ok[np.arange(len(idx)), home[idx]] = False
+            for row, i in enumerate(idx):
+                out[i] = np.nonzero(ok[row])[0].astype("int32").tolist()
+        return pd.Series(out)
+
+    return _cands
 
 
 def knn_join(queries: DataFrame, refs: DataFrame, k: int, features: Sequence[str], *,
@@ -144,28 +181,29 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, features: Sequence[str
     pivots = [[float(v) for v in row] for row in piv_rows]
     P = len(pivots)
 
-    def pdists(cols):
-        return pivot_distances(cols, pivots, prune_metric, p)
+    piv = np.asarray(pivots, dtype=float)
+    assign = _assign_udf(piv, prune_metric, p)
 
     # 2. references: nearest pivot, radius, sub-block; cell summaries (groups × P rows)
-    r2 = (r.withColumn("_pd", pdists(rs))
-          .withColumn("_rad", F.array_min("_pd"))
-          .withColumn("_cell", (F.expr("array_position(_pd, _rad)") - 1).cast("int"))
-          .drop("_pd"))
-    cells = (r2.groupBy(*gnames, "_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_rad").alias("rmax"),
-                                              F.min("_rad").alias("rmin"))
-             .withColumn("nsub", F.ceil(F.col("n") / F.lit(block_rows)).cast("int")))
-    cells = small_table(cells)
-    packed = small_table(cells.groupBy(*gnames).agg(F.map_from_entries(F.collect_list(F.struct(
-        "_cell", F.struct("n", "rmax", "rmin", "nsub")))).alias("_cells")))
-    rsub = (r2.drop(*[c for c in rs if c not in rx]).join(cells.select(*gnames, "_cell", "nsub"), gnames + ["_cell"])
+    r2 = (r.withColumn("_a", assign(F.struct(*[F.col(c) for c in rs])))
+          .withColumn("_cell", F.col("_a.cell")).withColumn("_rad", F.col("_a.rad")).drop("_a"))
+    cells = small_table(
+        r2.groupBy(*gnames, "_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_rad").alias("rmax"),
+                                         F.min("_rad").alias("rmin"))
+        .withColumn("nsub", F.ceil(F.col("n") / F.lit(block_rows)).cast("int")))
+    stats: dict = {}
+    for row in cells.collect():
+        key = tuple(row[g] for g in gnames)
+        n, rmax, rmin = stats.setdefault(key, (np.zeros(P), np.zeros(P), np.zeros(P)))
+        c = row["_cell"]
+        n[c], rmax[c], rmin[c] = row["n"], row["rmax"], row["rmin"]
+    nsub = cells.select(*gnames, "_cell", "nsub")
+    rsub = (r2.drop(*[c for c in rs if c not in rx]).join(nsub, gnames + ["_cell"])
             .withColumn("_sub", F.pmod(F.xxhash64("_rid", F.lit(seed + 1)), F.col("nsub")).cast("int"))
             .drop("nsub", "_rad")).cache()
 
-    # 3. queries: pivot distances, home cell
-    q2 = (q.withColumn("_qd", pdists(qs)).withColumn("_qmin", F.array_min("_qd"))
-          .withColumn("_home", (F.expr("array_position(_qd, _qmin)") - 1).cast("int")))
-    q2 = lookup_join(q2, packed, gnames, "inner").drop(*[c for c in qs if c not in qx]).cache()
+    # 3. queries: home cell (nearest pivot)
+    q2 = q.withColumn("_home", assign(F.struct(*[F.col(c) for c in qs]))["cell"]).cache()
     keep = ["_qid", *gnames, *qx, *query_carry]
 
     def ranked(cands: DataFrame) -> DataFrame:
@@ -177,14 +215,15 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, features: Sequence[str
         return (j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
                 .select(*keep, "_rid", "distance", *[f"nb_{c}" for c in ref_carry]))
 
+    def with_subs(df: DataFrame) -> DataFrame:
+        subs = F.sequence(F.lit(0), F.col("nsub") - 1)
+        return df.join(nsub, gnames + ["_cell"]).select(*keep, "_cell", F.explode(subs).alias("_sub"))
+
     # 4. home phase: exact top k within the home cell
-    home_n = F.element_at("_cells", F.col("_home"))
-    subs = F.when(home_n["nsub"] > 0, F.sequence(F.lit(0), home_n["nsub"] - 1)).otherwise(F.array().cast("array<int>"))
-    home = q2.select(*keep, F.col("_home").alias("_cell"), F.explode(subs).alias("_sub"))
-    top1 = ranked(home).cache()
+    top1 = ranked(with_subs(q2.withColumn("_cell", F.col("_home")))).cache()
     theta = top1.groupBy("_qid").agg(F.count(F.lit(1)).alias("_hn"), F.max("distance").alias("_hd"))
 
-    # 5. expansion phase: other cells whose lower bound is within theta
+    # 5. expansion phase: other cells whose lower bound is within theta.
     # theta lives in the pruning space: for cosine that is the Euclidean
     # distance of unit vectors, sqrt(2 * cosine distance) (small absolute slack
     # for rounding near 0).
@@ -193,20 +232,12 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, features: Sequence[str
     qt = q2.join(theta, "_qid", "left").withColumn(
         "_theta", F.when(F.col("_hn") >= k, hd * F.lit(1 + 1e-9) + F.lit(1e-12))
         .otherwise(F.lit(float("inf"))))
-    qd_at = lambda e: F.col("_qd")[e["key"]]
-
-    def lower(e):
-        dq = qd_at(e)
-        return F.greatest(dq - e["value"]["rmax"], (dq - F.col("_qmin")) / 2.0,
-                          e["value"]["rmin"] - dq, F.lit(0.0))
-
-    cand = F.filter(F.map_entries("_cells"), lambda e: (e["key"] != F.col("_home")) & (lower(e) <= F.col("_theta")))
-    pairs = F.flatten(F.transform(cand, lambda e: F.transform(
-        F.sequence(F.lit(0), e["value"]["nsub"] - 1),
-        lambda s_: F.struct(e["key"].alias("c"), s_.alias("s")))))
-    more = (qt.select(*keep, F.explode(pairs).alias("_cs"))
-            .select(*keep, F.col("_cs.c").alias("_cell"), F.col("_cs.s").alias("_sub")))
-    top2 = ranked(more)
+    cands = _candidates_udf(piv, prune_metric, p, stats, len(gnames), d)
+    arg = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(gnames)],
+                   *[F.col(c).alias(f"f{j}") for j, c in enumerate(qs)],
+                   F.col("_theta").alias("theta"), F.col("_home").alias("home"))
+    more = qt.select(*keep, F.explode(cands(arg)).alias("_cell"))
+    top2 = ranked(with_subs(more))
 
     # 6. merge: top k of both phases per query
     both = top1.unionByName(top2)
