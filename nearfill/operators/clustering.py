@@ -89,7 +89,7 @@ def assign_nearest(df: DataFrame, features: Sequence[str], centres: dict, group:
     cols = [F.col(f).cast("double").alias(f"_f{j}") for j, f in enumerate(feats)]
     if group is not None:
         cols = [F.col(group).alias("_g")] + cols
-    res = df.withColumn("_nc", _nearest(F.struct(*cols)))
+    res = df.withColumn("_nc", _nearest.asNondeterministic()(F.struct(*cols)))
     res = res.withColumn(out, F.col("_nc.cluster"))
     if dist_out:
         res = res.withColumn(dist_out, F.col("_nc.distance"))

@@ -1,12 +1,12 @@
 """Lookup joins against small parameter tables.
 
-Parameter tables (per class, per cluster, per group) are joined without a
-broadcast hint: adaptive query execution measures the materialised size of
-the small side at run time and broadcasts it only when it is below
-``spark.sql.autoBroadcastJoinThreshold``; above that the join stays a
-shuffle join.  That is the size check, and it costs no extra job.
-``force_broadcast`` is for tables whose size is bounded by a parameter
-(centres, pivots), never by the data.
+Parameter tables (per class, per cluster, per group) go through
+``small_table``: a bounded fetch (at most ``SMALL_TABLE_MAX_ROWS`` rows) is
+the size check, after which the table is a local leaf with a broadcast hint,
+so lookups never shuffle the large side.  A table above the bound is
+checkpointed instead and joined without a hint: adaptive query execution
+then measures it at run time and broadcasts only below
+``spark.sql.autoBroadcastJoinThreshold``, otherwise keeping a shuffle join.
 """
 from __future__ import annotations
 
@@ -37,5 +37,7 @@ def small_table(df: DataFrame, max_rows: int = SMALL_TABLE_MAX_ROWS) -> DataFram
     """
     rows = df.limit(max_rows + 1).collect()
     if len(rows) <= max_rows:
-        return df.sparkSession.createDataFrame(rows, df.schema)
+        # the row bound is the size check: joins against it are broadcast
+        # (static plan, so the large side is never shuffled for a lookup)
+        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
     return df.checkpoint(eager=True)

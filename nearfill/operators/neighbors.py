@@ -79,7 +79,7 @@ def _assign_udf(pivots: np.ndarray, metric: str, p: float):
         cell = d.argmin(1)
         return pd.DataFrame({"cell": cell.astype("int32"), "rad": d[np.arange(len(cell)), cell]})
 
-    return _assign
+    return _assign.asNondeterministic()  # evaluated once, never duplicated by projection collapse
 
 
 def _candidates_udf(pivots: np.ndarray, metric: str, p: float, stats: dict, n_groups: int, d: int):
@@ -116,7 +116,7 @@ def _candidates_udf(pivots: np.ndarray, metric: str, p: float, stats: dict, n_gr
                 out[i] = np.nonzero(ok[row])[0].astype("int32").tolist()
         return pd.Series(out)
 
-    return _cands
+    return _cands.asNondeterministic()
 
 
 def knn_join(queries: DataFrame, refs: DataFrame, k: int, features: Sequence[str], *,
