@@ -42,12 +42,21 @@ def load_splits(spark: SparkSession, train_path: str, test_path: str,
 def with_row_key(df: DataFrame, key: str = "_row_key") -> DataFrame:
     """Explicit row identity for tables without a key column.
 
-    The key is ``md5`` of all values plus a counter among identical rows, so
-    it is independent of file splits and partitioning.  The counter window is
-    partitioned by the content hash: only exact duplicates share a task.
+    The key is ``md5`` of all values plus a counter 1..m among the m identical
+    copies of a row, so the set of keys does not depend on file splits or
+    partitioning.  A group of copies may be a large share of the table, so the
+    counter is never computed in one task: copies are counted per input
+    partition, partition offsets come from a window over at most
+    #partitions rows per content, and the numbering inside a partition runs in
+    a window over (content, partition), which is bounded by one partition.
     """
     content = F.md5(F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in df.columns]))
-    out = df.withColumn("_content", content)
-    w = Window.partitionBy("_content").orderBy("_content")
-    out = out.withColumn("_dup", F.row_number().over(w))
-    return out.withColumn(key, F.concat_ws("-", "_content", F.col("_dup").cast("string"))).drop("_content", "_dup")
+    base = (df.withColumn("_content", content).withColumn("_pid", F.spark_partition_id())
+            .withColumn("_mono", F.monotonically_increasing_id()))
+    per = base.groupBy("_content", "_pid").agg(F.count(F.lit(1)).alias("_n"))
+    wo = Window.partitionBy("_content").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = per.withColumn("_off", F.coalesce(F.sum("_n").over(wo), F.lit(0))).drop("_n")
+    wl = Window.partitionBy("_content", "_pid").orderBy("_mono")
+    out = base.join(offs, ["_content", "_pid"]).withColumn("_dup", F.col("_off") + F.row_number().over(wl))
+    return (out.withColumn(key, F.concat_ws("-", "_content", F.col("_dup").cast("string")))
+            .drop("_content", "_pid", "_mono", "_off", "_dup"))

@@ -55,3 +55,12 @@ def test_empty_table_profiles(spark):
     assert prof == []
     gm = stats.global_medians(df, ["x"]).collect()
     assert gm[0].median is None
+
+
+def test_row_key_unique_and_partition_independent(spark):
+    from nearfill.sources import with_row_key
+    pdf = pd.DataFrame({"a": [1, 1, 1, 1, 2, 3, 3], "b": [0.5, 0.5, 0.5, 0.5, 1.0, None, None]})
+    one = with_row_key(spark.createDataFrame(pdf).repartition(1)).toPandas()
+    many = with_row_key(spark.createDataFrame(pdf).repartition(5)).toPandas()
+    assert one._row_key.is_unique and len(one) == 7
+    assert sorted(one._row_key) == sorted(many._row_key)
