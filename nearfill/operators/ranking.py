@@ -5,8 +5,9 @@ strictly before it, within a partition key, in ``order`` order.  Rows are
 cut into value buckets at approximate quantiles (``percentile_approx``,
 bounded sketch), bucket totals become exact running offsets in a small
 table, and a window runs only inside (partition, bucket) — about 1/B of a
-partition, so a partition holding a third of all rows is still spread over
-many tasks.  The bucket of a row depends only on its value, so equal values
+partition (B grows with the largest partition, ~2M rows per bucket up to
+4,096 buckets), so a partition holding a third of all rows is still spread
+over many tasks.  The bucket of a row depends only on its value, so equal values
 share a bucket and ties are ordered by the remaining ``order`` columns.
 """
 from __future__ import annotations
@@ -21,12 +22,26 @@ from .joins import small_table
 DEFAULT_BUCKETS = 64
 
 
+ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 4096
+
+
 def prefix_count(df: DataFrame, parts: Sequence[str], value: str, ties: Sequence[str] = (),
-                 weight: str | None = None, out: str = "_before", buckets: int = DEFAULT_BUCKETS,
+                 weight: str | None = None, out: str = "_before", buckets: int | None = None,
                  accuracy: int = 10_000) -> DataFrame:
     """Add ``out`` = sum of ``weight`` (1 if None) over rows ordered before the row
-    by ``(value, *ties)`` within ``parts``."""
+    by ``(value, *ties)`` within ``parts``.
+
+    With ``buckets`` None the bucket count follows the largest partition:
+    about ``ROWS_PER_BUCKET`` rows per bucket, between 64 and 4,096 (one
+    small aggregate), and the sketch accuracy is raised to match.
+    """
     parts = list(parts)
+    if buckets is None:
+        sizes = df.groupBy(*parts).count() if parts else df.groupBy().count()
+        biggest = sizes.agg(F.max("count")).collect()[0][0] or 0
+        buckets = int(min(MAX_BUCKETS, max(DEFAULT_BUCKETS, -(-biggest // ROWS_PER_BUCKET))))
+    accuracy = max(accuracy, 4 * buckets)
     grid = [i / buckets for i in range(1, buckets)]
     wcol = F.col(weight) if weight else F.lit(1)
     bounds = small_table(df.groupBy(*parts).agg(
