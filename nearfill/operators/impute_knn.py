@@ -17,8 +17,9 @@ the values filled by the previous ones:
 * a class with fewer than k rows, a column with fewer than k donors in the
   class, and an unseen class fall back to the global median.
 
-Each step writes back with an equi-join on the row key and cuts the lineage
-with a reliable ``checkpoint`` (folder from ``spark.checkpoint.dir``).
+Each step joins only the rows being filled with their values (the other
+rows pass through untouched, no shuffle) and cuts the lineage with a
+reliable ``checkpoint`` (folder from ``spark.checkpoint.dir``).
 """
 from __future__ import annotations
 
@@ -117,14 +118,15 @@ def transform(model: KNNImputerModel, df: DataFrame) -> DataFrame:
             fill = nb.groupBy(key).agg((F.sum(w * v) / F.sum(w)).alias("_fill"), F.count(F.lit(1)).alias("_nn"))
         else:
             fill = nb.groupBy(key).agg(F.median(v).alias("_fill"), F.count(F.lit(1)).alias("_nn"))
-        donors_n = donors.groupBy("_grp").agg(F.count(F.lit(1)).alias("_dn"))
-        upd = data.join(fill, key, "left")
-        upd = lookup_join(upd, small_table(donors_n), ["_grp"], "left")
+        donors_n = small_table(donors.groupBy("_grp").agg(F.count(F.lit(1)).alias("_dn")))
+        # only the sentinel rows change: they alone are joined with the fills;
+        # every other row passes through without a shuffle
+        target = F.coalesce(ok_class & is_sentinel(F.col(col), s), F.lit(False))
+        untouched = data.where(~target)
+        upd = lookup_join(data.where(target).join(fill, key, "left"), donors_n, ["_grp"], "left")
         enough = F.coalesce(F.col("_dn"), F.lit(0)) >= k
-        newv = F.when(ok_class & is_sentinel(F.col(col), s),
-                      F.when(enough & F.col("_fill").isNotNull(), F.col("_fill")).otherwise(gl[col])
-                      ).otherwise(F.col(col))
-        data = _cut(upd.withColumn(col, newv).drop("_fill", "_nn", "_dn"))
+        upd = upd.withColumn(col, F.when(enough & F.col("_fill").isNotNull(), F.col("_fill")).otherwise(gl[col]))
+        data = _cut(untouched.unionByName(upd.select(*untouched.columns)))
     return data.select(*df.columns)
 
 
