@@ -32,11 +32,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType
+from pyspark.sql.types import ArrayType, IntegerType
 
 from ..functions import distance
-from ..functions.columns import distance_sql
-from .joins import lookup_join, small_table
+from .joins import small_table
 
 MAX_PIVOTS = 1024
 # Above this many (centre × feature) terms, distances to fixed points are
