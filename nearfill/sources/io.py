@@ -1,11 +1,26 @@
 """Sources and sinks (IO-01..03)."""
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def _guess_format(path: str) -> str:
+    """csv for ``*.csv`` paths and for local result folders of CSV part files, else parquet."""
+    bare = path.rstrip("/")
+    if bare.endswith(".csv"):
+        return "csv"
+    local = bare[len("file:"):] if bare.startswith("file:") else bare
+    if os.path.isdir(local):
+        names = os.listdir(local)
+        if any(n.endswith(".csv") for n in names) and not any(n.endswith(".parquet") for n in names):
+            return "csv"
+    return "parquet"
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None,
                fmt: str | None = None) -> DataFrame:
     """IO-01: delimited file with a header row, or Parquet.
@@ -13,7 +28,7 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str | None =
     ``fmt`` defaults from the extension.  Give ``schema`` for CSV on large
     data; without it the types are inferred (one extra pass).
     """
-    fmt = fmt or ("csv" if path.rstrip("/").endswith(".csv") else "parquet")
+    fmt = fmt or _guess_format(path)
     reader = spark.read
     if fmt == "csv":
         reader = reader.option("header", True)
