@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join
+from . import importance, jaccard_join, quality_rules
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,5 +16,24 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.components(_read(spark, sf_dir, "documents"), k=5, percent=75)
 
 
-QUERIES = {"op2_jaccard_join": op2_jaccard_join}
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weights of all documents against the good labelled ones, and the Gumbel top-k sample (kept)."""
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    return importance.resample(docs, importance.fit(docs, labels))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, base rule and calibrated n-gram model over all documents."""
+    docs = _read(spark, sf_dir, "documents")
+    model = quality_rules.fit(quality_rules.labelled_texts(docs, _read(spark, sf_dir, "labels")))
+    q = quality_rules.scored(docs.select("doc_id", "text"), model)
+    return q.select("doc_id", "quality.n_words", "quality.word_chars", "quality.n_symbols", "quality.n_dup_lines",
+                    "quality.n_repeat_words", "quality.base_failed", "quality.kept", "quality.p_good")
+
+
+QUERIES = {
+    "op2_jaccard_join": op2_jaccard_join,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op10_quality_rules": op10_quality_rules,
+}
 ORACLE: dict[str, str] = {}
