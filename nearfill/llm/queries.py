@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import importance, jaccard_join, quality_rules
+from . import importance, jaccard_join, packing, quality_rules, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,24 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(docs, importance.fit(docs, labels))
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best-fit decreasing packing of all documents into sequences of 2048 tokens; one row per piece."""
+    pieces = packing.pack(_read(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bit-packed token files of all documents, written in doc_id order and read back."""
+    files = token_files.write(_read(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=2)
+    return token_files.read(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, base rule and calibrated n-gram model over all documents."""
     docs = _read(spark, sf_dir, "documents")
@@ -34,6 +52,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_jaccard_join": op2_jaccard_join,
     "op4_quality_classifier": op4_quality_classifier,
+    "op7_packing": op7_packing,
+    "op9_token_files": op9_token_files,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLE: dict[str, str] = {}
