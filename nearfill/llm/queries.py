@@ -4,13 +4,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import importance, jaccard_join, packing, quality_rules, token_files
+from . import importance, jaccard_join, license_scan, multi_index, packing, quality_rules, token_files, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels of all documents by ordered signature rules."""
+    return license_scan.report(_read(spark, sf_dir, "documents"))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets have a Jaccard similarity of 0.75 or more."""
     return jaccard_join.components(_read(spark, sf_dir, "documents"), k=5, percent=75)
@@ -28,12 +33,24 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to dictionary-compressed WARC archives and read back; one row per record."""
+    return warc.read(warc.write(_read(spark, sf_dir, "pages"))).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best-fit decreasing packing of all documents into sequences of 2048 tokens; one row per piece."""
     pieces = packing.pack(_read(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=1)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest rows by cosine for every row whose vec_id is divisible by 50."""
+    vectors = _read(spark, sf_dir, "embeddings")
+    return multi_index.search(vectors, vectors.where(F.col("vec_id") % 50 == 0), multi_index.fit(vectors, k=5), k=5)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bit-packed token files of all documents, written in doc_id order and read back."""
     files = token_files.write(_read(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=2)
@@ -50,10 +67,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_jaccard_join": op2_jaccard_join,
     "op4_quality_classifier": op4_quality_classifier,
+    "op6_warc": op6_warc,
     "op7_packing": op7_packing,
+    "op8_multi_index": op8_multi_index,
     "op9_token_files": op9_token_files,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_warc": """
+WITH p AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+w AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS winner FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> winner THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> winner THEN winner END AS refers_to
+FROM w""",
+}
