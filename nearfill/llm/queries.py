@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import importance, jaccard_join, license_scan, multi_index, packing, quality_rules, token_files, warc
+from . import importance, jaccard_join, license_rules, license_scan, masked_lm, mixing, multi_index, packing, quality_rules, token_files, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,13 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.components(_read(spark, sf_dir, "documents"), k=5, percent=75)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to flattened source weights: one row per document and epoch, with its block's slot."""
+    found = mixing.positions(_read(spark, sf_dir, "documents").select("doc_id", "source"))
+    return found.select("doc_id", "source", F.col("__block").alias("block"), F.col("__epoch").alias("epoch"),
+                        F.col("__slot").alias("slot"), F.col("__place").alias("place"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance weights of all documents against the good labelled ones, and the Gumbel top-k sample (kept)."""
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
@@ -33,6 +40,12 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op5_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masked pseudo-likelihood of all documents under a window network trained on all of them."""
+    docs = _read(spark, sf_dir, "documents")
+    return masked_lm.score(docs, masked_lm.train(docs))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to dictionary-compressed WARC archives and read back; one row per record."""
     return warc.read(warc.write(_read(spark, sf_dir, "pages"))).select(
@@ -69,14 +82,93 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_mixing": op3_mixing,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_masked_lm": op5_masked_lm,
     "op6_warc": op6_warc,
     "op7_packing": op7_packing,
     "op8_multi_index": op8_multi_index,
     "op9_token_files": op9_token_files,
     "op10_quality_rules": op10_quality_rules,
 }
+_MIXING_SQL = """
+WITH RECURSIVE c AS (
+    SELECT coalesce('s:' || source, 'null') AS src, count(*) AS docs, pow(count(*), 0.9) AS s FROM documents GROUP BY 1),
+f AS (
+    SELECT src, docs, row_number() OVER (ORDER BY src) AS i, 1000 * s / sum(s) OVER () AS want,
+           greatest(1, CAST(floor(1000 * s / sum(s) OVER ()) AS BIGINT)) AS p FROM c),
+w AS (
+    SELECT src, docs, i, p + CASE WHEN row_number() OVER (ORDER BY p - want, i) <= 1000 - sum(p) OVER () THEN 1 ELSE 0 END AS p
+    FROM f),
+l AS (SELECT list(p ORDER BY i) AS parts FROM w),
+sched(t, nxt, pick) AS (
+    SELECT CAST(-1 AS BIGINT), list_transform(parts, lambda p: CAST(0 AS BIGINT)), CAST(NULL AS BIGINT) FROM l
+    UNION ALL
+    SELECT t + 1, list_transform(nxt, lambda k, i: CASE WHEN i = pick THEN k + 1 ELSE k END), pick FROM (
+        SELECT t, nxt, list_min(list_filter(list_transform(nxt, lambda k, i:
+                   CASE WHEN k < parts[i] AND (k * 1000) // parts[i] <= t + 1
+                        THEN (((k + 1) * 1000 + parts[i] - 1) // parts[i]) * 100000 + i END),
+                   lambda x: x IS NOT NULL)) % 100000 AS pick
+        FROM sched, l WHERE t + 1 < 1000)),
+own AS (
+    SELECT src, p, (docs + 63) // 64 AS blocks, list(t ORDER BY t) AS slots
+    FROM w JOIN sched ON pick = i GROUP BY src, p, docs),
+e AS (
+    SELECT *, max(((blocks - 1) // p) * 1000 + slots[(blocks - 1) % p + 1] + 1) OVER () AS length FROM own),
+plan AS (
+    SELECT *, least((length // 1000) * p + len(list_filter(slots, lambda t: t < length % 1000)), blocks * 4) AS total FROM e),
+r AS (
+    SELECT doc_id, source, coalesce('s:' || source, 'null') AS src,
+           row_number() OVER (PARTITION BY source ORDER BY md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null'))) - 1 AS n
+    FROM documents),
+x AS (
+    SELECT doc_id, source, n // 64 AS block, n % 64 AS place, p, slots, blocks,
+           unnest(range((total - 1 - n // 64) // blocks + 1)) AS epoch
+    FROM r JOIN plan USING (src))
+SELECT doc_id, source, CAST(block AS BIGINT) AS block, CAST(epoch AS BIGINT) AS epoch,
+       CAST(((epoch * blocks + block) // p) * 1000 + slots[(epoch * blocks + block) % p + 1] AS BIGINT) AS slot,
+       CAST(place AS BIGINT) AS place
+FROM x"""
+
+
+def _license_sql() -> str:
+    """The scan as SQL: every rule at every anchor, then suppression by a self-join."""
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    rules = ",\n".join(
+        f"({i}, {quote(r.label)}, {r.priority}, {str(r.base).lower()}, {quote(r.anchor)}, {quote(f'^({r.pattern})( |$)')}, "
+        f"{license_rules.CONFIDENCE[r.priority]})" for i, r in enumerate(license_rules.rules()))
+    word = license_scan.WORD
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+WITH r(number, label, priority, base, anchor, pattern, confidence) AS (VALUES {rules}),
+t AS (
+    SELECT row_number() OVER () AS id, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '{word}') AS w FROM documents),
+p AS (SELECT id, w, unnest(range(len(w))) AS i FROM t),
+a AS (
+    SELECT id, i, w[i + 1] AS anchor, array_to_string(w[i + 1:i + {license_rules.WINDOW_WORDS}], ' ') AS near
+    FROM p WHERE w[i + 1] IN (SELECT anchor FROM r)),
+m AS (
+    SELECT id, i AS s, number, label, priority, base, confidence, regexp_extract(near, pattern, 1) AS found
+    FROM a JOIN r USING (anchor)),
+d AS (SELECT *, s + len(string_split(found, ' ')) AS e FROM m WHERE found <> ''),
+k AS (
+    SELECT * FROM d WHERE base OR NOT EXISTS (
+        SELECT 1 FROM d o WHERE o.id = d.id AND NOT o.base
+            AND o.s <= d.s AND o.e >= d.e
+            AND (o.priority > d.priority OR (o.priority = d.priority AND (
+                o.e - o.s > d.e - d.s OR (o.s = d.s AND o.e = d.e AND o.number < d.number))))))
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, count(*) FILTER (base) AS n_base,
+       min(s) FILTER (base) AS first_word, max(s) FILTER (base) AS last_word,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base), '') AS base_labels,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels,
+       CAST(coalesce(max(confidence), 0) AS DOUBLE) AS score
+FROM t LEFT JOIN k USING (id) GROUP BY id, doc_id, w"""
+
+
 ORACLE: dict[str, str] = {
+    "op1_license_scan": _license_sql(),
+    "op3_mixing": _MIXING_SQL,
     "op6_warc": """
 WITH p AS (
     SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
