@@ -7,8 +7,8 @@ the whole sequence if there are fewer words).  Two sets link when
 
 Method
   1. One pass over the texts gives each document its set's size, a 128-bit
-     digest, its smallest hashes (the prefix) and a bitmap of 2n or more bits.
-     Documents with equal digests are one class; everything after works on classes.
+     digest and its smallest hashes (the prefix).  Documents with equal digests
+     are one class; everything after works on classes.
   2. Linked sets share at least ``min(c_A, c_B)`` tokens of their prefixes, where
      a prefix has ``n - ceil(t n) + c`` tokens and ``c = 1 + n // 16``.  Tokens of
      a single class go, counted exactly over all classes; then each class drops
@@ -16,12 +16,14 @@ Method
      linked pair survives on both sides, so no link is lost, and lines or passages
      that very many documents share no longer bring them together.
   3. Classes with a common token meet in size-banded tiles: bands of ratio 1/t,
-     tile b holding bands b and b + 1.  First every member meets its tile's
-     smallest member.  Then only tiles whose members are still in different
-     components compare members across components, in blocks.
-  4. A pair is tested by bitmaps first: ``|A n B| <= n_A - popcount(A & ~B)``
-     (and the same for B).  What passes is decided by intersecting the sorted
-     hash arrays.
+     tile b holding bands b and b + 1.  First every member meets one chosen member
+     of its tile.  Then only tiles whose members are still in different components
+     compare members across components: small tiles by an equi-join that counts the
+     tokens a pair has in common (which bounds the overlap from above too), large
+     ones in blocks.
+  4. A pair is tested by hashed bitmaps of 4n or more bits first:
+     ``|A n B| <= n_A - popcount(A & ~B)`` (and the same for B).  What passes is
+     decided by intersecting the sorted hash arrays.
 
 Pairs within one component are not all listed (a group of m near copies has
 m*m/2): components are what the join returns.
@@ -46,9 +48,12 @@ from pyspark.sql.window import Window
 
 from . import graph, stages, textbytes
 
-#: Members of a tile block; two blocks are compared in one step.
+#: Members of a large tile's block; two blocks are compared in one step.
 BLOCK = 512
-_SETS = "id long, n int, d1 long, d2 long, prefix array<long>, bits binary"
+#: Tiles up to this size are joined pair by pair, larger ones block by block; the pairs found are the same.
+SMALL_TILE = 64
+_PREFIXES = "id long, n int, d1 long, d2 long, prefix array<long>"
+_SETS = "c long, n int, bits binary, tokens array<long>"
 
 
 def _least_overlap(n, percent: int):
@@ -60,9 +65,13 @@ def _slack(n):
     return 1 + n // 16
 
 
+def _prefix_size(n: int, percent: int) -> int:
+    return min(n, n - _least_overlap(n, percent) + _slack(n))
+
+
 def bitmap(tokens: np.ndarray) -> bytes:
-    """Bitmap of a set: the low bits of each hash in a power of two of at least 2n bits."""
-    width = max(64, 1 << int(2 * len(tokens) - 1).bit_length())
+    """Bitmap of a set: the low bits of each hash in a power of two of at least 4n bits."""
+    width = max(64, 1 << int(4 * len(tokens) - 1).bit_length())
     bits = np.zeros(width, dtype=bool)
     bits[(tokens & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
@@ -92,25 +101,25 @@ def _digest(tokens: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
-def _sets(k: int, percent: int):
+def _list_array(parts: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts).view(np.int64)))
+
+
+def _prefixes(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for t in textbytes.slices(batch.column(1)):
-                n, d1, d2, prefix, bits = [], [], [], [], []
+                n, low, high, prefix = [], [], [], []
                 for s in textbytes.shingle_sets(t, k):
-                    low, high = _digest(s)
+                    d1, d2 = _digest(s)
                     n.append(len(s))
-                    d1.append(low)
-                    d2.append(high)
-                    size = len(s) - _least_overlap(len(s), percent) + _slack(len(s)) if len(s) else 0
-                    prefix.append(s[:size].view(np.int64))
-                    bits.append(bitmap(s) if len(s) else b"")
-                offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
+                    low.append(d1)
+                    high.append(d2)
+                    prefix.append(s[:_prefix_size(len(s), percent)])
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(t.first, t.count), pa.array(n, pa.int32()),
-                    pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefix))),
-                    pa.array(bits, pa.binary())], names=["id", "n", "d1", "d2", "prefix", "bits"])
+                    batch.column(0).slice(t.first, t.count), pa.array(n, pa.int32()), pa.array(low, pa.int64()),
+                    pa.array(high, pa.int64()), _list_array(prefix)], names=["id", "n", "d1", "d2", "prefix"])
     return run
 
 
@@ -121,15 +130,13 @@ def _full_sets(k: int):
                 found, rows = [], []
                 for i, s in enumerate(textbytes.shingle_sets(t, k), t.first):
                     if _digest(s) == (batch.column(2)[i].as_py(), batch.column(3)[i].as_py()):
-                        found.append(s.view(np.int64))
+                        found.append(s)
                         rows.append(i)
-                if not rows:
-                    continue
-                offsets = np.concatenate([[0], np.cumsum([len(s) for s in found])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(pa.array(rows)),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))],
-                    names=["c", "tokens"])
+                if rows:
+                    yield pa.RecordBatch.from_arrays([
+                        batch.column(0).take(pa.array(rows)), pa.array([len(s) for s in found], pa.int32()),
+                        pa.array([bitmap(s) for s in found], pa.binary()), _list_array(found)],
+                        names=["c", "n", "bits", "tokens"])
     return run
 
 
@@ -194,35 +201,36 @@ def _tile_pairs(percent: int):
 
 def classes(docs: DataFrame, k: int = 5, percent: int = 75, key: str = "doc_id", text: str = "text"
             ) -> tuple[DataFrame, DataFrame]:
-    """Step 1: (rows (id, n, d1, d2), classes (c, rep, d1, d2, n, prefix, bits)), both as tables."""
+    """Step 1: (rows (id, n, d1, d2), classes (c, rep, d1, d2, n, prefix)), both as tables."""
     read = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    rows = stages.table(read.mapInArrow(_sets(k, percent), _SETS), "shingles")
-    found = (rows.where("n > 0 and id is not null").groupBy("d1", "d2", "n")
-             .agg(F.min("id").alias("rep"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
-             .withColumn("c", F.monotonically_increasing_id()))
-    return rows, stages.table(found, "classes")
+    full = stages.table(read.mapInArrow(_prefixes(k, percent), _PREFIXES), "prefixes")
+    rows = stages.table(full.select("id", "n", "d1", "d2"), "rows")
+    found = stages.table(full.where("n > 0 and id is not null").groupBy("d1", "d2", "n")
+                         .agg(F.min("id").alias("rep"), F.first("prefix").alias("prefix"))
+                         .withColumn("c", F.monotonically_increasing_id()), "classes")
+    stages.discard(full)
+    return rows, found
+
+
+def _dropped(n, percent: int):
+    """Most frequent tokens that a class of n drops: c(ceil(t n)) - 1."""
+    return F.floor(F.ceil(n * percent / 100) / 16)
 
 
 def shared_tokens(found: DataFrame, percent: int = 75) -> DataFrame:
     """Step 2: (c, n, token) of every class, without tokens of one class and without its most frequent ones."""
     tokens = found.select("c", "n", F.explode("prefix").alias("token"))
     often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    drop = F.floor(F.ceil(F.col("n") * percent / 100) / 16)
     order = Window.partitionBy("c").orderBy(F.desc("df"), F.desc("token"))
     return (tokens.join(often, "token").withColumn("place", F.row_number().over(order))
-            .where(F.col("place") > drop).select("c", "n", "token"))
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    a = sets.select(F.col("c").alias("a"), F.col("tokens").alias("ta"))
-    b = sets.select(F.col("c").alias("b"), F.col("tokens").alias("tb"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(_exact(percent), "a long, b long")
+            .where(F.col("place") > _dropped(F.col("n"), percent)).select("c", "n", "token"))
 
 
 def _tiles(shared: DataFrame, percent: int) -> DataFrame:
-    """(c, n, token, tile): band b stands in the tiles b - 1 and b."""
+    """(c, n, band, token, tile): band b stands in the tiles b - 1 and b."""
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + 1e-12).cast("int")
-    return shared.withColumn("band", band).select("c", "n", "token", F.explode(F.array(F.col("band") - 1, "band")).alias("tile"))
+    return (shared.withColumn("band", band)
+            .select("c", "n", "band", "token", F.explode(F.array(F.col("band") - 1, "band")).alias("tile")))
 
 
 def _with_component(tiles: DataFrame, component: DataFrame | None) -> DataFrame:
@@ -240,45 +248,83 @@ def _open_tiles(members: DataFrame, salt: int) -> DataFrame:
             .where("lo < hi").select("token", "tile", "size", F.col("one.c").alias("a"), F.col("one.comp").alias("comp_a")))
 
 
-def _star_pairs(members: DataFrame, found: DataFrame, percent: int, salt: int) -> DataFrame:
+def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y, hits, a, b) that sizes and bitmaps allow."""
+    side = sets.select("c", "n", "bits")
+    met = pairs.join(side.toDF("a", "na", "ba"), "a").join(side.toDF("b", "nb", "bb"), "b")
+    return met.mapInArrow(_bound(percent), "x long, y long, hits long, a long, b long")
+
+
+def _star_pairs(members: DataFrame, sets: DataFrame, percent: int, salt: int) -> DataFrame:
     """Pairs of a tile's chosen member with its members of other components, one for each pair of components."""
     met = (members.join(_open_tiles(members, salt), ["token", "tile"]).where("comp <> comp_a")
            .groupBy(F.least("comp", "comp_a").alias("x"), F.greatest("comp", "comp_a").alias("y"), "a", F.col("c").alias("b"))
            .agg(F.count(F.lit(1)).alias("hits")))
-    side = found.select("c", "n", "bits")
-    met = (met.join(side.toDF("a", "na", "ba"), "a").join(side.toDF("b", "nb", "bb"), "b"))
-    passed = met.mapInArrow(_bound(percent), "x long, y long, hits long, a long, b long")
-    return passed.groupBy("x", "y").agg(F.max(F.struct("hits", "a", "b")).alias("p")).select("p.a", "p.b")
+    return (_bounded(met, sets, percent).groupBy("x", "y").agg(F.max(F.struct("hits", "a", "b")).alias("p"))
+            .select("p.a", "p.b"))
+
 
+def _small_tile_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y, hits, a, b) across components that meet in small tiles, if their common tokens leave enough overlap.
 
-def _block_pairs(members: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Every pair across components of one tile that sizes and bitmaps allow; tiles are cut into blocks."""
+    Common tokens of a pair are hits, dropped ones, tokens of large tiles, or
+    outside the prefix of the class whose prefix ends first.
+    """
+    size = F.col("n") - F.least(F.col("n"), F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 + F.floor(F.col("n") / 16))
+    large = (members.where(F.col("size") > SMALL_TILE).groupBy("c").agg(F.count_distinct("token").alias("large")))
+    m = (members.where(F.col("size") <= SMALL_TILE).join(large, "c", "left")
+         .select("token", "tile", "c", "comp", "n", "band", F.coalesce("large", F.lit(0)).alias("large"),
+                 size.alias("rest"), _dropped(F.col("n"), percent).alias("drop")))
+    z = m.select("token", "tile", *[F.col(c).alias(f"{c}_z") for c in m.columns[2:]])
+    need = F.ceil((F.col("n") + F.col("n_z")) * percent / (100 + percent))
+    pairs = (m.join(z, ["token", "tile"])
+             .where((F.col("c") < F.col("c_z")) & (F.col("comp") != F.col("comp_z")) & (F.least("n", "n_z") >= need)
+                    & (F.col("tile") == F.least("band", "band_z"))))
+    most = F.greatest("drop", "drop_z") + F.least("large", "large_z") + F.greatest("rest", "rest_z")
+    return (pairs.groupBy("c", "c_z").agg(
+                F.count(F.lit(1)).alias("hits"), F.first(most).alias("most"), F.first(need).alias("need"),
+                F.first(F.least("comp", "comp_z")).alias("x"), F.first(F.greatest("comp", "comp_z")).alias("y"))
+            .where("hits + most >= need").select("x", "y", "hits", F.col("c").alias("a"), F.col("c_z").alias("b")))
+
+
+def _large_tile_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) across components of large tiles that sizes and bitmaps allow; tiles are cut into blocks."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    m = (members.join(_open_tiles(members, 0).select("token", "tile", "size"), ["token", "tile"])
-         .withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
-         .join(found.select("c", "bits"), "c")
+    m = (members.where(F.col("size") > SMALL_TILE).withColumn("blocks", blocks)
+         .withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
+         .join(sets.select("c", "bits"), "c")
          .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
          .select("token", "tile", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
                  F.when(F.col("own") == F.col("other"), 1).when(F.col("own") < F.col("other"), 0).otherwise(2).alias("side"),
                  "c", "comp", "n", "bits"))
-    return m.groupBy("token", "tile", "p", "q").applyInArrow(_tile_pairs(percent), "a long, b long").distinct()
+    return m.groupBy("token", "tile", "p", "q").applyInArrow(_tile_pairs(percent), "a long, b long")
+
+
+def _cross_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Every pair across components with a common tile that may link."""
+    opened = stages.table(members.join(_open_tiles(members, 0).select("token", "tile", "size"), ["token", "tile"]), "open")
+    small = _bounded(_small_tile_pairs(opened, percent), sets, percent).select("a", "b")
+    return small.unionByName(_large_tile_pairs(opened, sets, percent)).distinct()
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    a = sets.select(F.col("c").alias("a"), F.col("tokens").alias("ta"))
+    b = sets.select(F.col("c").alias("b"), F.col("tokens").alias("tb"))
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(_exact(percent), "a long, b long")
 
 
 def class_links(docs: DataFrame, found: DataFrame, k: int = 5, percent: int = 75,
                 key: str = "doc_id", text: str = "text", star_rounds: int = 2) -> DataFrame:
     """Steps 2 to 4: (node, component) of the classes that link with another one."""
     shared = stages.table(shared_tokens(found, percent), "tokens")
-    nodes = shared.select("c").distinct()
-    reps = found.join(nodes, "c", "left_semi").select("c", F.col("rep").alias("id"), "d1", "d2")
+    reps = found.join(shared.select("c").distinct(), "c", "left_semi").select("c", F.col("rep").alias("id"), "d1", "d2")
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    sets = stages.table(reps.join(texts, "id").select("c", "text", "d1", "d2")
-                        .mapInArrow(_full_sets(k), "c long, tokens array<long>"), "sets")
-    tiles = stages.table(_tiles(shared, percent), "tiles")
+    sets = stages.table(reps.join(texts, "id").select("c", "text", "d1", "d2").mapInArrow(_full_sets(k), _SETS), "sets")
+    tiles = _tiles(shared, percent)
     links = component = None
     for step in range(star_rounds + 1):
         members = _with_component(tiles, component)
-        pairs = (_star_pairs(members, found, percent, step) if step < star_rounds
-                 else _block_pairs(members, found, percent))
+        pairs = _star_pairs(members, sets, percent, step) if step < star_rounds else _cross_pairs(members, sets, percent)
         new = stages.table(_verified(pairs, sets, percent), "links")
         if step and new.isEmpty():
             continue
