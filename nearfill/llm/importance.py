@@ -18,7 +18,8 @@ the cut.  The models have a fixed number of buckets.
 Defined results: a null or empty text has mean log ratio 0 and competes with it;
 a null id draws the noise of the null value; rows with equal keys at the cut all
 stay, so repeated rows are kept or rejected together; without labels of both
-kinds ValueError is raised; an empty table of documents gives an empty table.
+kinds every weight is 1 and every document is kept; an empty table of documents
+gives an empty table.
 """
 from __future__ import annotations
 
@@ -134,14 +135,16 @@ def _weighed(docs: DataFrame, model: Model, seed: int, key: str, text: str) -> D
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text",
-        target_rows: int = TARGET_ROWS, calibration_rows: int = CALIBRATION_ROWS) -> Model:
-    """Count both models and temper their ratio on labelled rows."""
-    rows = quality_rules.labelled_texts(docs, labels, label, calibration_rows, key, text, seed=12)
+        target_rows: int = TARGET_ROWS, calibration_rows: int = CALIBRATION_ROWS,
+        labelled: DataFrame | None = None) -> Model:
+    """Count both models and temper their ratio on labelled rows, which are ``labelled``'s (by default ``docs``')."""
+    labelled = docs if labelled is None else labelled
+    rows = quality_rules.labelled_texts(labelled, labels, label, calibration_rows, key, text, seed=12)
     y = np.array([r[0] for r in rows], dtype=np.float64)
     if len(set(y.tolist())) < 2:
-        raise ValueError("the quality classifier needs labelled rows of both kinds")
+        return Model(np.zeros(features.BUCKETS), 0.0, 0.0, 0.0)
     share = labels.where(F.col(label).isin(0, 1)).agg(F.avg(label)).first()[0]
-    target = gram_counts(target_docs(docs, labels, label, target_rows, key), text)
+    target = gram_counts(target_docs(labelled, labels, label, target_rows, key), text)
     ratio = log_ratio(target, gram_counts(docs, text))
     texts = pa.array([r[1] for r in rows], pa.large_string())
     mean = np.concatenate([_mean_ratio(t, ratio) for t in textbytes.slices(texts)])

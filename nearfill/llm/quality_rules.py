@@ -9,8 +9,8 @@ fifth of them, and all documents are scored in Arrow batches, whole texts.
 
 Defined results: a null or empty text has no words, zero counts and fails the
 base rule; a text's counts depend on that text alone, so repeated rows get equal
-results; without labels of both kinds the model can't be fitted and ValueError is
-raised; an empty table of documents gives an empty table.
+results; without labels of both kinds the model gives every text probability 0.5,
+which keeps it; an empty table of documents gives an empty table.
 """
 from __future__ import annotations
 
@@ -67,14 +67,14 @@ def fit(rows: list[tuple[int, str]], steps: int = 200, rate: float = 0.5, decay:
     """Train on (label, text) rows: full-batch Adagrad, classes weighted equally; a fifth of the rows calibrates."""
     y = np.array([r[0] for r in rows], dtype=np.float64)
     if len(set(y.tolist())) < 2:
-        raise ValueError("the quality model needs labelled rows of both kinds")
+        return Model(np.zeros(features.BUCKETS), 0.0)
     at, value, owner = [], [], []
     for i, (_, text) in enumerate(rows):
         bucket, n, n_word, n_char = features.one_text(text)
         at.append(bucket)
         value.append(n / np.where(bucket < features.WORD_BUCKETS, max(n_word, 1), max(n_char, 1)))
         owner.append(np.full(len(bucket), i))
-    at, value, owner = np.concatenate(at), np.concatenate(value), np.concatenate(owner)
+    at, value, owner = np.concatenate(at), np.concatenate(value), np.concatenate(owner).astype(np.int64)
     held = np.random.default_rng(seed).random(len(y)) < 0.2
     if len(set(y[~held].tolist())) < 2 or len(set(y[held].tolist())) < 2:
         held[:] = False
