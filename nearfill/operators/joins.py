@@ -1,12 +1,11 @@
 """Lookup joins against small parameter tables.
 
 Parameter tables (per class, per cluster, per group) go through
-``small_table``: a bounded fetch (at most ``SMALL_TABLE_MAX_ROWS`` rows) is
-the size check, after which the table is a local leaf with a broadcast hint,
-so lookups never shuffle the large side.  A table above the bound is
-checkpointed instead and joined without a hint: adaptive query execution
-then measures it at run time and broadcasts only below
-``spark.sql.autoBroadcastJoinThreshold``, otherwise keeping a shuffle join.
+``small_table``: a bounded fetch checks both rows and bytes, after which the
+table is a local leaf with a broadcast hint, so that lookups never shuffle the
+large side.  A table beyond either bound is checkpointed instead and joined
+without a hint: adaptive execution then measures it at run time.  Either way
+the join gives the same rows.
 """
 from __future__ import annotations
 
@@ -15,29 +14,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 
-def lookup_join(df: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "left",
-                force_broadcast: bool = False) -> DataFrame:
+
+def lookup_join(df: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "left") -> DataFrame:
     """Join ``df`` with a small parameter table (see module notes)."""
-    return df.join(F.broadcast(small) if force_broadcast else small, on=on, how=how)
+    return df.join(small, on=on, how=how)
 
 
-# Parameter tables with at most this many rows become local relations.
+# A parameter table becomes a local relation up to these bounds.
 SMALL_TABLE_MAX_ROWS = 100_000
+SMALL_TABLE_MAX_BYTES = 32 << 20
 
 
 def small_table(df: DataFrame, max_rows: int = SMALL_TABLE_MAX_ROWS) -> DataFrame:
     """Materialise a small parameter table as a leaf of later plans.
 
     Medians, scalers and cell summaries are joined back onto the data they
-    were computed from; keeping them as lazy sub-plans would copy the whole
-    input plan into every consumer (plans then grow multiplicatively through
-    fit → transform → profile).  At most ``max_rows`` rows are fetched; a
-    larger table is written to the reliable checkpoint folder instead.
+    were computed from; as lazy sub-plans they would copy the whole input plan
+    into every consumer.  ``max_rows`` bounds what is fetched to look at: give
+    a lower one for rows that hold long arrays.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        # the row bound is the size check: joins against it are broadcast
-        # (static plan, so the large side is never shuffled for a lookup)
-        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    spark = df.sparkSession
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows <= max_rows and rows.nbytes <= SMALL_TABLE_MAX_BYTES:
+        return F.broadcast(spark.createDataFrame(rows, df.schema))
+    ensure_checkpoint_dir(spark)
     return df.checkpoint(eager=True)

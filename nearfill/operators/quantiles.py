@@ -1,22 +1,21 @@
 """Exact grouped medians that stay distributed for hot groups.
 
 ``F.median`` keeps every distinct value of a group in one aggregation
-buffer, which breaks when one class holds a third of a 100 TB table.  The
-ranked form used here needs one task per group only for a thin bracket of
-values around the middle:
-
-1. one aggregate per (group, column): count ``n`` and an approximate bracket
-   ``[q(0.5-d), q(0.5+d)]`` from ``percentile_approx`` (bounded sketch, partial
-   aggregation);
-2. one aggregate keyed by (group, column, position, value-if-inside): rows
-   below the bracket collapse to one count, rows inside to distinct values;
-3. a running sum over that (small) result gives exact ranks; the values at
+buffer, which breaks when one class holds a third of a 100 TB table.  Here
+the data is scanned twice, for all columns at once, and only partial
+aggregates are shuffled:
+
+1. one aggregate per group: for each column the count ``n`` and a bracket
+   ``[q(0.5-d), q(0.5+d)]`` from ``percentile_approx`` (bounded sketch);
+2. the brackets, one row per group and so a small table, go to the rows; rows
+   below a bracket collapse to one count, rows inside it to distinct values
+   (pre-aggregated per task);
+3. a running sum over that thin result gives exact ranks; the values at
    ranks ``(n+1) div 2`` and ``n div 2 + 1`` are averaged, as pandas and
    DuckDB do.
 
-Groups whose middle ranks fall outside the bracket (the sketch guarantee
-failed) are recomputed with the built-in exact median; the check is one
-small job over the already materialised result.
+A bracket that misses a middle rank (the sketch guarantee failed) sends its
+group to the built-in exact median; rows with a NULL group belong to no group.
 """
 from __future__ import annotations
 
@@ -53,17 +52,28 @@ def grouped_median(df: DataFrame, keys: Sequence[str], cols: Sequence[str], *,
     if method != "ranked":
         raise ValueError(f"unknown median method {method!r}")
 
+    values = [_value(c) for c in cols]
     delta = 3.0 / accuracy
-    stats = long.groupBy(*gk).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("value", [max(0.0, 0.5 - delta), min(1.0, 0.5 + delta)], accuracy).alias("_b"),
-    ).select(*gk, "_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"))
-
-    pos = (F.when(F.col("value") < F.col("_lo"), F.lit(0))
-           .when(F.col("value") <= F.col("_hi"), F.lit(1)).otherwise(F.lit(2)))
-    cells = (long.join(stats, gk)
-             .withColumn("_pos", pos)
-             .withColumn("_v", F.when(F.col("_pos") == 1, F.col("value")))
+    grid = [max(0.0, 0.5 - delta), min(1.0, 0.5 + delta)]
+    aggs = [F.count(v).alias(f"_n{i}") for i, v in enumerate(values)]
+    aggs += [F.percentile_approx(v, grid, accuracy).alias(f"_b{i}") for i, v in enumerate(values)]
+    keyed = df.where(" and ".join(f"`{k}` is not null" for k in keys)) if keys else df
+    if keys:
+        cells = keyed.join(small_table(keyed.groupBy(*keys).agg(*aggs)), keys)
+        bracket = lambda i: (F.col(f"_n{i}"), F.col(f"_b{i}")[0], F.col(f"_b{i}")[1])
+    else:
+        one = keyed.agg(*aggs).first()
+        cells = keyed
+        bracket = lambda i: (F.lit(one[f"_n{i}"]), *(F.lit(v) for v in one[f"_b{i}"] or (None, None)))
+
+    def cell(i: int, c: str):
+        n, lo, hi = (x.cast(t) for x, t in zip(bracket(i), ("long", "double", "double")))
+        pos = F.when(values[i] < lo, 0).when(values[i] <= hi, 1).otherwise(2)
+        return F.struct(F.lit(c).alias("column"), n.alias("_n"), F.when(values[i].isNotNull(), pos).alias("_pos"),
+                        F.when(values[i].between(lo, hi), values[i]).alias("_v"))
+
+    cells = (cells.select(*keys, F.inline(F.array(*[cell(i, c) for i, c in enumerate(cols)])))
+             .where(F.col("_pos").isNotNull())
              .groupBy(*gk, "_n", "_pos", "_v").agg(F.count(F.lit(1)).alias("_w")))
     w = Window.partitionBy(*gk).orderBy("_pos", "_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (cells.withColumn("_end", F.sum("_w").over(w))
@@ -77,8 +87,14 @@ def grouped_median(df: DataFrame, keys: Sequence[str], cols: Sequence[str], *,
                                   F.max(F.when(hit_hi, F.col("_v"))).alias("_vhi"))
     res = small_table(res.select(*gk, ((F.col("_vlo") + F.col("_vhi")) / 2.0).alias("median")))
     missing = res.where(F.col("median").isNull())
-    if not any(r["median"] is None for r in res.collect()):
+    if missing.isEmpty():
         return res
     redo = (long.join(missing.select(*gk), gk, "left_semi")
             .groupBy(*gk).agg(F.median("value").alias("median")))
     return small_table(res.where(F.col("median").isNotNull()).unionByName(redo))
+
+
+def _value(column: str):
+    """A column as double, NaN as NULL."""
+    x = F.col(column).cast("double")
+    return F.when(~F.isnan(x), x)

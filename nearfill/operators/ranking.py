@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import small_table
@@ -46,12 +46,26 @@ def prefix_count(df: DataFrame, parts: Sequence[str], value: str, ties: Sequence
     wcol = F.col(weight) if weight else F.lit(1)
     bounds = small_table(df.groupBy(*parts).agg(
         F.percentile_approx(value, grid, accuracy).alias("_bounds")) if parts else
-        df.agg(F.percentile_approx(value, grid, accuracy).alias("_bounds")))
-    b = df.join(bounds, parts) if parts else df.crossJoin(bounds)
-    b = b.withColumn("_bk", F.size(F.filter("_bounds", lambda t: t < F.col(value)))).drop("_bounds")
+        df.agg(F.percentile_approx(value, grid, accuracy).alias("_bounds")), max_rows=4_000_000 // buckets)
+    b = df.join(bounds, parts) if parts else df.join(bounds)  # without parts: one row
+    b = b.withColumn("_bk", _below(F.col("_bounds"), F.col(value), buckets)).drop("_bounds")
     tot = b.groupBy(*parts, "_bk").agg(F.sum(wcol).alias("_bw"))
     wo = Window.partitionBy(*parts).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offs = small_table(tot.withColumn("_off", F.coalesce(F.sum("_bw").over(wo), F.lit(0))).drop("_bw"))
     b = b.join(offs, parts + ["_bk"])
     wi = Window.partitionBy(*parts, "_bk").orderBy(value, *ties).rowsBetween(Window.unboundedPreceding, -1)
     return b.withColumn(out, F.col("_off") + F.coalesce(F.sum(wcol).over(wi), F.lit(0))).drop("_bk", "_off")
+
+
+def _below(bounds: Column, value: Column, buckets: int) -> Column:
+    """How many of the ascending ``bounds`` lie below ``value``, by binary search (as many steps as the buckets have bits)."""
+    steps = F.sequence(F.lit(1), F.lit(max(1, buckets.bit_length())))
+
+    def half(state: Column, _: Column) -> Column:
+        mid = F.floor((state["lo"] + state["hi"]) / 2).cast("int")
+        more = state["lo"] < state["hi"]
+        right = more & (F.get(bounds, mid) < value)
+        return F.struct(F.when(right, mid + 1).otherwise(state["lo"]).alias("lo"),
+                        F.when(more & ~right, mid).otherwise(state["hi"]).alias("hi"))
+
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi")), half, lambda s: s["lo"])
