@@ -1,19 +1,18 @@
 """Exact stratified split and folds by a seeded hash order (S-01, S-02).
 
-Rows of a class are ordered by ``md5(seed|key)`` (ties by key).  The rank of
-every row in that order is computed without a per-class window:
-
-1. histogram of the first 12 hash bits per class (4,096 buckets, partial
-   aggregation), kept as a small local table;
-2. running offsets over the buckets of each class (a small window);
-3. ``row_number`` inside (class, bucket) only — each bucket holds about
-   1/4,096 of its class, so even a class with a third of all rows is spread
-   over many tasks.
+Rows of a class are ordered by ``md5(seed|key)`` (ties by key).  A histogram
+of the first 12 hash bits per class (4,096 buckets, pre-aggregated, a small
+table) and its running sums place every bucket in that order.
 
 The split keeps the first ``quota`` rows of each class for training; the
 quotas follow the largest-remainder allocation with ties broken by class
-order.  Folds are ``(rank - 1) mod folds``, so per-class fold sizes differ by
-at most one.
+order.  Rows in buckets before or after the one that holds the quota need a
+comparison only; that one bucket, about 1/4,096 of its class, is ranked.
+
+Folds are ``(rank - 1) mod folds``, so per-class fold sizes differ by at most
+one; the rank of a row is its bucket's running sum plus a ``row_number`` inside
+(class, bucket), so that a class with a third of all rows is spread over many
+tasks.  Rows without a class are refused.
 """
 from __future__ import annotations
 
@@ -25,22 +24,26 @@ from pyspark.sql import functions as F
 
 from ..functions import hash_order
 from .joins import small_table
-from .validate import require_target
+from .validate import class_counts, require_target
 
 BUCKET_HEX = 3  # 12 bits of the hash select the bucket
 
 
-def hash_rank(df: DataFrame, target: str, keys: Sequence[str], seed: int = 42, rank_col: str = "_rank") -> DataFrame:
-    """1-based rank of each row within its class in ``(md5(seed|key), key)`` order."""
-    keys = list(keys)
-    h = df.withColumn("_h", hash_order(seed, keys)).withColumn(
+def _bucketed(df: DataFrame, target: str, keys: Sequence[str], seed: int) -> tuple[DataFrame, DataFrame]:
+    """``df`` with hash ``_h`` and bucket ``_b``, and the small table (class, bucket, rows, rows before it)."""
+    h = df.withColumn("_h", hash_order(seed, list(keys))).withColumn(
         "_b", F.conv(F.substring("_h", 1, BUCKET_HEX), 16, 10).cast("int"))
     hist = h.groupBy(target, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(target).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = small_table(hist.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt"))
-    ranked = h.join(offsets, [target, "_b"])
+    return h, small_table(hist.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))))
+
+
+def hash_rank(df: DataFrame, target: str, keys: Sequence[str], seed: int = 42, rank_col: str = "_rank") -> DataFrame:
+    """1-based rank of each row within its class in ``(md5(seed|key), key)`` order."""
+    h, offsets = _bucketed(df, target, keys, seed)
     wb = Window.partitionBy(target, "_b").orderBy("_h", *keys)
-    return ranked.withColumn(rank_col, F.col("_off") + F.row_number().over(wb)).drop("_h", "_b", "_off")
+    return (h.join(offsets.drop("_cnt"), [target, "_b"])
+            .withColumn(rank_col, F.col("_off") + F.row_number().over(wb)).select(*df.columns, rank_col))
 
 
 def allocate(counts: dict, n_draws: int) -> dict:
@@ -60,13 +63,13 @@ def allocate(counts: dict, n_draws: int) -> dict:
 
 def split_quotas(df: DataFrame, target: str, test_size: float = 0.2) -> dict:
     """Per-class training quota (driver-side from per-class counts)."""
-    counts = {r[0]: r[1] for r in df.groupBy(target).count().collect() if r[0] is not None}
+    counts = class_counts(df, target)
     if not counts:
         return {}
     n = sum(counts.values())
     small = [c for c, k in counts.items() if k < 2]
     if small:
-        raise ValueError(f"The least populated class in y has only 1 member: {small}")
+        raise ValueError(f"classes with a single row cannot be split: {small}")
     n_test = math.ceil(test_size * n)
     n_train = n - n_test
     if n_train < len(counts) or n_test < len(counts):
@@ -86,14 +89,26 @@ def stratified_split(df: DataFrame, target: str, keys: Sequence[str], test_size:
     """S-01: adds ``split`` ∈ {train, test}; exact per-class quotas, seed-stable."""
     require_target(df, target)
     quotas = split_quotas(df, target, test_size)
-    ranked = hash_rank(df, target, keys, seed)
-    return ranked.withColumn(split_col, F.when(F.col("_rank") <= _quota_col(target, quotas), F.lit("train"))
-                             .otherwise(F.lit("test"))).drop("_rank")
+    if not quotas:
+        return df.withColumn(split_col, F.lit(None).cast("string"))
+    h, offsets = _bucketed(df, target, keys, seed)
+    last = offsets.withColumn("_quota", _quota_col(target, quotas))
+    last = small_table(last.where((F.col("_off") < F.col("_quota")) & (F.col("_quota") <= F.col("_off") + F.col("_cnt")))
+                       .select(target, F.col("_b").alias("_last"), (F.col("_quota") - F.col("_off")).alias("_left")))
+    placed = h.join(last, target, "left")
+    train, test = F.lit("train"), F.lit("test")
+    outside = placed.where(F.col("_last").isNull() | (F.col("_b") != F.col("_last"))).withColumn(
+        split_col, F.when(F.col("_b") < F.col("_last"), train).otherwise(test))
+    order = Window.partitionBy(target).orderBy("_h", *keys)  # the rows of one bucket of each class
+    inside = placed.where(F.col("_b") == F.col("_last")).withColumn(
+        split_col, F.when(F.row_number().over(order) <= F.col("_left"), train).otherwise(test))
+    return outside.unionByName(inside).select(*df.columns, split_col)
 
 
 def stratified_folds(df: DataFrame, target: str, keys: Sequence[str], folds: int = 5, seed: int = 42,
                      fold_col: str = "fold") -> DataFrame:
     """S-02: adds ``fold`` in 0..folds-1, per-class sizes differing by at most one."""
     require_target(df, target)
+    class_counts(df, target)
     ranked = hash_rank(df, target, keys, seed)
     return ranked.withColumn(fold_col, ((F.col("_rank") - 1) % folds).cast("int")).drop("_rank")

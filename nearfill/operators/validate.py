@@ -15,7 +15,7 @@ from pyspark.sql.types import NumericType
 def require_target(df: DataFrame, target: str) -> None:
     """PF-01: the target column must exist."""
     if target not in df.columns:
-        raise ValueError(f"Target column '{target}' not found in dataset. Available columns: {list(df.columns)}")
+        raise ValueError(f"no column {target!r} to use as target; the table has {', '.join(df.columns)}")
 
 
 def feature_columns(df: DataFrame, target: str | None, exclude: Sequence[str] = ()) -> list[str]:
@@ -34,12 +34,29 @@ def present_columns(df: DataFrame, wanted: Sequence[str]) -> list[str]:
     return [c for c in wanted if c in have]
 
 
+#: A target with more distinct values than this is no class column.
+MAX_CLASSES = 1000
+
+
 def class_values(df: DataFrame, target: str) -> list:
-    """PF-07: distinct target values, ascending (a handful of scalars)."""
-    rows = df.select(target).where(F.col(target).isNotNull()).distinct().orderBy(target).collect()
+    """PF-07: distinct target values, ascending; more than ``MAX_CLASSES`` are refused."""
+    rows = df.select(target).where(F.col(target).isNotNull()).distinct().orderBy(target).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{target!r} has more than {MAX_CLASSES} distinct values: not a class column")
     return [r[0] for r in rows]
 
 
+def class_counts(df: DataFrame, target: str) -> dict:
+    """Rows per class; rows without a class and more than ``MAX_CLASSES`` classes are refused."""
+    rows = df.groupBy(target).count().limit(MAX_CLASSES + 2).collect()
+    counts = {r[0]: r[1] for r in rows}
+    if counts.pop(None, 0):
+        raise ValueError(f"{[r[1] for r in rows if r[0] is None][0]} rows have no class in {target!r}")
+    if len(counts) > MAX_CLASSES:
+        raise ValueError(f"{target!r} has more than {MAX_CLASSES} distinct values: not a class column")
+    return counts
+
+
 def widen(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """PF-08: impute columns become double (values may turn fractional)."""
     return df.withColumns({c: F.col(c).cast("double") for c in cols}) if cols else df
