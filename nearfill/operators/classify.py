@@ -5,13 +5,15 @@ training set, as the reference does), optionally keeps the top features by
 mutual information, and — when ``n_neighbors`` is None — chooses k by
 stratified cross-validated F1 with a *uniform* vote.  The whole k search is a
 single neighbour join: each training row looks for its ``max(k_range)``
-nearest rows among the other folds (references are replicated into the
-groups of the folds they do not belong to), then running label counts give
-the vote for every k at once.
+nearest rows of a different fold, then running label counts give the vote for
+every k at once.  A k that some row cannot be given (too few rows in the other
+folds) is left out of the scores.
 
 Prediction is one neighbour join of the scaled rows against the scaled
 training rows, with an inverse-distance vote; predictions, probabilities and
-metrics all come from that one result.
+metrics all come from that one result.  Every input row comes back: one with a
+NULL or NaN feature has no prediction, and ``evaluate`` refuses such a set.
+Training rows must have all their features.
 """
 from __future__ import annotations
 
@@ -54,15 +56,15 @@ def cv_k_scores(scaled: DataFrame, target: str, key: str, features: Sequence[str
                 metric: str = "euclidean", p: float = 2.0, positive=1) -> DataFrame:
     """KC-02: mean over folds of the F1 of a uniform k-vote → (k, f1)."""
     ks = sorted(int(k) for k in k_range)
-    folded = stratified_folds(scaled, target, [key], folds, seed).cache()
-    all_folds = F.array(*[F.lit(f) for f in range(folds)])
-    refs = folded.withColumn("_grp", F.explode(F.array_remove(all_folds, F.col("fold"))))
-    qry = folded.withColumn("_grp", F.col("fold"))
-    nb = knn_join(qry, refs, max(ks), features, query_id=key, ref_id=key, metric=metric, p=p,
-                  group=["_grp"], query_carry=[target], ref_carry=[target])
-    votes = uniform_votes(nb, key, f"nb_{target}", classes, ks, carry=["_grp", target])
-    per_fold = M.grouped_f1(votes, ["k", "_grp"], target, "prediction", positive)
-    return per_fold.groupBy("k").agg(F.avg("f1").alias("f1")).select(F.col("k").cast("int").alias("k"), "f1")
+    folded = stratified_folds(scaled, target, [key], folds, seed).persist()
+    n_rows = folded.count()
+    nb = knn_join(folded, folded, max(ks), features, query_id=key, ref_id=key, metric=metric, p=p,
+                  exclude_same="fold", query_carry=[target, "fold"], ref_carry=[target])
+    folded.unpersist()
+    votes = uniform_votes(nb, key, f"nb_{target}", classes, ks, carry=["fold", target])
+    per_fold = M.grouped_f1(votes, ["k", "fold"], target, "prediction", positive)
+    per_k = per_fold.groupBy("k").agg(F.avg("f1").alias("f1"), F.sum("n").alias("n")).where(F.col("n") == n_rows)
+    return per_k.select(F.col("k").cast("int").alias("k"), "f1")
 
 
 def choose_k(k_scores: DataFrame, default: int = 5) -> tuple[int, dict]:
@@ -87,6 +89,9 @@ def fit(train: DataFrame, target: str, key: str, *, features: Sequence[str] | No
     require_target(train, target)
     feats = list(features) if features is not None else feature_columns(train, target, exclude=[key])
     classes = class_values(train, target)
+    lacking = train.where(_unusable(feats)).count()
+    if lacking:
+        raise ValueError(f"{lacking} training rows have a NULL or NaN feature")
     scaler = fit_scaler(train, feats)
     scaled = apply_scaler(train, feats, scaler).select(key, target, *feats).cache()
     selected, fscores = feats, None
@@ -104,13 +109,21 @@ def fit(train: DataFrame, target: str, key: str, *, features: Sequence[str] | No
                               scaler, scaled, k_scores, fscores, score_map)
 
 
+def _unusable(feats: Sequence[str]):
+    """Whether a row lacks a feature (NULL or NaN)."""
+    return F.greatest(*[F.coalesce(F.isnan(F.col(f).cast("double")), F.lit(False)) | F.col(f).isNull()
+                        for f in [*feats, feats[0]]])
+
+
 def predict(model: KNNClassifierModel, df: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """KC-06/07: ``key, *carry, prediction, proba_<i>`` for every row of ``df``."""
+    """KC-06/07: ``key, *carry, prediction, proba_<i>`` for every row of ``df``; NULLs where a feature is missing."""
     scaled = apply_scaler(df, model.features, model.scaler, suffix="__z")
     nb = knn_join(scaled, model.train, model.k, [f + "__z" for f in model.selected], query_id=model.key,
                   ref_id=model.key, ref_features=model.selected, metric=model.metric, p=model.p,
                   query_carry=list(carry), ref_carry=[model.target])
-    return weighted_vote(nb, model.key, f"nb_{model.target}", model.classes, carry=list(carry))
+    votes = weighted_vote(nb, model.key, f"nb_{model.target}", model.classes, carry=list(carry))
+    nothing = [F.lit(None).cast(votes.schema[c].dataType).alias(c) for c in votes.columns[1 + len(carry):]]
+    return votes.unionByName(df.where(_unusable(model.selected)).select(model.key, *carry, *nothing))
 
 
 def positive_index(model: KNNClassifierModel, positive=1) -> int:
@@ -127,20 +140,43 @@ def prediction_table(model: KNNClassifierModel, df: DataFrame, positive=1) -> Da
 
 
 def evaluate(model: KNNClassifierModel, df: DataFrame, positive=1, predictions: DataFrame | None = None) -> DataFrame:
-    """AG-11/12 on ``df`` → one row with the metrics, ``n_neighbors`` and ``auto_k``."""
-    preds = predictions if predictions is not None else predict(model, df, carry=[model.target])
+    """AG-11/12 on ``df`` → one row with the metrics, ``n_neighbors`` and ``auto_k``.
+
+    A set with rows that could not be scored, or have no label, is refused.
+    """
+    preds = (predictions if predictions is not None else predict(model, df, carry=[model.target])).persist()
     pred_col = "Prediction" if "Prediction" in preds.columns else "prediction"
+    unscored = preds.where(F.col(pred_col).isNull() | F.col(model.target).isNull()).count()
+    if unscored:
+        raise ValueError(f"{unscored} rows have no prediction or no label")
     m = M.classification_metrics(preds, model.target, pred_col, positive)
     return m.withColumns({"n_neighbors": F.lit(model.k).cast("int"), "auto_k": F.lit(model.auto_k)})
 
 
+def fit_evaluate_write(train: DataFrame, test: DataFrame, target: str, key: str, output: str | None = None,
+                       fmt: str = "csv", positive=1, **settings) -> tuple[KNNClassifierModel, DataFrame, DataFrame]:
+    """KC-08 as one job: fit with the given settings, score ``test``, write the prediction table.
+
+    Returns (model, predictions, metrics).
+    """
+    from ..sources import write_table
+    model = fit(train, target, key, positive=positive, **settings)
+    predictions = prediction_table(model, test, positive).persist()
+    scores = evaluate(model, test, positive, predictions)
+    if output:
+        write_table(predictions, output, fmt)
+    return model, predictions, scores
+
+
 def summary(model: KNNClassifierModel) -> DataFrame:
-    """AG-13: one row — k, auto flag, metric, features, k → F1 map, F1 of the chosen k."""
+    """AG-13: one row -- k, auto flag, metric, features, k → F1 map, F1 of the chosen k, feature importances
+    (mutual information; empty if no features were selected)."""
     spark = model.train.sparkSession
     best = model.k_score_map.get(model.k, 0.0) if model.k_score_map else 0.0
+    scores = {} if model.feature_scores is None else {r["feature"]: float(r["score"]) for r in model.feature_scores.collect()}
     row = [(model.k, model.auto_k, model.metric, list(model.features), list(model.selected), len(model.selected),
-            {int(k): float(v) for k, v in model.k_score_map.items()}, float(best))]
+            {int(k): float(v) for k, v in model.k_score_map.items()}, float(best), scores)]
     schema = ("n_neighbors int, auto_k boolean, metric string, feature_columns array<string>, "
               "selected_features array<string>, n_features_selected int, k_scores map<int,double>, "
-              "best_k_score double")
+              "best_k_score double, feature_importances map<string,double>")
     return spark.createDataFrame(row, schema)

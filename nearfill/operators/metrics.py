@@ -38,9 +38,9 @@ def classification_metrics(df: DataFrame, label: str, prediction: str, positive=
 
 
 def grouped_f1(df: DataFrame, keys: list[str], label: str, prediction: str, positive=1) -> DataFrame:
-    """F1 of the positive class per group (e.g. per (k, fold))."""
+    """F1 of the positive class per group (e.g. per (k, fold)), and its rows ``n``."""
     y = F.col(label) == F.lit(positive)
     p = F.col(prediction) == F.lit(positive)
     cm = df.groupBy(*keys).agg(F.count(F.when(~y & p, 1)).alias("fp"), F.count(F.when(y & ~p, 1)).alias("fn"),
-                               F.count(F.when(y & p, 1)).alias("tp"))
-    return cm.select(*keys, safe_div(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"))
+                               F.count(F.when(y & p, 1)).alias("tp"), F.count(F.lit(1)).alias("n"))
+    return cm.select(*keys, "n", safe_div(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"))

@@ -1,27 +1,30 @@
 """Exact top-k nearest-neighbour join and neighbour votes (NN-01..NN-04).
 
-The join never forms all query × reference pairs.  References are
-partitioned into Voronoi cells around ``P`` pivots (a seeded hash sample of
-the references; P grows with √n up to ``MAX_PIVOTS``), and the triangle
-inequality limits the cells each query visits:
+References are partitioned into Voronoi cells around ``P`` pivots (a seeded
+hash sample of the references; P grows with sqrt(n) up to ``MAX_PIVOTS``), and the
+triangle inequality limits the cells each query visits:
 
 1. every reference gets its nearest pivot (``cell``) and radius; per
    (group, cell) the count and min / max radius are kept (a small table);
-2. **home phase** — every query is joined with the references of its own
-   nearest pivot's cell; the top k there are real neighbours, so the k-th
-   distance ``theta`` bounds the final k-th distance (a query whose home cell
-   holds fewer than k references gets ``theta = inf``);
-3. **expansion phase** — the query visits only the other cells whose lower
+2. **home phase** -- every query meets the references of its own nearest
+   pivot's cell; the top k there are real neighbours, so the k-th distance
+   ``theta`` bounds the final k-th distance (a query whose home cell holds
+   fewer than k references gets ``theta = inf``);
+3. **expansion phase** -- the query visits only the other cells whose lower
    bound ``max(d(q,p_c) - rmax_c, (d(q,p_c) - d(q,p_home)) / 2,
    rmin_c - d(q,p_c), 0)`` does not exceed ``theta``;
 4. both phases' candidates are ranked per query by ``(distance, ref id)``.
 
-Hot cells are split into sub-blocks of at most ``block_rows`` references
-(salted by a hash of the reference id) so that no join task holds more than
-that many references of one cell; a query is replicated to every sub-block
-of a cell it visits, and AQE's skew handling splits a hot query side.
-Cosine distance is ranked through the Euclidean distance of unit vectors
-(a monotone function of it), so the same bounds apply.
+How much this prunes depends on the data: with a few features most cells are
+skipped, with many unrelated ones (tens of dimensions) hardly any, and the
+join then compares nearly all pairs of a group.  The result is exact either way.
+
+Inside a cell, blocks of at most ``block_rows`` references meet blocks of about
+``QUERY_BLOCK`` queries; a block pair is compared in numpy and only each query's k
+best leave it.  So neither a hot cell nor a cell that very many queries visit
+is one task.  Cosine distance is ranked through unit vectors, computed once.
+
+The result is checkpointed, after which the working tables are released.
 """
 from __future__ import annotations
 
@@ -30,19 +33,19 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from ..functions import distance
+from ..functions.columns import METRICS
+from ..session import ensure_checkpoint_dir
 from .joins import small_table
 
 MAX_PIVOTS = 1024
-# Above this many (centre × feature) terms, distances to fixed points are
-# computed in Arrow batches with numpy instead of one unrolled expression
-# (which would exceed the generated-method size limit).
-EXPR_TERMS_MAX = 256
-
+# Cell statistics (groups x pivots) stay below this many rows: more groups have fewer pivots.
+MAX_CELLS = 100_000
+QUERY_BLOCK = 4096
 
 def _pivot_count(n_refs: int) -> int:
     return max(1, min(MAX_PIVOTS, int(2 * math.sqrt(max(n_refs, 1)))))
@@ -111,141 +114,201 @@ def _candidates_udf(pivots: np.ndarray, metric: str, p: float, stats: dict, n_gr
             lb = np.maximum.reduce([dq - rmax[None, :], (dq - qmin) / 2.0, rmin[None, :] - dq, np.zeros_like(dq)])
             ok = (lb <= theta[idx, None]) & (n[None, :] > 0)
             ok[np.arange(len(idx)), home[idx]] = False
-            for row, i in enumerate(idx):
-                out[i] = np.nonzero(ok[row])[0].astype("int32").tolist()
+            row, cell = np.nonzero(ok)
+            for i, visited in zip(idx, np.split(cell.astype("int32"), np.searchsorted(row, np.arange(1, len(idx))))):
+                out[i] = visited
         return pd.Series(out)
 
     return _cands.asNondeterministic()
 
 
+def _distances(q: np.ndarray, r: np.ndarray, metric: str, p: float) -> np.ndarray:
+    """Distances queries x references, features added up in order."""
+    out = np.zeros((len(q), len(r)))
+    for j in range(q.shape[1]):
+        if metric == "cosine":  # of unit vectors
+            out += q[:, j, None] * r[None, :, j]
+            continue
+        diff = np.abs(q[:, j, None] - r[None, :, j])
+        if metric == "euclidean":
+            out += diff * diff
+        elif metric == "manhattan":
+            out += diff
+        elif metric == "chebyshev":
+            np.maximum(out, diff, out=out)
+        else:
+            out += np.power(diff, p)
+    if metric == "euclidean":
+        return np.sqrt(out)
+    if metric == "cosine":
+        return 1.0 - out
+    return np.power(out, 1.0 / p) if metric == "minkowski" else out
+
+
+def _block_top(k: int, metric: str, p: float, qs: list[str], rs: list[str], keep: list[str], nb: list[str],
+               exclude_self: bool, exclude_same: str | None):
+    """The k best references of a block for each query of a block."""
+    def run(key: tuple[pa.Scalar, ...], queries: pa.Table, refs: pa.Table) -> pa.Table:
+        rows, found, dist = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        if queries.num_rows and refs.num_rows:
+            q = np.stack([np.asarray(queries[c], dtype=float) for c in qs], axis=1)
+            r = np.stack([np.asarray(refs[c], dtype=float) for c in rs], axis=1)
+            rid = refs["_rid"].to_pylist()
+            order = np.empty(len(rid), np.int64)
+            order[np.array(sorted(range(len(rid)), key=rid.__getitem__), dtype=np.int64)] = np.arange(len(rid))
+            qid = np.asarray(queries["_qid"])
+            same_id = np.asarray(refs["_rid"]) if exclude_self else None
+            mine, theirs = (np.asarray(t["_same"]) for t in (queries, refs)) if exclude_same else (None, None)
+            step = max(1, 2_000_000 // len(r))
+            for at in range(0, len(q), step):
+                d = _distances(q[at:at + step], r, metric, p)
+                if exclude_self:
+                    d[qid[at:at + step, None] == same_id[None, :]] = np.inf
+                if exclude_same:
+                    d[mine[at:at + step, None] == theirs[None, :]] = np.inf
+                least = np.partition(d, k - 1, axis=1)[:, k - 1] if len(r) > k else np.full(len(d), np.inf)
+                i, j = np.nonzero((d <= least[:, None]) & (d < np.inf))
+                by = np.lexsort((order[j], d[i, j], i))
+                i, j = i[by], j[by]
+                place = np.arange(len(i)) - np.searchsorted(i, i)
+                i, j = i[place < k], j[place < k]
+                rows.append(i + at)
+                found.append(j)
+                dist.append(d[i, j])
+        left, right = queries.take(np.concatenate(rows)), refs.take(np.concatenate(found))
+        cols = [left[c] for c in keep] + [right["_rid"], pa.array(np.concatenate(dist))] + [right[c] for c in nb]
+        return pa.table(cols, names=[*keep, "_rid", "distance", *nb])
+    return run
+
+
 def knn_join(queries: DataFrame, refs: DataFrame, k: int, features: Sequence[str], *,
              query_id: str, ref_id: str, metric: str = "euclidean", p: float = 2.0,
              group: Sequence[str] = (), ref_features: Sequence[str] | None = None,
-             exclude_self: bool = False, query_carry: Sequence[str] = (), ref_carry: Sequence[str] = (),
-             n_pivots: int | None = None, block_rows: int = 4096, seed: int = 42) -> DataFrame:
+             exclude_self: bool = False, exclude_same: str | None = None, query_carry: Sequence[str] = (),
+             ref_carry: Sequence[str] = (), n_pivots: int | None = None, block_rows: int = 4096,
+             seed: int = 42) -> DataFrame:
     """NN-01: the ``k`` nearest references of every query.
 
     Returns ``query_id, *group, *query_carry, neighbor_id, rank, distance,
     nb_<ref_carry>...``; ``rank`` is 1..k in ``(distance, neighbor_id)`` order.
     ``group`` columns must exist on both sides: neighbours come from the
     query's own group only.  ``exclude_self`` drops the reference whose id
-    equals the query id.  Query ids must be unique.  Rows with a NULL feature
-    take no part.  Queries with no reference in their group get no rows.
+    equals the query id; ``exclude_same`` names a column of both sides (a fold, say)
+    in which a neighbour must differ from the query.  Query ids must be unique.
+    Rows with a NULL feature take no part.  Queries with no reference in their
+    group get no rows.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
+    if metric not in METRICS:
+        raise ValueError(f"unknown metric {metric!r}; expected one of {METRICS}")
     feats = list(features)
     rfeats = list(ref_features or features)
     if len(rfeats) != len(feats):
         raise ValueError("query and reference feature lists differ in length")
-    d = len(feats)
-    prune_metric = "euclidean" if metric == "cosine" else metric
     if metric == "minkowski" and p < 1:
         raise ValueError("minkowski needs p >= 1")
+    spark = queries.sparkSession
+    ensure_checkpoint_dir(spark)
+    d = len(feats)
+    prune_metric = "euclidean" if metric == "cosine" else metric
     groups = list(group)
     gnames = [f"_g{i}" for i in range(len(groups))] or ["_g0"]
-    gq = [F.col(g).alias(n) for g, n in zip(groups, gnames)] or [F.lit(0).alias("_g0")]
-
-    qx = [f"_q{j}" for j in range(d)]
-    rx = [f"_r{j}" for j in range(d)]
+    qs, rs = [f"_q{j}" for j in range(d)], [f"_r{j}" for j in range(d)]
     bq = lambda c: "`" + c.replace("`", "``") + "`"
-    q = queries.selectExpr(f"{bq(query_id)} AS _qid",
-                           *([f"{bq(g)} AS {n}" for g, n in zip(groups, gnames)] or ["0 AS _g0"]),
-                           *[f"CAST({bq(f)} AS DOUBLE) AS {n}" for f, n in zip(feats, qx)],
-                           *[bq(c) for c in query_carry])
-    r = refs.selectExpr(f"{bq(ref_id)} AS _rid",
-                        *([f"{bq(g)} AS {n}" for g, n in zip(groups, gnames)] or ["0 AS _g0"]),
-                        *[f"CAST({bq(f)} AS DOUBLE) AS {n}" for f, n in zip(rfeats, rx)],
-                        *[f"{bq(c)} AS {bq('nb_' + c)}" for c in ref_carry])
-    valid = lambda cols: F.expr(" and ".join(f"({c} is not null and not isnan({c}))" for c in cols))
-    q = q.where(valid(qx))
-    r = r.where(valid(rx))
-    if metric == "cosine":
-        qs, rs = [f"_qs{j}" for j in range(d)], [f"_rs{j}" for j in range(d)]
-        qu, qn = _unit(qx)
-        ru, rn = _unit(rx)
-        q = q.withColumn("_norm", qn).select("*", *[e.alias(n) for e, n in zip(qu, qs)]).drop("_norm")
-        r = r.withColumn("_norm", rn).select("*", *[e.alias(n) for e, n in zip(ru, rs)]).drop("_norm")
-    else:
-        qs, rs = qx, rx
-
-    # 1. pivots: P references in seeded hash order (P is bounded by MAX_PIVOTS)
-    r = r.cache()
+    same = [f"{bq(exclude_same)} AS _same"] if exclude_same else []
+
+    def side(df: DataFrame, key: str, name: str, cols: list[str], out: list[str], carry: list[str]) -> DataFrame:
+        rows = df.selectExpr(f"{bq(key)} AS {name}", *([f"{bq(g)} AS {n}" for g, n in zip(groups, gnames)] or ["0 AS _g0"]),
+                             *same, *[f"CAST({bq(f)} AS DOUBLE) AS {n}" for f, n in zip(cols, out)], *carry)
+        rows = rows.where(F.expr(" and ".join(f"({c} is not null and not isnan({c}))" for c in out)))
+        if metric != "cosine":
+            return rows
+        unit, norm = _unit(out)
+        rows = rows.withColumn("_norm", norm)
+        return rows.select(*[c for c in rows.columns if c not in [*out, "_norm"]], *[e.alias(n) for e, n in zip(unit, out)])
+
+    nb = [f"nb_{c}" for c in ref_carry]
+    q = side(queries, query_id, "_qid", feats, qs, [bq(c) for c in query_carry])
+    r = side(refs, ref_id, "_rid", rfeats, rs, [f"{bq(c)} AS {bq(n)}" for c, n in zip(ref_carry, nb)]).persist()
+    held = [r]
+
+    # 1. pivots: P references in seeded hash order
     n_refs = r.count()
     if n_refs == 0:
         r.unpersist()
-        return _empty_result(queries.sparkSession, q, r, query_id, groups, gnames, query_carry, ref_carry)
-    P = n_pivots or _pivot_count(n_refs)
-    piv_rows = r.orderBy(F.xxhash64("_rid", F.lit(seed))).select(*rs).limit(P).collect()
-    pivots = [[float(v) for v in row] for row in piv_rows]
-    P = len(pivots)
-
-    piv = np.asarray(pivots, dtype=float)
+        return _empty_result(spark, q, r, query_id, groups, gnames, query_carry, ref_carry)
+    n_groups = r.select(*gnames).distinct().count() if groups else 1
+    P = min(n_pivots or _pivot_count(n_refs), max(1, MAX_CELLS // n_groups))
+    piv = np.asarray([[float(v) for v in row] for row in
+                      r.orderBy(F.xxhash64("_rid", F.lit(seed))).select(*rs).limit(P).collect()], dtype=float)
+    P = len(piv)
     assign = _assign_udf(piv, prune_metric, p)
 
-    # 2. references: nearest pivot, radius, sub-block; cell summaries (groups × P rows)
-    r2 = (r.withColumn("_a", assign(F.struct(*[F.col(c) for c in rs])))
-          .withColumn("_cell", F.col("_a.cell")).withColumn("_rad", F.col("_a.rad")).drop("_a"))
-    cells = small_table(
-        r2.groupBy(*gnames, "_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_rad").alias("rmax"),
-                                         F.min("_rad").alias("rmin"))
-        .withColumn("nsub", F.ceil(F.col("n") / F.lit(block_rows)).cast("int")))
+    # 2. references: nearest pivot, radius; cell summaries (at most MAX_CELLS rows)
+    r2 = r.withColumn("_a", assign(F.struct(*[F.col(c) for c in rs]))).select(
+        "*", F.col("_a.cell").alias("_cell"), F.col("_a.rad").alias("_rad")).drop("_a").persist()
+    held.append(r2)
+    cells = small_table(r2.groupBy(*gnames, "_cell").agg(
+        F.count(F.lit(1)).alias("n"), F.max("_rad").alias("rmax"), F.min("_rad").alias("rmin")))
     stats: dict = {}
     for row in cells.collect():
-        key = tuple(row[g] for g in gnames)
-        n, rmax, rmin = stats.setdefault(key, (np.zeros(P), np.zeros(P), np.zeros(P)))
+        n, rmax, rmin = stats.setdefault(tuple(row[g] for g in gnames), (np.zeros(P), np.zeros(P), np.zeros(P)))
         c = row["_cell"]
         n[c], rmax[c], rmin[c] = row["n"], row["rmax"], row["rmin"]
-    nsub = cells.select(*gnames, "_cell", "nsub")
-    rsub = (r2.drop(*[c for c in rs if c not in rx]).join(nsub, gnames + ["_cell"])
-            .withColumn("_sub", F.pmod(F.xxhash64("_rid", F.lit(seed + 1)), F.col("nsub")).cast("int"))
-            .drop("nsub", "_rad")).cache()
+    cells = cells.select(*gnames, "_cell", F.ceil(F.col("n") / F.lit(block_rows)).cast("int").alias("_rparts"))
 
     # 3. queries: home cell (nearest pivot)
-    q2 = q.withColumn("_home", assign(F.struct(*[F.col(c) for c in qs]))["cell"]).cache()
-    keep = ["_qid", *gnames, *qx, *query_carry]
-
-    def ranked(cands: DataFrame) -> DataFrame:
-        j = cands.join(rsub, gnames + ["_cell", "_sub"])
-        if exclude_self:
-            j = j.where(F.col("_qid") != F.col("_rid"))
-        j = j.withColumn("distance", distance(qx, rx, metric, p))
-        w = Window.partitionBy("_qid").orderBy("distance", "_rid")
-        return (j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-                .select(*keep, "_rid", "distance", *[f"nb_{c}" for c in ref_carry]))
-
-    def with_subs(df: DataFrame) -> DataFrame:
-        subs = F.sequence(F.lit(0), F.col("nsub") - 1)
-        return df.join(nsub, gnames + ["_cell"]).select(*keep, "_cell", F.explode(subs).alias("_sub"))
+    q2 = q.withColumn("_home", assign(F.struct(*[F.col(c) for c in qs]))["cell"]).persist()
+    held.append(q2)
+    keep = ["_qid", *gnames, *query_carry]
+    kinds = {f.name: f.dataType for f in [*q2.schema, *r2.schema]}
+    schema = StructType([StructField(c, kinds[c]) for c in [*keep, "_rid"]] + [StructField("distance", DoubleType())]
+                        + [StructField(c, kinds[c]) for c in nb])
+    top = _block_top(k, metric, p, qs, rs, keep, nb, exclude_self, exclude_same)
+
+    def met(visits: DataFrame) -> DataFrame:
+        """Block pairs of the visited cells; each query's k best of each."""
+        asked = visits.groupBy(*gnames, "_cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(QUERY_BLOCK)).cast("int").alias("_qparts"))
+        parts = small_table(cells.join(asked, [*gnames, "_cell"]))
+        on = [*gnames, "_cell"]
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        part = lambda key, n, s: F.pmod(F.xxhash64(key, F.lit(s)), F.col(n)).cast("int")
+        left = (visits.join(parts, on).withColumn("_qp", part("_qid", "_qparts", seed)).withColumn("_rp", every("_rparts"))
+                .drop("_qparts", "_rparts"))
+        right = (r2.join(parts.toDF(*on, "_rn", "_qn"), on).withColumn("_rp", part("_rid", "_rn", seed + 1))
+                 .withColumn("_qp", every("_qn")).drop("_qn", "_rn"))
+        by = [*on, "_qp", "_rp"]
+        return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(top, schema)
+
+    order = Window.partitionBy("_qid").orderBy("distance", "_rid")
+    first = lambda df: df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
     # 4. home phase: exact top k within the home cell
-    top1 = ranked(with_subs(q2.withColumn("_cell", F.col("_home")))).cache()
-    theta = top1.groupBy("_qid").agg(F.count(F.lit(1)).alias("_hn"), F.max("distance").alias("_hd"))
-
-    # 5. expansion phase: other cells whose lower bound is within theta.
-    # theta lives in the pruning space: for cosine that is the Euclidean
-    # distance of unit vectors, sqrt(2 * cosine distance) (small absolute slack
-    # for rounding near 0).
-    hd = F.sqrt(F.lit(2.0) * F.greatest(F.col("_hd"), F.lit(0.0)) + F.lit(1e-14)) if metric == "cosine" \
-        else F.col("_hd")
+    near = first(met(q2.withColumn("_cell", F.col("_home")))).drop("rank").persist()
+    held.append(near)
+    theta = near.groupBy("_qid").agg(F.count(F.lit(1)).alias("_hn"), F.max("distance").alias("_hd"))
+
+    # 5. expansion phase: other cells whose lower bound is within theta, which lives in the
+    # pruning space: for cosine the Euclidean distance of unit vectors, sqrt(2 * cosine distance)
+    # (small absolute slack for rounding near 0)
+    hd = F.sqrt(F.lit(2.0) * F.greatest(F.col("_hd"), F.lit(0.0)) + F.lit(1e-14)) if metric == "cosine" else F.col("_hd")
     qt = q2.join(theta, "_qid", "left").withColumn(
-        "_theta", F.when(F.col("_hn") >= k, hd * F.lit(1 + 1e-9) + F.lit(1e-12))
-        .otherwise(F.lit(float("inf"))))
+        "_theta", F.when(F.col("_hn") >= k, hd * F.lit(1 + 1e-9) + F.lit(1e-12)).otherwise(F.lit(float("inf"))))
     cands = _candidates_udf(piv, prune_metric, p, stats, len(gnames), d)
     arg = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(gnames)],
                    *[F.col(c).alias(f"f{j}") for j, c in enumerate(qs)],
                    F.col("_theta").alias("theta"), F.col("_home").alias("home"))
-    more = qt.select(*keep, F.explode(cands(arg)).alias("_cell"))
-    top2 = ranked(with_subs(more))
+    more = qt.select(*[c for c in q2.columns if c != "_home"], F.explode(cands(arg)).alias("_cell")).persist()
+    held.append(more)
 
     # 6. merge: top k of both phases per query
-    both = top1.unionByName(top2)
-    w = Window.partitionBy("_qid").orderBy("distance", "_rid")
-    top = both.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return top.select(F.col("_qid").alias(query_id),
-                      *[F.col(n).alias(g) for g, n in zip(groups, gnames)],
-                      *query_carry, F.col("_rid").alias("neighbor_id"), "rank", "distance",
-                      *[f"nb_{c}" for c in ref_carry])
+    best = first(near.unionByName(met(more)))
+    out = best.select(F.col("_qid").alias(query_id), *[F.col(n).alias(g) for g, n in zip(groups, gnames)],
+                      *query_carry, F.col("_rid").alias("neighbor_id"), "rank", "distance", *nb).checkpoint()
+    for df in held:
+        df.unpersist()
+    return out
 
 
 def _empty_result(spark, q, r, query_id, groups, gnames, query_carry, ref_carry):
