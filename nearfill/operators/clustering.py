@@ -1,37 +1,30 @@
-"""Clustering: nearest centre, silhouette and a batched k-means search (CL-01..CL-06).
-
-The reference fits 10 restarts for each candidate k (2..8) and each class,
-each restart a separate solver run.  Here one pass over the data serves every
-candidate model at once: each Lloyd iteration is a single ``mapInPandas`` over
-the cached, scaled rows that assigns every row to the nearest centre of each
-model of its class and emits per-(model, cluster) partial sums (count, sum of
-squared distances, feature sums, sum of squared norms); one ``groupBy``
-combines them.  Only those sums — models × k rows — reach the driver, which
-moves the centres.  Converged models drop out of later passes.
-
-Initial centres: k-means++ seeding over a pool of the first ``pool`` rows of
-each class in seeded hash order (a distributed per-class top-N), one seeding
-per restart.
-
-Silhouette is the squared-Euclidean form (the one MLlib's
-``ClusteringEvaluator`` computes in linear time): per-cluster count, feature
-sum and squared-norm sum give every row's mean squared distance to each
-cluster, so no pairwise distances are formed.  The reference's Euclidean
-silhouette is quadratic and is not built.
+"""Clustering: nearest centre, silhouette and the k-means search (CL-01..CL-06).
+
+The models are MLlib's ``KMeans`` (k-means|| seeding over all rows), one fit for
+each class, k and restart on that class's cached vector frame.  The fits are
+independent, so several are submitted at a time.  The best restart of a k is the
+one of lowest cost; the k of highest silhouette wins (first wins), as MLlib's
+``ClusteringEvaluator`` computes it (squared Euclidean, linear time).  The
+reference's Euclidean silhouette compares all pairs and is not built.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark import inheritable_thread_target
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType, DoubleType
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from ..functions.columns import distance_sql
-from .neighbors import EXPR_TERMS_MAX
+#: Fits submitted at a time.
+PARALLEL_FITS = 8
 
 
 # ----------------------------------------------------------------- CL-04
@@ -40,144 +33,45 @@ def assign_nearest(df: DataFrame, features: Sequence[str], centres: dict, group:
     """Add the id of the nearest centre (Euclidean) and optionally its distance.
 
     ``centres`` maps a group value (or None when ``group`` is None) to a k × d
-    list of centres; rows whose group has no centres get NULL.  Ties go to the
-    lowest cluster id.  Small models are one codegen'd array expression
-    (materialised once, then reduced); large ones (many centres × features)
-    are evaluated with numpy in Arrow batches.
+    list of centres; rows whose group has no centres, or with a NULL or NaN
+    feature, get NULL.  Ties go to the lowest cluster id.  Evaluated with numpy in
+    Arrow batches, whatever the number of centres.
     """
     feats = list(features)
-    terms = sum(len(c) for c in centres.values()) * len(feats)
-    if terms <= EXPR_TERMS_MAX:
-        def arr(cs):
-            return F.expr("array(" + ", ".join(distance_sql(feats, [float(v) for v in c]) for c in cs) + ")")
-        if group is None:
-            dists = arr(centres[None])
-        else:
-            dists = None
-            for g, cs in centres.items():
-                cond = F.col(group) == F.lit(g)
-                dists = F.when(cond, arr(cs)) if dists is None else dists.when(cond, arr(cs))
-        res = df.withColumn("_ncd", dists).withColumn("_ncm", F.array_min("_ncd"))
-        res = res.withColumn(out, (F.expr("array_position(_ncd, _ncm)") - 1).cast("int"))
-        res = res.withColumn(out, F.when(F.col("_ncm").isNotNull(), F.col(out)))
-        if dist_out:
-            res = res.withColumn(dist_out, F.col("_ncm"))
-        return res.drop("_ncd", "_ncm")
     mats = {g: np.asarray(c, dtype=float) for g, c in centres.items()}
     schema = StructType([StructField("cluster", IntegerType()), StructField("distance", DoubleType())])
 
-    @F.pandas_udf(schema)
-    def _nearest(x: pd.DataFrame) -> pd.DataFrame:
-        n = len(x)
-        cl = np.full(n, -1, dtype=np.int64)
-        dist = np.full(n, np.nan)
-        keys = x["_g"].to_numpy() if "_g" in x else None
+    def nearest(x: pd.DataFrame) -> pd.DataFrame:
         xs = x[[f"_f{j}" for j in range(len(feats))]].to_numpy(dtype=float)
-        for g, c in mats.items():
-            sel = np.array([k == g for k in keys], dtype=bool) if keys is not None else np.ones(n, dtype=bool)
-            sel &= ~np.isnan(xs).any(1)
-            if not sel.any():
+        usable = ~np.isnan(xs).any(1)
+        cluster, best = np.full(len(x), -1), np.full(len(x), np.nan)
+        for g, cs in mats.items():
+            rows = np.flatnonzero(usable & (x["_g"].to_numpy() == g) if group is not None else usable)
+            if not len(rows):
                 continue
-            d2 = ((xs[sel][:, None, :] - c[None, :, :]) ** 2).sum(-1)
-            lab = d2.argmin(1)
-            cl[sel] = lab
-            dist[sel] = np.sqrt(d2[np.arange(len(lab)), lab])
-        res = pd.DataFrame({"cluster": pd.array(np.where(cl < 0, None, cl), dtype="Int32"),
-                            "distance": np.where(cl < 0, np.nan, dist)})
-        return res
+            d2 = np.empty((len(rows), len(cs)))
+            for c, centre in enumerate(cs):
+                diff = xs[rows] - centre
+                d2[:, c] = (diff * diff).sum(1)
+            cluster[rows] = d2.argmin(1)
+            best[rows] = np.sqrt(d2.min(1))
+        return pd.DataFrame({"cluster": pd.Series(cluster, dtype="Int32").where(cluster >= 0),
+                             "distance": pd.Series(best, dtype="Float64").where(cluster >= 0)})
 
     cols = [F.col(f).cast("double").alias(f"_f{j}") for j, f in enumerate(feats)]
     if group is not None:
         cols = [F.col(group).alias("_g")] + cols
-    res = df.withColumn("_nc", _nearest.asNondeterministic()(F.struct(*cols)))
-    res = res.withColumn(out, F.col("_nc.cluster"))
+    run = F.pandas_udf(nearest, schema).asNondeterministic()  # evaluated once, never duplicated
+    res = df.withColumn("_nc", run(F.struct(*cols))).withColumn(out, F.col("_nc.cluster"))
     if dist_out:
         res = res.withColumn(dist_out, F.col("_nc.distance"))
     return res.drop("_nc")
 
 
-# ----------------------------------------------------------------- batched Lloyd passes
-def _sq_dists(x: np.ndarray, sq: np.ndarray, C: np.ndarray) -> np.ndarray:
-    """Squared Euclidean distances rows × centres via one matrix product."""
-    return np.maximum(sq[:, None] - 2.0 * (x @ C.T) + (C * C).sum(1)[None, :], 0.0)
-
-
-def _stats_pass(data: DataFrame, models: dict, d: int) -> dict:
-    """One pass: per (model, cluster) count, SSE, feature sums, squared-norm sum.
-
-    ``data`` has ``_cls`` (int) and ``_x0.._x{d-1}``; ``models`` maps model id
-    → (class index, k × d centres).
-    """
-    by_cls: dict[int, list] = {}
-    for m, (c, C) in models.items():
-        by_cls.setdefault(c, []).append((m, np.asarray(C, dtype=float)))
-    xcols = [f"_x{j}" for j in range(d)]
-
-    def run(it):
-        for pdf in it:
-            cls = pdf["_cls"].to_numpy()
-            xs = pdf[xcols].to_numpy(dtype=float)
-            rows = []
-            for c in np.unique(cls):
-                xc = xs[cls == c]
-                sq = (xc * xc).sum(1)
-                for m, C in by_cls.get(int(c), []):
-                    k = C.shape[0]
-                    d2 = _sq_dists(xc, sq, C)
-                    lab = d2.argmin(1)
-                    dmin = d2[np.arange(len(lab)), lab]
-                    cnt = np.bincount(lab, minlength=k)
-                    sse = np.bincount(lab, weights=dmin, minlength=k)
-                    sqs = np.bincount(lab, weights=sq, minlength=k)
-                    sums = np.stack([np.bincount(lab, weights=xc[:, j], minlength=k) for j in range(d)], axis=1)
-                    for j in range(k):
-                        rows.append((m, j, int(cnt[j]), float(sse[j]), float(sqs[j]), *sums[j].tolist()))
-            yield pd.DataFrame(rows, columns=["m", "cluster", "n", "sse", "sq", *xcols])
-
-    schema = "m int, cluster int, n long, sse double, sq double, " + ", ".join(f"{c} double" for c in xcols)
-    agg = data.select("_cls", *xcols).mapInPandas(run, schema).groupBy("m", "cluster").agg(
-        F.sum("n").alias("n"), F.sum("sse").alias("sse"), F.sum("sq").alias("sq"),
-        *[F.sum(c).alias(c) for c in xcols])
-    out: dict = {}
-    for r in agg.collect():
-        out.setdefault(r["m"], {})[r["cluster"]] = (r["n"], r["sse"], r["sq"], np.array([r[c] for c in xcols]))
-    return out
-
-
-def _silhouette_pass(data: DataFrame, models: dict, stats: dict, d: int) -> dict:
-    """Mean squared-Euclidean silhouette per model (one pass, all models)."""
-    prep = {}
-    for m, (c, C) in models.items():
-        k = len(C)
-        n = np.array([stats[m].get(j, (0, 0, 0, np.zeros(d)))[0] for j in range(k)], dtype=float)
-        psi = np.array([stats[m].get(j, (0, 0, 0, np.zeros(d)))[2] for j in range(k)], dtype=float)
-        Y = np.vstack([stats[m].get(j, (0, 0, 0, np.zeros(d)))[3] for j in range(k)])
-        prep.setdefault(c, []).append((m, np.asarray(C, dtype=float), n, psi, Y))
-    xcols = [f"_x{j}" for j in range(d)]
-
-    def run(it):
-        for pdf in it:
-            cls = pdf["_cls"].to_numpy()
-            xs = pdf[xcols].to_numpy(dtype=float)
-            rows = []
-            for c in np.unique(cls):
-                xc = xs[cls == c]
-                sq = (xc * xc).sum(1)
-                for m, C, n, psi, Y in prep.get(int(c), []):
-                    s = silhouette_values(xc, sq, C, n, psi, Y)
-                    rows.append((m, float(s.sum()), int(len(s))))
-            yield pd.DataFrame(rows, columns=["m", "s", "n"])
-
-    agg = data.select("_cls", *xcols).mapInPandas(run, "m int, s double, n long").groupBy("m").agg(
-        F.sum("s").alias("s"), F.sum("n").alias("n"))
-    return {r["m"]: (r["s"] / r["n"] if r["n"] else 0.0) for r in agg.collect()}
-
-
-def silhouette_values(xc, sq, C, n, psi, Y, labels=None) -> np.ndarray:
+# ----------------------------------------------------------------- CL-05
+def silhouette_values(xc, sq, n, psi, Y, labels) -> np.ndarray:
     """Per-row squared-Euclidean silhouette given cluster sums (n, psi, Y)."""
     k = len(n)
-    if labels is None:
-        labels = _sq_dists(xc, sq, np.asarray(C, dtype=float)).argmin(1)
     safe_n = np.where(n > 0, n, 1.0)
     dist = sq[:, None] + (psi / safe_n)[None, :] - 2.0 * (xc @ Y.T) / safe_n[None, :]
     dist = np.where((n > 0)[None, :], dist, np.inf)
@@ -216,7 +110,7 @@ def silhouette(df: DataFrame, features: Sequence[str], cluster: str) -> DataFram
         for pdf in it:
             xs = pdf[xcols].to_numpy(dtype=float)
             lab = np.array([index[c] for c in pdf["_c"]], dtype=int)
-            s = silhouette_values(xs, (xs * xs).sum(1), None, n, psi, Y, labels=lab)
+            s = silhouette_values(xs, (xs * xs).sum(1), n, psi, Y, lab)
             yield pd.DataFrame({"s": [float(s.sum())], "n": [len(s)]})
 
     part = data.where(F.col("_c").isNotNull()).mapInPandas(run, "s double, n long")
@@ -235,106 +129,76 @@ class ClusterSearch:
     scores: list         # rows (class, k, silhouette, inertia, n_iter)
 
 
-def _kmeanspp(pool: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    centres = [pool[rng.integers(len(pool))]]
-    d2 = ((pool - centres[0]) ** 2).sum(1)
-    for _ in range(1, k):
-        tot = d2.sum()
-        idx = rng.integers(len(pool)) if tot <= 0 else rng.choice(len(pool), p=d2 / tot)
-        centres.append(pool[idx])
-        d2 = np.minimum(d2, ((pool - pool[idx]) ** 2).sum(1))
-    return np.vstack(centres)
+@dataclass
+class _Fit:
+    centres: np.ndarray
+    inertia: float
+    n_iter: int
+    counts: list
+    model: object = None
 
 
-def kmeans_search(data: DataFrame, classes: list, d: int, k_choices: dict, *, n_init: int = 10,
-                  max_iter: int = 300, tol: float = 1e-4, seed: int = 42, pool: int = 256,
-                  key: str = "_key") -> ClusterSearch:
-    """Fit every (class, k, restart) model together and keep, per class, the
-    k of highest silhouette (first wins) with its lowest-inertia restart.
+def _one_cluster(rows: DataFrame) -> _Fit:
+    """The model of a single cluster, which MLlib does not fit."""
+    from pyspark.ml.stat import Summarizer
+    got = rows.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("features")).alias("s")).first()["s"]
+    n = int(got["count"])
+    return _Fit(np.array([got["mean"].toArray()]), float(got["variance"].toArray().sum() * (n - 1)), 0, [n])
 
-    ``data``: ``_cls`` (index into ``classes``), ``_x0..`` scaled features,
-    ``key``.  ``k_choices``: class index → candidate k list (one entry = fixed k).
-    """
-    xcols = [f"_x{j}" for j in range(d)]
-    data = data.select("_cls", key, *xcols)
-    # Small inputs go to few partitions: each pass is one Python task per partition.
-    n_rows = data.count()
-    parts = max(1, min(data.sparkSession.sparkContext.defaultParallelism, -(-n_rows // 20_000)))
-    if n_rows < 1_000_000:
-        data = data.repartition(parts)
-    data = data.cache()
-    w = Window.partitionBy("_cls").orderBy(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), key)
-    pool_rows = (data.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= pool)
-                 .select("_cls", *xcols).collect())
-    pools: dict[int, list] = {}
-    for r in pool_rows:
-        pools.setdefault(r["_cls"], []).append([r[x] for x in xcols])
-    var = data.groupBy("_cls").agg(*[F.var_pop(x).alias(x) for x in xcols]).collect()
-    tol_abs = {r["_cls"]: tol * float(np.mean([r[x] or 0.0 for x in xcols])) for r in var}
 
-    models, meta, m = {}, {}, 0
-    for c, ks in k_choices.items():
-        P = np.asarray(pools.get(c, []), dtype=float)
-        if len(P) == 0:
-            continue
-        for k in ks:
-            k_eff = max(1, min(k, len(P)))
-            for i in range(n_init):
-                rng = np.random.default_rng(seed + 1000 * i + k)
-                models[m] = (c, _kmeanspp(P, k_eff, rng))
-                meta[m] = {"cls": c, "k": k, "init": i, "iter": 0}
-                m += 1
-    active = dict(models)
-    for it in range(max_iter):
-        if not active:
-            break
-        st = _stats_pass(data, active, d)
-        nxt = {}
-        for mid, (c, C) in active.items():
-            C = np.asarray(C)
-            new = C.copy()
-            for j in range(len(C)):
-                n, _, _, s = st.get(mid, {}).get(j, (0, 0, 0, None))
-                if n:
-                    new[j] = s / n
-            meta[mid]["iter"] = it + 1
-            models[mid] = (c, new)
-            if ((new - C) ** 2).sum() > tol_abs.get(c, tol):
-                nxt[mid] = (c, new)
-        active = nxt
-    final = _stats_pass(data, models, d)
-    for mid in models:
-        meta[mid]["inertia"] = sum(v[1] for v in final.get(mid, {}).values())
-    best: dict = {}
-    for mid, mt in meta.items():
-        key_ = (mt["cls"], mt["k"])
-        if key_ not in best or mt["inertia"] < meta[best[key_]]["inertia"]:
-            best[key_] = mid
-    cand = {mid: models[mid] for mid in best.values()}
-    multi = {mid: v for mid, v in cand.items() if len(v[1]) > 1}
-    sil = _silhouette_pass(data, multi, final, d) if multi else {}
+def _fit_one(rows: DataFrame, k: int, seed: int, max_iter: int, tol: float) -> _Fit:
+    if k < 2:
+        return _one_cluster(rows)
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features").fit(rows)
+    s = model.summary
+    return _Fit(np.array(model.clusterCenters()), float(s.trainingCost), int(s.numIter), [int(n) for n in s.clusterSizes], model)
+
+
+def kmeans_search(data: DataFrame, classes: list, d: int, k_choices: dict, *, n_init: int = 3,
+                  max_iter: int = 300, tol: float = 1e-4, seed: int = 42) -> ClusterSearch:
+    """Fit every (class, k, restart) and keep, per class, the k of highest
+    silhouette (first wins) with its lowest-cost restart.
+
+    ``data``: ``_cls`` (index into ``classes``), ``_x0..`` scaled features
+    without NULLs.  ``k_choices``: class index → candidate k list (one entry = fixed k).
+    """
+    vectors = VectorAssembler(inputCols=[f"_x{j}" for j in range(d)], outputCol="features").transform(data).select("_cls", "features")
+    rows = {c: vectors.where(F.col("_cls") == c).select("features").persist() for c in k_choices}
+    tasks = [(c, k, i) for c, ks in k_choices.items() for k in ks for i in range(n_init if k > 1 else 1)]
+
+    def fit(task: tuple) -> _Fit:
+        c, k, i = task
+        return _fit_one(rows[c], k, seed + 1000 * i + k, max_iter, tol)
+
+    def judge(task: tuple) -> float | None:
+        c, k = task
+        found = best[task]
+        if found.model is None or sum(n > 0 for n in found.counts) < 2:
+            return None
+        return float(ClusteringEvaluator(featuresCol="features").evaluate(found.model.transform(rows[c])))
+
+    own_thread = inheritable_thread_target(data.sparkSession)
+    best: dict[tuple, _Fit] = {}
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+        for (c, k, _), found in zip(tasks, pool.map(own_thread(fit), tasks)):
+            if (c, k) not in best or found.inertia < best[c, k].inertia:
+                best[c, k] = found
+        wanted = [t for t in best if len(k_choices[t[0]]) > 1 or t[1] > 1]
+        scores = dict(zip(wanted, pool.map(own_thread(judge), wanted)))
+    for r in rows.values():
+        r.unpersist()
 
     out = ClusterSearch({}, {}, {}, {}, {}, {}, [])
     for c, ks in k_choices.items():
-        chosen, best_s = None, -1.0
+        chosen, top = None, -1.0
         for k in ks:
-            mid = best.get((c, k))
-            if mid is None:
-                continue
-            s = sil.get(mid)
-            out.scores.append((classes[c], k, s, meta[mid]["inertia"], meta[mid]["iter"]))
-            if chosen is None:
-                chosen = mid
-            if s is not None and s > best_s:
-                chosen, best_s = mid, s
-        if chosen is None:
-            continue
-        C = models[chosen][1]
-        out.centres[classes[c]] = C.tolist()
-        out.k[classes[c]] = len(C)
-        out.inertia[classes[c]] = meta[chosen]["inertia"]
-        out.silhouette[classes[c]] = sil.get(chosen, 0.0) or 0.0
-        out.n_iter[classes[c]] = meta[chosen]["iter"]
-        out.counts[classes[c]] = [int(final.get(chosen, {}).get(j, (0,))[0]) for j in range(len(C))]
-    data.unpersist()
+            found, s = best[c, k], scores.get((c, k))
+            out.scores.append((classes[c], k, s, found.inertia, found.n_iter))
+            if chosen is None or (s is not None and s > top):
+                chosen, top = k, s if s is not None else top
+        found, name = best[c, chosen], classes[c]
+        out.centres[name], out.k[name] = found.centres.tolist(), len(found.centres)
+        out.inertia[name], out.n_iter[name] = found.inertia, found.n_iter
+        out.silhouette[name] = scores.get((c, chosen)) or 0.0
+        out.counts[name] = found.counts
     return out

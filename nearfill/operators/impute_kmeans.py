@@ -1,15 +1,15 @@
 """Class-aware k-means imputation of sentinel values (IM-01..IM-07, AG-06..AG-09).
 
-Fit: global evidence medians → sentinel to NULL → temporary fill with the
-class median → per-class population scaling → cluster search per class
-(silhouette over k = 2..8, best of ``n_init`` restarts by inertia) → cluster
+Fit: global evidence medians → sentinel to NULL → temporary fill of every
+feature with the class median → per-class population scaling → cluster search per
+class (silhouette over k = 2..8, best of ``n_init`` restarts by inertia) → cluster
 sizes and per (class, cluster, column) medians of the real values, falling
 back to the class median and then the global median.
 
 Transform: temporary fill (medians of the batch being transformed, as the
 reference does, or the training medians with ``fill_stats="train"``) →
 scale with the class's scaler → nearest centre → every sentinel cell takes
-its (class, cluster) median; an unseen class takes the global medians.  The
+its (class, cluster) median; an unseen or NULL class takes the global medians.  The
 model tables are small and reach the rows through checked broadcast joins or
 inlined literals, so a transform with ``fill_stats="train"`` needs no shuffle.
 """
@@ -57,7 +57,7 @@ class KMeansImputerModel:
 
 
 def fit(df: DataFrame, target: str, key: str, impute_cols: Sequence[str], *, n_clusters: int | None = None,
-        class_aware: bool = True, seed: int = 42, sentinel=0, n_init: int = 10, max_iter: int = 300,
+        class_aware: bool = True, seed: int = 42, sentinel=0, n_init: int = 3, max_iter: int = 300,
         tol: float = 1e-4, k_range: Sequence[int] = DEFAULT_K_RANGE, fill_stats: str = "batch",
         features: Sequence[str] | None = None) -> KMeansImputerModel:
     """IM-01 (class-aware) / CL-03 (global model when ``class_aware`` is False or no target)."""
@@ -68,8 +68,9 @@ def fit(df: DataFrame, target: str, key: str, impute_cols: Sequence[str], *, n_c
     gm = global_medians(df, cols, sentinel)
     cm = class_medians(df, target, cols, sentinel, fallback=gm) if ca else gm
     filled = median_fill(widen(df, cols), cols, cm, keys, sentinel, global_fallback=gm)
+    filled = fill_missing(filled, df, feats, cols, keys, sentinel, gm)
     scaler = fit_scaler(filled, feats, keys)
-    scaled = apply_scaler(filled, feats, scaler, keys, suffix="__z").cache()
+    scaled = apply_scaler(filled, feats, scaler, keys, suffix="__z").persist()
 
     classes = class_values(df, target) if ca else [None]
     ctype = df.schema[target].dataType if ca else IntegerType()
@@ -78,7 +79,7 @@ def fit(df: DataFrame, target: str, key: str, impute_cols: Sequence[str], *, n_c
     data = scaled.select(idx.alias("_cls"), F.col(key).alias("_key"),
                          *[F.col(f + "__z").alias(f"_x{j}") for j, f in enumerate(feats)])
     data = data.where(F.col("_cls").isNotNull())
-    counts = {r["_cls"]: r["count"] for r in data.groupBy("_cls").count().collect()}
+    counts = {r["_cls"]: r["count"] for r in data.groupBy("_cls").count().collect()}  # one row per class
     k_choices = {}
     for i in range(len(classes)):
         n = counts.get(i, 0)
@@ -91,7 +92,7 @@ def fit(df: DataFrame, target: str, key: str, impute_cols: Sequence[str], *, n_c
             ks = list(range(max(2, min(k_range)), hi + 1)) or [2]
         k_choices[i] = [min(k, n) for k in ks]
     search = kmeans_search(data, classes, len(feats), k_choices, n_init=n_init, max_iter=max_iter, tol=tol,
-                           seed=seed, key="_key")
+                           seed=seed)
 
     # AG-06 / AG-07 on the fitted rows
     spark = df.sparkSession
@@ -106,11 +107,34 @@ def fit(df: DataFrame, target: str, key: str, impute_cols: Sequence[str], *, n_c
     fallback = cm if ca else gm.withColumn(gcol, F.lit(None).cast(ctype))
     medians = cluster_medians(assigned, gcol, "cluster", cols, fallback, sentinel,
                               grid=sizes.select(gcol, "cluster"), class_key=ca)
+    scaled.unpersist()
     return KMeansImputerModel(target, key, cols, feats, ca, classes, ctype, sentinel, gm, cm, scaler,
                               search.centres, medians, sizes, search, seed, n_clusters is None, fill_stats,
                               dict(search.k))
 
 
+def fill_missing(filled: DataFrame, df: DataFrame, feats: Sequence[str], cols: Sequence[str], keys: Sequence[str],
+                 sentinel, global_medians: DataFrame, suffix: str = "") -> DataFrame:
+    """AG-03 for clustering: NULL and NaN features take the median of the row's key in ``df`` (sentinels left out
+    in ``cols``), else the global median, else 0."""
+    missing = lambda c: F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
+    counts = df.agg(*[F.count(F.when(missing(f), 1)).alias(f) for f in feats]).first()
+    lacking = [f for f in feats if counts[f]]
+    if not lacking:
+        return filled
+    med = grouped_median(evidence(df, [c for c in cols if c in lacking], sentinel), list(keys), lacking)
+    glob = scalar_params(global_medians)
+    if keys:
+        filled = lookup_join(filled, small_table(wide_params(med, keys, lacking, "_fm_")), list(keys), "left")
+        own = {f: F.col(f"_fm_{f}") for f in lacking}
+    else:
+        own = {f: F.lit(v).cast("double") for f, v in {**dict.fromkeys(lacking), **scalar_params(med)}.items()}
+    values = {f + suffix: F.when(missing(f + suffix), F.coalesce(own[f], F.lit(glob.get(f)).cast("double"), F.lit(0.0)))
+              .otherwise(F.col(f + suffix).cast("double")) for f in lacking}
+    filled = filled.withColumns(values)
+    return filled.drop(*[f"_fm_{f}" for f in lacking]) if keys else filled
+
+
 def transform(model: KMeansImputerModel, df: DataFrame, fill_stats: str | None = None) -> DataFrame:
     """IM-02 / IM-03 / IM-04: fill sentinel cells; other cells are never changed."""
     fill_stats = fill_stats or model.fill_stats
@@ -130,6 +154,8 @@ def transform(model: KMeansImputerModel, df: DataFrame, fill_stats: str | None =
         raise ValueError("fill_stats must be 'batch' or 'train'")
     tmp = out.withColumns({f + "__t": F.col(f).cast("double") for f in model.features if f not in cols})
     tmp = median_fill(tmp, cols, med, keys, model.sentinel, global_fallback=model.global_medians, out_suffix="__t")
+    if fill_stats == "batch":
+        tmp = fill_missing(tmp, df, model.features, cols, keys, model.sentinel, model.global_medians, "__t")
     tmp = apply_scaler(tmp, model.features, model.scaler, keys, suffix="__z", src_suffix="__t")
     tmp = assign_nearest(tmp, [f + "__z" for f in model.features], model.centres,
                          model.target if ca else None, out="_cluster")

@@ -15,11 +15,12 @@ the values filled by the previous ones:
   features other than the column) give an inverse-distance weighted mean
   (weights ``1/(d + 1e-10)``) or, for any other ``weights``, their median;
 * a class with fewer than k rows, a column with fewer than k donors in the
-  class, and an unseen class fall back to the global median.
+  class, a column without another feature, and an unseen or NULL class fall back
+  to the global median.
 
-Each step joins only the rows being filled with their values (the other
-rows pass through untouched, no shuffle) and cuts the lineage with a
-reliable ``checkpoint`` (folder from ``spark.checkpoint.dir``).
+Only (key, value) of the filled rows is kept from a step, in a small projection
+cut with a reliable ``checkpoint`` (folder from ``spark.checkpoint.dir``); the
+table itself is read again and never written.
 """
 from __future__ import annotations
 
@@ -83,22 +84,23 @@ def transform(model: KNNImputerModel, df: DataFrame) -> DataFrame:
     gl = {c: F.lit(glob.get(c)).cast("double") for c in cols}
     grp = F.col(model.target) if ca else F.lit(0)
 
-    data = widen(df, cols).withColumn("_grp", grp)
     seen = [0] if not ca else model.classes
-    sizes = small_table(data.groupBy("_grp").agg(F.count(F.lit(1)).alias("_class_n")))
-    data = lookup_join(data, sizes, ["_grp"], "left")
-    ok_class = F.col("_grp").isin(seen) & (F.col("_class_n") >= k)
-    # IM-03 / IM-13: unseen class or a class smaller than k → global medians everywhere
-    data = data.withColumns({c: F.when(~ok_class & is_sentinel(F.col(c), s), gl[c]).otherwise(F.col(c)) for c in cols})
-    data = _cut(data)
+    wide = widen(df, cols).withColumn("_grp", grp)
+    sizes = small_table(wide.groupBy("_grp").agg(F.count(F.lit(1)).alias("_class_n")))
+    known = small_table(sizes.where(F.col("_grp").isin(seen) & (F.col("_class_n") >= k)).select("_grp", F.lit(True).alias("_known")))
+    # IM-03 / IM-13: unseen or NULL class, or a class smaller than k → global medians everywhere
+    wide = lookup_join(wide, known, ["_grp"], "left").withColumn("_known", F.coalesce("_known", F.lit(False)))
+    data = wide.withColumns({c: F.when(~F.col("_known") & is_sentinel(F.col(c), s), gl[c]).otherwise(F.col(c)) for c in cols})
     keys = ["_grp"] if ca else []
     scaler = model.scaler.withColumnRenamed(model.target, "_grp") if ca else model.scaler
 
     for col in cols:
         others = [f for f in model.features if f != col]
+        empty = F.col("_known") & is_sentinel(F.col(col), s)
         if not others:
-            break
-        cand = data.where(ok_class)
+            data = data.withColumn(col, F.when(empty, gl[col]).otherwise(F.col(col)))
+            continue
+        cand = data.where("_known")
         donors = cand.where(not_sentinel(F.col(col), s) & F.col(col).isNotNull())
         queries = cand.where(is_sentinel(F.col(col), s))
         if model.reference_fill == "median":
@@ -115,29 +117,17 @@ def transform(model: KNNImputerModel, df: DataFrame) -> DataFrame:
         v = F.col(f"nb_{col}")
         if model.weights == "distance":
             w = F.lit(1.0) / (F.col("distance") + F.lit(1e-10))
-            fill = nb.groupBy(key).agg((F.sum(w * v) / F.sum(w)).alias("_fill"), F.count(F.lit(1)).alias("_nn"))
+            value = F.sum(w * v) / F.sum(w)
         else:
-            fill = nb.groupBy(key).agg(F.median(v).alias("_fill"), F.count(F.lit(1)).alias("_nn"))
-        donors_n = small_table(donors.groupBy("_grp").agg(F.count(F.lit(1)).alias("_dn")))
-        # only the sentinel rows change: they alone are joined with the fills;
-        # every other row passes through without a shuffle
-        target = F.coalesce(ok_class & is_sentinel(F.col(col), s), F.lit(False))
-        untouched = data.where(~target)
-        upd = lookup_join(data.where(target).join(fill, key, "left"), donors_n, ["_grp"], "left")
-        enough = F.coalesce(F.col("_dn"), F.lit(0)) >= k
-        upd = upd.withColumn(col, F.when(enough & F.col("_fill").isNotNull(), F.col("_fill")).otherwise(gl[col]))
-        data = _cut(untouched.unionByName(upd.select(*untouched.columns)))
+            value = F.median(v)
+        # the fills alone are kept; fewer than k donors give fewer than k neighbours, hence no fill
+        fill = nb.groupBy(F.col(key).alias("_fk")).agg(value.alias("_fill"), F.count(F.lit(1)).alias("_nn")).where(
+            F.col("_nn") >= k).drop("_nn").checkpoint()
+        data = (data.join(fill, F.when(empty, F.col(key)) == F.col("_fk"), "left")
+                .withColumn(col, F.when(empty, F.coalesce("_fill", gl[col])).otherwise(F.col(col))).drop("_fk", "_fill"))
     return data.select(*df.columns)
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint; persisted first so the lineage runs once, not twice."""
-    df = df.persist()
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out
-
-
 def fit_transform(df: DataFrame, target: str, key: str, impute_cols: Sequence[str], **kw) -> DataFrame:
     return transform(fit(df, target, key, impute_cols, **kw), df)
 
