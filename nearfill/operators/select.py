@@ -30,6 +30,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+from .joins import small_table
 from .ranking import prefix_count
 
 EULER = 0.5772156649015329
@@ -51,24 +53,26 @@ def mutual_information(df: DataFrame, target: str, key: str, features: Sequence[
     """KC-03 → (feature, score) for every feature."""
     feats = list(features)
     k = int(n_neighbors)
+    ensure_checkpoint_dir(df.sparkSession)
     arr = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in feats])
     long = df.select(F.col(key).alias("_key"), F.col(target).alias("_y"), F.inline(arr)).where(
         F.col("v").isNotNull())
     # scale and jitter use every row; labels with one row then take no part
-    sd = long.groupBy("feature").agg(F.stddev_pop("v").alias("_sd"))
+    # a row per feature, or per feature and class: small tables
+    sd = small_table(long.groupBy("feature").agg(F.stddev_pop("v").alias("_sd")))
     long = long.join(sd, "feature").withColumn(
         "_xs", F.col("v") / F.when(F.col("_sd") == 0, F.lit(1.0)).otherwise(F.col("_sd")))
-    mabs = long.groupBy("feature").agg(F.avg(F.abs("_xs")).alias("_ma"))
-    ny = long.groupBy("feature", "_y").agg(F.count(F.lit(1)).alias("_ny"))
+    mabs = small_table(long.groupBy("feature").agg(F.avg(F.abs("_xs")).alias("_ma")))
+    ny = small_table(long.groupBy("feature", "_y").agg(F.count(F.lit(1)).alias("_ny")))
     u = (F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("feature"), F.col("_key").cast("string"))),
                             1, 8), 16, 10).cast("double") / F.lit(4294967296.0)) - F.lit(0.5)
     pts = (long.join(mabs, "feature").join(ny, ["feature", "_y"]).where(F.col("_ny") > 1)
            .withColumn("x", F.col("_xs") + F.lit(1e-10) * F.greatest(F.lit(1.0), F.col("_ma")) * u)
            .withColumn("_k", F.least(F.lit(k), F.col("_ny") - 1))
-           .select("feature", "_key", "_y", "_ny", "_k", "x")).cache()
+           .select("feature", "_key", "_y", "_ny", "_k", "x")).checkpoint()
 
     # rank within (feature, label); neighbours at rank ± 1..k
-    ranked = prefix_count(pts, ["feature", "_y"], "x", ["_key"], out="_r")
+    ranked = prefix_count(pts, ["feature", "_y"], "x", ["_key"], out="_r").checkpoint()
     offsets = F.array(*[F.lit(o) for o in range(-k, k + 1) if o != 0])
     probe = ranked.select("feature", "_y", "_key", "x", "_k", F.transform(offsets, lambda o: F.col("_r") + o)
                           .alias("_rs")).select("feature", "_y", "_key", "x", "_k", F.explode("_rs").alias("_r"))
@@ -80,7 +84,7 @@ def mutual_information(df: DataFrame, target: str, key: str, features: Sequence[
     # counts, whatever the rounding of x +- r (the library uses nextafter(r, 0))
     radius = nd.select("feature", "_key",
                        (F.expr("element_at(_d, CAST(_kk AS INT))") * F.lit(1.0 - 1e-9)).alias("_rad"))
-    pr = pts.join(radius, ["feature", "_key"])
+    pr = pts.join(radius, ["feature", "_key"]).checkpoint()
 
     # m_i: data rows strictly inside (x - r, x + r) = #(x_j < x + r) - #(x_j <= x - r)
     data = pts.select("feature", F.col("x").alias("_v"), F.lit(1).alias("_kind"), F.lit(1).alias("_w"),
@@ -101,7 +105,7 @@ def mutual_information(df: DataFrame, target: str, key: str, features: Sequence[
     score = psi("_n") + F.col("_pk") - F.col("_py") - F.col("_pm")
     out = agg.select("feature", F.greatest(score, F.lit(0.0)).alias("score"))
     names = df.sparkSession.createDataFrame([(f,) for f in feats], "feature string")
-    return names.join(out, "feature", "left").select("feature", F.coalesce("score", F.lit(0.0)).alias("score"))
+    return small_table(names.join(out, "feature", "left").select("feature", F.coalesce("score", F.lit(0.0)).alias("score")))
 
 
 def top_features(scores: DataFrame, n: int, order: Sequence[str]) -> list[str]:
