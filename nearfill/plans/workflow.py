@@ -17,8 +17,12 @@ from ..sources import write_table
 def run(df: DataFrame, target: str, key: str, *, imputer: str | None = "kmeans",
         impute_cols: Sequence[str] = (), test_size: float = 0.2, seed: int = 42,
         test_imputation: str = "train_fitted", sentinel=0, output: str | None = None,
-        fmt: str = "csv", **imputer_args) -> dict[str, DataFrame]:
-    """PL-01 (``imputer`` = "kmeans" or "knn") and PL-02 (``imputer=None``)."""
+        fmt: str = "csv", classifier_args: dict | None = None, **imputer_args) -> dict[str, DataFrame]:
+    """PL-01 (``imputer`` = "kmeans" or "knn") and PL-02 (``imputer=None``).
+
+    ``classifier_args`` are settings of ``classify.fit`` (n_neighbors, metric, cv_folds,
+    k_range, n_features, ...); ``seed`` serves split, imputer and folds alike.
+    """
     split = sampling.stratified_split(df, target, [key], test_size, seed).cache()
     train = split.where("split = 'train'").drop("split").cache()
     test = split.where("split = 'test'").drop("split").cache()
@@ -36,7 +40,9 @@ def run(df: DataFrame, target: str, key: str, *, imputer: str | None = "kmeans",
         else:
             test_i = km.transform(model, test)
         out.update({"cluster_summary": km.summary(model), "cluster_sizes": model.sizes,
-                    "cluster_medians": model.medians, "clusters_per_class": km.clusters_per_class(model, train)})
+                    "cluster_medians": model.medians})
+        if model.class_aware:
+            out["clusters_per_class"] = km.clusters_per_class(model, train)
     elif imputer == "knn":
         from ..operators import impute_knn as kn
         model = kn.fit(train, target, key, cols, sentinel=sentinel, **imputer_args)
@@ -51,10 +57,8 @@ def run(df: DataFrame, target: str, key: str, *, imputer: str | None = "kmeans",
     if imputer is not None and cols:
         out["imputation_profile"] = stats.imputation_profile(train, train_i, cols, sentinel)
     test_i = test_i.cache()
-    model = classify.fit(train_i, target, key)
-    preds = classify.prediction_table(model, test_i).cache()
-    out.update({"train_imputed": train_i, "test_imputed": test_i, "predictions": preds,
-                "metrics": classify.evaluate(model, test_i, predictions=preds),
+    model, preds, scores = classify.fit_evaluate_write(train_i, test_i, target, key, **{"seed": seed, **(classifier_args or {})})
+    out.update({"train_imputed": train_i, "test_imputed": test_i, "predictions": preds, "metrics": scores,
                 "classifier_summary": classify.summary(model)})
     if model.k_scores is not None:
         out["k_scores"] = model.k_scores

@@ -1,21 +1,22 @@
 """Sources and sinks (IO-01..03)."""
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import ensure_checkpoint_dir
+
 
-def _guess_format(path: str) -> str:
-    """csv for ``*.csv`` paths and for local result folders of CSV part files, else parquet."""
+def _guess_format(spark: SparkSession, path: str) -> str:
+    """csv for ``*.csv`` paths and for folders whose part files are CSV, else parquet (asked of the path's own file system)."""
     bare = path.rstrip("/")
     if bare.endswith(".csv"):
         return "csv"
-    local = bare[len("file:"):] if bare.startswith("file:") else bare
-    if os.path.isdir(local):
-        names = os.listdir(local)
+    where = spark._jvm.org.apache.hadoop.fs.Path(bare)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.exists(where) and store.getFileStatus(where).isDirectory():
+        names = [f.getPath().getName() for f in store.listStatus(where)]
         if any(n.endswith(".csv") for n in names) and not any(n.endswith(".parquet") for n in names):
             return "csv"
     return "parquet"
@@ -25,10 +26,10 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str | None =
                fmt: str | None = None) -> DataFrame:
     """IO-01: delimited file with a header row, or Parquet.
 
-    ``fmt`` defaults from the extension.  Give ``schema`` for CSV on large
+    ``fmt`` defaults from the extension, or a folder's part files.  Give ``schema`` for CSV on large
     data; without it the types are inferred (one extra pass).
     """
-    fmt = fmt or _guess_format(path)
+    fmt = fmt or _guess_format(spark, path)
     reader = spark.read
     if fmt == "csv":
         reader = reader.option("header", True)
@@ -66,8 +67,10 @@ def with_row_key(df: DataFrame, key: str = "_row_key") -> DataFrame:
     a window over (content, partition), which is bounded by one partition.
     """
     content = F.md5(F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in df.columns]))
+    ensure_checkpoint_dir(df.sparkSession)
+    # both branches below must see the same partitions: evaluated once
     base = (df.withColumn("_content", content).withColumn("_pid", F.spark_partition_id())
-            .withColumn("_mono", F.monotonically_increasing_id()))
+            .withColumn("_mono", F.monotonically_increasing_id()).checkpoint())
     per = base.groupBy("_content", "_pid").agg(F.count(F.lit(1)).alias("_n"))
     wo = Window.partitionBy("_content").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = per.withColumn("_off", F.coalesce(F.sum("_n").over(wo), F.lit(0))).drop("_n")
