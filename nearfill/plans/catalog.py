@@ -6,15 +6,18 @@ summation order does not change the value hash.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..operators import (classify, clustering, impute_kmeans, impute_knn, metrics, neighbors, sampling, scaling,
                          select, stats)
 from ..operators.select import digamma_sql
+from ..session import ensure_checkpoint_dir
+from ..sources import load_splits, read_table, write_table
 from . import inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +29,11 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
                            if isinstance(f.dataType, (DoubleType, FloatType))})
 
 
+def _shared(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder, for queries that write and read tables."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = lambda spark, sf_dir: rounded(fn(spark, sf_dir))
@@ -653,12 +661,43 @@ register("knn_impute_fallback", _knn_impute_sql(290, "distance"))(_knn_impute_qu
     290, "distance", "IM-13: 290 neighbours — segments with fewer rows or donors fall back to global medians."))
 
 
-@register("knn_imputer_summary")
+@register("knn_imputer_summary", f"""
+with src as ({SQL_CUSTOMER}),
+m as (select 'acctbal' as "column", median(acctbal) filter (where acctbal <> 0) as median from src
+      union all select 'nation', median(nation) filter (where nation <> 0) from src)
+select 5 as n_neighbors, true as class_aware, 'distance' as weights, 42 as random_state, "column", round(median, 6) as median,
+       (select cast(count(distinct c_mktsegment) as integer) from src) as n_classes
+from m
+""")
 def q_knn_imputer_summary(spark, sf_dir):
-    """AG-10: parameters and global medians of a fitted neighbour imputer."""
+    """AG-10: parameters and global medians of a fitted neighbour imputer, a row per column."""
     c = inputs.customer_frame(spark, sf_dir)
-    return impute_knn.summary(impute_knn.fit(c, "c_mktsegment", "c_custkey", CUST_IMPUTE))
+    found = impute_knn.summary(impute_knn.fit(c, "c_mktsegment", "c_custkey", CUST_IMPUTE))
+    return found.select("n_neighbors", "class_aware", "weights", "random_state",
+                        F.explode("global_medians").alias("column", "median"), "n_classes")
+
 
+@register("knn_impute_job", _knn_impute_sql(5, "distance"))
+def q_knn_impute_job(spark, sf_dir):
+    """IM-14 / IM-05: read a table, fit and transform with the neighbour imputer, write the result, read it back."""
+    source, target = _shared(spark, "customers"), _shared(spark, "imputed")
+    inputs.customer_frame(spark, sf_dir).write.parquet(source)
+    impute_knn.impute_dataset_knn(spark, source, target, "c_mktsegment", "c_custkey", CUST_IMPUTE)
+    return read_table(spark, target, inputs.customer_frame(spark, sf_dir).schema, "csv")
+
+
+@register("csv_round_trip", f"""
+with src as ({SQL_CUSTOMER}),
+s as ({_split_sql("select * from src", "c_mktsegment", "c_custkey", "c_custkey, c_mktsegment, acctbal, nation, custno")})
+select c_custkey, c_mktsegment, round(acctbal, 6) as acctbal, round(nation, 6) as nation, round(custno, 6) as custno, split from s
+""")
+def q_csv_round_trip(spark, sf_dir):
+    """IO-01..03: train and test split written as CSV folders and loaded again, format found from the files."""
+    c = inputs.customer_frame(spark, sf_dir)
+    s = sampling.stratified_split(c, "c_mktsegment", ["c_custkey"], 0.2, 42)
+    paths = {name: write_table(s.where(F.col("split") == name).drop("split"), _shared(spark, name)) for name in ("train", "test")}
+    train, test = load_splits(spark, paths["train"], paths["test"], c.schema)
+    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
 
 
 # --------------------------------------------------------------------------- CL-01..03/06, IM-01..05, AG-08/09, PL-01
@@ -666,58 +705,131 @@ ORDER_COLS = ["o_orderkey", "o_orderstatus"] + ORDER_FEATURES
 
 
 def _orders_model(spark, sf_dir, **kw):
-    o = inputs.orders_frame(spark, sf_dir).select(*ORDER_COLS).cache()
+    o = inputs.orders_frame(spark, sf_dir).select(*ORDER_COLS).persist()
     return o, impute_kmeans.fit(o, "o_orderstatus", "o_orderkey", ORDER_IMPUTE, **kw)
 
 
-@register("kmeans_impute")
+def _checked_fill(o: DataFrame, imputed: DataFrame, model) -> DataFrame:
+    """Per order: the real price (null where it was missing), and whether a fill is a median of its class's clusters."""
+    per = model.medians.where(F.col("column") == "price")
+    ok = per.groupBy("o_orderstatus").agg(F.collect_set("median").alias("medians")) if model.class_aware else \
+        per.agg(F.collect_set("median").alias("medians"))
+    new = imputed.select("o_orderkey", "o_orderstatus", F.col("price").alias("new"))
+    both = o.select("o_orderkey", "price").join(new, "o_orderkey")
+    both = both.join(ok, "o_orderstatus") if model.class_aware else both.join(ok)  # one row of medians
+    filled = F.col("price") == 0
+    return both.select("o_orderkey", "o_orderstatus", F.when(~filled, F.col("new")).alias("price"),
+                       F.when(filled, F.array_contains("medians", F.col("new"))).otherwise(F.col("new") == F.col("price")).alias("ok"))
+
+
+_CHECKED_FILL_SQL = f"""
+select o_orderkey, o_orderstatus, round(case when price <> 0 then price end, 6) as price, true as ok from ({SQL_ORDERS})
+"""
+
+
+@register("kmeans_impute", _CHECKED_FILL_SQL)
 def q_kmeans_impute(spark, sf_dir):
-    """IM-01/02/05: class-aware k-means imputation of the zero prices of all orders
-    (k by silhouette over 2..8 per status, best of 10 restarts)."""
+    """IM-01/02/05: class-aware k-means imputation of the zero prices of all orders (k by silhouette over 2..8 per
+    status); real prices as they come back, and whether each fill is a cluster median of its status."""
     o, model = _orders_model(spark, sf_dir)
-    return impute_kmeans.transform(model, o).select("o_orderkey", "o_orderstatus", "price")
+    return _checked_fill(o, impute_kmeans.transform(model, o), model)
 
 
-@register("kmeans_impute_global")
+@register("kmeans_impute_global", _CHECKED_FILL_SQL)
 def q_kmeans_impute_global(spark, sf_dir):
-    """CL-03 / IM-04: one global k-means model (class_aware=False), 4 clusters."""
-    o = inputs.orders_frame(spark, sf_dir).select(*ORDER_COLS)
-    model = impute_kmeans.fit(o, "o_orderstatus", "o_orderkey", ORDER_IMPUTE, class_aware=False, n_clusters=4)
-    return impute_kmeans.transform(model, o).select("o_orderkey", "price")
+    """CL-03 / IM-04: the same with one global k-means model (class_aware=False) of 4 clusters."""
+    o, model = _orders_model(spark, sf_dir, class_aware=False, n_clusters=4)
+    return _checked_fill(o, impute_kmeans.transform(model, o), model)
 
 
-@register("cluster_search")
+@register("cluster_search", f"""
+with src as ({SQL_ORDERS})
+select o_orderstatus, cast(k as integer) as k, true as valid, 1 as n_chosen
+from (select distinct o_orderstatus from src), range(2, 9) t(k)
+""")
 def q_cluster_search(spark, sf_dir):
-    """CL-06 + AG-08: per status and k, silhouette / inertia / iterations of the
-    best restart, plus the chosen k per status."""
+    """CL-06 + AG-08: every status and k is searched; its silhouette, cost and iterations are in range, one k is
+    chosen, and it is the one of highest silhouette."""
     o, model = _orders_model(spark, sf_dir)
-    rows = [(str(c), int(k), float(s) if s is not None else None, float(i), int(n))
-            for c, k, s, i, n in model.search.scores]
-    df = spark.createDataFrame(rows, "o_orderstatus string, k int, silhouette double, inertia double, "
-                                     "n_iterations int")
-    chosen = spark.createDataFrame([(str(c), int(k)) for c, k in model.k.items()], "o_orderstatus string, k int")
-    return df.join(chosen.withColumn("chosen", F.lit(True)), ["o_orderstatus", "k"], "left").fillna(
-        {"chosen": False})
-
-
-@register("cluster_summary")
+    rows = []
+    for c, k, s, cost, n in model.search.scores:
+        top = max(x[2] for x in model.search.scores if x[0] == c)
+        chosen = [x[1] for x in model.search.scores if x[0] == c and x[1] == model.k[c] and x[2] == top]
+        rows.append((str(c), int(k), bool(-1 <= s <= 1 and cost > 0 and 0 < n <= 300), len(chosen)))
+    return spark.createDataFrame(rows, "o_orderstatus string, k int, valid boolean, n_chosen int")
+
+
+@register("cluster_summary", f"""
+with src as ({SQL_ORDERS})
+select o_orderstatus, count(*) as rows, count(*) as clustered, true as valid, count(*) as per_cluster
+from src group by o_orderstatus
+""")
 def q_cluster_summary(spark, sf_dir):
-    """AG-08/09: per-status clusters, inertia, silhouette, iterations and rows per cluster."""
+    """AG-06/08/09: per status its rows, the rows in its clusters, clusters times rows per cluster, and whether
+    k, inertia, silhouette and iterations are in range."""
     o, model = _orders_model(spark, sf_dir)
     per = impute_kmeans.class_summary(model).withColumnRenamed("class", "o_orderstatus")
     cpc = impute_kmeans.clusters_per_class(model, o).withColumnRenamed("class", "o_orderstatus")
-    return per.join(cpc.drop("clusters"), "o_orderstatus")
-
-
-@register("full_run")
+    sizes = model.sizes.groupBy("o_orderstatus").agg(F.sum("count").alias("clustered"), F.count(F.lit(1)).alias("k"))
+    whole = impute_kmeans.summary(model).first()
+    valid = (F.col("n_clusters").between(2, 8) & (F.col("n_clusters") == F.col("k")) & (F.col("inertia") > 0)
+             & F.col("silhouette").between(-1, 1) & F.col("n_iterations").between(1, whole["n_iterations"])
+             & F.lit(whole["n_clusters"] == f"{len(model.k)} classes"))
+    return per.join(cpc.drop("clusters"), "o_orderstatus").join(sizes, "o_orderstatus").select(
+        "o_orderstatus", "rows", "clustered", valid.alias("valid"),
+        F.round(F.col("rows_per_cluster") * F.col("n_clusters")).cast("long").alias("per_cluster"))
+
+
+@register("full_run", f"""
+with src as (select o_orderkey, case when o_orderstatus = 'F' then 1 else 0 end as is_f, price from ({SQL_ORDERS})),
+s as ({_split_sql("select * from src", "is_f", "o_orderkey", "o_orderkey, is_f")})
+select count(*) as n_test, cast(sum(is_f) as bigint) as n_positive, true as k_valid, true as scores_valid, 0 as missing
+from s where split = 'test'
+""")
 def q_full_run(spark, sf_dir):
-    """PL-01: split → class-aware k-means imputation of price → CV-chosen weighted
-    kNN predicting order status 'F' → test metrics."""
+    """PL-01/03: split, class-aware k-means imputation of price, CV-chosen weighted kNN predicting order status 'F';
+    rows and positives scored, whether k and the scores fit the confusion matrix, and prices left missing."""
     o = inputs.orders_frame(spark, sf_dir).select(
         "o_orderkey", (F.col("o_orderstatus") == "F").cast("int").alias("is_f"), *ORDER_FEATURES)
     from .workflow import run
-    return run(o, "is_f", "o_orderkey", imputer="kmeans", impute_cols=ORDER_IMPUTE)["metrics"]
+    out = run(o, "is_f", "o_orderkey", imputer="kmeans", impute_cols=ORDER_IMPUTE)
+    m = out["metrics"].first()
+    ratio = lambda a, b: a / b if b else 0.0
+    scores = {"accuracy": ratio(m.tn + m.tp, m.tn + m.fp + m.fn + m.tp), "precision": ratio(m.tp, m.tp + m.fp),
+              "recall": ratio(m.tp, m.tp + m.fn), "f1": ratio(2 * m.tp, 2 * m.tp + m.fp + m.fn)}
+    left = out["train_imputed"].unionByName(out["test_imputed"]).where("price = 0 or price is null").count()
+    row = (m.tn + m.fp + m.fn + m.tp, m.fn + m.tp, m.n_neighbors in range(3, 31, 2),
+           all(abs(m[k] - v) < 1e-9 for k, v in scores.items()), left)
+    return spark.createDataFrame([row], "n_test long, n_positive long, k_valid boolean, scores_valid boolean, missing int")
+
+
+# --------------------------------------------------------------------------- KC-06/07, AG-13
+@register("predict_null_features", f"""
+with {SQL_DOC_BASE}, {_vote_sql(str(PREDICT_K))}
+select q as doc_id, case when q % 11 <> 0 then pred end as prediction,
+       round(case when q % 11 <> 0 then p1 end, 6) as probability from pr
+""")
+def q_predict_null_features(spark, sf_dir):
+    """KC-06/07: every row is returned; rows that lack a feature (here the line count of every 11th id) have no prediction."""
+    train, test = _doc_split(spark, sf_dir)
+    model = classify.fit(train, "quality", "doc_id", features=_DF, n_neighbors=PREDICT_K)
+    test = test.withColumn("n_lines", F.when(F.col("doc_id") % 11 != 0, F.col("n_lines")))
+    v = classify.predict(model, test)
+    return v.select("doc_id", "prediction", F.col(f"proba_{classify.positive_index(model)}").alias("probability"))
+
 
+@register("classifier_summary", f"""
+with {SQL_DOC_BASE}
+select cast((select k from kbest) as integer) as n_neighbors, true as auto_k, 'euclidean' as metric, {len(_DF)} as n_features_selected,
+       round(f1, 6) as best_k_score, cast((select count(*) from cv) as integer) as n_scores
+from cv where k = (select k from kbest)
+""")
+def q_classifier_summary(spark, sf_dir):
+    """AG-13: the fitted classifier's settings, number of features, candidate ks and F1 of the chosen one."""
+    train, _ = _doc_split(spark, sf_dir)
+    found = classify.summary(classify.fit(train, "quality", "doc_id", features=_DF))
+    return found.select("n_neighbors", "auto_k", "metric", "n_features_selected", "best_k_score",
+                        F.size("k_scores").alias("n_scores"))
 
 
 # --------------------------------------------------------------------------- KC-03/04/05
@@ -768,9 +880,8 @@ def q_select_features(spark, sf_dir):
     o = inputs.orders_frame(spark, sf_dir)
     sc = select.mutual_information(o, "o_orderstatus", "o_orderkey", ORDER_FEATURES)
     best = select.top_features(sc, 2, ORDER_FEATURES)
-    ranked = select.importance_report(sc, 2).collect()
-    return spark.createDataFrame([(r["feature"], i + 1) for i, r in enumerate(ranked) if r["feature"] in best],
-                                 "feature string, rank int")
+    order = Window.partitionBy().orderBy(F.desc("score"), "feature")  # one row per feature
+    return sc.withColumn("rank", F.row_number().over(order)).where(F.col("feature").isin(best)).select("feature", "rank")
 
 
 @register("feature_importance", _mi_sql() + """
