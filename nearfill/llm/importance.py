@@ -139,15 +139,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "
         labelled: DataFrame | None = None) -> Model:
     """Count both models and temper their ratio on labelled rows, which are ``labelled``'s (by default ``docs``')."""
     labelled = docs if labelled is None else labelled
-    rows = quality_rules.labelled_texts(labelled, labels, label, calibration_rows, key, text, seed=12)
-    y = np.array([r[0] for r in rows], dtype=np.float64)
-    if len(set(y.tolist())) < 2:
+    sample = quality_rules.labelled_docs(labelled, labels, label, calibration_rows, key, text, seed=12)
+    kinds = {r[0] for r in labels.where(F.col(label).isin(0, 1)).select(label).distinct().collect()}
+    if len(kinds) < 2:
         return Model(np.zeros(features.BUCKETS), 0.0, 0.0, 0.0)
     share = labels.where(F.col(label).isin(0, 1)).agg(F.avg(label)).first()[0]
     target = gram_counts(target_docs(labelled, labels, label, target_rows, key), text)
     ratio = log_ratio(target, gram_counts(docs, text))
-    texts = pa.array([r[1] for r in rows], pa.large_string())
-    mean = np.concatenate([_mean_ratio(t, ratio) for t in textbytes.slices(texts)])
+    judged = sample.select("label", log_weight(Model(ratio, 1.0, 0.0, 0.0), F.col("text")).alias("mean")).toArrow()
+    y, mean = judged["label"].to_numpy().astype(np.float64), judged["mean"].to_numpy()
+    if len(set(y.tolist())) < 2:  # labels of rows that are not there
+        return Model(np.zeros(features.BUCKETS), 0.0, 0.0, 0.0)
     spread = float(mean.std()) or 1.0
     slope, shift = quality_rules.platt(mean / spread, y)
     slope /= spread

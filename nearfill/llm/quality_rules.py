@@ -14,6 +14,7 @@ which keeps it; an empty table of documents gives an empty table.
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,31 +51,47 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -500, 500)))
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS,
-                   key: str = "doc_id", text: str = "text", seed: int = 7) -> list[tuple[int, str]]:
-    """At most ``max_rows`` (label, text) rows of each label 0 and 1, first by a seeded hash of the key."""
+def labelled_docs(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS,
+                  key: str = "doc_id", text: str = "text", seed: int = 7) -> DataFrame:
+    """(key, label, text) of at most ``max_rows`` keys of each label 0 and 1, first by a seeded hash of the key."""
     chosen = None
     for value in (0, 1):
         rows = (labels.where(F.col(label) == value).select(F.col(key).alias("__key"), F.lit(value).alias("__label"))
                 .distinct().orderBy(F.xxhash64("__key", F.lit(seed)), "__key").limit(max_rows))
         chosen = rows if chosen is None else chosen.unionByName(rows)
     found = docs.join(F.broadcast(chosen), docs[key] == chosen["__key"])  # 2 * max_rows rows of two numbers
-    rows = found.select("__key", "__label", F.coalesce(F.col(text), F.lit("")).alias("__text")).dropDuplicates(["__key"])
-    return [(r[0], r[1]) for r in rows.orderBy("__key").select("__label", "__text").collect()]
+    return found.select(F.col("__key").alias("key"), F.col("__label").alias("label"),
+                        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).dropDuplicates(["key"])
 
 
-def fit(rows: list[tuple[int, str]], steps: int = 200, rate: float = 0.5, decay: float = 1e-5, seed: int = 7) -> Model:
-    """Train on (label, text) rows: full-batch Adagrad, classes weighted equally; a fifth of the rows calibrates."""
-    y = np.array([r[0] for r in rows], dtype=np.float64)
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        buckets, shares = [], []
+        for text in batch.column(2).to_pylist():
+            at, n, n_word, n_char = features.one_text(text)
+            buckets.append(at.astype(np.int32))
+            shares.append((n / np.where(at < features.WORD_BUCKETS, max(n_word, 1), max(n_char, 1))).astype(np.float32))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(buckets, pa.list_(pa.int32())),
+                                          pa.array(shares, pa.list_(pa.float32()))], names=["key", "label", "bucket", "share"])
+
+
+def labelled_grams(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS,
+                   key: str = "doc_id", text: str = "text", seed: int = 7) -> pa.Table:
+    """Label and n-gram shares of the chosen rows, in order of their keys; a row has as many numbers as buckets at most."""
+    found = labelled_docs(docs, labels, label, max_rows, key, text, seed)
+    kind = found.schema["key"].dataType.simpleString()
+    return found.mapInArrow(_grams, f"key {kind}, label int, bucket array<int>, share array<float>").orderBy("key").toArrow()
+
+
+def fit(rows: pa.Table, steps: int = 200, rate: float = 0.5, decay: float = 1e-5, seed: int = 7) -> Model:
+    """Train on ``labelled_grams``: full-batch Adagrad, classes weighted equally; a fifth of the rows calibrates."""
+    y = rows["label"].to_numpy().astype(np.float64)
     if len(set(y.tolist())) < 2:
         return Model(np.zeros(features.BUCKETS), 0.0)
-    at, value, owner = [], [], []
-    for i, (_, text) in enumerate(rows):
-        bucket, n, n_word, n_char = features.one_text(text)
-        at.append(bucket)
-        value.append(n / np.where(bucket < features.WORD_BUCKETS, max(n_word, 1), max(n_char, 1)))
-        owner.append(np.full(len(bucket), i))
-    at, value, owner = np.concatenate(at), np.concatenate(value), np.concatenate(owner).astype(np.int64)
+    lists = rows["bucket"].combine_chunks()
+    at = lists.flatten().to_numpy()
+    value = rows["share"].combine_chunks().flatten().to_numpy().astype(np.float64)
+    owner = np.repeat(np.arange(len(y)), np.diff(np.asarray(lists.offsets)))
     held = np.random.default_rng(seed).random(len(y)) < 0.2
     if len(set(y[~held].tolist())) < 2 or len(set(y[held].tolist())) < 2:
         held[:] = False

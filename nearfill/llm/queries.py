@@ -73,7 +73,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, base rule and calibrated n-gram model over all documents."""
     docs = _read(spark, sf_dir, "documents")
-    model = quality_rules.fit(quality_rules.labelled_texts(docs, _read(spark, sf_dir, "labels")))
+    model = quality_rules.fit(quality_rules.labelled_grams(docs, _read(spark, sf_dir, "labels")))
     q = quality_rules.scored(docs.select("doc_id", "text"), model)
     return q.select("doc_id", "quality.n_words", "quality.word_chars", "quality.n_symbols", "quality.n_dup_lines",
                     "quality.n_repeat_words", "quality.base_failed", "quality.kept", "quality.p_good")

@@ -54,7 +54,7 @@ def test_counts_equal_plain_python(spark):
 
 def test_rules_on_held_out_rows(spark):
     rows, docs, labels = frames(spark)
-    model = quality_rules.fit(quality_rules.labelled_texts(docs, labels))
+    model = quality_rules.fit(quality_rules.labelled_grams(docs, labels))
     kept = {r.doc_id for r in quality_rules.keep(docs, model).collect()}
     held = [(i, q) for i, _, _, q in rows if i % 2]
     assert all((i in kept) == (q == 1) for i, q in held)
@@ -81,8 +81,8 @@ def test_without_labels_and_without_documents(spark):
     _, docs, labels = frames(spark)
     none = labels.where("false")
     assert importance.resample(docs, importance.fit(docs, none)).where("kept").count() == docs.count()
-    rows = quality_rules.labelled_texts(docs, none)
-    assert rows == [] and quality_rules.fit(rows).probability(*[np.zeros(1)] * 4)[0] == 0.5
+    rows = quality_rules.labelled_grams(docs, none)
+    assert len(rows) == 0 and quality_rules.fit(rows).probability(*[np.zeros(1)] * 4)[0] == 0.5
     assert importance.resample(docs.where("false"), importance.fit(docs.where("false"), none)).count() == 0
 
 
