@@ -34,7 +34,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = quality_rules.labelled_texts(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    rows = quality_rules.labelled_grams(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
     return quality_rules.keep(docs, quality_rules.fit(rows))
 
 
