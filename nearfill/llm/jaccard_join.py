@@ -175,27 +175,47 @@ def _exact(percent: int):
     return run
 
 
+def _padded(lists: pa.ChunkedArray) -> np.ndarray:
+    """Sorted lists as rows of one matrix, filled up with the largest integer."""
+    col = lists.combine_chunks()
+    ends = np.asarray(col.offsets)
+    size = np.diff(ends)
+    out = np.full((len(size), int(size.max())), np.iinfo(np.int64).max)
+    out[np.arange(out.shape[1]) < size[:, None]] = np.asarray(col.values)[ends[0]:ends[-1]]
+    return out
+
+
 def _tile_pairs(percent: int):
-    """Pairs across components of two blocks of one tile that sizes and bitmaps allow."""
+    """Pairs across components of two blocks of one tile that sizes and bitmaps allow.
+
+    A pair is found in several tiles; it is returned in that of its smallest common token.
+    """
     def run(key: tuple[pa.Scalar, ...], block: pa.Table) -> pa.Table:
+        token, tile = key[0].as_py(), key[1].as_py()
         side = np.asarray(block["side"])
-        c, comp, n = (np.asarray(block[x]).astype(np.int64) for x in ("c", "comp", "n"))
+        c, comp, n, band = (np.asarray(block[x]).astype(np.int64) for x in ("c", "comp", "n", "band"))
         maps = [np.frombuffer(x.as_buffer(), np.uint64) for x in block["bits"]]
         width = min(len(m) for m in maps)
         maps = np.stack([_fold(m, width) for m in maps])
+        own = _padded(block["own"])
         left, right = np.flatnonzero(side <= 1), np.flatnonzero(side >= 1)  # side 1: both, a block with itself
-        out_a, out_b = [], []
+        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i in left.tolist():
             need = _needed(n[i], n[right], percent)
-            j = right[(comp[right] != comp[i]) & (np.minimum(n[right], n[i]) >= need) & ((side[i] != 1) | (c[right] > c[i]))]
-            if len(j):
-                only_i = np.bitwise_count(maps[i] & ~maps[j]).sum(axis=1, dtype=np.int64)
-                only_j = np.bitwise_count(maps[j] & ~maps[i]).sum(axis=1, dtype=np.int64)
-                j = j[np.minimum(n[i] - only_i, n[j] - only_j) >= _needed(n[i], n[j], percent)]
-                out_a.append(np.minimum(c[i], c[j]))
-                out_b.append(np.maximum(c[i], c[j]))
-        empty = [np.zeros(0, np.int64)]
-        return pa.table({"a": np.concatenate(out_a or empty), "b": np.concatenate(out_b or empty)})
+            j = right[(comp[right] != comp[i]) & (np.minimum(n[right], n[i]) >= need) & ((side[i] != 1) | (c[right] > c[i]))
+                      & (np.minimum(band[right], band[i]) == tile)]
+            if not len(j):
+                continue
+            only_i = np.bitwise_count(maps[i] & ~maps[j]).sum(axis=1, dtype=np.int64)
+            only_j = np.bitwise_count(maps[j] & ~maps[i]).sum(axis=1, dtype=np.int64)
+            j = j[np.minimum(n[i] - only_i, n[j] - only_j) >= _needed(n[i], n[j], percent)]
+            if not len(j):
+                continue
+            common = own[i][np.minimum(np.searchsorted(own[i], own[j]), own.shape[1] - 1)] == own[j]
+            j = j[own[j, common.argmax(axis=1)] == token]
+            out_a.append(np.minimum(c[i], c[j]))
+            out_b.append(np.maximum(c[i], c[j]))
+        return pa.table({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
     return run
 
 
@@ -290,13 +310,15 @@ def _small_tile_pairs(members: DataFrame, percent: int) -> DataFrame:
 def _large_tile_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) across components of large tiles that sizes and bitmaps allow; tiles are cut into blocks."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    m = (members.where(F.col("size") > SMALL_TILE).withColumn("blocks", blocks)
-         .withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
-         .join(sets.select("c", "bits"), "c")
+    large = members.where(F.col("size") > SMALL_TILE)
+    own = large.groupBy("c").agg(F.array_sort(F.collect_set("token")).alias("own"))
+    m = (large.withColumn("blocks", blocks)
+         .withColumn("part", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
+         .join(sets.select("c", "bits").join(own, "c"), "c")
          .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-         .select("token", "tile", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
-                 F.when(F.col("own") == F.col("other"), 1).when(F.col("own") < F.col("other"), 0).otherwise(2).alias("side"),
-                 "c", "comp", "n", "bits"))
+         .select("token", "tile", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
+                 F.when(F.col("part") == F.col("other"), 1).when(F.col("part") < F.col("other"), 0).otherwise(2).alias("side"),
+                 "c", "comp", "n", "band", "bits", "own"))
     return m.groupBy("token", "tile", "p", "q").applyInArrow(_tile_pairs(percent), "a long, b long")
 
 
