@@ -308,18 +308,32 @@ def _small_tile_pairs(members: DataFrame, percent: int) -> DataFrame:
 
 
 def _large_tile_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) across components of large tiles that sizes and bitmaps allow; tiles are cut into blocks."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    """Pairs (a, b) across components of large tiles that sizes and bitmaps allow.
+
+    A tile's largest component is cut into blocks, as are its other members: blocks
+    of the one meet blocks of the others, and the others' blocks meet each other;
+    members of the largest component never meet among themselves.
+    """
     large = members.where(F.col("size") > SMALL_TILE)
-    own = large.groupBy("c").agg(F.array_sort(F.collect_set("token")).alias("own"))
-    m = (large.withColumn("blocks", blocks)
-         .withColumn("part", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
-         .join(sets.select("c", "bits").join(own, "c"), "c")
-         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-         .select("token", "tile", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
-                 F.when(F.col("part") == F.col("other"), 1).when(F.col("part") < F.col("other"), 0).otherwise(2).alias("side"),
-                 "c", "comp", "n", "band", "bits", "own"))
-    return m.groupBy("token", "tile", "p", "q").applyInArrow(_tile_pairs(percent), "a long, b long")
+    on = ["token", "tile"]
+    main = (large.groupBy(*on, "comp").agg(F.count(F.lit(1)).alias("n_comp")).groupBy(*on)
+            .agg(F.max(F.struct("n_comp", "comp")).alias("top"), F.sum("n_comp").alias("n_all"))
+            .select(*on, F.col("top.comp").alias("main"), F.ceil(F.col("top.n_comp") / BLOCK).cast("int").alias("main_blocks"),
+                    F.ceil((F.col("n_all") - F.col("top.n_comp")) / BLOCK).cast("int").alias("blocks")))
+    place = lambda n: F.pmod(F.xxhash64("c"), F.col(n)).cast("int")
+    each = lambda n, f: F.transform(F.sequence(F.lit(0), F.col(n) - 1), f)
+    at = lambda kind, p, q, side: F.struct(F.lit(kind).alias("kind"), p.alias("p"), q.alias("q"), side.alias("side"))
+    own, zero, two = F.col("part"), F.lit(0), F.lit(2)
+    among = each("blocks", lambda x: at(1, F.least(own, x), F.greatest(own, x), F.when(own == x, 1).when(own < x, 0).otherwise(2)))
+    spots = F.when(F.col("comp") == F.col("main"), each("blocks", lambda x: at(0, own, x, zero))).otherwise(
+        F.concat(each("main_blocks", lambda x: at(0, x, own, two)), among))
+    lists = large.groupBy("c").agg(F.array_sort(F.collect_set("token")).alias("own"))
+    m = (large.join(main, on)
+         .withColumn("part", F.when(F.col("comp") == F.col("main"), place("main_blocks")).otherwise(place("blocks")))
+         .join(sets.select("c", "bits").join(lists, "c"), "c")
+         .withColumn("spot", F.explode(spots))
+         .select(*on, "spot.kind", "spot.p", "spot.q", "spot.side", "c", "comp", "n", "band", "bits", "own"))
+    return m.groupBy(*on, "kind", "p", "q").applyInArrow(_tile_pairs(percent), "a long, b long")
 
 
 def _cross_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -14,21 +14,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: A step's shuffle files go when it ends; Arrow batches are small enough for two tasks in a small executor.
+_SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+             "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
 
 
 @contextmanager
-def shuffle_cleanup(spark: SparkSession) -> Iterator[None]:
-    """Drop a query's shuffle files when it ends, for as long as the block runs."""
-    old = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+def step_settings(spark: SparkSession) -> Iterator[None]:
+    """The session with ``_SETTINGS`` for as long as the block runs."""
+    old = {k: spark.conf.get(k, None) for k in _SETTINGS}
+    for k, v in _SETTINGS.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if old is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -40,7 +44,7 @@ def table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    with shuffle_cleanup(spark):
+    with step_settings(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
