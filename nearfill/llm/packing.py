@@ -18,7 +18,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -105,8 +104,7 @@ def _packed(path: str, end_id: int, capacity: int):
 
         for batch in batches:
             key_type, names = batch.schema.field(0).type, [batch.schema.field(0).name, *_NAMES]
-            texts = pc.fill_null(batch.column(1), "").to_pylist()
-            for key, found in zip(batch.column(0).to_pylist(), enc.encode(texts)):
+            for key, found in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1))):
                 found = np.append(found, np.uint32(end_id))
                 for at in range(0, len(found), capacity):
                     keys.append(key)

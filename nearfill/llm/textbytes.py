@@ -16,13 +16,12 @@ import pyarrow.compute as pc
 
 #: Texts are handled in slices of about this many bytes (one longer text is one slice).
 SLICE_BYTES = 1 << 20
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: Byte classes: True where a byte belongs to a word ``[^\x20\x09-\x0D]+``.
 WORD_BYTES = ~_WHITE
-_power: dict[str, np.ndarray] = {}
+_power: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -34,23 +33,24 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _byte_values(fold: bool) -> np.ndarray:
-    v = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
+def _byte_values(which: int, fold: bool) -> np.ndarray:
+    v = mix64(np.arange(1 + 256 * which, 257 + 256 * which, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
     if fold:
         v[65:91] = v[97:123]
     return v
 
 
-_VALUES = {False: _byte_values(False), True: _byte_values(True)}
+_VALUES = {(w, fold): _byte_values(w, fold) for w in (0, 1) for fold in (False, True)}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_power.get("up", ())) < n:
-        size = max(n, SLICE_BYTES + 1024)
-        up, down = np.full(size, _BASE), np.full(size, _BASE_INV)
+def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base and of its inverse, kept for the largest slice so far."""
+    if which not in _power or len(_power[which][0]) < n:
+        size, base = max(n, SLICE_BYTES + 1024), _BASES[which]
+        up, down = np.full(size, np.uint64(base)), np.full(size, np.uint64(pow(base, -1, 1 << 64)))
         up[0] = down[0] = 1
-        _power["up"], _power["down"] = np.cumprod(up), np.cumprod(down)
-    return _power["up"], _power["down"]
+        _power[which] = np.cumprod(up), np.cumprod(down)
+    return _power[which]
 
 
 @dataclass
@@ -86,12 +86,12 @@ def slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[Texts]:
 
 
 class Spans:
-    """Hashes of byte spans from one running sum; ``fold`` reads A-Z as a-z."""
+    """Hashes of byte spans from one running sum; ``fold`` reads A-Z as a-z, ``which`` (0 or 1) chooses one of two hashes."""
 
-    def __init__(self, buf: np.ndarray, fold: bool = False):
-        up, self._down = _powers(len(buf) + 1)
+    def __init__(self, buf: np.ndarray, fold: bool = False, which: int = 0):
+        up, self._down = _powers(which, len(buf) + 1)
         self._sum = np.zeros(len(buf) + 1, dtype=np.uint64)
-        np.cumsum(_VALUES[fold][buf] * up[:len(buf)], out=self._sum[1:])
+        np.cumsum(_VALUES[which, fold][buf] * up[:len(buf)], out=self._sum[1:])
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         h = (self._sum[end] - self._sum[start]) * self._down[start]

@@ -35,11 +35,11 @@ def test_pieces_of_any_text(text):
 
 def test_a_full_cache_changes_nothing(monkeypatch):
     monkeypatch.setattr(encoding, "CACHE_PIECES", 3)
-    monkeypatch.setattr(encoding, "GROUP_CHARS", 10)
+    monkeypatch.setattr(encoding.textbytes.slices, "__defaults__", (10,))
     texts = [f"x{i} y{i % 5} z" for i in range(60)]
     enc = encoding.Encoder(BYTES)
     want = [e.ids for e in enc.tok.encode_batch(texts, add_special_tokens=False)]
-    assert [x.tolist() for x in enc.encode(texts)] == want and len(enc.at) <= 20
+    assert [x.tolist() for x in enc.encode(texts)] == want and enc.known <= 20
 
 
 @settings(max_examples=60, deadline=None)
