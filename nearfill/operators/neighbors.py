@@ -48,7 +48,8 @@ MAX_CELLS = 100_000
 QUERY_BLOCK = 4096
 
 def _pivot_count(n_refs: int) -> int:
-    return max(1, min(MAX_PIVOTS, int(2 * math.sqrt(max(n_refs, 1)))))
+    """About 2 sqrt(n), but cells of some hundred references at least: smaller ones cost more than they save."""
+    return max(1, min(MAX_PIVOTS, int(2 * math.sqrt(max(n_refs, 1))), n_refs // 128))
 
 
 def _unit(cols: Sequence[str]) -> list[Column]:

@@ -34,7 +34,9 @@ def test_entry_contract():
     import __spark_entry__ as e
     q, sql = e.queries(), e.oracle_sql()
     assert set(sql) <= set(q)
-    assert not any(n.startswith("pipeline") or n[:2] == "op" and n[2:3].isdigit() for n in q)
+    dealt = {n.split("_")[0] for n in q if n[:2] == "op" and n[2:3].isdigit()}
+    assert dealt == ({f"op{i}" for i in range(1, 11)} if e.subpackage("nearfill.llm") else set())
+    assert ("pipeline" in q) == e.subpackage("corpus_pipeline")
 
 
 def test_entry_smoke(spark):

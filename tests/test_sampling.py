@@ -34,7 +34,7 @@ def test_split_rejects_singleton_class(spark):
 
 
 def test_split_missing_target(spark):
-    with pytest.raises(ValueError, match="not found"):
+    with pytest.raises(ValueError, match="nope"):
         sampling.stratified_split(_labels(spark), "nope", ["id"])
 
 
