@@ -154,7 +154,7 @@ def _fit_one(rows: DataFrame, k: int, seed: int, max_iter: int, tol: float) -> _
     return _Fit(np.array(model.clusterCenters()), float(s.trainingCost), int(s.numIter), [int(n) for n in s.clusterSizes], model)
 
 
-def kmeans_search(data: DataFrame, classes: list, d: int, k_choices: dict, *, n_init: int = 3,
+def kmeans_search(data: DataFrame, classes: list, d: int, k_choices: dict, *, n_init: int = 1,
                   max_iter: int = 300, tol: float = 1e-4, seed: int = 42) -> ClusterSearch:
     """Fit every (class, k, restart) and keep, per class, the k of highest
     silhouette (first wins) with its lowest-cost restart.

@@ -57,7 +57,7 @@ class KMeansImputerModel:
 
 
 def fit(df: DataFrame, target: str, key: str, impute_cols: Sequence[str], *, n_clusters: int | None = None,
-        class_aware: bool = True, seed: int = 42, sentinel=0, n_init: int = 3, max_iter: int = 300,
+        class_aware: bool = True, seed: int = 42, sentinel=0, n_init: int = 1, max_iter: int = 300,
         tol: float = 1e-4, k_range: Sequence[int] = DEFAULT_K_RANGE, fill_stats: str = "batch",
         features: Sequence[str] | None = None) -> KMeansImputerModel:
     """IM-01 (class-aware) / CL-03 (global model when ``class_aware`` is False or no target)."""
