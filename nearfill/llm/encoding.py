@@ -19,7 +19,7 @@ import pyarrow as pa
 from . import textbytes
 
 #: Pieces that a worker keeps; further ones are encoded again in every slice of texts.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 250_000
 _PROBES = 24
 _GROUP = 256
 _APART = (0x20, 0x0A)

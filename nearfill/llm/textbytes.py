@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are handled in slices of about this many bytes (one longer text is one slice).
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
