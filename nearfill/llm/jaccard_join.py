@@ -16,8 +16,8 @@ Method
      linked pair survives on both sides, so no link is lost, and lines or passages
      that very many documents share no longer bring them together.
   3. Classes with a common token meet in size-banded tiles: bands of ratio 1/t,
-     tile b holding bands b and b + 1.  First every member meets one chosen member
-     of its tile.  Then only tiles whose members are still in different components
+     tile b holding bands b and b + 1.  In three rounds every member meets one
+     chosen member of its tile that is in another component.  Then only tiles whose members are still in different components
      compare members across components: small tiles by an equi-join that counts the
      tokens a pair has in common (which bounds the overlap from above too), large
      ones in blocks.
@@ -261,8 +261,13 @@ def _with_component(tiles: DataFrame, component: DataFrame | None) -> DataFrame:
 
 
 def _open_tiles(members: DataFrame, salt: int) -> DataFrame:
-    """Tiles with members of more than one component, their size, and one member: the first by a salted hash."""
-    one = F.min(F.struct(F.xxhash64("c", F.lit(salt)).alias("o"), "c", "comp"))
+    """Tiles with members of more than one component, their size, and one member: the first by a salted hash.
+
+    At first a group's tiles choose alike, so that few pairs connect most of it; later ones (salt over 0)
+    choose by token too, so that a member still apart meets as many others as it has tokens.
+    """
+    by = F.xxhash64("c", F.lit(salt)) if not salt else F.xxhash64("c", "token", F.lit(salt))
+    one = F.min(F.struct(by.alias("o"), "c", "comp"))
     return (members.groupBy("token", "tile")
             .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"), one.alias("one"))
             .where("lo < hi").select("token", "tile", "size", F.col("one.c").alias("a"), F.col("one.comp").alias("comp_a")))
@@ -350,7 +355,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def class_links(docs: DataFrame, found: DataFrame, k: int = 5, percent: int = 75,
-                key: str = "doc_id", text: str = "text", star_rounds: int = 2) -> DataFrame:
+                key: str = "doc_id", text: str = "text", star_rounds: int = 3) -> DataFrame:
     """Steps 2 to 4: (node, component) of the classes that link with another one."""
     shared = stages.table(shared_tokens(found, percent), "tokens")
     reps = found.join(shared.select("c").distinct(), "c", "left_semi").select("c", F.col("rep").alias("id"), "d1", "d2")
