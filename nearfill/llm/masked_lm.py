@@ -8,9 +8,11 @@ document's score is the sum over all its tokens of the log probability given
 both sides.
 
 Training runs in ``ROUNDS`` over all documents: in each, every task starts from the
-shared weights, masks every fourth token (another quarter each round), descends
-in numpy over its own documents, and sends its weights with the number of tokens
-seen; their weighted mean is the next start.  The averages are summed per weight
+shared weights, masks one token of every four (of every n with n rounds; which one
+is hashed from the place and turns with the round, so that each token is a target
+once and each round sees all columns of a periodic text), descends in numpy over
+its own documents, and sends its weights with the number of tokens seen; their
+weighted mean is the next start.  The averages are summed per weight
 before and after the shuffle, so what is gathered grows with the number of tasks
 and only ``PARAMETERS`` numbers reach the driver.
 
@@ -35,7 +37,7 @@ GROUPS = 32
 VOCABULARY = GROUPS * GROUPS
 WIDTH = 16
 PLACES = (-2, -1, 1, 2)
-ROUNDS = 2
+ROUNDS = 4
 BATCH = 2048
 RATE = 0.15
 _EDGE = VOCABULARY  # stands beyond a text's first and last word
@@ -134,7 +136,13 @@ def descend(w: Weights, past: Weights, token: np.ndarray, context: np.ndarray) -
         w[name] -= (RATE * g / np.sqrt(past[name])).astype(np.float32)
 
 
-def _trained(start: np.ndarray, number: int):
+def _round(place: np.ndarray, rounds: int) -> np.ndarray:
+    """The round in which the token at each place is a target."""
+    turn = (place // rounds).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)
+    return (place + turn.astype(np.int64)) % rounds
+
+
+def _trained(start: np.ndarray, number: int, rounds: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = unflatten(start)
         past = {name: np.full(shape, 1e-6) for name, shape in _SHAPES.items()}
@@ -143,7 +151,7 @@ def _trained(start: np.ndarray, number: int):
             for t in textbytes.slices(batch.column(0)):
                 token, context, first = tokens(t)
                 place = np.arange(len(token)) - np.repeat(first[:-1], np.diff(first))
-                masked = np.flatnonzero(place % 4 == number % 4)
+                masked = np.flatnonzero(_round(place, rounds) == number)
                 for i in range(0, len(masked), BATCH):
                     descend(w, past, token[masked[i:i + BATCH]], context[masked[i:i + BATCH]])
                 seen += len(masked)
@@ -158,7 +166,7 @@ def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, seed: int =
     vector = initial(seed)
     read = docs.select(F.col(text).cast("string"))
     for number in range(rounds):
-        sent = read.mapInArrow(_trained(vector, number), "seen long, weights array<float>")
+        sent = read.mapInArrow(_trained(vector, number, rounds), "seen long, weights array<float>")
         mean = (sent.select("seen", F.posexplode("weights").alias("at", "weight")).groupBy("at")
                 .agg((F.sum(F.col("seen") * F.col("weight").cast("double")) / F.sum("seen")).alias("weight")).toArrow())
         if len(mean):

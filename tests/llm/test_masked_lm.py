@@ -57,6 +57,28 @@ def test_training_learns_both_sides(spark):
     assert masked_lm.score(shuffled, trained).first().mean_log_likelihood < mean(trained)
 
 
+def test_every_token_is_a_target_once_in_each_number_of_rounds():
+    place = np.arange(4096)
+    for rounds in (1, 2, masked_lm.ROUNDS, 5):
+        of = masked_lm._round(place, rounds)
+        assert set(of) == set(range(rounds)) and (np.sort(of[:rounds * 800].reshape(-1, rounds)) == np.arange(rounds)).all()
+        for period in (2, 3, 4):
+            for number in range(rounds):
+                assert np.bincount(place[of == number] % period, minlength=period).min() > 4096 / rounds / period / 2
+
+
+def test_every_place_of_a_text_is_learnt_by_default(spark):
+    columns = [[f"{c}{i}" for i in range(3)] for c in "abcd"]
+    rnd = random.Random(1)
+    texts = [" ".join(rnd.choice(words) for _ in range(300) for words in columns) for _ in range(300)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], SCHEMA).repartition(2)
+    token, context, _ = masked_lm.tokens(next(iter(textbytes.slices(pa.array(texts[:1])))))
+    start, trained = (masked_lm.log_probabilities(masked_lm.unflatten(v), token, context)
+                      for v in (masked_lm.initial(3), masked_lm.train(docs)))
+    for place in range(4):
+        assert trained[place::4].mean() > start[place::4].mean() + 1
+
+
 def test_gradient_is_the_slope():
     rng = np.random.default_rng(4)
     w = masked_lm.unflatten(masked_lm.initial(5))
