@@ -1,3 +1,5 @@
+import inspect
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -148,3 +150,15 @@ def test_knn_imputer_small_class_fallback(spark):
     got = impute_knn.transform(m, df).toPandas().set_index("id")
     assert got.loc[4, "p"] == 4.0  # class 1 has 2 < k rows → global median of non-zero p
     assert got.loc[1, "p"] == 4.0  # class 0 has 2 donors < k → global median
+
+
+def test_more_restarts_never_raise_the_inertia_and_ten_are_the_default(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(0, 4, (9, 2))  # uneven and overlapping
+    xs = np.concatenate([rng.normal(c, 0.8, (n, 2)) for c, n in zip(centres, (120, 60, 30, 15, 10, 8, 6, 5, 4))])
+    df = spark.createDataFrame([(0, float(a), float(b)) for a, b in xs], "_cls int, _x0 double, _x1 double").persist()
+    found = [clustering.kmeans_search(df, [None], 2, {0: [8]}, **kw).inertia[None] for kw in ({"n_init": 1}, {"n_init": 3}, {"n_init": 10}, {})]
+    assert found[0] >= found[1] >= found[2] == found[3]
+    for fn in (clustering.kmeans_search, impute_kmeans.fit):
+        assert inspect.signature(fn).parameters["n_init"].default == 10
+    df.unpersist()
