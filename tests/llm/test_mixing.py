@@ -59,3 +59,42 @@ def test_wrong_weights_are_refused(spark):
         mixing.mix(docs, {"a": 1})
     with pytest.raises(ValueError):
         mixing.mix(docs, period=1)
+
+
+@pytest.mark.parametrize("small", [900, 1500])  # each below one part of 1000, and more sources than slots
+def test_a_hot_source_keeps_its_weight_beside_many_small_ones(spark, small):
+    docs = frame(spark, {"hot": small // 2, **{f"t{i}": 1 for i in range(small)}})
+    rows = mixing.positions(docs, alpha=1, block_docs=1).collect()
+    assert {r.doc_id for r in rows} == set(range(small // 2 + small))
+    blocks = {r["__slot"]: r["source"] for r in rows}
+    assert len(blocks) == len(rows)  # no slot is used twice
+    seen = Counter()
+    for n, t in enumerate(sorted(blocks), 1):
+        seen[blocks[t] == "hot"] += 1
+        assert abs(seen[True] - n / 3) < 5
+    times = Counter(blocks.values())
+    assert max(times[f"t{i}"] for i in range(small)) <= 2
+
+
+def test_sources_far_below_one_part_are_not_repeated(spark):
+    docs = frame(spark, {"big": 400, "tiny": 1, "wee": 1})
+    rows = mixing.positions(docs, {"big": 398, "tiny": 1, "wee": 1}, block_docs=1, period=10).collect()
+    times = Counter(r["source"] for r in rows)
+    assert len({r["__slot"] for r in rows}) == len(rows) and {r.doc_id for r in rows} == set(range(402))
+    assert times["tiny"] <= 2 and times["wee"] <= 2
+
+
+def test_every_tree_gives_each_source_its_weight():
+    for share in ([1.0], [1.0] * 5000, [1e6, 1.0], [1e9, 1e3, 1.0, 1.0], [float(i % 7 + 1) for i in range(3000)] + [4e4]):
+        nodes, _ = mixing._tree(share, 1000)
+        rate, got = {0: 1.0}, {}
+        for at, members in enumerate(nodes):
+            assert sum(p for p, _, _ in members) == 1000 and len(members) <= 1000
+            for p, i, n in members:
+                if i is not None:
+                    got[i] = rate[at] * p / 1000
+                elif n is not None:
+                    rate[n] = rate[at] * p / 1000
+        assert sorted(got) == list(range(len(share)))
+        for i, s in enumerate(share):
+            assert abs(got[i] / (s / sum(share)) - 1) < 0.2  # parts are whole on each level
