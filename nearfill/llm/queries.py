@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import importance, jaccard_join, license_rules, license_scan, masked_lm, mixing, multi_index, packing, quality_rules, token_files, warc
+from . import importance, jaccard_join, license_rules, license_scan, masked_lm, mixing, multi_index, packing, quality_rules, token_files, turn_repair, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "quality.n_repeat_words", "quality.base_failed", "quality.kept", "quality.p_good")
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of every damaged conversation: faults, cost, edits and a digest of the repaired turns."""
+    return turn_repair.report(turn_repair.damaged(_read(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_jaccard_join": op2_jaccard_join,
@@ -90,6 +95,7 @@ QUERIES = {
     "op8_multi_index": op8_multi_index,
     "op9_token_files": op9_token_files,
     "op10_quality_rules": op10_quality_rules,
+    "op11_turn_repair": op11_turn_repair,
 }
 _MIXING_SQL = """
 WITH RECURSIVE c AS (
@@ -131,6 +137,73 @@ SELECT doc_id, source, CAST(block AS BIGINT) AS block, CAST(epoch AS BIGINT) AS
 FROM x"""
 
 
+_TURN_REPAIR_SQL = r"""
+WITH RECURSIVE tab AS (
+    SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0],
+               lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))) AS t),
+src AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+num AS (
+    SELECT src.*, xor(4294967295, list_reduce([4294967295] || list_transform(range(1, len(k) + 1), lambda i: CAST(ord(k[i]) AS BIGINT)),
+               lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 20 AS f FROM src, tab),
+dmg AS (
+    SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+           CASE WHEN f = 1 THEN '' WHEN f = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(range(CASE WHEN f = 0 THEN 0 WHEN f = 3 THEN 2 ELSE 1 END)) AS copy FROM num),
+ord AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+           rtrim(text, E'\t\n\x0b\x0c\r ') AS bare FROM dmg),
+flt AS (
+    SELECT *, left(role, 1) AS ini, CASE WHEN bare = '' THEN 'blank'
+           WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+           WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+           lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM ord),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+agg AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (i > 1 AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal,
+           list({'ini': ini, 'must': fault IN ('blank', 'duplicate'), 'x': CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END,
+                 'role': role, 'text': text} ORDER BY i) AS rs FROM flt GROUP BY conv_id),
+dp(conv_id, i, e, s, u, a) AS (
+    SELECT conv_id, len(rs), {'c': 0, 't': ''}, {'c': 10, 't': 'II'}, {'c': 5, 't': 'I'}, {'c': 0, 't': ''} FROM agg
+    UNION ALL
+    SELECT conv_id, i, least(be, {'c': 5 + nu.c, 't': 'I' || nu.t}), least(bs, {'c': 5 + nu.c, 't': 'I' || nu.t}), nu, na FROM (
+        SELECT *, least(bu, {'c': 5 + ba.c, 't': 'I' || ba.t}) AS nu, least(ba, {'c': 5 + bu.c, 't': 'I' || bu.t}) AS na FROM (
+            SELECT conv_id, i - 1 AS i,
+                list_min(list_filter([{'c': 2 + e.c, 't': 'D' || e.t},
+                    CASE WHEN NOT r.must AND r.ini = 's' THEN {'c': r.x + s.c, 't': 'K' || s.t} END,
+                    CASE WHEN NOT r.must AND r.ini = 'u' THEN {'c': r.x + u.c, 't': 'K' || u.t} END,
+                    CASE WHEN NOT r.must THEN {'c': 1 + r.x + u.c, 't': 'R' || u.t} END], lambda z: z IS NOT NULL)) AS be,
+                list_min(list_filter([{'c': 2 + s.c, 't': 'D' || s.t},
+                    CASE WHEN NOT r.must AND r.ini = 'u' THEN {'c': r.x + u.c, 't': 'K' || u.t} END,
+                    CASE WHEN NOT r.must THEN {'c': 1 + r.x + u.c, 't': 'R' || u.t} END], lambda z: z IS NOT NULL)) AS bs,
+                list_min(list_filter([{'c': 2 + u.c, 't': 'D' || u.t},
+                    CASE WHEN NOT r.must AND r.ini = 'a' THEN {'c': r.x + a.c, 't': 'K' || a.t} END,
+                    CASE WHEN NOT r.must THEN {'c': 1 + r.x + a.c, 't': 'R' || a.t} END], lambda z: z IS NOT NULL)) AS bu,
+                list_min(list_filter([{'c': 2 + a.c, 't': 'D' || a.t},
+                    CASE WHEN NOT r.must AND r.ini = 'u' THEN {'c': r.x + u.c, 't': 'K' || u.t} END,
+                    CASE WHEN NOT r.must THEN {'c': 1 + r.x + u.c, 't': 'R' || u.t} END], lambda z: z IS NOT NULL)) AS ba
+            FROM (SELECT dp.*, rs[dp.i] AS r FROM dp JOIN agg ON dp.conv_id IS NOT DISTINCT FROM agg.conv_id WHERE dp.i > 0)))),
+best AS (SELECT conv_id, e.c AS cost, e.t AS audit FROM dp WHERE i = 0),
+ltr AS (
+    SELECT b.conv_id, rs, j, audit[j] AS l, len(replace(audit[1:j], 'I', '')) AS row, len(replace(audit[1:j - 1], 'D', '')) AS n,
+           CASE WHEN audit LIKE '%K%' AND rs[len(replace(regexp_extract(audit, '^[^KRI]*K'), 'I', ''))].ini = 's' THEN 1 ELSE 0 END AS sys
+    FROM (SELECT *, unnest(range(1, len(audit) + 1)) AS j FROM best) b JOIN agg ON b.conv_id IS NOT DISTINCT FROM agg.conv_id),
+txt AS (
+    SELECT conv_id, string_agg(CASE WHEN l = 'K' THEN rs[row].role WHEN (n - sys) % 2 = 0 THEN 'user' ELSE 'assistant' END
+               || ':' || CASE WHEN l = 'I' THEN '' ELSE rs[row].text END, E'\n' ORDER BY j) AS t
+    FROM ltr WHERE l <> 'D' GROUP BY conv_id)
+SELECT ids.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit,
+       sha256(coalesce(t, '')) AS repaired_sha256
+FROM ids LEFT JOIN agg ON ids.conv_id IS NOT DISTINCT FROM agg.conv_id
+LEFT JOIN best ON ids.conv_id IS NOT DISTINCT FROM best.conv_id LEFT JOIN txt ON ids.conv_id IS NOT DISTINCT FROM txt.conv_id"""
+
+
 def _license_sql() -> str:
     """The scan as SQL: every rule at every anchor, then suppression by a self-join."""
     quote = lambda x: "'" + x.replace("'", "''") + "'"
@@ -169,6 +242,7 @@ FROM t LEFT JOIN k USING (id) GROUP BY id, doc_id, w"""
 ORACLE: dict[str, str] = {
     "op1_license_scan": _license_sql(),
     "op3_mixing": _MIXING_SQL,
+    "op11_turn_repair": _TURN_REPAIR_SQL,
     "op6_warc": """
 WITH p AS (
     SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
