@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import importance, jaccard_join, license_rules, license_scan, masked_lm, mixing, multi_index, packing, quality_rules, token_files, turn_repair, warc
+from . import importance, jaccard_join, license_rules, license_scan, masked_lm, mixing, multi_index, packing, quality_rules, token_files, turn_repair, warc, window_dedup
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +84,11 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.report(turn_repair.damaged(_read(spark, sf_dir, "conversations")))
 
 
+def op12_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents left after windows of 20 words that also start earlier are taken out."""
+    return window_dedup.report(_read(spark, sf_dir, "documents"), window=20)
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_jaccard_join": op2_jaccard_join,
@@ -96,6 +101,7 @@ QUERIES = {
     "op9_token_files": op9_token_files,
     "op10_quality_rules": op10_quality_rules,
     "op11_turn_repair": op11_turn_repair,
+    "op12_window_dedup": op12_window_dedup,
 }
 _MIXING_SQL = """
 WITH RECURSIVE c AS (
@@ -243,6 +249,19 @@ ORACLE: dict[str, str] = {
     "op1_license_scan": _license_sql(),
     "op3_mixing": _MIXING_SQL,
     "op11_turn_repair": _TURN_REPAIR_SQL,
+    "op12_window_dedup": r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT r, doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+n AS (SELECT r, doc_id, i, w[i] AS word, CASE WHEN i + 19 <= len(w) THEN sha256(array_to_string(w[i:i + 19], ' ')) END AS s FROM p),
+m AS (SELECT *, s IS NOT NULL AND row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1 AS later FROM n),
+c AS (
+    SELECT *, coalesce(max(CASE WHEN later THEN i END) OVER (PARTITION BY r ORDER BY i) >= i - 19, false) AS gone FROM m),
+a AS (
+    SELECT r, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM c GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN a USING (r)""",
     "op6_warc": """
 WITH p AS (
     SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
