@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import importance, jaccard_join, license_rules, license_scan, masked_lm, mixing, multi_index, packing, quality_rules, token_files, turn_repair, warc, window_dedup
+from . import hard_negatives, importance, jaccard_join, license_rules, license_scan, masked_lm, mixing, multi_index, packing, quality_rules, token_files, turn_repair, warc, window_dedup
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +89,14 @@ def op12_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.report(_read(spark, sf_dir, "documents"), window=20)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives in the score windows of the positives of every row whose vec_id is divisible by 100."""
+    vectors = _read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.whole_rows(vectors.withColumn("label", moved), scale=256)
+    return hard_negatives.mine(rows, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_jaccard_join": op2_jaccard_join,
@@ -102,6 +110,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_turn_repair": op11_turn_repair,
     "op12_window_dedup": op12_window_dedup,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 _MIXING_SQL = """
 WITH RECURSIVE c AS (
@@ -262,6 +271,23 @@ a AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN a USING (r)""",
+    "op13_hard_negatives": """
+WITH r AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT a.vec_id AS anchor_id, a.label AS al, b.vec_id, b.label AS bl, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE al = bl
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE al <> bl AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5""",
     "op6_warc": """
 WITH p AS (
     SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
