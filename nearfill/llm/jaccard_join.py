@@ -31,7 +31,8 @@ m*m/2): components are what the join returns.
 Defined results: a null or empty text, or one without words, has an empty set
 and links with nothing; a null key links with nothing and has a null component;
 repeated rows are one document; a key with several different texts links what
-any of its texts links; an empty table gives an empty table.  Columns other than
+any of its texts links (``keep_one`` treats these texts as documents of their own);
+an empty table gives an empty table.  Columns other than
 key and text are not read.
 """
 from __future__ import annotations
@@ -42,7 +43,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -52,7 +53,7 @@ from . import graph, stages, textbytes
 BLOCK = 512
 #: Tiles up to this size are joined pair by pair, larger ones block by block; the pairs found are the same.
 SMALL_TILE = 64
-_PREFIXES = "id long, n int, d1 long, d2 long, prefix array<long>"
+_PREFIXES = "id long, x long, n int, d1 long, d2 long, prefix array<long>"
 _SETS = "c long, n int, bits binary, tokens array<long>"
 
 
@@ -109,7 +110,7 @@ def _list_array(parts: list[np.ndarray]) -> pa.ListArray:
 def _prefixes(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t in textbytes.slices(batch.column(1)):
+            for t in textbytes.slices(batch.column("text")):
                 n, low, high, prefix = [], [], [], []
                 for s in textbytes.shingle_sets(t, k):
                     d1, d2 = _digest(s)
@@ -118,8 +119,8 @@ def _prefixes(k: int, percent: int):
                     high.append(d2)
                     prefix.append(s[:_prefix_size(len(s), percent)])
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(t.first, t.count), pa.array(n, pa.int32()), pa.array(low, pa.int64()),
-                    pa.array(high, pa.int64()), _list_array(prefix)], names=["id", "n", "d1", "d2", "prefix"])
+                    batch.column("id").slice(t.first, t.count), batch.column("x").slice(t.first, t.count), pa.array(n, pa.int32()),
+                    pa.array(low, pa.int64()), pa.array(high, pa.int64()), _list_array(prefix)], names=["id", "x", "n", "d1", "d2", "prefix"])
     return run
 
 
@@ -219,12 +220,16 @@ def _tile_pairs(percent: int):
     return run
 
 
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def classes(docs: DataFrame, k: int = 5, percent: int = 75, key: str = "doc_id", text: str = "text"
             ) -> tuple[DataFrame, DataFrame]:
-    """Step 1: (rows (id, n, d1, d2), classes (c, rep, d1, d2, n, prefix)), both as tables."""
-    read = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    """Step 1: (rows (id, x, n, d1, d2), classes (c, rep, d1, d2, n, prefix)), both as tables; x is a hash of the text."""
+    read = docs.select(F.col(key).cast("long").alias("id"), _text_hash(F.col(text)).alias("x"), F.col(text).cast("string").alias("text"))
     full = stages.table(read.mapInArrow(_prefixes(k, percent), _PREFIXES), "prefixes")
-    rows = stages.table(full.select("id", "n", "d1", "d2"), "rows")
+    rows = stages.table(full.select("id", "x", "n", "d1", "d2"), "rows")
     found = stages.table(full.where("n > 0 and id is not null").groupBy("d1", "d2", "n")
                          .agg(F.min("id").alias("rep"), F.first("prefix").alias("prefix"))
                          .withColumn("c", F.monotonically_increasing_id()), "classes")
@@ -374,12 +379,33 @@ def class_links(docs: DataFrame, found: DataFrame, k: int = 5, percent: int = 75
     return component
 
 
-def components(docs: DataFrame, k: int = 5, percent: int = 75, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document row: (key, n_shingles, component_id); see the module's docstring."""
+def _components(docs: DataFrame, k: int, percent: int, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, classes, (c, component) of every class that has words)."""
     rows, found = classes(docs, k, percent, key, text)
     label = class_links(docs, found, k, percent, key, text)
-    named = (found.select("c", "rep", "d1", "d2").join(label, found.c == label.node, "left")
-             .select("c", "rep", "d1", "d2", F.coalesce("component", "c").alias("component")))
+    named = found.join(label, found.c == label.node, "left").select("c", "rep", "d1", "d2", F.coalesce("component", "c").alias("component"))
+    return rows, found, stages.table(named, "named")
+
+
+def _same_key(rows: DataFrame, named: DataFrame) -> DataFrame | None:
+    """Links (a, b) between the components that texts of one key are in; None if no key has different texts."""
+    texts = rows.where("n > 0 and id is not null")
+    several = stages.table(texts.groupBy("id").agg(*[f("d1") for f in (F.min, F.max)], *[f("d2") for f in (F.min, F.max)])
+                           .toDF("id", "a1", "b1", "a2", "b2").where("a1 <> b1 or a2 <> b2").select("id"), "several")
+    if several.isEmpty():
+        return None
+    of = texts.join(several, "id").join(named.select("d1", "d2", "component"), ["d1", "d2"]).select("id", "component").distinct()
+    least = of.groupBy("id").agg(F.min("component").alias("a"))
+    return of.join(least, "id").select("a", F.col("component").alias("b")).where("a <> b").distinct()
+
+
+def components(docs: DataFrame, k: int = 5, percent: int = 75, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document row: (key, n_shingles, component_id); see the module's docstring."""
+    rows, _, named = _components(docs, k, percent, key, text)
+    more = _same_key(rows, named)
+    if more is not None:
+        joined = graph.components(more).toDF("component", "joined")
+        named = named.join(joined, "component", "left").withColumn("component", F.coalesce("joined", "component")).drop("joined")
     low = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = named.join(low, "component").select("d1", "d2", "component_id")
     return (rows.select("id", "n", "d1", "d2").join(named, ["d1", "d2"], "left")
@@ -388,15 +414,18 @@ def components(docs: DataFrame, k: int = 5, percent: int = 75, key: str = "doc_i
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 75, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with one of each component left (its smallest key), all columns as they were.
+    """The documents with one of each group of linked texts left (its smallest key), all columns as they were.
 
-    Of several rows with one key the first by the hash of its columns stays;
-    rows with a null key all stay.
+    Different texts of one key are documents of their own here: a text goes only if the group that it is linked with keeps a row.
+    Of several rows with one key and text the first by the hash of its columns stays; rows with a null key all stay.
     """
-    heads = (components(docs, k, percent, key, text).where(F.col("component_id") == F.col(key))
-             .select(F.col(key).alias("__head")).distinct())
-    order = Window.partitionBy("__head").orderBy("__row")
-    kept = (docs.join(heads, docs[key].cast("long") == heads["__head"])
+    rows, _, named = _components(docs, k, percent, key, text)
+    placed = rows.where("id is not null").join(named.select("d1", "d2", "component"), ["d1", "d2"], "left")
+    alone = placed.where("component is null").select("id", "x").distinct()
+    heads = (placed.where("component is not null").groupBy("component").agg(F.min(F.struct("id", "x")).alias("h"))
+             .select("h.id", "h.x").unionByName(alone).toDF("__head", "__x"))
+    order = Window.partitionBy("__head", "__x").orderBy("__row")
+    kept = (docs.join(heads, (docs[key].cast("long") == heads["__head"]) & (_text_hash(docs[text]) == heads["__x"]))
             .withColumn("__row", F.xxhash64(*[F.col(c) for c in docs.columns]))
             .withColumn("__place", F.row_number().over(order)).where("__place = 1").select(*docs.columns))
     return kept.unionByName(docs.where(F.col(key).isNull()))

@@ -2,8 +2,8 @@
 
 A batch's texts are read as one byte array.  Words are runs of bytes outside a
 separator set; since the separators are ASCII, byte and character views agree.
-A span's 64-bit hash is a polynomial in its bytes, taken from one running sum,
-then mixed; equal spans hash alike wherever they stand.
+A span's 64-bit hash is made of two polynomials in its bytes, taken from running
+sums, then mixed; equal spans hash alike wherever they stand.
 """
 from __future__ import annotations
 
@@ -16,12 +16,16 @@ import pyarrow.compute as pc
 
 #: Texts are handled in slices of about this many bytes (one longer text is one slice).
 SLICE_BYTES = 1 << 19
-_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+#: Two primes below 2^31, and a base modulo each for either hash.
+_PRIMES = (2_147_483_647, 2_147_483_629)
+_BASES = ((1_193_548_321, 903_115_477), (1_640_531_527, 712_947_031))
+#: Byte values are below 2^12 and powers below 2^31, so that a running sum over this many bytes fits 64 bits.
+_REDUCE = 1 << 20
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: Byte classes: True where a byte belongs to a word ``[^\x20\x09-\x0D]+``.
 WORD_BYTES = ~_WHITE
-_power: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_power: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -34,7 +38,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def _byte_values(which: int, fold: bool) -> np.ndarray:
-    v = mix64(np.arange(1 + 256 * which, 257 + 256 * which, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
+    """A value from 1 to 4095 for each byte, all different."""
+    v = np.argsort(mix64(np.arange(1 + 4095 * which, 4096 + 4095 * which, dtype=np.uint64))).astype(np.uint64)[:256] + np.uint64(1)
     if fold:
         v[65:91] = v[97:123]
     return v
@@ -43,14 +48,21 @@ def _byte_values(which: int, fold: bool) -> np.ndarray:
 _VALUES = {(w, fold): _byte_values(w, fold) for w in (0, 1) for fold in (False, True)}
 
 
-def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _series(base: int, prime: int, size: int) -> np.ndarray:
+    """base^0, base^1, ... modulo the prime, twice as many at each step."""
+    out = np.ones(1, np.uint64)
+    while len(out) < size:
+        out = np.concatenate([out, out * np.uint64(pow(base, len(out), prime)) % np.uint64(prime)])
+    return out[:size].astype(np.uint32)
+
+
+def _powers(which: int, i: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of a base and of its inverse, kept for the largest slice so far."""
-    if which not in _power or len(_power[which][0]) < n:
-        size, base = max(n, SLICE_BYTES + 1024), _BASES[which]
-        up, down = np.full(size, np.uint64(base)), np.full(size, np.uint64(pow(base, -1, 1 << 64)))
-        up[0] = down[0] = 1
-        _power[which] = np.cumprod(up), np.cumprod(down)
-    return _power[which]
+    key = which, i
+    if key not in _power or len(_power[key][0]) < n:
+        size, base, prime = max(n, SLICE_BYTES + 1024), _BASES[which][i], _PRIMES[i]
+        _power[key] = _series(base, prime, size), _series(pow(base, -1, prime), prime, size)
+    return _power[key]
 
 
 @dataclass
@@ -86,16 +98,30 @@ def slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[Texts]:
 
 
 class Spans:
-    """Hashes of byte spans from one running sum; ``fold`` reads A-Z as a-z, ``which`` (0 or 1) chooses one of two hashes."""
+    """Hashes of byte spans from running sums; ``fold`` reads A-Z as a-z, ``which`` (0 or 1) chooses one of two hashes.
+
+    A span's hash joins its polynomials modulo two primes; a power of two as modulus would let long
+    regular words collide whatever the base.
+    """
 
     def __init__(self, buf: np.ndarray, fold: bool = False, which: int = 0):
-        up, self._down = _powers(which, len(buf) + 1)
-        self._sum = np.zeros(len(buf) + 1, dtype=np.uint64)
-        np.cumsum(_VALUES[which, fold][buf] * up[:len(buf)], out=self._sum[1:])
+        values = _VALUES[which, fold][buf]
+        self._parts = []
+        for i, prime in enumerate(_PRIMES):
+            up, down = _powers(which, i, len(buf) + 1)
+            total, carry = np.zeros(len(buf) + 1, dtype=np.uint64), np.uint64(0)
+            for at in range(0, len(buf), _REDUCE):
+                part = np.cumsum(values[at:at + _REDUCE] * up[at:min(at + _REDUCE, len(buf))], dtype=np.uint64) + carry
+                total[at + 1:at + 1 + len(part)] = part
+                carry = part[-1] % np.uint64(prime)
+            self._parts.append((np.uint64(prime), total, down))
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        h = (self._sum[end] - self._sum[start]) * self._down[start]
-        return mix64(h + (end - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+        out = (end - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
+        for (prime, total, down), shift in zip(self._parts, (np.uint64(0), np.uint64(31))):
+            between = (total[end] % prime + prime - total[start] % prime) % prime
+            out += between * down[start] % prime << shift
+        return mix64(out)
 
 
 @dataclass

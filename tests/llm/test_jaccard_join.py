@@ -71,6 +71,37 @@ def test_keep_one_keeps_one_row_of_each_component(spark):
     assert jaccard_join.keep_one(docs).where("doc_id is null").count() == 1
 
 
+KEYS = [(1, "a1 a2 a3 a4 a5 a6"), (2, "a1 a2 a3 a4 a5 a6"), (2, "b1 b2 b3 b4 b5 b6"), (3, "b1 b2 b3 b4 b5 b6"), (4, "c1 c2 c3 c4 c5"),
+        (4, "d1 d2 d3 d4 d5"), (5, "d1 d2 d3 d4 d5"), (0, "c1 c2 c3 c4 c5"), (6, ""), (6, "e1 e2 e3 e4 e5")]
+
+
+def test_keys_with_several_texts(spark):
+    docs = spark.createDataFrame([(i, t, "x", 0) for i, t in KEYS], SCHEMA)
+    got = sorted((tuple(r) for r in jaccard_join.components(docs).collect()), key=str)
+    assert got == brute(KEYS)
+    kept = sorted((r.doc_id, r.text) for r in jaccard_join.keep_one(docs).collect())
+    assert kept == sorted([KEYS[0], KEYS[2], KEYS[7], KEYS[5], KEYS[8], KEYS[9]])
+
+
+def test_words_that_collide_modulo_powers_of_two_are_different(spark):
+    word = "a"
+    while len(word) < 8192:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word), (2, other), (3, f"{word} x y z u"), (4, f"{other} x y z u"), (5, word)]
+    docs = spark.createDataFrame([(i, t, "x", 0) for i, t in rows], SCHEMA)
+    assert sorted((tuple(r) for r in jaccard_join.components(docs).collect()), key=str) == brute(rows)
+
+
+def test_production_tiles_equal_all_pairs(spark):
+    """Tiles above the production size, with members of many components."""
+    rnd = random.Random(2)
+    passage = [f"p{i}" for i in range(40)]
+    rows = [(i, " ".join(passage + [f"t{rnd.randrange(12)}" for _ in range(9)])) for i in range(jaccard_join.SMALL_TILE * 3)]
+    docs = spark.createDataFrame([(i, t, "x", 0) for i, t in rows], SCHEMA)
+    assert sorted((tuple(r) for r in jaccard_join.components(docs).collect()), key=str) == brute(rows)
+
+
 def test_empty_table(spark):
     assert jaccard_join.components(spark.createDataFrame([], SCHEMA)).count() == 0
 
