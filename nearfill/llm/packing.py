@@ -6,7 +6,8 @@ longest first, into the open window with the least room that still holds it.  A
 segment tree over the room left (0 to capacity) finds that window.  Each task
 packs its own documents, in groups of ``GROUP_IDS`` ids (some thousands of
 windows), so that memory is bounded and no group is spread over tasks; sequence
-ids are unique over all tasks.
+ids are unique over all tasks.  Partitions of little text are merged first, or the windows that
+each task leaves open at its end would be most of what it packs.
 
 Defined results: a null or empty text is its end id alone; repeated rows are
 packed as documents of their own; an empty table gives an empty table; the key
@@ -27,6 +28,8 @@ from . import encoding
 CAPACITY = 2048
 #: Ids that a task holds before it packs them.
 GROUP_IDS = 3_000_000
+#: Bytes of text that a task gets at least, about; smaller partitions are merged, so that open windows fill up.
+TASK_BYTES = 8 << 20
 _TASK_BITS = 40
 
 
@@ -131,4 +134,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = CAPA
     """
     read = docs.select(F.col(key), F.col(text).cast("string").alias("__text"))
     kind = read.schema[0].dataType.simpleString()
+    total = read.agg(F.sum(F.octet_length("__text"))).first()[0] or 0
+    tasks = max(1, total // TASK_BYTES)
+    if read.rdd.getNumPartitions() > tasks:
+        read = read.coalesce(tasks)
     return read.mapInArrow(_packed(tokenizer_path, end_id, capacity), f"`{key}` {kind}, {_SCHEMA}")
