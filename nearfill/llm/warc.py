@@ -71,22 +71,22 @@ def parse_record(data: bytes) -> dict:
 
 
 def build_dictionary(records: list[bytes]) -> bytes:
-    """A dictionary from evenly spaced records; empty if there is too little to learn from."""
+    """A dictionary from evenly spaced records; few or short ones count several times, as the trainer wants more than they hold."""
     total = sum(min(len(r), SAMPLE_RECORD) for r in records)
     step = max(1, -(-total // SAMPLE_BYTES))
     samples = [r[:SAMPLE_RECORD] for r in records[::step]]
-    if len(samples) < 8 or sum(map(len, samples)) < 2 * DICTIONARY_BYTES:
-        return b""
+    size = sum(map(len, samples))
+    times = max(1, -(-16 // len(samples)), -(-4 * DICTIONARY_BYTES // size))
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=LEVEL).as_bytes()
-    except zstandard.ZstdError:  # the samples have nothing in common
-        return b""
+        return zstandard.train_dictionary(min(DICTIONARY_BYTES, max(1024, size)), samples * times, level=LEVEL).as_bytes()
+    except zstandard.ZstdError:  # nothing recurs in the samples: their content serves as it is
+        return b"".join(samples)[-DICTIONARY_BYTES:]
 
 
 def archive(records: list[bytes]) -> list[bytes]:
     """The bytes of an archive: skippable frame with the dictionary, then one frame for each record."""
     raw = build_dictionary(records)
-    packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(raw) if raw else None)
+    packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(raw))
     return [_SKIP.pack(_SKIP_MAGIC, len(raw)) + raw, *(packer.compress(r) for r in records)]
 
 
@@ -96,7 +96,7 @@ def records_of(data: bytes) -> Iterator[bytes]:
     if magic != _SKIP_MAGIC:
         raise ValueError("the archive does not begin with a dictionary frame")
     raw, rest = data[8:8 + size], memoryview(data)[8 + size:]
-    reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw) if raw else None)
+    reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw))
     while len(rest):
         frame = reader.decompressobj()
         yield frame.decompress(rest)

@@ -150,5 +150,29 @@ def test_the_dictionary_is_in_a_leading_skippable_frame():
     assert data[:4] == (0x184D2A5D).to_bytes(4, "little") and int.from_bytes(data[4:8], "little") > 1000
     assert list(warc.records_of(data)) == records
     assert len(data) < sum(len(zlib.compress(r)) for r in records)
-    few = b"".join(warc.archive(records[:2]))
-    assert int.from_bytes(few[4:8], "little") == 0 and list(warc.records_of(few)) == records[:2]
+    for few in (records[:1], records[:2], [records[0]] * 5, [b"WARC/1.1 " + bytes(range(256))]):
+        data = b"".join(warc.archive(few))
+        assert int.from_bytes(data[4:8], "little") > 200 and list(warc.records_of(data)) == few
+
+
+def thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_words_that_collide_modulo_powers_of_two_keep_their_ids(path):
+    enc, tok = encoding.Encoder(path), encoding.tokenizer(path)
+    texts = [f"x {w} y" for n in (512, 1024, 2048, 4096, 8192) for w in thue_morse(n)]
+    for text, ids in zip(texts, enc.encode(texts)):
+        assert ids.tolist() == tok.encode(text, add_special_tokens=False).ids
+
+
+def test_padding_does_not_depend_on_the_partitions(spark):
+    rows = [(i, " ".join(f"w{i * 7 % 97}" for _ in range(20 + i * 37 % 900))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts in (1, 32, 200):
+        pieces = packing.pack(docs.repartition(parts), BYTES, end_id=1).toPandas()
+        assert pieces.length.sum() > 0.98 * packing.CAPACITY * pieces.sequence_id.nunique()
