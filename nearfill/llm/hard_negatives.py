@@ -255,7 +255,8 @@ def _meet(coded: DataFrame, cells: Cells, asked: DataFrame, dim: int, k: int, lo
     """The best rows of the cells that ``asked`` (id, label, v, lo, hi, scores) visits: (anchor, p, id, score)."""
     schema = "id long, label long, v array<int>, " + ("scores array<long>, " if negatives else "") + "c1 int, mask long"
     names = ["id", "label", "v", *(["scores"] if negatives else []), "lo", "hi"]
-    probes = stages.table(asked.select(*names).mapInArrow(_probes(cells, dim), schema), "probes")
+    tasks = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few rows, long walks
+    probes = stages.table(asked.select(*names).repartition(tasks, "id").mapInArrow(_probes(cells, dim), schema), "probes")
     met = np.zeros(len(cells.size), np.int64)
     for r in probes.groupBy("c1").count().collect():  # at most CODES rows
         met[r["c1"]] = r["count"]
