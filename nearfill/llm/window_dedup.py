@@ -174,7 +174,12 @@ def _repeated(runs: DataFrame) -> DataFrame:
     """Runs whose gram stands at two places or more."""
     often = runs.groupBy("g").agg(F.min("h").alias("h0"), F.max("h").alias("h1"), F.min("a").alias("a0"), F.max("a").alias("a1")).where(
         "h0 <> h1 or a0 <> a1").select("g")
-    return runs.join(often, "g", "left_semi")
+    return _among(runs, often, "often")
+
+
+def _among(rows: DataFrame, grams: DataFrame, name: str) -> DataFrame:
+    """Rows with one of the grams, which are a table of their own: adaptive execution then splits the rows of a hot gram."""
+    return rows.join(stages.table(grams, name), "g", "left_semi")
 
 
 def _place() -> Column:
@@ -204,7 +209,7 @@ def spans(docs: DataFrame, window: int = 20, key: str = "doc_id", text: str = "t
                             .select("c1", "c2", "f.*"), "distinct")
     later = _not_first(last.select("c1", "c2", *_PLACE, "a", "w"), distinct.select("c1", "c2", *_PLACE, "a"))
     several = distinct.groupBy("g").count().where("count > 1").select("g")
-    windows = stages.table(distinct.join(several, "g", "left_semi").select(*_PLACE, "a", "w", "names")
+    windows = stages.table(_among(distinct, several, "several").select(*_PLACE, "a", "w", "names")
                            .mapInArrow(_split_names, "c1 long, c2 long, nokey boolean, key long, h long, a int"), "windows")
     first = windows.groupBy("c1", "c2").agg(F.min(_place()).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select("c1", "c2", "f.*")
     out = stages.table(later.select(*_PLACE, "a", (F.col("a") + F.col("w") + window - 1).alias("e"))
