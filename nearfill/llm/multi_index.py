@@ -219,7 +219,8 @@ def search(table: DataFrame, queries: DataFrame, index: Index | None, k: int = 5
         index = Index(index.books, 1.0, index.dim)
     one = Window.partitionBy("id").orderBy("v")
     asked = (_rows(queries, key, vector).where(fits).withColumn("place", F.row_number().over(one)).where("place = 1")
-             .select("id", "v").mapInArrow(_probes(index, size), "q long, qv array<double>, c1 int, mask long"))
+             .select("id", "v").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")  # walks are dealt over all tasks
+             .mapInArrow(_probes(index, size), "q long, qv array<double>, c1 int, mask long"))
     asked = stages.table(asked, "probes")
     query_blocks = -(-asked.select("q").distinct().count() // QUERY_BLOCK) or 1
     blocks = F.lit([-(-int(n) // ROW_BLOCK) for n in size.sum(axis=1)])  # of each first code
