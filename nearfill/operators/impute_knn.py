@@ -18,9 +18,10 @@ the values filled by the previous ones:
   class, a column without another feature, and an unseen or NULL class fall back
   to the global median.
 
-Only (key, value) of the filled rows is kept from a step, in a small projection
-cut with a reliable ``checkpoint`` (folder from ``spark.checkpoint.dir``); the
-table itself is read again and never written.
+Rows are numbered and written once; keys may repeat or be NULL.  A step writes
+its fills (row number, column, value) into one folder of the shared checkpoint
+folder; later steps join the table with what the folder holds, as does the result, so no plan
+grows with the number of columns.
 """
 from __future__ import annotations
 
@@ -31,12 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import is_sentinel, not_sentinel
-from ..session import ensure_checkpoint_dir
+from . import steps
 from .joins import lookup_join, small_table
 from .neighbors import knn_join
 from .scaling import apply_scaler, fit_scaler
 from .stats import class_medians, global_medians, median_fill, scalar_params
-from .validate import class_values, feature_columns, present_columns, widen
+from .validate import class_table, feature_columns, present_columns, widen
 
 
 @dataclass
@@ -46,7 +47,7 @@ class KNNImputerModel:
     impute_cols: list
     features: list
     class_aware: bool
-    classes: list
+    classes: DataFrame | None
     n_neighbors: int
     weights: str
     sentinel: object
@@ -68,7 +69,7 @@ def fit(df: DataFrame, target: str, key: str, impute_cols: Sequence[str], *, n_n
     med = class_medians(df, target, cols, sentinel, fallback=gm) if ca else gm
     filled = median_fill(widen(df, cols), cols, med, keys, sentinel, global_fallback=gm)
     scaler = fit_scaler(filled, feats, keys)
-    classes = class_values(df, target) if ca else [None]
+    classes = class_table(df, target) if ca else None
     return KNNImputerModel(target, key, cols, feats, ca, classes, int(n_neighbors), weights, sentinel,
                            reference_fill, gm, scaler, random_state)
 
@@ -76,56 +77,65 @@ def fit(df: DataFrame, target: str, key: str, impute_cols: Sequence[str], *, n_n
 def transform(model: KNNImputerModel, df: DataFrame) -> DataFrame:
     """IM-09/10/11/12/13: fill sentinel cells column by column."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     cols = present_columns(df, model.impute_cols)
     ca = model.class_aware and model.target in df.columns
     k, key, s = model.n_neighbors, model.key, model.sentinel
     glob = scalar_params(model.global_medians)
     gl = {c: F.lit(glob.get(c)).cast("double") for c in cols}
-    grp = F.col(model.target) if ca else F.lit(0)
 
-    seen = [0] if not ca else model.classes
-    wide = widen(df, cols).withColumn("_grp", grp)
-    sizes = small_table(wide.groupBy("_grp").agg(F.count(F.lit(1)).alias("_class_n")))
-    known = small_table(sizes.where(F.col("_grp").isin(seen) & (F.col("_class_n") >= k)).select("_grp", F.lit(True).alias("_known")))
+    wide = widen(df, cols).withColumn("_grp", F.col(model.target) if ca else F.lit(0))
+    sizes = wide.groupBy("_grp").agg(F.count(F.lit(1)).alias("_class_n")).where(F.col("_class_n") >= k)
+    if ca:
+        sizes = sizes.join(model.classes.select(F.col(model.target).alias("_grp")), "_grp", "left_semi")
+    known = small_table(sizes.select("_grp", F.lit(True).alias("_known")))
     # IM-03 / IM-13: unseen or NULL class, or a class smaller than k → global medians everywhere
     wide = lookup_join(wide, known, ["_grp"], "left").withColumn("_known", F.coalesce("_known", F.lit(False)))
-    data = wide.withColumns({c: F.when(~F.col("_known") & is_sentinel(F.col(c), s), gl[c]).otherwise(F.col(c)) for c in cols})
+    base = steps.numbered(wide.withColumns({c: F.when(~F.col("_known") & is_sentinel(F.col(c), s), gl[c]).otherwise(F.col(c))
+                                            for c in cols}), "imputed")
     keys = ["_grp"] if ca else []
     scaler = model.scaler.withColumnRenamed(model.target, "_grp") if ca else model.scaler
-
-    for col in cols:
+    folder, kinds = steps.folder(spark, "fills"), f"`{steps.ROW}` long, _col int, _fill double"
+
+    def filled(done: int) -> DataFrame:
+        """The table with the fills of the first ``done`` columns."""
+        if not done:
+            return base
+        delta = spark.read.schema(kinds).parquet(f"{folder}/*")
+        wide = delta.groupBy(steps.ROW).agg(*[F.max(F.when(F.col("_col") == i, F.col("_fill"))).alias(f"_fill{i}") for i in range(done)])
+        both = base.join(wide, steps.ROW, "left")
+        return both.withColumns({c: F.coalesce(f"_fill{i}", c) for i, c in enumerate(cols[:done])}).drop(
+            *[f"_fill{i}" for i in range(done)])
+
+    for at, col in enumerate(cols):
         others = [f for f in model.features if f != col]
-        empty = F.col("_known") & is_sentinel(F.col(col), s)
-        if not others:
-            data = data.withColumn(col, F.when(empty, gl[col]).otherwise(F.col(col)))
-            continue
-        cand = data.where("_known")
-        donors = cand.where(not_sentinel(F.col(col), s) & F.col(col).isNotNull())
-        queries = cand.where(is_sentinel(F.col(col), s))
-        if model.reference_fill == "median":
-            donors = donors.withColumns({f: F.when(is_sentinel(F.col(f), s), gl[f]).otherwise(F.col(f))
-                                         for f in others if f in cols})
-        elif model.reference_fill != "raw":
-            raise ValueError("reference_fill must be 'raw' or 'median'")
-        queries = queries.withColumns({f: F.when(is_sentinel(F.col(f), s), gl[f]).otherwise(F.col(f))
-                                       for f in others if f in cols})
-        dz = apply_scaler(donors, model.features, scaler, keys, suffix="__z")
-        qz = apply_scaler(queries, model.features, scaler, keys, suffix="__z")
-        zf = [f + "__z" for f in others]
-        nb = knn_join(qz, dz, k, zf, query_id=key, ref_id=key, group=["_grp"], ref_carry=[col])
-        v = F.col(f"nb_{col}")
-        if model.weights == "distance":
-            w = F.lit(1.0) / (F.col("distance") + F.lit(1e-10))
-            value = F.sum(w * v) / F.sum(w)
+        data = filled(at).where("_known")
+        queries = data.where(is_sentinel(F.col(col), s))
+        rows = queries.select(steps.ROW)
+        if others:
+            donors = data.where(not_sentinel(F.col(col), s) & F.col(col).isNotNull())
+            filling = {f: F.when(is_sentinel(F.col(f), s), gl[f]).otherwise(F.col(f)) for f in others if f in cols}
+            if model.reference_fill == "median":
+                donors = donors.withColumns(filling)
+            elif model.reference_fill != "raw":
+                raise ValueError("reference_fill must be 'raw' or 'median'")
+            dz = apply_scaler(donors, model.features, scaler, keys, suffix="__z")
+            qz = apply_scaler(queries.withColumns(filling), model.features, scaler, keys, suffix="__z")
+            nb = knn_join(qz, dz, k, [f + "__z" for f in others], query_id=key, ref_id=key, group=["_grp"], ref_carry=[col],
+                          query_row=steps.ROW)
+            v = F.col(f"nb_{col}")
+            if model.weights == "distance":
+                w = F.lit(1.0) / (F.col("distance") + F.lit(1e-10))
+                value = F.sum(w * v) / F.sum(w)
+            else:
+                value = F.median(v)
+            # fewer than k donors give fewer than k neighbours, hence no value
+            found = nb.groupBy(F.col("query_row").alias(steps.ROW)).agg(value.alias("_fill"), F.count(F.lit(1)).alias("_nn")).where(
+                F.col("_nn") >= k).select(steps.ROW, "_fill")
+            rows = rows.join(found, steps.ROW, "left")
         else:
-            value = F.median(v)
-        # the fills alone are kept; fewer than k donors give fewer than k neighbours, hence no fill
-        fill = nb.groupBy(F.col(key).alias("_fk")).agg(value.alias("_fill"), F.count(F.lit(1)).alias("_nn")).where(
-            F.col("_nn") >= k).drop("_nn").checkpoint()
-        data = (data.join(fill, F.when(empty, F.col(key)) == F.col("_fk"), "left")
-                .withColumn(col, F.when(empty, F.coalesce("_fill", gl[col])).otherwise(F.col(col))).drop("_fk", "_fill"))
-    return data.select(*df.columns)
+            rows = rows.withColumn("_fill", F.lit(None).cast("double"))
+        rows.select(steps.ROW, F.lit(at).alias("_col"), F.coalesce("_fill", gl[col]).alias("_fill")).write.parquet(f"{folder}/step{at}")
+    return filled(len(cols)).select(*df.columns)
 
 
 def fit_transform(df: DataFrame, target: str, key: str, impute_cols: Sequence[str], **kw) -> DataFrame:
@@ -138,7 +148,7 @@ def summary(model: KNNImputerModel) -> DataFrame:
     gm = {r["column"]: (float(r["median"]) if r["median"] is not None else None)
           for r in model.global_medians.collect()}
     row = [(model.n_neighbors, model.class_aware, model.weights, model.random_state, gm,
-            len(model.classes) if model.class_aware else 1)]
+            model.classes.count() if model.class_aware else 1)]
     return spark.createDataFrame(row, "n_neighbors int, class_aware boolean, weights string, random_state int, "
                                       "global_medians map<string,double>, n_classes int")
 

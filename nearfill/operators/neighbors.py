@@ -24,7 +24,10 @@ Inside a cell, blocks of at most ``block_rows`` references meet blocks of about
 best leave it.  So neither a hot cell nor a cell that very many queries visit
 is one task.  Cosine distance is ranked through unit vectors, computed once.
 
-The result is checkpointed, after which the working tables are released.
+Rows are told apart by numbers that are written down once (``steps.numbered``),
+never by the caller's ids: ids may repeat or be NULL, on both sides, and every
+query row keeps its own neighbours.  The result is a table in the shared folder,
+after which the working tables are released.
 """
 from __future__ import annotations
 
@@ -34,12 +37,13 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from ..functions.columns import METRICS
-from ..session import ensure_checkpoint_dir
+from . import steps
 from .joins import small_table
 
 MAX_PIVOTS = 1024
@@ -146,6 +150,15 @@ def _distances(q: np.ndarray, r: np.ndarray, metric: str, p: float) -> np.ndarra
     return np.power(out, 1.0 / p) if metric == "minkowski" else out
 
 
+def _numbers(*columns: pa.ChunkedArray) -> list[np.ndarray]:
+    """Equal values of several columns as equal numbers; a NULL is like no other value."""
+    whole = pa.chunked_array([c for col in columns for c in col.chunks], columns[0].type).combine_chunks()
+    whole = pa.chunked_array([whole]) if isinstance(whole, pa.Array) else whole
+    code = np.asarray(pc.fill_null(whole.combine_chunks().dictionary_encode().indices, -1)).astype(np.int64)
+    code[code < 0] = -1 - np.flatnonzero(code < 0)
+    return np.split(code, np.cumsum([len(c) for c in columns])[:-1])
+
+
 def _block_top(k: int, metric: str, p: float, qs: list[str], rs: list[str], keep: list[str], nb: list[str],
                exclude_self: bool, exclude_same: str | None):
     """The k best references of a block for each query of a block."""
@@ -154,12 +167,10 @@ def _block_top(k: int, metric: str, p: float, qs: list[str], rs: list[str], keep
         if queries.num_rows and refs.num_rows:
             q = np.stack([np.asarray(queries[c], dtype=float) for c in qs], axis=1)
             r = np.stack([np.asarray(refs[c], dtype=float) for c in rs], axis=1)
-            rid = refs["_rid"].to_pylist()
-            order = np.empty(len(rid), np.int64)
-            order[np.array(sorted(range(len(rid)), key=rid.__getitem__), dtype=np.int64)] = np.arange(len(rid))
-            qid = np.asarray(queries["_qid"])
-            same_id = np.asarray(refs["_rid"]) if exclude_self else None
-            mine, theirs = (np.asarray(t["_same"]) for t in (queries, refs)) if exclude_same else (None, None)
+            order = np.empty(len(r), np.int64)
+            order[np.asarray(pc.sort_indices(refs["_rid"]))] = np.arange(len(r))  # NULL ids last
+            qid, same_id = _numbers(queries["_qkey"], refs["_rid"]) if exclude_self else (None, None)
+            mine, theirs = _numbers(queries["_same"], refs["_same"]) if exclude_same else (None, None)
             step = max(1, 2_000_000 // len(r))
             for at in range(0, len(q), step):
                 d = _distances(q[at:at + step], r, metric, p)
@@ -187,15 +198,17 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, features: Sequence[str
              group: Sequence[str] = (), ref_features: Sequence[str] | None = None,
              exclude_self: bool = False, exclude_same: str | None = None, query_carry: Sequence[str] = (),
              ref_carry: Sequence[str] = (), n_pivots: int | None = None, block_rows: int = 4096,
-             seed: int = 42) -> DataFrame:
-    """NN-01: the ``k`` nearest references of every query.
+             seed: int = 42, query_row: str | None = None) -> DataFrame:
+    """NN-01: the ``k`` nearest references of every query row.
 
-    Returns ``query_id, *group, *query_carry, neighbor_id, rank, distance,
-    nb_<ref_carry>...``; ``rank`` is 1..k in ``(distance, neighbor_id)`` order.
+    Returns ``query_row, query_id, *group, *query_carry, neighbor_id, rank, distance,
+    nb_<ref_carry>...``; ``rank`` is 1..k in ``(distance, neighbor_id)`` order, NULL ids last.
+    ``query_row`` is a number of the query row, given here unless it names a column
+    that numbers the rows already.
     ``group`` columns must exist on both sides: neighbours come from the
     query's own group only.  ``exclude_self`` drops the reference whose id
     equals the query id; ``exclude_same`` names a column of both sides (a fold, say)
-    in which a neighbour must differ from the query.  Query ids must be unique.
+    in which a neighbour must differ from the query.  Ids may repeat and be NULL.
     Rows with a NULL feature take no part.  Queries with no reference in their
     group get no rows.
     """
@@ -210,7 +223,6 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, features: Sequence[str
     if metric == "minkowski" and p < 1:
         raise ValueError("minkowski needs p >= 1")
     spark = queries.sparkSession
-    ensure_checkpoint_dir(spark)
     d = len(feats)
     prune_metric = "euclidean" if metric == "cosine" else metric
     groups = list(group)
@@ -230,19 +242,20 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, features: Sequence[str
         return rows.select(*[c for c in rows.columns if c not in [*out, "_norm"]], *[e.alias(n) for e, n in zip(unit, out)])
 
     nb = [f"nb_{c}" for c in ref_carry]
-    q = side(queries, query_id, "_qid", feats, qs, [bq(c) for c in query_carry])
-    r = side(refs, ref_id, "_rid", rfeats, rs, [f"{bq(c)} AS {bq(n)}" for c, n in zip(ref_carry, nb)]).persist()
-    held = [r]
+    row = [f"{bq(query_row)} AS _qid"] if query_row else []
+    q = side(queries, query_id, "_qkey", feats, qs, row + [bq(c) for c in query_carry])
+    q = q if query_row else steps.numbered(q, "queries", "_qid")
+    r = steps.numbered(side(refs, ref_id, "_rid", rfeats, rs, [f"{bq(c)} AS {bq(n)}" for c, n in zip(ref_carry, nb)]), "refs", "_rrow")
+    held, written = [], [r] if query_row else [q, r]
 
     # 1. pivots: P references in seeded hash order
     n_refs = r.count()
     if n_refs == 0:
-        r.unpersist()
         return _empty_result(spark, q, r, query_id, groups, gnames, query_carry, ref_carry)
     n_groups = r.select(*gnames).distinct().count() if groups else 1
     P = min(n_pivots or _pivot_count(n_refs), max(1, MAX_CELLS // n_groups))
     piv = np.asarray([[float(v) for v in row] for row in
-                      r.orderBy(F.xxhash64("_rid", F.lit(seed))).select(*rs).limit(P).collect()], dtype=float)
+                      r.orderBy(F.xxhash64("_rid", F.lit(seed)), "_rrow").select(*rs).limit(P).collect()], dtype=float)
     P = len(piv)
     assign = _assign_udf(piv, prune_metric, p)
 
@@ -262,7 +275,7 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, features: Sequence[str
     # 3. queries: home cell (nearest pivot)
     q2 = q.withColumn("_home", assign(F.struct(*[F.col(c) for c in qs]))["cell"]).persist()
     held.append(q2)
-    keep = ["_qid", *gnames, *query_carry]
+    keep = ["_qid", "_qkey", *gnames, *query_carry]
     kinds = {f.name: f.dataType for f in [*q2.schema, *r2.schema]}
     schema = StructType([StructField(c, kinds[c]) for c in [*keep, "_rid"]] + [StructField("distance", DoubleType())]
                         + [StructField(c, kinds[c]) for c in nb])
@@ -277,12 +290,12 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, features: Sequence[str
         part = lambda key, n, s: F.pmod(F.xxhash64(key, F.lit(s)), F.col(n)).cast("int")
         left = (visits.join(parts, on).withColumn("_qp", part("_qid", "_qparts", seed)).withColumn("_rp", every("_rparts"))
                 .drop("_qparts", "_rparts"))
-        right = (r2.join(parts.toDF(*on, "_rn", "_qn"), on).withColumn("_rp", part("_rid", "_rn", seed + 1))
+        right = (r2.join(parts.toDF(*on, "_rn", "_qn"), on).withColumn("_rp", part("_rrow", "_rn", seed + 1))
                  .withColumn("_qp", every("_qn")).drop("_qn", "_rn"))
         by = [*on, "_qp", "_rp"]
         return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(top, schema)
 
-    order = Window.partitionBy("_qid").orderBy("distance", "_rid")
+    order = Window.partitionBy("_qid").orderBy("distance", F.col("_rid").asc_nulls_last())
     first = lambda df: df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
     # 4. home phase: exact top k within the home cell
@@ -305,39 +318,68 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, features: Sequence[str
 
     # 6. merge: top k of both phases per query
     best = first(near.unionByName(met(more)))
-    out = best.select(F.col("_qid").alias(query_id), *[F.col(n).alias(g) for g, n in zip(groups, gnames)],
-                      *query_carry, F.col("_rid").alias("neighbor_id"), "rank", "distance", *nb).checkpoint()
+    out = steps.table(best.select(
+        F.col("_qid").alias("query_row"), F.col("_qkey").alias(query_id), *[F.col(n).alias(g) for g, n in zip(groups, gnames)],
+        *query_carry, F.col("_rid").alias("neighbor_id"), "rank", "distance", *nb), "neighbors")
     for df in held:
         df.unpersist()
+    steps.discard(*written)
     return out
 
 
 def _empty_result(spark, q, r, query_id, groups, gnames, query_carry, ref_carry):
-    sel = q.select(F.col("_qid").alias(query_id), *[F.col(n).alias(g) for g, n in zip(groups, gnames)],
+    sel = q.select(F.col("_qid").alias("query_row"), F.col("_qkey").alias(query_id), *[F.col(n).alias(g) for g, n in zip(groups, gnames)],
                    *query_carry, F.lit(None).cast("long").alias("neighbor_id"), F.lit(0).alias("rank"),
                    F.lit(None).cast("double").alias("distance"),
                    *[F.lit(None).alias(f"nb_{c}") for c in ref_carry])
     return sel.where(F.lit(False))
 
 
-def weighted_vote(neighbors: DataFrame, query_id: str, label: str, classes: Sequence,
+def _inverse(distance: str = "distance") -> Column:
+    """Weight of a neighbour: 1/d, NULL at distance 0."""
+    return F.when(F.col(distance) == 0, F.lit(None)).otherwise(F.lit(1.0) / F.col(distance))
+
+
+def vote_shares(neighbors: DataFrame, row: str, label: str) -> DataFrame:
+    """NN-03 + KC-07 in long form, for any number of classes: ``row, class, weight, share``.
+
+    Weight ``1/d`` summed per class; when some neighbour is at distance 0 only those
+    count, equally.  Only classes among a row's neighbours are listed.  Both sums use
+    the one partitioning by row.
+    """
+    near = neighbors.where(F.col(label).isNotNull()).repartition(row)
+    per = near.groupBy(row, F.col(label).alias("class")).agg(
+        F.sum(_inverse()).alias("_s"), F.count(F.when(F.col("distance") == 0, 1)).alias("_z"))
+    own = Window.partitionBy(row)
+    per = per.withColumn("weight", F.when(F.max("_z").over(own) > 0, F.col("_z").cast("double")).otherwise(F.coalesce("_s", F.lit(0.0))))
+    return (per.where("weight > 0").withColumn("share", F.col("weight") / F.sum("weight").over(own))
+            .select(row, "class", "weight", "share"))
+
+
+def top_share(shares: DataFrame, row: str) -> DataFrame:
+    """``row, prediction, probability``: the class of largest weight, ties to the first class."""
+    order = Window.partitionBy(row).orderBy(F.desc("weight"), "class")
+    return shares.withColumn("_n", F.row_number().over(order)).where("_n = 1").select(
+        row, F.col("class").alias("prediction"), F.col("share").alias("probability"))
+
+
+def weighted_vote(neighbors: DataFrame, row: str, label: str, classes: Sequence,
                   carry: Sequence[str] = ()) -> DataFrame:
-    """NN-03 + KC-06/07: inverse-distance vote per query.
+    """NN-03 + KC-06/07 for a short list of classes: inverse-distance vote per query row.
 
     Weight ``1/d``; when some neighbour is at distance 0 only those count,
-    equally.  Returns ``query_id, prediction, proba_<i>`` (one per class in
+    equally.  Returns ``row, *carry, prediction, proba_<i>`` (one per class in
     ``classes`` order); the prediction is the class of largest weight, ties to
-    the first class.  One aggregate keyed by the query, which reuses the
-    partitioning of the top-k window.
+    the first class.  One aggregate keyed by the query row.
     """
     classes = list(classes)
-    inv = F.when(F.col("distance") == 0, F.lit(None)).otherwise(F.lit(1.0) / F.col("distance"))
+    inv = _inverse()
     aggs = [F.min("distance").alias("_dmin")] + [F.first(c).alias(c) for c in carry]
     for i, c in enumerate(classes):
         is_c = F.col(label) == F.lit(c)
         aggs += [F.sum(F.when(is_c, inv)).alias(f"_s{i}"),
                  F.count(F.when(is_c & (F.col("distance") == 0), 1)).alias(f"_z{i}")]
-    g = neighbors.groupBy(query_id).agg(*aggs)
+    g = neighbors.groupBy(row).agg(*aggs)
     wts = {i: F.when(F.col("_dmin") == 0, F.col(f"_z{i}").cast("double")).otherwise(F.coalesce(F.col(f"_s{i}"), F.lit(0.0)))
            for i in range(len(classes))}
     g = g.withColumns({f"_w{i}": e for i, e in wts.items()})
@@ -345,24 +387,21 @@ def weighted_vote(neighbors: DataFrame, query_id: str, label: str, classes: Sequ
     best = F.greatest(*[F.struct(F.col(f"_w{i}").alias("w"), F.lit(-i).alias("n")) for i in range(len(classes))]) \
         if len(classes) > 1 else F.struct(F.col("_w0").alias("w"), F.lit(0).alias("n"))
     labels = F.array(*[F.lit(c) for c in classes])
-    return g.select(query_id, *carry, labels[-best["n"]].alias("prediction"),
+    return g.select(row, *carry, labels[-best["n"]].alias("prediction"),
                     *[(F.col(f"_w{i}") / total).alias(f"proba_{i}") for i in range(len(classes))])
 
 
-def uniform_votes(neighbors: DataFrame, query_id: str, label: str, classes: Sequence,
-                  ks: Sequence[int], carry: Sequence[str] = ()) -> DataFrame:
-    """NN-04 for many k at once: majority label among the first k neighbours.
+def uniform_votes(neighbors: DataFrame, row: str, label: str, ks: Sequence[int], carry: Sequence[str] = ()) -> DataFrame:
+    """NN-04 for many k at once: majority label among the first k neighbours, for any number of classes.
 
-    Running label counts over the rank order of each query (a window on the
-    query partitioning of the top-k result), kept at ranks in ``ks``.
-    Returns ``query_id, k, prediction``; ties go to the first class.
+    Each neighbour counts for every k that reaches its rank (at most ``len(ks)`` rows, in the
+    partitioning by row).  A k beyond a row's neighbours is left out.  Returns
+    ``row, *carry, k, prediction``; ties go to the first class.
     """
-    classes = list(classes)
-    w = Window.partitionBy(query_id).orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    cnt = neighbors.withColumns({f"_c{i}": F.sum((F.col(label) == F.lit(c)).cast("int")).over(w)
-                                 for i, c in enumerate(classes)})
-    cnt = cnt.where(F.col("rank").isin([int(x) for x in ks]))
-    best = F.greatest(*[F.struct(F.col(f"_c{i}").alias("w"), F.lit(-i).alias("n")) for i in range(len(classes))]) \
-        if len(classes) > 1 else F.struct(F.col("_c0").alias("w"), F.lit(0).alias("n"))
-    labels = F.array(*[F.lit(c) for c in classes])
-    return cnt.select(query_id, *carry, F.col("rank").alias("k"), labels[-best["n"]].alias("prediction"))
+    reach = F.filter(F.array(*[F.lit(int(x)) for x in sorted(ks)]), lambda x: x >= F.col("rank"))
+    each = (neighbors.repartition(row).select(row, *carry, F.col(label).alias("class"), "rank", F.explode(reach).alias("k")))
+    per = each.groupBy(row, "k", "class").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in carry])
+    own = Window.partitionBy(row, "k")
+    order = own.orderBy(F.desc("n"), "class")
+    return (per.withColumn("_all", F.sum("n").over(own)).withColumn("_n", F.row_number().over(order))
+            .where((F.col("_n") == 1) & (F.col("_all") == F.col("k"))).select(row, *carry, "k", F.col("class").alias("prediction")))

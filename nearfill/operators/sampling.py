@@ -6,7 +6,7 @@ table) and its running sums place every bucket in that order.
 
 The split keeps the first ``quota`` rows of each class for training; the
 quotas follow the largest-remainder allocation with ties broken by class
-order.  Rows in buckets before or after the one that holds the quota need a
+order, over a table of classes of any size.  Rows in buckets before or after the one that holds the quota need a
 comparison only; that one bucket, about 1/4,096 of its class, is ranked.
 
 Folds are ``(rank - 1) mod folds``, so per-class fold sizes differ by at most
@@ -24,9 +24,12 @@ from pyspark.sql import functions as F
 
 from ..functions import hash_order
 from .joins import small_table
+from .ranking import prefix_count
 from .validate import class_counts, require_target
 
 BUCKET_HEX = 3  # 12 bits of the hash select the bucket
+#: Remainders of up to this many classes are ranked in one task; those of more by distributed prefix counts.
+RANKED_AT_ONCE = 100_000
 
 
 def _bucketed(df: DataFrame, target: str, keys: Sequence[str], seed: int) -> tuple[DataFrame, DataFrame]:
@@ -61,27 +64,28 @@ def allocate(counts: dict, n_draws: int) -> dict:
     return out
 
 
-def split_quotas(df: DataFrame, target: str, test_size: float = 0.2) -> dict:
-    """Per-class training quota (driver-side from per-class counts)."""
+def split_quotas(df: DataFrame, target: str, test_size: float = 0.2) -> DataFrame | None:
+    """Training quota of every class (target, ``_quota``), by largest remainder over a class table; None for an empty table."""
     counts = class_counts(df, target)
-    if not counts:
-        return {}
-    n = sum(counts.values())
-    small = [c for c, k in counts.items() if k < 2]
-    if small:
+    whole = counts.agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("classes"), F.min("count").alias("least")).first()
+    if not whole.classes:
+        return None
+    if whole.least < 2:
+        small = [r[0] for r in counts.where("count < 2").orderBy(target).limit(10).collect()]
         raise ValueError(f"classes with a single row cannot be split: {small}")
-    n_test = math.ceil(test_size * n)
-    n_train = n - n_test
-    if n_train < len(counts) or n_test < len(counts):
+    n_test = math.ceil(test_size * whole.n)
+    n_train = whole.n - n_test
+    if n_train < whole.classes or n_test < whole.classes:
         raise ValueError("train and test sizes must each be at least the number of classes")
-    return allocate(counts, n_train)
-
-
-def _quota_col(target: str, quotas: dict):
-    entries = []
-    for c, q in quotas.items():
-        entries += [F.lit(c), F.lit(int(q))]
-    return F.create_map(*entries)[F.col(target)]
+    share = F.col("count") / F.lit(float(whole.n)) * F.lit(float(n_train))
+    parts = counts.select(target, F.floor(share).alias("_floor"), (F.floor(share) - share).alias("_owed"))
+    need = n_train - parts.agg(F.sum("_floor")).first()[0]
+    # the classes that are owed most get one row more
+    if whole.classes <= RANKED_AT_ONCE:
+        ranked = parts.withColumn("_place", F.row_number().over(Window.partitionBy().orderBy("_owed", target)) - 1)
+    else:
+        ranked = prefix_count(parts, [], "_owed", [target], out="_place")
+    return small_table(ranked.select(target, (F.col("_floor") + (F.col("_place") < need).cast("int")).cast("long").alias("_quota")))
 
 
 def stratified_split(df: DataFrame, target: str, keys: Sequence[str], test_size: float = 0.2,
@@ -89,10 +93,10 @@ def stratified_split(df: DataFrame, target: str, keys: Sequence[str], test_size:
     """S-01: adds ``split`` ∈ {train, test}; exact per-class quotas, seed-stable."""
     require_target(df, target)
     quotas = split_quotas(df, target, test_size)
-    if not quotas:
+    if quotas is None:
         return df.withColumn(split_col, F.lit(None).cast("string"))
     h, offsets = _bucketed(df, target, keys, seed)
-    last = offsets.withColumn("_quota", _quota_col(target, quotas))
+    last = offsets.join(quotas, target)
     last = small_table(last.where((F.col("_off") < F.col("_quota")) & (F.col("_quota") <= F.col("_off") + F.col("_cnt")))
                        .select(target, F.col("_b").alias("_last"), (F.col("_quota") - F.col("_off")).alias("_left")))
     placed = h.join(last, target, "left")

@@ -1,7 +1,7 @@
 """Schema-level checks and projections (PF-01, PF-02, PF-03, PF-07, PF-08).
 
-These run on the driver against ``df.schema`` only, except ``class_values``,
-which brings back the (small) list of distinct target values.
+These run on the driver against ``df.schema`` only, except those that list
+classes: ``class_table`` and ``class_counts`` stay tables, of any number of classes.
 """
 from __future__ import annotations
 
@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from .joins import small_table
+
 
 def require_target(df: DataFrame, target: str) -> None:
     """PF-01: the target column must exist."""
@@ -34,26 +36,28 @@ def present_columns(df: DataFrame, wanted: Sequence[str]) -> list[str]:
     return [c for c in wanted if c in have]
 
 
-#: A target with more distinct values than this is no class column.
-MAX_CLASSES = 1000
+#: Up to this many classes a vote has a column for each; beyond it votes are rows.
+WIDE_CLASSES = 100
+
+
+def class_table(df: DataFrame, target: str) -> DataFrame:
+    """PF-07: distinct target values, one row each, however many."""
+    return small_table(df.select(target).where(F.col(target).isNotNull()).distinct())
 
 
-def class_values(df: DataFrame, target: str) -> list:
-    """PF-07: distinct target values, ascending; more than ``MAX_CLASSES`` are refused."""
-    rows = df.select(target).where(F.col(target).isNotNull()).distinct().orderBy(target).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{target!r} has more than {MAX_CLASSES} distinct values: not a class column")
-    return [r[0] for r in rows]
+def class_values(df: DataFrame, target: str, most: int | None = None) -> list | None:
+    """PF-07 as a list, ascending; None if there are more than ``most`` values."""
+    found = df.select(target).where(F.col(target).isNotNull()).distinct().orderBy(target)
+    rows = (found if most is None else found.limit(most + 1)).collect()
+    return None if most is not None and len(rows) > most else [r[0] for r in rows]
 
 
-def class_counts(df: DataFrame, target: str) -> dict:
-    """Rows per class; rows without a class and more than ``MAX_CLASSES`` classes are refused."""
-    rows = df.groupBy(target).count().limit(MAX_CLASSES + 2).collect()
-    counts = {r[0]: r[1] for r in rows}
-    if counts.pop(None, 0):
-        raise ValueError(f"{[r[1] for r in rows if r[0] is None][0]} rows have no class in {target!r}")
-    if len(counts) > MAX_CLASSES:
-        raise ValueError(f"{target!r} has more than {MAX_CLASSES} distinct values: not a class column")
+def class_counts(df: DataFrame, target: str) -> DataFrame:
+    """Rows per class (target, ``count``), one row each; rows without a class are refused."""
+    counts = small_table(df.groupBy(target).count())
+    lost = counts.where(F.col(target).isNull()).collect()
+    if lost:
+        raise ValueError(f"{lost[0]['count']} rows have no class in {target!r}")
     return counts
 
 

@@ -48,6 +48,45 @@ def test_every_row_is_predicted_or_null(spark):
     assert classify.predict(model, nan).where("id = 5").first().prediction is None
 
 
+def test_rows_without_a_key_of_their_own_are_all_predicted(spark):
+    train = frame(spark)
+    rows = [(1, 0.0, 0.1), (1, 3.0, 0.2), (None, 0.1, 0.3), (None, 3.2, 0.0), (2, 2.9, 0.5)]
+    test = spark.createDataFrame([(i, int(a > 1), a, b) for i, a, b in rows], "id long, y long, a double, b double")
+    model = classify.fit(train, "y", "id", n_neighbors=5)
+    out = classify.prediction_table(model, test).collect()
+    alone = {(r.a, r.b): classify.prediction_table(model, test.where(f"a = {r.a} AND b = {r.b}")).first() for r in out}
+    assert sorted((r.id or 0, r.a) for r in out) == sorted((i or 0, a) for i, a, _ in rows)
+    assert all((r.Prediction, r.Probability) == (alone[r.a, r.b].Prediction, alone[r.a, r.b].Probability) for r in out)
+    assert classify.evaluate(model, test).first().tp >= 0
+    with pytest.raises(ValueError, match="4 predictions for 5 rows"):
+        classify.evaluate(model, test, predictions=classify.prediction_table(model, test.where("a > 0")))
+
+
+def test_imputed_rows_without_a_key_of_their_own(spark):
+    rows = [(i % 5 if i % 3 else None, i % 2, float(i % 4), float(i)) for i in range(80)]
+    df = spark.createDataFrame(rows, "id long, y int, v double, w double")
+    unique = spark.createDataFrame([(n, *r[1:]) for n, r in enumerate(rows)], "id long, y int, v double, w double")
+    got = sorted((r.y, r.w, r.v) for r in impute_knn.fit_transform(df, "y", "id", ["v"]).collect())
+    want = sorted((r.y, r.w, r.v) for r in impute_knn.fit_transform(unique, "y", "id", ["v"]).collect())
+    assert len(got) == 80 and got == want and all(v for _, _, v in got)
+
+
+def test_more_classes_than_columns(spark, monkeypatch):
+    """Beyond the wide form votes are rows: the same predictions and shares."""
+    rng = np.random.default_rng(4)
+    y = np.arange(240) % 12
+    df = spark.createDataFrame(pd.DataFrame({"id": np.arange(240), "y": y, "a": rng.normal(size=240) + y, "b": rng.normal(size=240)}))
+    train, test = df.where("id < 180"), df.where("id >= 180")
+    wide = {r.id: r for r in classify.predict(classify.fit(train, "y", "id", n_neighbors=5), test).collect()}
+    monkeypatch.setattr(classify, "WIDE_CLASSES", 5)
+    model = classify.fit(train, "y", "id", n_neighbors=5)
+    assert model.classes is None
+    for r in classify.predict(model, test).collect():
+        assert r.prediction == wide[r.id].prediction and r.probability == pytest.approx(wide[r.id][f"proba_{r.prediction}"])
+    for r in classify.predict_proba(model, test).collect():
+        assert r.probability == pytest.approx(wide[r.id][f"proba_{r['class']}"])
+
+
 def test_a_k_that_some_fold_cannot_supply_is_not_scored(spark):
     model = classify.fit(frame(spark, 16), "y", "id")
     assert max(model.k_score_map) == 11 and model.k <= 11  # folds of up to 4 rows leave 12 references

@@ -85,9 +85,33 @@ def test_weighted_vote_zero_distance_and_ties(spark):
 
 
 def test_uniform_votes_many_k(spark):
-    nb = pd.DataFrame({"q": [1] * 5, "rank": [1, 2, 3, 4, 5], "lab": [1, 0, 0, 1, 1]})
-    v = neighbors.uniform_votes(spark.createDataFrame(nb), "q", "lab", [0, 1], [1, 3, 5]).toPandas()
-    assert dict(zip(v.k, v.prediction)) == {1: 1, 3: 0, 5: 1}
+    nb = pd.DataFrame({"q": [1] * 5 + [2] * 2, "rank": [1, 2, 3, 4, 5, 1, 2], "lab": [1, 0, 0, 1, 1, 5, 4]})
+    v = neighbors.uniform_votes(spark.createDataFrame(nb), "q", "lab", [1, 3, 5]).toPandas()
+    assert dict(zip(v.k[v.q == 1], v.prediction[v.q == 1])) == {1: 1, 3: 0, 5: 1}
+    assert dict(zip(v.k[v.q == 2], v.prediction[v.q == 2])) == {1: 5}  # two neighbours cannot vote for k = 3
+
+
+def test_votes_in_long_form_equal_the_wide_ones(spark):
+    rng = np.random.default_rng(3)
+    nb = pd.DataFrame({"q": np.repeat(np.arange(80), 6), "distance": rng.integers(0, 4, 480).astype(float), "lab": rng.integers(0, 5, 480)})
+    df = spark.createDataFrame(nb)
+    wide = neighbors.weighted_vote(df, "q", "lab", list(range(5))).toPandas().set_index("q")
+    shares = neighbors.vote_shares(df, "q", "lab")
+    top = neighbors.top_share(shares, "q").toPandas().set_index("q")
+    assert (top.prediction.sort_index() == wide.prediction.sort_index()).all()
+    for r in shares.collect():
+        assert r.share == pytest.approx(wide.loc[r.q, f"proba_{r['class']}"])
+
+
+def test_repeated_and_null_ids_keep_their_rows(spark):
+    """Every query row has its own neighbours; a NULL id is nobody's copy."""
+    rows = [(1, 0.0), (1, 9.0), (None, 5.0), (None, 5.1), (2, 3.0)]
+    q = spark.createDataFrame(rows, "id int, x double")
+    r = spark.createDataFrame([(7, 0.1), (7, 0.2), (None, 5.0), (8, 9.1), (1, 3.0)], "id int, x double")
+    got = neighbors.knn_join(q, r, 2, ["x"], query_id="id", ref_id="id", query_carry=["x"], ref_carry=["x"], exclude_self=True).toPandas()
+    assert got.query_row.nunique() == 5 and (got.groupby("query_row").size() == 2).all()
+    near = {x: sorted(g.nb_x) for x, g in got.groupby("x")}
+    assert near == {0.0: [0.1, 0.2], 9.0: [5.0, 9.1], 5.0: [3.0, 5.0], 5.1: [3.0, 5.0], 3.0: [3.0, 5.0]}
 
 
 def test_unknown_metric(spark):

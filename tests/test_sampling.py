@@ -27,6 +27,22 @@ def test_split_exact_disjoint_complete_stable(spark):
     assert a.sort_values("id").split.tolist() != c.sort_values("id").split.tolist()
 
 
+def test_quotas_of_very_many_classes(spark, monkeypatch):
+    """The class table's largest remainders, ranked in one task or by distributed prefix counts."""
+    sizes = {c: 2 + (c * 37) % 11 for c in range(1500)}
+    df = spark.createDataFrame([(c * 100 + i, c) for c, n in sizes.items() for i in range(n)], "id long, y int")
+    n_train = sum(sizes.values()) - -(-sum(sizes.values()) * 3 // 10)
+    want = sampling.allocate(sizes, n_train)
+    quotas = lambda: {r.y: r._quota for r in sampling.split_quotas(df, "y", 0.3).collect()}
+    assert quotas() == want
+    monkeypatch.setattr(sampling, "RANKED_AT_ONCE", 10)
+    assert quotas() == want
+    got = sampling.stratified_split(df, "y", ["id"], 0.3).where("split = 'train'").groupBy("y").count().collect()
+    assert {r.y: r["count"] for r in got} == {c: q for c, q in want.items() if q}
+    folds = sampling.stratified_folds(df, "y", ["id"], 5).groupBy("y").agg(F.count("fold").alias("n")).collect()
+    assert {r.y: r.n for r in folds} == sizes
+
+
 def test_split_rejects_singleton_class(spark):
     pdf = pd.DataFrame({"id": range(5), "y": [0, 0, 0, 0, 1]})
     with pytest.raises(ValueError):
