@@ -591,43 +591,42 @@ def q_cluster_impute(spark, sf_dir):
 CUST_IMPUTE = ["acctbal", "nation"]
 
 
-def _knn_impute_sql(k: int, weights: str) -> str:
-    feats, cols = CUST_FEATURES, CUST_IMPUTE
-    z = lambda e, f: f"(({e}) - sc.m_{f}) / case when sc.s_{f} = 0 then 1 else sc.s_{f} end"
+def _knn_impute_ctes(k: int, weights: str, fit: str, data: str, cls: str, key: str, feats: list[str], cols: list[str], p: str = "") -> tuple[list[str], str]:
+    """CTEs of the neighbour imputer fitted on table ``fit`` and applied to ``data`` (names end in ``p``), and the last one's name."""
+    z = lambda e, f: f"(({e}) - sc{p}.m_{f}) / case when sc{p}.s_{f} = 0 then 1 else sc{p}.s_{f} end"
     ctes = [
-        f"src as ({SQL_CUSTOMER})",
-        "gm as (select " + ", ".join(f"median({c}) filter (where {c} <> 0) as g_{c}" for c in cols) + " from src)",
-        "cmed as (select c_mktsegment, " + ", ".join(f"median({c}) filter (where {c} <> 0) as c_{c}" for c in cols)
-        + " from src group by c_mktsegment)",
-        "fil as (select s.c_mktsegment, " + ", ".join(
-            f"case when s.{c} = 0 then coalesce(cmed.c_{c}, gm.g_{c}, 0) else s.{c} end as {c}" for c in cols)
-        + ", " + ", ".join(f"s.{f}" for f in feats if f not in cols)
-        + " from src s join cmed using (c_mktsegment) cross join gm)",
-        "sc as (select c_mktsegment, " + ", ".join(f"avg({f}) as m_{f}, stddev_pop({f}) as s_{f}" for f in feats)
-        + " from fil group by c_mktsegment)",
-        "cn as (select c_mktsegment, count(*) as n from src group by c_mktsegment)",
-        "d1 as (select s.c_custkey, s.c_mktsegment, cn.n, " + ", ".join(
-            (f"case when cn.n < {k} and s.{f} = 0 then gm.g_{f} else s.{f} end as {f}" if f in cols else f"s.{f}")
-            for f in feats) + " from src s join cn using (c_mktsegment) cross join gm)",
+        f"gm{p} as (select " + ", ".join(f"median({c}) filter (where {c} <> 0) as g_{c}" for c in cols) + f" from {fit})",
+        f"cmed{p} as (select {cls}, " + ", ".join(f"median({c}) filter (where {c} <> 0) as c_{c}" for c in cols)
+        + f" from {fit} group by {cls})",
+        f"fil{p} as (select s.{cls}, " + ", ".join(
+            f"case when s.{c} = 0 then coalesce(c.c_{c}, g.g_{c}, 0) else s.{c} end as {c}" for c in cols)
+        + "".join(f", s.{f}" for f in feats if f not in cols)
+        + f" from {fit} s join cmed{p} c using ({cls}) cross join gm{p} g)",
+        f"sc{p} as (select {cls}, " + ", ".join(f"avg({f}) as m_{f}, stddev_pop({f}) as s_{f}" for f in feats)
+        + f" from fil{p} group by {cls})",
+        f"cn{p} as (select {cls}, count(*) as n from {data} group by {cls})",
+        f"d{p}1 as (select s.{key}, s.{cls}, cn{p}.n, " + ", ".join(
+            (f"case when cn{p}.n < {k} and s.{f} = 0 then gm.g_{f} else s.{f} end as {f}" if f in cols else f"s.{f}")
+            for f in feats) + f" from {data} s join cn{p} using ({cls}) cross join gm{p} gm)",
     ]
-    prev = "d1"
+    prev = f"d{p}1"
     for i, col in enumerate(cols):
         others = [f for f in feats if f != col]
         qv = lambda f: f"case when d.{f} = 0 then gm.g_{f} else d.{f} end" if f in cols else f"d.{f}"
-        ctes.append(f"don{i} as (select d.c_custkey as r, d.c_mktsegment as g, d.{col} as v, "
+        ctes.append(f"don{p}{i} as (select d.{key} as r, d.{cls} as g, d.{col} as v, "
                     + ", ".join(f"{z('d.' + f, f)} as {f}" for f in others)
-                    + f" from {prev} d join sc using (c_mktsegment) where d.n >= {k} and d.{col} <> 0)")
-        ctes.append(f"qry{i} as (select d.c_custkey as q, d.c_mktsegment as g, "
+                    + f" from {prev} d join sc{p} using ({cls}) where d.n >= {k} and d.{col} <> 0)")
+        ctes.append(f"qry{p}{i} as (select d.{key} as q, d.{cls} as g, "
                     + ", ".join(f"{z(qv(f), f)} as {f}" for f in others)
-                    + f" from {prev} d join sc using (c_mktsegment) cross join gm where d.n >= {k} and d.{col} = 0)")
-        ctes.append(f"dn{i} as (select g, count(*) as dn from don{i} group by g)")
+                    + f" from {prev} d join sc{p} using ({cls}) cross join gm{p} gm where d.n >= {k} and d.{col} = 0)")
+        ctes.append(f"dn{p}{i} as (select g, count(*) as dn from don{p}{i} group by g)")
         dist = "sqrt(" + " + ".join(f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in others) + ")"
-        ctes.append(f"pr{i} as (select a.q, b.r, b.v, {dist} as dist from qry{i} a join don{i} b on a.g = b.g)")
-        ctes.append(f"rk{i} as (select * from (select *, row_number() over (partition by q order by dist, r) as rn "
-                    f"from pr{i}) where rn <= {k})")
+        ctes.append(f"pr{p}{i} as (select a.q, b.r, b.v, {dist} as dist from qry{p}{i} a join don{p}{i} b on a.g = b.g)")
+        ctes.append(f"rk{p}{i} as (select * from (select *, row_number() over (partition by q order by dist, r) as rn "
+                    f"from pr{p}{i}) where rn <= {k})")
         agg = ("sum((1.0 / (dist + 1e-10)) * v) / sum(1.0 / (dist + 1e-10))" if weights == "distance"
                else "median(v)")
-        ctes.append(f"fv{i} as (select q, {agg} as fill from rk{i} group by q)")
+        ctes.append(f"fv{p}{i} as (select q, {agg} as fill from rk{p}{i} group by q)")
         sel = []
         for f in feats:
             if f == col:
@@ -635,12 +634,17 @@ def _knn_impute_sql(k: int, weights: str) -> str:
                            f"and fv.fill is not null then fv.fill else gm.g_{col} end) else d.{col} end as {col}")
             else:
                 sel.append(f"d.{f}")
-        ctes.append(f"d{i + 2} as (select d.c_custkey, d.c_mktsegment, d.n, {', '.join(sel)} from {prev} d "
-                    f"left join fv{i} fv on fv.q = d.c_custkey left join dn{i} dn on dn.g = d.c_mktsegment "
-                    f"cross join gm)")
-        prev = f"d{i + 2}"
-    return ("with " + ",\n".join(ctes) + f"\nselect c_custkey, c_mktsegment, "
-            + ", ".join(f"round({f}, 6) as {f}" for f in feats) + f" from {prev}")
+        ctes.append(f"d{p}{i + 2} as (select d.{key}, d.{cls}, d.n, {', '.join(sel)} from {prev} d "
+                    f"left join fv{p}{i} fv on fv.q = d.{key} left join dn{p}{i} dn on dn.g = d.{cls} "
+                    f"cross join gm{p} gm)")
+        prev = f"d{p}{i + 2}"
+    return ctes, prev
+
+
+def _knn_impute_sql(k: int, weights: str) -> str:
+    ctes, last = _knn_impute_ctes(k, weights, "src", "src", "c_mktsegment", "c_custkey", CUST_FEATURES, CUST_IMPUTE)
+    return ("with " + ",\n".join([f"src as ({SQL_CUSTOMER})", *ctes]) + f"\nselect c_custkey, c_mktsegment, "
+            + ", ".join(f"round({f}, 6) as {f}" for f in CUST_FEATURES) + f" from {last}")
 
 
 def _knn_impute_query(k: int, weights: str, doc: str):
@@ -832,6 +836,176 @@ def q_classifier_summary(spark, sf_dir):
                         F.size("k_scores").alias("n_scores"))
 
 
+# --------------------------------------------------------------------------- NN-01/03, KC-06..08, IM-09: repeated and NULL keys
+#: Customer numbers lie on a grid, where donors tie in pairs and rounding decides; their roots do not.
+SQL_CUSTOMER_ROOTS = f"select c_custkey, c_mktsegment, acctbal, nation, sqrt(custno) as custno from ({SQL_CUSTOMER})"
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.customer_frame(spark, sf_dir).withColumn("custno", F.sqrt("custno"))
+
+
+_TWICE = """
+tw as (select row_number() over (order by c_custkey, copy) as uid,
+              case when c_custkey % 5 <> 0 then c_custkey % 40 end as c_custkey, c_mktsegment, acctbal, nation, custno
+       from src, (values (1), (2)) t(copy) where {where})"""
+
+
+def _twice(c: DataFrame) -> DataFrame:
+    """Customers twice, with keys that repeat, every fifth NULL."""
+    both = c.unionByName(c)
+    return both.withColumn("c_custkey", F.when(F.col("c_custkey") % 5 != 0, F.col("c_custkey") % 40))
+
+
+def _scaled_sql(tr: str, te: str, feats: list[str]) -> str:
+    """CTEs ``zt`` and ``zq``: both tables scaled by the statistics of ``tr``, features as s_<name>."""
+    z = ", ".join(f"({f} - p.m_{f}) / case when p.s_{f} = 0 then 1 else p.s_{f} end as s_{f}" for f in feats)
+    return (f"p as (select {', '.join(f'avg({f}) as m_{f}, stddev_pop({f}) as s_{f}' for f in feats)} from {tr}),\n"
+            f"zt as (select t.*, {z} from {tr} t cross join p),\nzq as (select t.*, {z} from {te} t cross join p)")
+
+
+def _shares_sql(q: str, r: str, label: str, feats: list[str], k: str) -> str:
+    """CTE ``sh``: (q, lr, w, share, n) of the inverse-distance votes of ``zq`` rows among ``zt`` rows; n = 1 is the winner."""
+    dist = "sqrt(" + " + ".join(f"(a.s_{f} - b.s_{f}) * (a.s_{f} - b.s_{f})" for f in feats) + ")"
+    return f"""
+pt as (select *, row_number() over (partition by q order by dist, r) as rk
+       from (select a.{q} as q, b.{r} as r, b.{label} as lr, {dist} as dist from zq a cross join zt b)),
+nb as (select *, min(dist) over (partition by q) as dmin from pt where rk <= {k}),
+wt as (select q, lr, case when min(dmin) = 0 then cast(count(*) filter (dist = 0) as double) else sum(1.0 / dist) end as w
+       from nb group by q, lr),
+sh as (select *, w / sum(w) over (partition by q) as share, row_number() over (partition by q order by w desc, lr) as n from wt where w > 0)"""
+
+
+@register("predict_repeated_keys", f"""
+with src as ({SQL_CUSTOMER_ROOTS}),
+tr as (select *, cast(c_mktsegment = 'BUILDING' as integer) as y from src where c_custkey % 2 = 0),
+{_TWICE.format(where="c_custkey % 2 = 1")},
+{_scaled_sql("tr", "tw", CUST_FEATURES)}, {_shares_sql("uid", "c_custkey", "y", CUST_FEATURES, "7")}
+select tw.c_custkey, tw.custno, sh.lr as prediction, round(coalesce((select share from sh o where o.q = tw.uid and o.lr = 1), 0), 6) as probability
+from tw join sh on sh.q = tw.uid and sh.n = 1
+""")
+def q_predict_repeated_keys(spark, sf_dir):
+    """NN-01/03, KC-06..08: customers given twice under repeated and NULL keys, each row predicted by its own neighbours."""
+    c = _customers(spark, sf_dir).withColumn("y", (F.col("c_mktsegment") == "BUILDING").cast("int"))
+    model = classify.fit(c.where("c_custkey % 2 = 0"), "y", "c_custkey", features=CUST_FEATURES, n_neighbors=7)
+    out = classify.prediction_table(model, _twice(c.where("c_custkey % 2 = 1")))
+    return out.select("c_custkey", "custno", F.col("Prediction").alias("prediction"), F.col("Probability").alias("probability"))
+
+
+def _impute_repeated_sql() -> str:
+    ctes, last = _knn_impute_ctes(5, "distance", "tw", "tw", "c_mktsegment", "uid", CUST_FEATURES, CUST_IMPUTE)
+    return ("with " + ",\n".join([f"src as ({SQL_CUSTOMER_ROOTS})", _TWICE.format(where="true"), *ctes])
+            + f"\nselect tw.c_custkey, d.c_mktsegment, {', '.join(f'round(d.{f}, 6) as {f}' for f in CUST_FEATURES)} "
+            + f"from {last} d join tw using (uid)")
+
+
+@register("knn_impute_repeated_keys", _impute_repeated_sql())
+def q_knn_impute_repeated_keys(spark, sf_dir):
+    """IM-09..11: customers given twice under repeated and NULL keys; every row comes back with its own fills."""
+    c = _twice(_customers(spark, sf_dir))
+    return impute_knn.fit_transform(c, "c_mktsegment", "c_custkey", CUST_IMPUTE)
+
+
+# --------------------------------------------------------------------------- PF-07, S-01/02, NN-03, KC-06/07: very many classes
+@register("split_many_classes", f"""
+with s as ({_split_sql("select l_orderkey * 10 + l_linenumber as line, l_partkey from lineitem", "l_partkey", "line", "line, l_partkey")})
+select l_partkey, count(*) as rows, count(*) filter (split = 'train') as train, cast(sum(case when split = 'test' then line else 0 end) as bigint) as test_lines
+from s group by l_partkey
+""")
+def q_split_many_classes(spark, sf_dir):
+    """S-01 over thousands of classes (parts): exact quotas, and which lines are in each class's test part."""
+    lines = inputs.table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line"), "l_partkey")
+    s = sampling.stratified_split(lines, "l_partkey", ["line"], 0.2, 42)
+    test = F.col("split") == "test"
+    return s.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(~test, 1)).alias("train"),
+                                      F.sum(F.when(test, F.col("line")).otherwise(0)).alias("test_lines"))
+
+
+_MANY = ["price", "custkey", "days"]
+_MANY_SQL = f"""
+with src as (select *, cast(cast(custkey as bigint) % 400 as varchar) || o_orderpriority as cls from ({SQL_ORDERS})),
+tr as (select * from src where o_orderkey % 8 <> 0), te as (select * from src where o_orderkey % 8 = 0),
+{_scaled_sql("tr", "te", _MANY)}, {_shares_sql("o_orderkey", "o_orderkey", "cls", _MANY, "5")}"""
+
+
+def _many_classes(spark, sf_dir):
+    o = inputs.orders_frame(spark, sf_dir).withColumn(
+        "cls", F.concat((F.col("custkey").cast("long") % 400).cast("string"), "o_orderpriority"))
+    return classify.fit(o.where("o_orderkey % 8 <> 0"), "cls", "o_orderkey", features=_MANY, n_neighbors=5), o.where("o_orderkey % 8 = 0")
+
+
+@register("vote_many_classes", _MANY_SQL + """
+select q as o_orderkey, lr as prediction, round(share, 6) as probability from sh where n = 1
+""")
+def q_vote_many_classes(spark, sf_dir):
+    """NN-03 + KC-06 over some 2,000 classes: the class of largest weight of every eighth order, and its share."""
+    model, test = _many_classes(spark, sf_dir)
+    return classify.predict(model, test)
+
+
+@register("proba_many_classes", _MANY_SQL + """
+select q as o_orderkey, lr as class, round(share, 6) as probability from sh
+""")
+def q_proba_many_classes(spark, sf_dir):
+    """KC-07 over some 2,000 classes: every class with a share of a row's vote."""
+    model, test = _many_classes(spark, sf_dir)
+    return classify.predict_proba(model, test).select("o_orderkey", "class", "probability")
+
+
+# --------------------------------------------------------------------------- PL-03: the whole run with the neighbour imputer
+def _knn_run_sql() -> str:
+    feats = CUST_FEATURES
+    split = _split_sql("select * from src", "y", "c_custkey", "c_custkey, y, " + ", ".join(feats))
+    one, tr = _knn_impute_ctes(5, "distance", "tr0", "tr0", "y", "c_custkey", feats, CUST_IMPUTE, "a")
+    two, te = _knn_impute_ctes(5, "distance", "tr0", "te0", "y", "c_custkey", feats, CUST_IMPUTE, "b")
+    dist = "sqrt(" + " + ".join(f"(a.s_{f} - b.s_{f}) * (a.s_{f} - b.s_{f})" for f in feats) + ")"
+    return "with " + ",\n".join([
+        f"src as (select c_custkey, cast(c_mktsegment = 'BUILDING' as integer) as y, acctbal, nation, custno from ({SQL_CUSTOMER_ROOTS}))",
+        f"s as ({split})", "tr0 as (select * from s where split = 'train')", "te0 as (select * from s where split = 'test')",
+        *one, *two, _scaled_sql(tr, te, feats),
+        "fo as (select *, (row_number() over (partition by y order by md5(concat_ws('|', '42', cast(c_custkey as varchar))), c_custkey) - 1) % 5 "
+        "as fold from zt)",
+        f"""cvt as (select *, row_number() over (partition by q order by dist, r) as rk from (
+    select a.c_custkey as q, a.fold, a.y as lq, b.c_custkey as r, b.y as lr, {dist} as dist from fo a join fo b on a.fold <> b.fold))""",
+        """cum as (select q, fold, lq, rk as k, sum(lr) over (partition by q order by rk rows unbounded preceding) as pos from cvt where rk <= 29),
+votes as (select q, fold, lq, k, case when pos * 2 > k then 1 else 0 end as pred from cum where k % 2 = 1 and k >= 3),
+ff as (select k, fold, count(*) filter (where lq <> 1 and pred = 1) as fp, count(*) filter (where lq = 1 and pred <> 1) as fn,
+              count(*) filter (where lq = 1 and pred = 1) as tp from votes group by k, fold),
+cv as (select k, avg(case when 2 * tp + fp + fn = 0 then 0 else 2.0 * tp / (2 * tp + fp + fn) end) as f1 from ff group by k),
+kbest as (select coalesce((select k from cv where f1 > 0 order by round(f1, 12) desc, k limit 1), 5) as k)""",
+        _shares_sql("c_custkey", "c_custkey", "y", feats, "(select k from kbest)")])
+
+
+@register("knn_full_run", _knn_run_sql() + """,
+c as (select count(*) filter (where y <> 1 and lr <> 1) as tn, count(*) filter (where y <> 1 and lr = 1) as fp,
+             count(*) filter (where y = 1 and lr <> 1) as fn, count(*) filter (where y = 1 and lr = 1) as tp
+      from te0 join sh on sh.q = te0.c_custkey and sh.n = 1)
+select round(case when tn + fp + fn + tp = 0 then 0 else (tn + tp) * 1.0 / (tn + fp + fn + tp) end, 6) as accuracy,
+       round(case when tp + fp = 0 then 0 else tp * 1.0 / (tp + fp) end, 6) as precision,
+       round(case when tp + fn = 0 then 0 else tp * 1.0 / (tp + fn) end, 6) as recall,
+       round(case when 2 * tp + fp + fn = 0 then 0 else 2.0 * tp / (2 * tp + fp + fn) end, 6) as f1,
+       tn, fp, fn, tp, cast((select k from kbest) as integer) as n_neighbors, true as auto_k
+from c
+""")
+def q_knn_full_run(spark, sf_dir):
+    """PL-01/03: split, neighbour imputation fitted on the training customers, k by cross-validation, prediction, metrics."""
+    from .workflow import run
+    c = _customers(spark, sf_dir).withColumn("y", (F.col("c_mktsegment") == "BUILDING").cast("int"))
+    return run(c.select("c_custkey", "y", *CUST_FEATURES), "y", "c_custkey", imputer="knn", impute_cols=CUST_IMPUTE)["metrics"]
+
+
+@register("knn_full_run_predictions", _knn_run_sql() + f"""
+select d.c_custkey, d.y, {", ".join(f"round(d.{f}, 6) as {f}" for f in CUST_FEATURES)}, sh.lr as "Prediction",
+       round(coalesce((select share from sh o where o.q = d.c_custkey and o.lr = 1), 0), 6) as "Probability"
+from db3 d join sh on sh.q = d.c_custkey and sh.n = 1
+""")
+def q_knn_full_run_predictions(spark, sf_dir):
+    """PL-01/03 + KC-08: the imputed test rows of that run with their predictions."""
+    from .workflow import run
+    c = _customers(spark, sf_dir).withColumn("y", (F.col("c_mktsegment") == "BUILDING").cast("int"))
+    return run(c.select("c_custkey", "y", *CUST_FEATURES), "y", "c_custkey", imputer="knn", impute_cols=CUST_IMPUTE)["predictions"]
+
+
 # --------------------------------------------------------------------------- KC-03/04/05
 def _mi_sql() -> str:
     lng = " union all ".join(f"select o_orderkey as k, o_orderstatus as y, '{f}' as feature, {f} as v from src"
