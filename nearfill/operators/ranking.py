@@ -48,7 +48,7 @@ def prefix_count(df: DataFrame, parts: Sequence[str], value: str, ties: Sequence
         F.percentile_approx(value, grid, accuracy).alias("_bounds")) if parts else
         df.agg(F.percentile_approx(value, grid, accuracy).alias("_bounds")), max_rows=4_000_000 // buckets)
     b = df.join(bounds, parts) if parts else df.join(bounds)  # without parts: one row
-    b = b.withColumn("_bk", _below(F.col("_bounds"), F.col(value), buckets)).drop("_bounds")
+    b = b.withColumn("_bk", range_of(F.col("_bounds"), F.col(value), buckets)).drop("_bounds")
     tot = b.groupBy(*parts, "_bk").agg(F.sum(wcol).alias("_bw"))
     wo = Window.partitionBy(*parts).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offs = small_table(tot.withColumn("_off", F.coalesce(F.sum("_bw").over(wo), F.lit(0))).drop("_bw"))
@@ -57,7 +57,7 @@ def prefix_count(df: DataFrame, parts: Sequence[str], value: str, ties: Sequence
     return b.withColumn(out, F.col("_off") + F.coalesce(F.sum(wcol).over(wi), F.lit(0))).drop("_bk", "_off")
 
 
-def _below(bounds: Column, value: Column, buckets: int) -> Column:
+def range_of(bounds: Column, value: Column, buckets: int) -> Column:
     """How many of the ascending ``bounds`` lie below ``value``, by binary search (as many steps as the buckets have bits)."""
     steps = F.sequence(F.lit(1), F.lit(max(1, buckets.bit_length())))
 
