@@ -1,11 +1,15 @@
 """Clustering: nearest centre, silhouette and the k-means search (CL-01..CL-06).
 
 The models are MLlib's ``KMeans`` (k-means|| seeding over all rows), one fit for
-each class, k and restart on that class's cached vector frame.  The fits are
-independent, so several are submitted at a time.  The best restart of a k is the
-one of lowest cost; the k of highest silhouette wins (first wins), as MLlib's
-``ClusteringEvaluator`` computes it (squared Euclidean, linear time).  The
-reference's Euclidean silhouette compares all pairs and is not built.
+each class, k and restart.  Rows are written once, a folder for each class; a
+class is read into as many partitions as its rows need (a small one is one task
+an iteration) and cached while its fits run.  Fits are independent: several are
+submitted at a time, of a bounded number of classes, each class in a scheduler pool of its
+own.  The best restart of a k is the one of lowest cost; the k of highest
+silhouette wins (first wins).  The silhouettes of all classes and ks are found
+together, in two passes over the rows (squared Euclidean, linear time, as MLlib's
+``ClusteringEvaluator`` defines it).  The reference's Euclidean silhouette compares all pairs
+and is not built.
 """
 from __future__ import annotations
 
@@ -17,14 +21,18 @@ import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-#: Fits submitted at a time.
+from . import steps
+
+#: Fits submitted at a time, and classes whose rows are cached at a time.
 PARALLEL_FITS = 8
+PARALLEL_CLASSES = 8
+#: Rows of a class in one partition of its fits, about.
+FIT_ROWS = 100_000
 
 
 # ----------------------------------------------------------------- CL-04
@@ -134,64 +142,116 @@ class _Fit:
     centres: np.ndarray
     inertia: float
     n_iter: int
-    counts: list
-    model: object = None
 
 
 def _one_cluster(rows: DataFrame) -> _Fit:
     """The model of a single cluster, which MLlib does not fit."""
     from pyspark.ml.stat import Summarizer
     got = rows.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("features")).alias("s")).first()["s"]
-    n = int(got["count"])
-    return _Fit(np.array([got["mean"].toArray()]), float(got["variance"].toArray().sum() * (n - 1)), 0, [n])
+    return _Fit(np.array([got["mean"].toArray()]), float(got["variance"].toArray().sum() * (int(got["count"]) - 1)), 0)
 
 
 def _fit_one(rows: DataFrame, k: int, seed: int, max_iter: int, tol: float) -> _Fit:
     if k < 2:
         return _one_cluster(rows)
     model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features").fit(rows)
-    s = model.summary
-    return _Fit(np.array(model.clusterCenters()), float(s.trainingCost), int(s.numIter), [int(n) for n in s.clusterSizes], model)
+    s = model.summary  # its cluster sizes would be one more job for each fit
+    return _Fit(np.array(model.clusterCenters()), float(s.trainingCost), int(s.numIter))
+
+
+def search_silhouettes(data: DataFrame, d: int, models: dict) -> tuple[dict, dict]:
+    """Mean squared-Euclidean silhouette of every model ``(class, k) -> centres`` on its class's rows, and the rows of
+    each cluster, in two passes.
+
+    ``data``: ``_cls, _x0..``.  The first pass leaves, for each partition, the sums of every cluster of every
+    model; the second adds up the coefficients.  Models of fewer than two clusters with rows have none.
+    """
+    xcols = [f"_x{j}" for j in range(d)]
+    mats = {t: np.asarray(c, dtype=float) for t, c in models.items()}
+
+    def parts(pdf: pd.DataFrame):
+        """(model, rows, nearest centres) of a batch."""
+        xs, cls = pdf[xcols].to_numpy(dtype=float), pdf["_cls"].to_numpy()
+        for t, centres in mats.items():
+            x = xs[cls == t[0]]
+            if len(x):
+                d2 = np.stack([((x - c) ** 2).sum(1) for c in centres], axis=1)
+                yield t, x, d2.argmin(1)
+
+    def sums(it):
+        total = {t: np.zeros((len(c), d + 2)) for t, c in mats.items()}
+        for pdf in it:
+            for t, x, own in parts(pdf):
+                np.add.at(total[t], own, np.column_stack([np.ones(len(x)), (x * x).sum(1), x]))
+        rows = [(t[0], t[1], j, *row) for t, m in total.items() for j, row in enumerate(m) if row[0]]
+        if rows:
+            yield pd.DataFrame(rows, columns=["c", "k", "j", "n", "psi", *xcols])
+
+    columns = ["n", "psi", *xcols]
+    schema = "c int, k int, j int, " + ", ".join(f"{x} double" for x in columns)
+    found = data.select("_cls", *xcols).mapInPandas(sums, schema).groupBy("c", "k", "j").agg(*[F.sum(x).alias(x) for x in columns])
+    whole = {t: np.zeros((len(c), d + 2)) for t, c in mats.items()}
+    for r in found.collect():  # a row for each cluster of each model
+        whole[r["c"], r["k"]][r["j"]] = [r[x] for x in columns]
+
+    def scores(it):
+        total = {t: np.zeros(2) for t in mats}
+        for pdf in it:
+            for t, x, own in parts(pdf):
+                m = whole[t]
+                s = silhouette_values(x, (x * x).sum(1), m[:, 0], m[:, 1], m[:, 2:], own)
+                total[t] += [s.sum(), len(s)]
+        rows = [(*t, *v) for t, v in total.items() if v[1]]
+        if rows:
+            yield pd.DataFrame(rows, columns=["c", "k", "s", "n"])
+
+    means = (data.select("_cls", *xcols).mapInPandas(scores, "c int, k int, s double, n double").groupBy("c", "k")
+             .agg((F.sum("s") / F.sum("n")).alias("s")).collect())
+    counts = {t: [int(n) for n in m[:, 0]] for t, m in whole.items()}
+    return {(r["c"], r["k"]): float(r["s"]) for r in means if sum(n > 0 for n in counts[r["c"], r["k"]]) > 1}, counts
 
 
 def kmeans_search(data: DataFrame, classes: list, d: int, k_choices: dict, *, n_init: int = 10,
-                  max_iter: int = 300, tol: float = 1e-4, seed: int = 42) -> ClusterSearch:
+                  max_iter: int = 300, tol: float = 1e-4, seed: int = 42, sizes: dict | None = None) -> ClusterSearch:
     """Fit every (class, k, restart) and keep, per class, the k of highest
     silhouette (first wins) with its lowest-cost restart.
 
     ``data``: ``_cls`` (index into ``classes``), ``_x0..`` scaled features
     without NULLs.  ``k_choices``: class index → candidate k list (one entry = fixed k).
+    ``sizes``: class index → rows, if known.
     """
-    vectors = VectorAssembler(inputCols=[f"_x{j}" for j in range(d)], outputCol="features").transform(data).select("_cls", "features")
-    rows = {c: vectors.where(F.col("_cls") == c).select("features").persist() for c in k_choices}
-    tasks = [(c, k, i) for c, ks in k_choices.items() for k in ks for i in range(n_init if k > 1 else 1)]
+    spark, xcols = data.sparkSession, [f"_x{j}" for j in range(d)]
+    path = steps.folder(spark, "classes")
+    data.select(F.col("_cls").cast("int").alias("_cls"), *xcols).write.partitionBy("_cls").parquet(path)
+    stored = spark.read.schema("_cls int, " + ", ".join(f"{x} double" for x in xcols)).parquet(path)
+    sizes = sizes or {r["_cls"]: r["count"] for r in stored.groupBy("_cls").count().collect()}  # one row per class
+    assemble = VectorAssembler(inputCols=xcols, outputCol="features")
 
     def fit(task: tuple) -> _Fit:
         c, k, i = task
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"class{c}")
         return _fit_one(rows[c], k, seed + 1000 * i + k, max_iter, tol)
 
-    def judge(task: tuple) -> float | None:
-        c, k = task
-        found = best[task]
-        if found.model is None or sum(n > 0 for n in found.counts) < 2:
-            return None
-        return float(ClusteringEvaluator(featuresCol="features").evaluate(found.model.transform(rows[c])))
-
-    own_thread = inheritable_thread_target(data.sparkSession)
     best: dict[tuple, _Fit] = {}
+    order = [c for c in k_choices if sizes.get(c)]
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-        for (c, k, _), found in zip(tasks, pool.map(own_thread(fit), tasks)):
-            if (c, k) not in best or found.inertia < best[c, k].inertia:
-                best[c, k] = found
-        wanted = [t for t in best if len(k_choices[t[0]]) > 1 or t[1] > 1]
-        scores = dict(zip(wanted, pool.map(own_thread(judge), wanted)))
-    for r in rows.values():
-        r.unpersist()
+        for at in range(0, len(order), PARALLEL_CLASSES):
+            some = order[at:at + PARALLEL_CLASSES]
+            rows = {c: assemble.transform(stored.where(F.col("_cls") == c)).select("features")
+                    .coalesce(max(1, -(-sizes[c] // FIT_ROWS))).persist() for c in some}
+            tasks = [(c, k, i) for c in some for k in k_choices[c] for i in range(n_init if k > 1 else 1)]
+            for (c, k, _), found in zip(tasks, pool.map(inheritable_thread_target(spark)(fit), tasks)):
+                if (c, k) not in best or found.inertia < best[c, k].inertia:
+                    best[c, k] = found
+            for frame in rows.values():
+                frame.unpersist()
+    scores, counts = search_silhouettes(stored, d, {t: f.centres for t, f in best.items()})
+    steps.discard_path(spark, path)
 
     out = ClusterSearch({}, {}, {}, {}, {}, {}, [])
-    for c, ks in k_choices.items():
+    for c in order:
         chosen, top = None, -1.0
-        for k in ks:
+        for k in k_choices[c]:
             found, s = best[c, k], scores.get((c, k))
             out.scores.append((classes[c], k, s, found.inertia, found.n_iter))
             if chosen is None or (s is not None and s > top):
@@ -200,5 +260,5 @@ def kmeans_search(data: DataFrame, classes: list, d: int, k_choices: dict, *, n_
         out.centres[name], out.k[name] = found.centres.tolist(), len(found.centres)
         out.inertia[name], out.n_iter[name] = found.inertia, found.n_iter
         out.silhouette[name] = scores.get((c, chosen)) or 0.0
-        out.counts[name] = found.counts
+        out.counts[name] = counts[c, chosen]
     return out

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 from ..functions import is_sentinel
+from . import steps
 from .clustering import ClusterSearch, assign_nearest, kmeans_search
 from .joins import lookup_join, small_table
 from .quantiles import grouped_median
@@ -70,7 +71,7 @@ def fit(df: DataFrame, target: str, key: str, impute_cols: Sequence[str], *, n_c
     filled = median_fill(widen(df, cols), cols, cm, keys, sentinel, global_fallback=gm)
     filled = fill_missing(filled, df, feats, cols, keys, sentinel, gm)
     scaler = fit_scaler(filled, feats, keys)
-    scaled = apply_scaler(filled, feats, scaler, keys, suffix="__z").persist()
+    scaled = steps.table(apply_scaler(filled, feats, scaler, keys, suffix="__z"), "scaled")
 
     classes = class_values(df, target) if ca else [None]
     ctype = df.schema[target].dataType if ca else IntegerType()
@@ -92,7 +93,7 @@ def fit(df: DataFrame, target: str, key: str, impute_cols: Sequence[str], *, n_c
             ks = list(range(max(2, min(k_range)), hi + 1)) or [2]
         k_choices[i] = [min(k, n) for k in ks]
     search = kmeans_search(data, classes, len(feats), k_choices, n_init=n_init, max_iter=max_iter, tol=tol,
-                           seed=seed)
+                           seed=seed, sizes=counts)
 
     # AG-06 / AG-07 on the fitted rows
     spark = df.sparkSession
@@ -107,7 +108,7 @@ def fit(df: DataFrame, target: str, key: str, impute_cols: Sequence[str], *, n_c
     fallback = cm if ca else gm.withColumn(gcol, F.lit(None).cast(ctype))
     medians = cluster_medians(assigned, gcol, "cluster", cols, fallback, sentinel,
                               grid=sizes.select(gcol, "cluster"), class_key=ca)
-    scaled.unpersist()
+    steps.discard(scaled)
     return KMeansImputerModel(target, key, cols, feats, ca, classes, ctype, sentinel, gm, cm, scaler,
                               search.centres, medians, sizes, search, seed, n_clusters is None, fill_stats,
                               dict(search.k))

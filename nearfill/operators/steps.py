@@ -34,10 +34,13 @@ def numbered(df: DataFrame, name: str = "rows", column: str = ROW) -> DataFrame:
     return table(df.withColumn(column, F.monotonically_increasing_id()), name)
 
 
+def discard_path(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete the files of tables that no later step reads."""
     for df in tables:
-        spark = df.sparkSession
         for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            discard_path(df.sparkSession, path)
