@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import is_sentinel, sentinel_to_null
@@ -115,23 +115,24 @@ def split_profile(df: DataFrame, split_col: str, target: str) -> DataFrame:
 def imputation_profile(original: DataFrame, imputed: DataFrame, cols: Sequence[str], sentinel=0,
                        method: str = "ranked") -> DataFrame:
     """AG-05: per column — zeros_replaced, mean/median before (sentinels
-    excluded) and after imputation."""
-    cols = list(cols)
-    ev = evidence(original, cols, sentinel)
-    before = ev.agg(*[F.avg(c).alias(c) for c in cols])
-    zeros = original.agg(*[F.count(F.when(is_sentinel(F.col(c), sentinel), 1)).alias(c) for c in cols])
-    after = imputed.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols])
-
-    def long(frame: DataFrame, name: str, cast: str) -> DataFrame:
-        return frame.select(F.inline(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast(cast).alias(name)) for c in cols])))
-
-    med_before = grouped_median(ev, [], cols, method=method).withColumnRenamed("median", "original_median")
-    med_after = grouped_median(imputed, [], cols, method=method).withColumnRenamed("median", "imputed_median")
-    return (long(zeros, "zeros_replaced", "long")
-            .join(long(before, "original_mean", "double"), "column")
-            .join(long(after, "imputed_mean", "double"), "column")
-            .join(med_before, "column", "left")
-            .join(med_after, "column", "left")
-            .select("column", "zeros_replaced", "original_mean", "imputed_mean", "original_median",
-                    "imputed_median"))
+    excluded) and after imputation.
+
+    Both frames are one union, told apart by a flag: the medians of both take its two
+    scans together, and the first of them carries the counts and means as observed metrics.
+    """
+    cols, spark = list(cols), original.sparkSession
+    before, after = F.col("_after") == 0, F.col("_after") == 1
+    side = lambda df, n: df.select(F.lit(n).alias("_after"), *[F.col(c).cast("double").alias(c) for c in cols])
+    both, seen = side(original, 0).unionByName(side(imputed, 1)), Observation()
+    metrics = []
+    for i, c in enumerate(cols):
+        real = before & ~F.coalesce(is_sentinel(F.col(c), sentinel), F.lit(True))
+        metrics += [F.count(F.when(before & is_sentinel(F.col(c), sentinel), 1)).alias(f"z{i}"),
+                    F.avg(F.when(real, F.col(c))).alias(f"o{i}"), F.avg(F.when(after, F.col(c))).alias(f"i{i}")]
+    values = both.observe(seen, *metrics).withColumns(
+        {c: F.when(after | ~is_sentinel(F.col(c), sentinel), F.col(c)) for c in cols})
+    med = {(r["_after"], r["column"]): r["median"] for r in grouped_median(values, ["_after"], cols, method=method).collect()}
+    found = seen.get  # of the first scan
+    rows = [(c, found[f"z{i}"], found[f"o{i}"], found[f"i{i}"], med.get((0, c)), med.get((1, c))) for i, c in enumerate(cols)]
+    return spark.createDataFrame(rows, "column string, zeros_replaced long, original_mean double, imputed_mean double, "
+                                       "original_median double, imputed_median double")

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..operators import (classify, clustering, impute_kmeans, impute_knn, metrics, neighbors, sampling, scaling,
-                         select, stats)
+                         select, stats, steps)
 from ..operators.select import digamma_sql
 from ..session import ensure_checkpoint_dir
-from ..sources import load_splits, read_table, write_table
+from ..sources import load_splits, read_checked, read_table, write_table
 from . import inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -326,7 +326,7 @@ _DF = inputs.DOC_FEATURES
 
 def _doc_split(spark, sf_dir):
     d = inputs.docs_frame(spark, sf_dir).select(*DOC_COLS)
-    s = sampling.stratified_split(d, "quality", ["doc_id"], 0.2, 42).cache()
+    s = steps.table(sampling.stratified_split(d, "quality", ["doc_id"], 0.2, 42), "split")
     return s.where("split = 'train'").drop("split"), s.where("split = 'test'").drop("split")
 
 
@@ -527,7 +527,7 @@ def _order_centres(spark, sf_dir):
     filled = filled.withColumns({f + "__t": F.col(f) for f in _OF if f not in ORDER_IMPUTE})
     sc = scaling.fit_scaler(filled.select("o_orderstatus", *[F.col(f + "__t").alias(f) for f in _OF]),
                             _OF, ["o_orderstatus"])
-    z = scaling.apply_scaler(filled, _OF, sc, ["o_orderstatus"], suffix="__z", src_suffix="__t").cache()
+    z = steps.table(scaling.apply_scaler(filled, _OF, sc, ["o_orderstatus"], suffix="__z", src_suffix="__t"), "scaled")
     rows = (z.groupBy("o_orderstatus", "o_orderpriority").agg(*[F.avg(f + "__z").alias(f) for f in _OF])
             .orderBy("o_orderstatus", "o_orderpriority").collect())
     centres: dict = {}
@@ -704,12 +704,38 @@ def q_csv_round_trip(spark, sf_dir):
     return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
 
 
+@register("csv_malformed_rows", """
+with l as (
+  select c_custkey, cast(c_custkey as varchar) || ',' || c_mktsegment || ',' || cast(c_nationkey as varchar) as line,
+         c_mktsegment, c_nationkey from customer)
+select case when c_custkey % 50 <> 0 and c_custkey % 77 <> 0 then c_custkey end as c_custkey,
+       case when c_custkey % 50 <> 0 and c_custkey % 77 <> 0 then c_mktsegment end as c_mktsegment,
+       case when c_custkey % 50 <> 0 and c_custkey % 77 <> 0 then c_nationkey end as c_nationkey,
+       case when c_custkey % 50 = 0 then 'k' || line when c_custkey % 77 = 0 then line || ',9' end as malformed,
+       (select count(*) from l where c_custkey % 50 = 0 or c_custkey % 77 = 0) as n_malformed
+from l
+""")
+def q_csv_malformed_rows(spark, sf_dir):
+    """IO-01: customers written as CSV lines, some with a key that is no number or a field too many; good rows, the texts of
+    the others, and their count as observed on the way."""
+    c, path = inputs.table(spark, sf_dir, "customer"), _shared(spark, "lines")
+    line = F.concat_ws(",", F.col("c_custkey").cast("string"), "c_mktsegment", F.col("c_nationkey").cast("string"))
+    line = F.when(F.col("c_custkey") % 50 == 0, F.concat(F.lit("k"), line)).when(
+        F.col("c_custkey") % 77 == 0, F.concat(line, F.lit(",9"))).otherwise(line)
+    c.select(line.alias("custkey,segment,nation")).write.option("header", True).option("quote", "").option("sep", "\x01").csv(path)
+    good, bad, counts = read_checked(spark, path, "c_custkey long, c_mktsegment string, c_nationkey long")
+    good = steps.table(good, "good")
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in good.schema]
+    return good.withColumn("malformed", F.lit(None).cast("string")).unionByName(
+        bad.select(*nothing, F.col("_malformed").alias("malformed"))).withColumn("n_malformed", F.lit(counts.get["malformed"]).cast("long"))
+
+
 # --------------------------------------------------------------------------- CL-01..03/06, IM-01..05, AG-08/09, PL-01
 ORDER_COLS = ["o_orderkey", "o_orderstatus"] + ORDER_FEATURES
 
 
 def _orders_model(spark, sf_dir, **kw):
-    o = inputs.orders_frame(spark, sf_dir).select(*ORDER_COLS).persist()
+    o = steps.table(inputs.orders_frame(spark, sf_dir).select(*ORDER_COLS), "orders")
     return o, impute_kmeans.fit(o, "o_orderstatus", "o_orderkey", ORDER_IMPUTE, **kw)
 
 

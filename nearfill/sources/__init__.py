@@ -1,3 +1,3 @@
-from .io import read_table, write_table, load_splits, with_row_key
+from .io import load_splits, read_checked, read_table, with_row_key, write_table
 
-__all__ = ["read_table", "write_table", "load_splits", "with_row_key"]
+__all__ = ["load_splits", "read_checked", "read_table", "with_row_key", "write_table"]

@@ -5,8 +5,9 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from nearfill.plans import workflow
 from nearfill.plans.workflow import run
-from nearfill.sources import read_table
+from nearfill.sources import read_checked, read_table, write_table
 
 
 def _frame(spark, n=160, seed=5):
@@ -32,3 +33,36 @@ def test_run_paths_and_sinks(spark, imputer, mode):
     if imputer is not None:
         assert res["train_imputed"].where("z = 0").count() == 0
         assert res["imputation_profile"].count() == 1
+
+
+def test_nothing_stays_cached(spark):
+    rng = np.random.default_rng(1)
+    df = spark.createDataFrame([(i, i % 2, float(i % 5), float(rng.normal())) for i in range(60)], "id long, y int, v double, w double")
+    spark.catalog.clearCache()
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    workflow.run(df, "y", "id", imputer="knn", impute_cols=["v"], classifier_args={"n_neighbors": 3})
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
+
+
+def test_a_folder_is_rewritten_in_place(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.range(50).selectExpr("id", "id % 3 AS g"), path)
+    schema = "id long, g long"
+    write_table(read_table(spark, path, schema).where("g = 1"), path)
+    assert sorted(r.id for r in read_table(spark, path, schema).collect()) == list(range(1, 50, 3))
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_malformed_rows(spark, tmp_path):
+    path = tmp_path / "m.csv"
+    path.write_text("a,b\n1,x\nno,y\n3,z,9\n4\n5,v\n")
+    schema = "a int, b string"
+    assert read_table(spark, str(path), schema).count() == 5
+    good, bad, counts = read_checked(spark, str(path), schema)
+    assert sorted(r.a for r in good.collect()) == [1, 5] and counts.get == {"rows": 5, "malformed": 3}
+    assert sorted(r._malformed for r in bad.collect()) == ["3,z,9", "4", "no,y"]
+    assert good.select("b").count() == 2
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_table(spark, str(path), schema, malformed="refuse").collect()
+    with pytest.raises(ValueError):
+        read_table(spark, str(path), malformed="apart")
