@@ -68,10 +68,12 @@ def fit(df: DataFrame, target: str, key: str, impute_cols: Sequence[str], *, n_c
     keys = [target] if ca else []
     gm = global_medians(df, cols, sentinel)
     cm = class_medians(df, target, cols, sentinel, fallback=gm) if ca else gm
-    filled = median_fill(widen(df, cols), cols, cm, keys, sentinel, global_fallback=gm)
-    filled = fill_missing(filled, df, feats, cols, keys, sentinel, gm)
-    scaler = fit_scaler(filled, feats, keys)
-    scaled = steps.table(apply_scaler(filled, feats, scaler, keys, suffix="__z"), "scaled")
+    # temporary fills stand in columns of their own: the cluster medians below are those of real values
+    filled = widen(df, cols).withColumns({f + "__t": F.col(f).cast("double") for f in feats if f not in cols})
+    filled = median_fill(filled, cols, cm, keys, sentinel, global_fallback=gm, out_suffix="__t")
+    filled = fill_missing(filled, df, feats, cols, keys, sentinel, gm, "__t")
+    scaler = fit_scaler(filled.select(*keys, *[F.col(f + "__t").alias(f) for f in feats]), feats, keys)
+    scaled = steps.table(apply_scaler(filled, feats, scaler, keys, suffix="__z", src_suffix="__t"), "scaled")
 
     classes = class_values(df, target) if ca else [None]
     ctype = df.schema[target].dataType if ca else IntegerType()

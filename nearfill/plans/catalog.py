@@ -979,30 +979,25 @@ def q_proba_many_classes(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- PL-03: the whole run with the neighbour imputer
-def _knn_run_sql() -> str:
-    feats = CUST_FEATURES
-    split = _split_sql("select * from src", "y", "c_custkey", "c_custkey, y, " + ", ".join(feats))
-    one, tr = _knn_impute_ctes(5, "distance", "tr0", "tr0", "y", "c_custkey", feats, CUST_IMPUTE, "a")
-    two, te = _knn_impute_ctes(5, "distance", "tr0", "te0", "y", "c_custkey", feats, CUST_IMPUTE, "b")
+def _run_sql(ctes: list[str], tr: str, te: str, key: str, label: str, feats: list[str]) -> str:
+    """CTEs of a run from imputed train and test tables: scaling, k by cross-validation (``kbest``), votes (``sh``)."""
     dist = "sqrt(" + " + ".join(f"(a.s_{f} - b.s_{f}) * (a.s_{f} - b.s_{f})" for f in feats) + ")"
     return "with " + ",\n".join([
-        f"src as (select c_custkey, cast(c_mktsegment = 'BUILDING' as integer) as y, acctbal, nation, custno from ({SQL_CUSTOMER_ROOTS}))",
-        f"s as ({split})", "tr0 as (select * from s where split = 'train')", "te0 as (select * from s where split = 'test')",
-        *one, *two, _scaled_sql(tr, te, feats),
-        "fo as (select *, (row_number() over (partition by y order by md5(concat_ws('|', '42', cast(c_custkey as varchar))), c_custkey) - 1) % 5 "
+        *ctes, _scaled_sql(tr, te, feats),
+        f"fo as (select *, (row_number() over (partition by {label} order by md5(concat_ws('|', '42', cast({key} as varchar))), {key}) - 1) % 5 "
         "as fold from zt)",
         f"""cvt as (select *, row_number() over (partition by q order by dist, r) as rk from (
-    select a.c_custkey as q, a.fold, a.y as lq, b.c_custkey as r, b.y as lr, {dist} as dist from fo a join fo b on a.fold <> b.fold))""",
+    select a.{key} as q, a.fold, a.{label} as lq, b.{key} as r, b.{label} as lr, {dist} as dist from fo a join fo b on a.fold <> b.fold))""",
         """cum as (select q, fold, lq, rk as k, sum(lr) over (partition by q order by rk rows unbounded preceding) as pos from cvt where rk <= 29),
 votes as (select q, fold, lq, k, case when pos * 2 > k then 1 else 0 end as pred from cum where k % 2 = 1 and k >= 3),
 ff as (select k, fold, count(*) filter (where lq <> 1 and pred = 1) as fp, count(*) filter (where lq = 1 and pred <> 1) as fn,
               count(*) filter (where lq = 1 and pred = 1) as tp from votes group by k, fold),
 cv as (select k, avg(case when 2 * tp + fp + fn = 0 then 0 else 2.0 * tp / (2 * tp + fp + fn) end) as f1 from ff group by k),
 kbest as (select coalesce((select k from cv where f1 > 0 order by round(f1, 12) desc, k limit 1), 5) as k)""",
-        _shares_sql("c_custkey", "c_custkey", "y", feats, "(select k from kbest)")])
+        _shares_sql(key, key, label, feats, "(select k from kbest)")])
 
 
-@register("knn_full_run", _knn_run_sql() + """,
+_RUN_METRICS_SQL = """,
 c as (select count(*) filter (where y <> 1 and lr <> 1) as tn, count(*) filter (where y <> 1 and lr = 1) as fp,
              count(*) filter (where y = 1 and lr <> 1) as fn, count(*) filter (where y = 1 and lr = 1) as tp
       from te0 join sh on sh.q = te0.c_custkey and sh.n = 1)
@@ -1012,7 +1007,21 @@ select round(case when tn + fp + fn + tp = 0 then 0 else (tn + tp) * 1.0 / (tn +
        round(case when 2 * tp + fp + fn = 0 then 0 else 2.0 * tp / (2 * tp + fp + fn) end, 6) as f1,
        tn, fp, fn, tp, cast((select k from kbest) as integer) as n_neighbors, true as auto_k
 from c
-""")
+"""
+
+
+def _knn_run_sql() -> str:
+    feats = CUST_FEATURES
+    split = _split_sql("select * from src", "y", "c_custkey", "c_custkey, y, " + ", ".join(feats))
+    one, tr = _knn_impute_ctes(5, "distance", "tr0", "tr0", "y", "c_custkey", feats, CUST_IMPUTE, "a")
+    two, te = _knn_impute_ctes(5, "distance", "tr0", "te0", "y", "c_custkey", feats, CUST_IMPUTE, "b")
+    return _run_sql([
+        f"src as (select c_custkey, cast(c_mktsegment = 'BUILDING' as integer) as y, acctbal, nation, custno from ({SQL_CUSTOMER_ROOTS}))",
+        f"s as ({split})", "tr0 as (select * from s where split = 'train')", "te0 as (select * from s where split = 'test')",
+        *one, *two], tr, te, "c_custkey", "y", feats)
+
+
+@register("knn_full_run", _knn_run_sql() + _RUN_METRICS_SQL)
 def q_knn_full_run(spark, sf_dir):
     """PL-01/03: split, neighbour imputation fitted on the training customers, k by cross-validation, prediction, metrics."""
     from .workflow import run
@@ -1032,6 +1041,131 @@ def q_knn_full_run_predictions(spark, sf_dir):
     return run(c.select("c_custkey", "y", *CUST_FEATURES), "y", "c_custkey", imputer="knn", impute_cols=CUST_IMPUTE)["predictions"]
 
 
+# --------------------------------------------------------------------------- CL-01..03/06, IM-01..07, AG-06..09, PL-01 with one best solution
+GROUP_FEATURES = ["price", "a", "b"]
+_SEARCH = {"k_range": (2, 3, 4), "n_init": 4}
+SQL_GROUPS = """
+  select c_custkey, c_mktsegment, c_custkey % 3 as g,
+         case when c_custkey % 15 = 1 then 0.0 else c_custkey % 3 * 1000 + 1 + (c_acctbal + 1000) / 1000 end as price,
+         cast(c_custkey % 3 * 100 + c_nationkey / 100 as double) as a, cast((2 - c_custkey % 3) * 50 + sqrt(c_custkey) / 1000 as double) as b
+  from customer"""
+
+
+def _group_stats_sql(cls: str) -> str:
+    """CTEs of the groups as clusters of each ``cls``: scaled rows ``z``, sums ``cs``, coefficients ``si``."""
+    return f"""
+cm as (select {cls}, median(price) filter (where price <> 0) as cmed from src group by {cls}),
+fl as (select src.* replace (case when price = 0 then cmed else price end as price) from src join cm using ({cls})),
+sp as (select {cls}, {", ".join(f"avg({f}) as m_{f}, stddev_pop({f}) as s_{f}" for f in GROUP_FEATURES)} from fl group by {cls}),
+z as (select c_custkey, {cls}, g, {", ".join(f"({f} - m_{f}) / s_{f} as {f}" for f in GROUP_FEATURES)} from fl join sp using ({cls})),
+sq as (select *, price * price + a * a + b * b as sq from z),
+cs as (select {cls}, g, count(*) as n, sum(sq) as psi, sum(price) as yp, sum(a) as ya, sum(b) as yb from sq group by {cls}, g),
+dd as (select x.c_custkey, x.{cls}, x.g as own, c.g, c.n, x.sq + c.psi / c.n - 2 * (x.price * yp + x.a * ya + x.b * yb) / c.n as d
+       from sq x join cs c using ({cls})),
+ab as (select c_custkey, {cls}, max(case when g = own then d * n / (n - 1) end) as a, min(case when g <> own then d end) as b from dd group by 1, 2),
+si as (select {cls}, avg(case when a < b then 1 - a / b when a > b then b / a - 1 else 0 end) as silhouette from ab group by {cls}),
+ine as (select {cls}, sum(psi - (yp * yp + ya * ya + yb * yb) / n) as inertia, count(*) as k, string_agg(n, ',' order by n) as sizes
+        from cs group by {cls})"""
+
+
+@register("kmeans_groups_summary", f"""
+with src as ({SQL_GROUPS}), {_group_stats_sql("c_mktsegment")}
+select c_mktsegment, cast(k as integer) as n_clusters, round(inertia, 3) as inertia, round(silhouette, 6) as silhouette, sizes,
+       (select count(*) from src s where s.c_mktsegment = ine.c_mktsegment) as rows,
+       round((select count(*) from src s where s.c_mktsegment = ine.c_mktsegment) / k, 6) as rows_per_cluster
+from ine join si using (c_mktsegment)
+""")
+def q_kmeans_groups_summary(spark, sf_dir):
+    """CL-01/02/06, AG-06/08/09: k chosen over 2..4 for every segment, inertia, silhouette, cluster sizes and rows per cluster."""
+    c = inputs.groups_frame(spark, sf_dir)
+    model = impute_kmeans.fit(c, "c_mktsegment", "c_custkey", ["price"], **_SEARCH)
+    sizes = model.sizes.groupBy("c_mktsegment").agg(F.concat_ws(",", F.transform(
+        F.sort_array(F.collect_list("count")), lambda n: n.cast("string"))).alias("sizes"))
+    per = impute_kmeans.class_summary(model).withColumnRenamed("class", "c_mktsegment")
+    rows = impute_kmeans.clusters_per_class(model, c).withColumnRenamed("class", "c_mktsegment")
+    return per.join(sizes, "c_mktsegment").join(rows, "c_mktsegment").select(
+        "c_mktsegment", "n_clusters", F.round("inertia", 3).alias("inertia"), "silhouette", "sizes", "rows", "rows_per_cluster")
+
+
+@register("kmeans_groups_search", f"""
+with src as ({SQL_GROUPS}), {_group_stats_sql("c_mktsegment")}
+select c_mktsegment, cast(t.k as integer) as k, round(case when t.k = 3 then silhouette end, 6) as silhouette, t.k = 3 as chosen
+from si, (values (2), (3), (4)) t(k)
+""")
+def q_kmeans_groups_search(spark, sf_dir):
+    """CL-06: the ks searched for every segment, the silhouette of the three groups, and which k is chosen."""
+    model = impute_kmeans.fit(inputs.groups_frame(spark, sf_dir), "c_mktsegment", "c_custkey", ["price"], **_SEARCH)
+    rows = [(str(c), int(k), float(s) if k == 3 else None, model.k[c] == k) for c, k, s, _, _ in model.search.scores]
+    return spark.createDataFrame(rows, "c_mktsegment string, k int, silhouette double, chosen boolean")
+
+
+_GROUP_FILL_SQL = """
+md as (select c_mktsegment, median(price) filter (where price <> 0) as med from src where g = 1 group by c_mktsegment)
+select c_custkey, c_mktsegment, round(case when price = 0 then med else price end, 6) as price, round(a, 6) as a, round(b, 6) as b
+from src join md using (c_mktsegment)
+"""
+
+
+@register("kmeans_groups_impute", f"with src as ({SQL_GROUPS}), {_GROUP_FILL_SQL}")
+def q_kmeans_groups_impute(spark, sf_dir):
+    """IM-01/02/05, AG-07: class-aware k-means fills of all customers, every value checked."""
+    return impute_kmeans.fit_transform(inputs.groups_frame(spark, sf_dir), "c_mktsegment", "c_custkey", ["price"], **_SEARCH)
+
+
+@register("kmeans_groups_global", f"""
+with src as ({SQL_GROUPS}),
+md as (select median(price) filter (where price <> 0) as med from src where g = 1)
+select c_custkey, c_mktsegment, round(case when price = 0 then med else price end, 6) as price, round(a, 6) as a, round(b, 6) as b
+from src cross join md
+""")
+def q_kmeans_groups_global(spark, sf_dir):
+    """CL-03, IM-04: the same fills by one model over all segments."""
+    c = inputs.groups_frame(spark, sf_dir)
+    return impute_kmeans.fit_transform(c, "c_mktsegment", "c_custkey", ["price"], class_aware=False, **_SEARCH)
+
+
+@register("kmeans_unseen_class", f"""
+with src as (select * replace (case when c_custkey % 11 <> 0 then c_mktsegment end as c_mktsegment) from ({SQL_GROUPS})),
+tr as (select * from src where c_mktsegment in ('BUILDING', 'MACHINERY')),
+gm as (select median(price) filter (where price <> 0) as gm from tr),
+md as (select c_mktsegment, median(price) filter (where price <> 0) as med from tr where g = 1 group by c_mktsegment)
+select c_custkey, src.c_mktsegment, round(case when price = 0 then coalesce(med, gm) else price end, 6) as price
+from src left join md on src.c_mktsegment = md.c_mktsegment cross join gm
+""")
+def q_kmeans_unseen_class(spark, sf_dir):
+    """IM-03/06: a model fitted on two segments fills all customers; rows of other segments, or of none, take the global median."""
+    c = inputs.groups_frame(spark, sf_dir).withColumn("c_mktsegment", F.when(F.col("c_custkey") % 11 != 0, F.col("c_mktsegment")))
+    model = impute_kmeans.fit(c.where("c_mktsegment in ('BUILDING', 'MACHINERY')"), "c_mktsegment", "c_custkey", ["price"], **_SEARCH)
+    return impute_kmeans.transform(model, c).select("c_custkey", "c_mktsegment", "price")
+
+
+@register("kmeans_job", f"with src as ({SQL_GROUPS}), {_GROUP_FILL_SQL}")
+def q_kmeans_job(spark, sf_dir):
+    """IM-07: read a table, fit and transform with the k-means imputer, write the result, read it back."""
+    c, source, target = inputs.groups_frame(spark, sf_dir), _shared(spark, "groups"), _shared(spark, "imputed")
+    c.write.parquet(source)
+    impute_kmeans.impute_dataset(spark, source, target, "c_mktsegment", "c_custkey", ["price"], n_clusters=3, n_init=4)
+    return read_table(spark, target, c.schema, "csv")
+
+
+def _group_run_sql() -> str:
+    split = _split_sql("select * from src", "y", "c_custkey", "c_custkey, y, g, " + ", ".join(GROUP_FEATURES))
+    filled = "(select t.* replace (case when price = 0 then med else price end as price) from {} t join md using (y))"
+    return _run_sql([
+        f"src as (select c_custkey, cast(c_mktsegment = 'BUILDING' as integer) as y, g, price, a, b from ({SQL_GROUPS}))",
+        f"s as ({split})", "tr0 as (select * from s where split = 'train')", "te0 as (select * from s where split = 'test')",
+        "md as (select y, median(price) filter (where price <> 0) as med from tr0 where g = 1 group by y)",
+        f"tr1 as {filled.format('tr0')}", f"te1 as {filled.format('te0')}"], "tr1", "te1", "c_custkey", "y", GROUP_FEATURES)
+
+
+@register("kmeans_full_run", _group_run_sql() + _RUN_METRICS_SQL)
+def q_kmeans_full_run(spark, sf_dir):
+    """PL-01/03: split, k-means imputation fitted on the training customers, k by cross-validation, prediction, metrics; every value checked."""
+    from .workflow import run
+    c = inputs.groups_frame(spark, sf_dir).withColumn("y", (F.col("c_mktsegment") == "BUILDING").cast("int"))
+    return run(c.select("c_custkey", "y", *GROUP_FEATURES), "y", "c_custkey", imputer="kmeans", impute_cols=["price"], **_SEARCH)["metrics"]
+
+
 # --------------------------------------------------------------------------- KC-03/04/05
 def _mi_sql() -> str:
     lng = " union all ".join(f"select o_orderkey as k, o_orderstatus as y, '{f}' as feature, {f} as v from src"

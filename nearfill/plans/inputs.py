@@ -47,6 +47,18 @@ def customer_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def groups_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in three groups far apart within every segment; a fifth of the middle group's prices are sentinel
+    zeros.  The best clusters are the groups, whichever way they are found."""
+    c, g = table(spark, sf_dir, "customer"), F.col("c_custkey") % 3
+    real = g * 1000 + 1 + (F.col("c_acctbal") + 1000) / 1000
+    return c.select(
+        "c_custkey", "c_mktsegment",
+        F.when(F.col("c_custkey") % 15 == 1, F.lit(0.0)).otherwise(real).alias("price"),
+        (g * 100 + F.col("c_nationkey") / 100).cast("double").alias("a"),
+        ((2 - g) * 50 + F.sqrt("c_custkey") / 1000).cast("double").alias("b"))
+
+
 def docs_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents: target quality (0/1), toxic (0/1) and counts over the whole text."""
     lab = table(spark, sf_dir, "labels")
