@@ -106,20 +106,27 @@ class Spans:
 
     def __init__(self, buf: np.ndarray, fold: bool = False, which: int = 0):
         values = _VALUES[which, fold][buf]
+        self._one_piece = len(buf) <= _REDUCE
         self._parts = []
         for i, prime in enumerate(_PRIMES):
             up, down = _powers(which, i, len(buf) + 1)
-            total, carry = np.zeros(len(buf) + 1, dtype=np.uint64), np.uint64(0)
+            total = np.zeros(len(buf) + 1, dtype=np.uint64)
+            carry = np.uint64(0)
             for at in range(0, len(buf), _REDUCE):
-                part = np.cumsum(values[at:at + _REDUCE] * up[at:min(at + _REDUCE, len(buf))], dtype=np.uint64) + carry
-                total[at + 1:at + 1 + len(part)] = part
+                end = min(at + _REDUCE, len(buf))
+                part = total[at + 1:end + 1]
+                np.cumsum(values[at:end] * up[at:end], out=part)
+                part += carry
                 carry = part[-1] % np.uint64(prime)
             self._parts.append((np.uint64(prime), total, down))
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         out = (end - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
         for (prime, total, down), shift in zip(self._parts, (np.uint64(0), np.uint64(31))):
-            between = (total[end] % prime + prime - total[start] % prime) % prime
+            if self._one_piece:  # the running sum never falls
+                between = (total[end] - total[start]) % prime
+            else:
+                between = (total[end] % prime + prime - total[start] % prime) % prime
             out += between * down[start] % prime << shift
         return mix64(out)
 
