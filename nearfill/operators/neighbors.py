@@ -19,10 +19,16 @@ How much this prunes depends on the data: with a few features most cells are
 skipped, with many unrelated ones (tens of dimensions) hardly any, and the
 join then compares nearly all pairs of a group.  The result is exact either way.
 
-Inside a cell, blocks of at most ``block_rows`` references meet blocks of about
-``QUERY_BLOCK`` queries; a block pair is compared in numpy and only each query's k
-best leave it.  So neither a hot cell nor a cell that very many queries visit
-is one task.  Cosine distance is ranked through unit vectors, computed once.
+Cells are numbered along the pivots' main axis and every ``SUPER`` of them are a
+super-cell.  A query goes once to each super-cell that it visits, with a bit
+mask of the cells, however many those are.  Inside a super-cell, blocks of at most
+``block_rows`` references meet blocks of about ``QUERY_BLOCK`` queries; so neither a hot cell nor one that
+very many queries visit is one task, and only each query's k best leave a block pair.
+
+In a block pair a bound comes first: for Euclidean and cosine distance one matrix product gives all
+distances up to rounding, for the others the first half of the features gives a
+part of each.  Only pairs that the bound leaves within ``theta`` and the block's k best are
+added up feature by feature.  Cosine distance is ranked through unit vectors, computed once.
 
 Rows are told apart by numbers that are written down once (``steps.numbered``),
 never by the caller's ids: ids may repeat or be NULL, on both sides, and every
@@ -40,7 +46,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.columns import METRICS
 from . import steps
@@ -50,6 +56,9 @@ MAX_PIVOTS = 1024
 # Cell statistics (groups x pivots) stay below this many rows: more groups have fewer pivots.
 MAX_CELLS = 100_000
 QUERY_BLOCK = 4096
+#: Cells of a super-cell: the bits of a mask.
+SUPER = 64
+
 
 def _pivot_count(n_refs: int) -> int:
     """About 2 sqrt(n), but cells of some hundred references at least: smaller ones cost more than they save."""
@@ -90,14 +99,15 @@ def _assign_udf(pivots: np.ndarray, metric: str, p: float):
 
 
 def _candidates_udf(pivots: np.ndarray, metric: str, p: float, stats: dict, n_groups: int, d: int):
-    """Cells other than the home cell whose triangle-inequality lower bound is
+    """Super-cells and masks of the cells other than the home cell whose triangle-inequality lower bound is
     within the query's theta.  ``stats`` maps a group key to (n, rmax, rmin)
     arrays over the P cells (a small table: groups × P)."""
-    P = pivots.shape[0]
+    supers = -(-pivots.shape[0] // SUPER)
+    bit = np.left_shift(np.uint64(1), np.arange(SUPER, dtype=np.uint64))
 
-    @F.pandas_udf(ArrayType(IntegerType()))
+    @F.pandas_udf("array<struct<_super int, _mask long>>")
     def _cands(x: pd.DataFrame) -> pd.Series:
-        out = [None] * len(x)
+        out = [[] for _ in range(len(x))]
         gcols = [f"g{i}" for i in range(n_groups)]
         feats = x[[f"f{j}" for j in range(d)]].to_numpy(dtype=float)
         theta = x["theta"].to_numpy(dtype=float)
@@ -110,8 +120,6 @@ def _candidates_udf(pivots: np.ndarray, metric: str, p: float, stats: dict, n_gr
             idx = np.asarray(idx)
             st = stats.get(key)
             if st is None:
-                for i in idx:
-                    out[i] = []
                 continue
             n, rmax, rmin = st
             dq = _np_dist(feats[idx], pivots, metric, p)
@@ -119,30 +127,21 @@ def _candidates_udf(pivots: np.ndarray, metric: str, p: float, stats: dict, n_gr
             lb = np.maximum.reduce([dq - rmax[None, :], (dq - qmin) / 2.0, rmin[None, :] - dq, np.zeros_like(dq)])
             ok = (lb <= theta[idx, None]) & (n[None, :] > 0)
             ok[np.arange(len(idx)), home[idx]] = False
-            row, cell = np.nonzero(ok)
-            for i, visited in zip(idx, np.split(cell.astype("int32"), np.searchsorted(row, np.arange(1, len(idx))))):
-                out[i] = visited
+            wide = np.zeros((len(idx), supers * SUPER), dtype=bool)
+            wide[:, :ok.shape[1]] = ok
+            masks = (wide.reshape(len(idx), supers, SUPER) * bit).sum(axis=2, dtype=np.uint64).view(np.int64)
+            for i, s in zip(*np.nonzero(masks)):
+                out[idx[i]].append({"_super": int(s), "_mask": int(masks[i, s])})
         return pd.Series(out)
 
     return _cands.asNondeterministic()
 
 
-def _distances(q: np.ndarray, r: np.ndarray, metric: str, p: float) -> np.ndarray:
-    """Distances queries x references, features added up in order."""
-    out = np.zeros((len(q), len(r)))
-    for j in range(q.shape[1]):
-        if metric == "cosine":  # of unit vectors
-            out += q[:, j, None] * r[None, :, j]
-            continue
-        diff = np.abs(q[:, j, None] - r[None, :, j])
-        if metric == "euclidean":
-            out += diff * diff
-        elif metric == "manhattan":
-            out += diff
-        elif metric == "chebyshev":
-            np.maximum(out, diff, out=out)
-        else:
-            out += np.power(diff, p)
+def _pair_distances(q: np.ndarray, r: np.ndarray, metric: str, p: float, start: np.ndarray | None = None, first: int = 0) -> np.ndarray:
+    """Distances of pairs (row by row), features added up in order; ``start`` holds the sums of the features before ``first``."""
+    out = np.zeros(len(q)) if start is None else start
+    for j in range(first, q.shape[1]):
+        out = _step(out, q[:, j], r[:, j], metric, p)
     if metric == "euclidean":
         return np.sqrt(out)
     if metric == "cosine":
@@ -150,6 +149,47 @@ def _distances(q: np.ndarray, r: np.ndarray, metric: str, p: float) -> np.ndarra
     return np.power(out, 1.0 / p) if metric == "minkowski" else out
 
 
+def _step(out: np.ndarray, a: np.ndarray, b: np.ndarray, metric: str, p: float) -> np.ndarray:
+    """One more feature of a running distance."""
+    if metric == "cosine":  # of unit vectors
+        return out + a * b
+    diff = np.abs(a - b)
+    if metric == "euclidean":
+        return out + diff * diff
+    if metric == "manhattan":
+        return out + diff
+    return np.maximum(out, diff) if metric == "chebyshev" else out + np.power(diff, p)
+
+
+def _near_pairs(q: np.ndarray, r: np.ndarray, out: np.ndarray, theta: np.ndarray, k: int, metric: str, p: float
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, reference, distance) of all pairs that can be among each query's k nearest of ``r``, within ``theta`` (in the
+    pruning space); ``out`` marks pairs that take no part."""
+    d = q.shape[1]
+    if metric in ("euclidean", "cosine"):
+        qq, rr = (q * q).sum(axis=1), (r * r).sum(axis=1)
+        if metric == "cosine":  # twice the distance: the square of the unit vectors' (a zero vector is at 1 from all)
+            qq, rr = np.ones(len(q)), np.ones(len(r))
+        bound = qq[:, None] + rr[None, :] - 2.0 * (q @ r.T)  # squared distance
+        margin = 1e-11 * (qq + (rr.max() if len(rr) else 0.0)) + 1e-300
+        reach = theta * theta
+        half = d
+    else:
+        half = d if d <= 4 else (d + 1) // 2
+        bound = np.zeros((len(q), len(r)))
+        for j in range(half):
+            bound = _step(bound, q[:, j, None], r[None, :, j], metric, p)
+        margin = np.zeros(len(q))
+        reach = np.power(theta, p) * (1 + 1e-12) if metric == "minkowski" else theta
+    bound[out] = np.inf
+    if half == d and len(r) > k:  # a bound on part of the features does not rank
+        reach = np.minimum(reach, np.partition(bound, k - 1, axis=1)[:, k - 1])
+    i, j = np.nonzero((bound <= (reach + margin)[:, None]) & (bound < np.inf))
+    if metric in ("euclidean", "cosine"):
+        return i, j, _pair_distances(q[i], r[j], metric, p)
+    return i, j, _pair_distances(q[i], r[j], metric, p, bound[i, j], half)
+
+
 def _numbers(*columns: pa.ChunkedArray) -> list[np.ndarray]:
     """Equal values of several columns as equal numbers; a NULL is like no other value."""
     whole = pa.chunked_array([c for col in columns for c in col.chunks], columns[0].type).combine_chunks()
@@ -159,11 +199,18 @@ def _numbers(*columns: pa.ChunkedArray) -> list[np.ndarray]:
     return np.split(code, np.cumsum([len(c) for c in columns])[:-1])
 
 
+def _best_of(i: np.ndarray, dist: np.ndarray, order: np.ndarray, k: int) -> np.ndarray:
+    """Places of each query's k best pairs, by distance and then the references' order."""
+    by = np.lexsort((order, dist, i))
+    rank = np.arange(len(i)) - np.searchsorted(i[by], i[by])
+    return by[rank < k]
+
+
 def _block_top(k: int, metric: str, p: float, qs: list[str], rs: list[str], keep: list[str], nb: list[str],
                exclude_self: bool, exclude_same: str | None):
-    """The k best references of a block for each query of a block."""
+    """The k best references of a block for each query of a block, among the cells of its mask."""
     def run(key: tuple[pa.Scalar, ...], queries: pa.Table, refs: pa.Table) -> pa.Table:
-        rows, found, dist = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         if queries.num_rows and refs.num_rows:
             q = np.stack([np.asarray(queries[c], dtype=float) for c in qs], axis=1)
             r = np.stack([np.asarray(refs[c], dtype=float) for c in rs], axis=1)
@@ -171,24 +218,26 @@ def _block_top(k: int, metric: str, p: float, qs: list[str], rs: list[str], keep
             order[np.asarray(pc.sort_indices(refs["_rid"]))] = np.arange(len(r))  # NULL ids last
             qid, same_id = _numbers(queries["_qkey"], refs["_rid"]) if exclude_self else (None, None)
             mine, theirs = _numbers(queries["_same"], refs["_same"]) if exclude_same else (None, None)
-            step = max(1, 2_000_000 // len(r))
-            for at in range(0, len(q), step):
-                d = _distances(q[at:at + step], r, metric, p)
-                if exclude_self:
-                    d[qid[at:at + step, None] == same_id[None, :]] = np.inf
-                if exclude_same:
-                    d[mine[at:at + step, None] == theirs[None, :]] = np.inf
-                least = np.partition(d, k - 1, axis=1)[:, k - 1] if len(r) > k else np.full(len(d), np.inf)
-                i, j = np.nonzero((d <= least[:, None]) & (d < np.inf))
-                by = np.lexsort((order[j], d[i, j], i))
-                i, j = i[by], j[by]
-                place = np.arange(len(i)) - np.searchsorted(i, i)
-                i, j = i[place < k], j[place < k]
-                rows.append(i + at)
-                found.append(j)
-                dist.append(d[i, j])
-        left, right = queries.take(np.concatenate(rows)), refs.take(np.concatenate(found))
-        cols = [left[c] for c in keep] + [right["_rid"], pa.array(np.concatenate(dist))] + [right[c] for c in nb]
+            theta, mask = np.asarray(queries["_theta"]), np.asarray(queries["_mask"]).view(np.uint64)
+            cell = np.asarray(refs["_cell"]) % SUPER
+            for c in np.unique(cell).tolist():
+                at = np.flatnonzero(cell == c)
+                asked = np.flatnonzero(mask >> np.uint64(c) & np.uint64(1))
+                step = max(1, 2_000_000 // len(at))
+                for b in range(0, len(asked), step):
+                    some = asked[b:b + step]
+                    out = np.zeros((len(some), len(at)), dtype=bool)
+                    if exclude_self:
+                        out |= qid[some, None] == same_id[None, at]
+                    if exclude_same:
+                        out |= mine[some, None] == theirs[None, at]
+                    i, j, dist = _near_pairs(q[some], r[at], out, theta[some], k, metric, p)
+                    best = _best_of(i, dist, order[at[j]], k)
+                    found.append((some[i[best]], at[j[best]], dist[best]))
+        i, j, dist = (np.concatenate(x) for x in zip(*found))
+        best = _best_of(i, dist, order[j], k) if len(i) else np.zeros(0, np.int64)
+        left, right = queries.take(i[best]), refs.take(j[best])
+        cols = [left[c] for c in keep] + [right["_rid"], pa.array(dist[best])] + [right[c] for c in nb]
         return pa.table(cols, names=[*keep, "_rid", "distance", *nb])
     return run
 
@@ -257,11 +306,15 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, features: Sequence[str
     piv = np.asarray([[float(v) for v in row] for row in
                       r.orderBy(F.xxhash64("_rid", F.lit(seed)), "_rrow").select(*rs).limit(P).collect()], dtype=float)
     P = len(piv)
+    if P > SUPER:  # neighbouring numbers are neighbouring cells
+        middle = piv - piv.mean(axis=0)
+        piv = piv[np.argsort(middle @ np.linalg.svd(middle, full_matrices=False)[2][0], kind="stable")]
     assign = _assign_udf(piv, prune_metric, p)
 
     # 2. references: nearest pivot, radius; cell summaries (at most MAX_CELLS rows)
     r2 = r.withColumn("_a", assign(F.struct(*[F.col(c) for c in rs]))).select(
-        "*", F.col("_a.cell").alias("_cell"), F.col("_a.rad").alias("_rad")).drop("_a").persist()
+        "*", F.col("_a.cell").alias("_cell"), F.floor(F.col("_a.cell") / SUPER).cast("int").alias("_super"),
+        F.col("_a.rad").alias("_rad")).drop("_a").persist()
     held.append(r2)
     cells = small_table(r2.groupBy(*gnames, "_cell").agg(
         F.count(F.lit(1)).alias("n"), F.max("_rad").alias("rmax"), F.min("_rad").alias("rmin")))
@@ -270,7 +323,8 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, features: Sequence[str
         n, rmax, rmin = stats.setdefault(tuple(row[g] for g in gnames), (np.zeros(P), np.zeros(P), np.zeros(P)))
         c = row["_cell"]
         n[c], rmax[c], rmin[c] = row["n"], row["rmax"], row["rmin"]
-    cells = cells.select(*gnames, "_cell", F.ceil(F.col("n") / F.lit(block_rows)).cast("int").alias("_rparts"))
+    cells = cells.groupBy(*gnames, F.floor(F.col("_cell") / SUPER).cast("int").alias("_super")).agg(
+        F.ceil(F.sum("n") / F.lit(block_rows)).cast("int").alias("_rparts"))
 
     # 3. queries: home cell (nearest pivot)
     q2 = q.withColumn("_home", assign(F.struct(*[F.col(c) for c in qs]))["cell"]).persist()
@@ -283,9 +337,9 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, features: Sequence[str
 
     def met(visits: DataFrame) -> DataFrame:
         """Block pairs of the visited cells; each query's k best of each."""
-        asked = visits.groupBy(*gnames, "_cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(QUERY_BLOCK)).cast("int").alias("_qparts"))
-        parts = small_table(cells.join(asked, [*gnames, "_cell"]))
-        on = [*gnames, "_cell"]
+        on = [*gnames, "_super"]
+        asked = visits.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / F.lit(QUERY_BLOCK)).cast("int").alias("_qparts"))
+        parts = small_table(cells.join(asked, on))
         every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
         part = lambda key, n, s: F.pmod(F.xxhash64(key, F.lit(s)), F.col(n)).cast("int")
         left = (visits.join(parts, on).withColumn("_qp", part("_qid", "_qparts", seed)).withColumn("_rp", every("_rparts"))
@@ -299,7 +353,9 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, features: Sequence[str
     first = lambda df: df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
     # 4. home phase: exact top k within the home cell
-    near = first(met(q2.withColumn("_cell", F.col("_home")))).drop("rank").persist()
+    at_home = q2.withColumns({"_super": F.floor(F.col("_home") / SUPER).cast("int"), "_theta": F.lit(float("inf")),
+                              "_mask": F.expr(f"shiftleft(1L, _home % {SUPER})")})
+    near = first(met(at_home)).drop("rank").persist()
     held.append(near)
     theta = near.groupBy("_qid").agg(F.count(F.lit(1)).alias("_hn"), F.max("distance").alias("_hd"))
 
@@ -313,7 +369,7 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, features: Sequence[str
     arg = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(gnames)],
                    *[F.col(c).alias(f"f{j}") for j, c in enumerate(qs)],
                    F.col("_theta").alias("theta"), F.col("_home").alias("home"))
-    more = qt.select(*[c for c in q2.columns if c != "_home"], F.explode(cands(arg)).alias("_cell")).persist()
+    more = qt.select(*[c for c in q2.columns if c != "_home"], "_theta", F.inline(cands(arg))).persist()
     held.append(more)
 
     # 6. merge: top k of both phases per query

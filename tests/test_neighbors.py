@@ -69,6 +69,37 @@ def test_knn_join_groups_small_blocks_and_wide(spark):
         assert [int(x) for x in grp.sort_values("rank").neighbor_id] == [e[0] for e in exp[qi]]
 
 
+def test_cosine_of_zero_vectors(spark):
+    """A zero vector is at distance 1 from everything."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 4))
+    x[::7] = 0
+    df = spark.createDataFrame(pd.DataFrame({"id": np.arange(300), **{f"f{j}": x[:, j] for j in range(4)}}))
+    got = neighbors.knn_join(df, df, 6, [f"f{j}" for j in range(4)], query_id="id", ref_id="id", metric="cosine", exclude_self=True).toPandas()
+    norm = np.sqrt((x * x).sum(1))
+    unit = np.divide(x, norm[:, None], out=np.zeros_like(x), where=norm[:, None] > 0)
+    for i, g in got.groupby("id"):
+        d = 1 - unit @ unit[i]
+        d[i] = np.inf
+        assert np.allclose(np.sort(g.distance), np.sort(d)[:6])
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan", "chebyshev", "minkowski", "cosine"])
+def test_many_dimensions_and_super_cells(spark, metric):
+    """More cells than a super-cell holds, correlated features, all bounds at work."""
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=(900, 3)) @ rng.normal(size=(3, 24)) + 0.05 * rng.normal(size=(900, 24))
+    pdf = pd.DataFrame(base, columns=[f"f{j}" for j in range(24)])
+    pdf.insert(0, "id", np.arange(900))
+    q = pdf.iloc[:50].reset_index(drop=True)
+    got = neighbors.knn_join(spark.createDataFrame(q), spark.createDataFrame(pdf), 4, [f"f{j}" for j in range(24)], query_id="id",
+                             ref_id="id", metric=metric, p=3.0, n_pivots=150, block_rows=100, exclude_self=True).toPandas()
+    exp = _brute(q, pdf, 4, metric, exclude_self=True)
+    for qi, grp in got.groupby("id"):
+        assert [int(x) for x in grp.sort_values("rank").neighbor_id] == [e[0] for e in exp[qi]]
+    assert got.id.nunique() == 50
+
+
 def test_knn_join_fewer_refs_than_k(spark):
     pdf = _data(6, 2, 1)
     df = spark.createDataFrame(pdf)
