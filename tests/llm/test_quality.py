@@ -77,6 +77,44 @@ def test_resampling_on_held_out_rows(spark):
     assert {r.doc_id for r in importance.keep(docs, model).collect()} == kept
 
 
+def brute_buckets(text):
+    """Every n-gram's bucket, one by one."""
+    raw = (text or "").encode()
+    words = [np.frombuffer(w, np.uint8) for w in raw.split()]
+    one = np.array([textbytes.Spans(w).hash(np.array([0]), np.array([len(w)]))[0] for w in words], np.uint64)
+    out = [int(h) % 32768 for h in one]
+    for a, b in zip(one, one[1:]):
+        out.append(0 if a == b else int(textbytes.grams(np.array([a, b]), 2)[0]) % 32768)
+    for i in range(len(raw) - 3):
+        code = int.from_bytes(raw[i:i + 4], "little")
+        out.append(((code ^ code >> 15) * 0x2C1B3C6D % 2**32 >> 17) + 32768)
+    return out
+
+
+def test_resampling_equals_plain_python(spark):
+    """Counts, ratios, weights, Gumbel keys and the sample, document by document."""
+    rows = corpus(120, seed=3)
+    texts = {i: t for i, t, _, _ in rows} | {500 + i: t for i, t in enumerate(TEXTS)}
+    docs = spark.createDataFrame([(i, t, "k", 0) for i, t in texts.items()], SCHEMA)
+    labels = spark.createDataFrame([(i, q) for i, _, _, q in rows if i % 2 == 0], "doc_id long, quality int")
+    buckets = {i: brute_buckets(t) for i, t in texts.items()}
+    count = lambda ids: np.bincount(np.concatenate([np.array(buckets[i], np.int64) for i in ids]), minlength=65536).astype(float)
+    assert (importance.gram_counts(docs) == count(texts)).all()
+    model = importance.fit(docs, labels)
+    ratio = importance.log_ratio(count([i for i, _, _, q in rows if i % 2 == 0 and q]), count(texts))
+    assert np.allclose(model.ratio, ratio)
+    weight = {i: model.slope * (np.mean(ratio[b]) if b else 0.0) + model.shift for i, b in buckets.items()}
+    hashed = {r.doc_id: r.h for r in docs.selectExpr("doc_id", "xxhash64(doc_id, 13) AS h").collect()}
+    noise = {i: -np.log(-np.log(((h % 2**64 >> 11) + 0.5) / 2**53)) for i, h in hashed.items()}
+    key = {i: round((weight[i] + noise[i]) * 1e6) / 1e6 for i in texts}
+    got = {r.doc_id: r for r in importance.resample(docs, model).collect()}
+    k = sum(w + model.log_odds >= 0 for w in weight.values())
+    best = set(sorted(key, key=key.get, reverse=True)[:k])
+    for i in texts:
+        assert abs(got[i].log_weight - weight[i]) < 1e-9 and abs(got[i].sample_key - key[i]) < 2e-6
+        assert got[i].kept == (i in best)
+
+
 def test_without_labels_and_without_documents(spark):
     _, docs, labels = frames(spark)
     none = labels.where("false")
