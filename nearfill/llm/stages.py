@@ -16,7 +16,7 @@ from ..session import ensure_checkpoint_dir
 
 #: A step's shuffle files go when it ends; Arrow batches are small enough for two tasks in a small executor.
 _SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-             "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+             "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
 @contextmanager

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are handled in slices of about this many bytes (one longer text is one slice).
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 18
 #: Two primes below 2^31, and a base modulo each for either hash.
 _PRIMES = (2_147_483_647, 2_147_483_629)
 _BASES = ((1_193_548_321, 903_115_477), (1_640_531_527, 712_947_031))
@@ -95,6 +95,7 @@ def slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[Texts]:
         j = min(j, len(column))
         yield Texts(i, data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i])
         i = j
+    pa.default_memory_pool().release_unused()  # a batch's buffers go back before the next one comes
 
 
 class Spans:
