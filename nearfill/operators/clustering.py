@@ -211,6 +211,12 @@ def search_silhouettes(data: DataFrame, d: int, models: dict) -> tuple[dict, dic
     return {(r["c"], r["k"]): float(r["s"]) for r in means if sum(n > 0 for n in counts[r["c"], r["k"]]) > 1}, counts
 
 
+def _in_order(rows: DataFrame, xcols: list[str], n: int) -> DataFrame:
+    """A class's rows in partitions and an order that depend on their values alone, so that a seed always draws the same rows."""
+    parts = -(-n // FIT_ROWS)
+    return (rows.coalesce(1) if parts < 2 else rows.repartition(parts, *xcols)).sortWithinPartitions(*xcols)
+
+
 def kmeans_search(data: DataFrame, classes: list, d: int, k_choices: dict, *, n_init: int = 10,
                   max_iter: int = 300, tol: float = 1e-4, seed: int = 42, sizes: dict | None = None) -> ClusterSearch:
     """Fit every (class, k, restart) and keep, per class, the k of highest
@@ -237,8 +243,7 @@ def kmeans_search(data: DataFrame, classes: list, d: int, k_choices: dict, *, n_
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:
         for at in range(0, len(order), PARALLEL_CLASSES):
             some = order[at:at + PARALLEL_CLASSES]
-            rows = {c: assemble.transform(stored.where(F.col("_cls") == c)).select("features")
-                    .coalesce(max(1, -(-sizes[c] // FIT_ROWS))).persist() for c in some}
+            rows = {c: assemble.transform(_in_order(stored.where(F.col("_cls") == c), xcols, sizes[c])).select("features").persist() for c in some}
             tasks = [(c, k, i) for c in some for k in k_choices[c] for i in range(n_init if k > 1 else 1)]
             for (c, k, _), found in zip(tasks, pool.map(inheritable_thread_target(spark)(fit), tasks)):
                 if (c, k) not in best or found.inertia < best[c, k].inertia:

@@ -192,9 +192,8 @@ def _near_pairs(q: np.ndarray, r: np.ndarray, out: np.ndarray, theta: np.ndarray
 
 def _numbers(*columns: pa.ChunkedArray) -> list[np.ndarray]:
     """Equal values of several columns as equal numbers; a NULL is like no other value."""
-    whole = pa.chunked_array([c for col in columns for c in col.chunks], columns[0].type).combine_chunks()
-    whole = pa.chunked_array([whole]) if isinstance(whole, pa.Array) else whole
-    code = np.asarray(pc.fill_null(whole.combine_chunks().dictionary_encode().indices, -1)).astype(np.int64)
+    whole = pa.concat_arrays([c for col in columns for c in col.chunks])
+    code = np.asarray(pc.fill_null(whole.dictionary_encode().indices, -1)).astype(np.int64)
     code[code < 0] = -1 - np.flatnonzero(code < 0)
     return np.split(code, np.cumsum([len(c) for c in columns])[:-1])
 
