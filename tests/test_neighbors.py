@@ -149,3 +149,34 @@ def test_unknown_metric(spark):
     df = spark.createDataFrame(_data(10, 2, 1))
     with pytest.raises(ValueError):
         neighbors.knn_join(df, df, 2, ["f0", "f1"], query_id="id", ref_id="id", metric="hamming")
+
+
+def test_copies_of_a_row_do_not_grow_with_the_table(spark):
+    """Blocks hold about as many references at every size; few of them meet a query with few features."""
+    for n in (3_000, 30_000, 300_000):
+        run, place = neighbors._runs(np.full(min(n // 128, neighbors.MAX_PIVOTS), 128), 2048)
+        held = np.bincount(run) * 128
+        assert place.max() < neighbors.MASK_CELLS and held.min() >= 1024 and held.max() <= 2 * 2048
+    run, place = neighbors._runs(np.array([0] * 200 + [5000] + [1] * 100), 1000)
+    assert place.max() == neighbors.MASK_CELLS - 1 and (np.diff(run) >= 0).all() and (np.bincount(run) > 0).all()
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan", "chebyshev", "minkowski", "cosine"])
+@pytest.mark.parametrize("k,d", [(3, 2), (40, 3), (3, 12)])
+def test_search_of_a_block_equals_brute_force_and_holds_few_pairs(monkeypatch, metric, k, d):
+    rng = np.random.default_rng(d + k)
+    q, r = rng.normal(size=(300, d)) * 100, rng.normal(size=(5000, d)) * 100
+    if metric == "cosine":
+        q, r = (x / np.linalg.norm(x, axis=1)[:, None] for x in (q, r))
+    seen, best_of = [], neighbors._best_of
+    monkeypatch.setattr(neighbors, "_best_of", lambda i, *a: (seen.append(len(i)), best_of(i, *a))[1])
+    bit = rng.integers(0, 4, 5000)
+    mask = rng.integers(1, 16, 300).astype(np.uint64)
+    i, j, dist = neighbors._search(q, np.full(300, np.inf), mask, r, bit, np.arange(5000), lambda *_: None, k, metric, 3.0)
+    assert max(seen) <= 8 * k * 300
+    for x in range(300):
+        may = np.flatnonzero(mask[x] >> bit.astype(np.uint64) & np.uint64(1))
+        exact = neighbors._pair_distances(np.repeat(q[x:x + 1], len(may), 0), r[may], metric, 3.0)
+        by = np.lexsort((may, exact))[:k]
+        got = np.lexsort((j[i == x], dist[i == x]))
+        assert j[i == x][got].tolist() == may[by].tolist() and (dist[i == x][got] == exact[by]).all()
