@@ -180,3 +180,24 @@ def test_search_of_a_block_equals_brute_force_and_holds_few_pairs(monkeypatch, m
         by = np.lexsort((may, exact))[:k]
         got = np.lexsort((j[i == x], dist[i == x]))
         assert j[i == x][got].tolist() == may[by].tolist() and (dist[i == x][got] == exact[by]).all()
+
+
+def test_votes_sort_a_bounded_number_of_rows_in_a_task(spark):
+    """Partitions of neighbours grow in number with the rows, not in size; a vote for many k copies no row."""
+    df = spark.range(10).selectExpr("id AS q", "1 AS rank", "1.0D AS distance", "id % 2 AS lab")
+    for rows in (1_000, 5_000_000, 50_000_000):
+        parts = neighbors._dealt(df, "q", rows).rdd.getNumPartitions()
+        assert rows / parts <= max(neighbors.SORTED_NEIGHBORS[0], 1_000)
+    plan = neighbors.uniform_votes(df, "q", "lab", range(3, 31, 2))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.index("Generate") < plan.index("Aggregate")  # rows are multiplied last
+
+
+def test_uniform_votes_equal_plain_counts(spark):
+    rng = np.random.default_rng(5)
+    nb = pd.DataFrame({"q": np.repeat(np.arange(60), 9), "rank": np.tile(np.arange(1, 10), 60), "lab": rng.integers(0, 4, 540), "fold": np.repeat(np.arange(60) % 3, 9)})
+    df = spark.createDataFrame(nb).selectExpr("q", "rank", "nullif(lab, 3) AS lab", "fold")
+    got = neighbors.uniform_votes(df, "q", "lab", [7, 2, 11, 4], carry=["fold"]).collect()
+    assert len(got) == 180 and {r.k for r in got} == {2, 4, 7}
+    for r in got:
+        some = nb[(nb.q == r.q) & (nb["rank"] <= r.k)].lab.replace(3, -1)  # NULL is the first class
+        assert (-1 if r.prediction is None else r.prediction) == some.value_counts().sort_index().idxmax() and r.fold == r.q % 3
