@@ -201,3 +201,32 @@ def test_uniform_votes_equal_plain_counts(spark):
     for r in got:
         some = nb[(nb.q == r.q) & (nb["rank"] <= r.k)].lab.replace(3, -1)  # NULL is the first class
         assert (-1 if r.prediction is None else r.prediction) == some.value_counts().sort_index().idxmax() and r.fold == r.q % 3
+
+
+@pytest.mark.parametrize("metric,p", [("manhattan", 1.0), ("chebyshev", 1.0), ("minkowski", 3.0), ("minkowski", 2.5), ("minkowski", 7.0)])
+@pytest.mark.parametrize("case", ["plain", "outlier", "shifted", "ties", "tiny", "huge"])
+def test_cheap_bounds_leave_few_pairs_and_lose_none(metric, p, case):
+    rng = np.random.default_rng(11)
+    q, r = rng.normal(size=(90, 40)), rng.normal(size=(1500, 40))
+    if case == "outlier":
+        r[7, 3], q[2, 5] = 1e5, -4e4
+    elif case == "shifted":
+        q, r = q + 1e4, r + 1e4
+    elif case == "ties":
+        q, r = np.round(q), np.round(r)
+        r[200:400] = r[:200]
+    elif case in ("tiny", "huge"):
+        q, r = (x * (1e-9 if case == "tiny" else 1e9) for x in (q, r))
+    exact = neighbors._pair_distances(np.repeat(q, len(r), 0), np.tile(r, (len(q), 1)), metric, p).reshape(len(q), -1)
+    out = rng.random((len(r), len(q))) < 0.1
+    exact[out.T] = np.inf
+    kth = np.sort(exact, axis=1)[:, 4]
+    for theta in (np.full(len(q), np.inf), neighbors._slack(kth, metric), kth / 2):
+        i, j, dist = neighbors._near_pairs(q, r, out, theta, 5, metric, p)
+        assert not out[j, i].any() and (dist == exact[i, j]).all()
+        got = {x: set(j[i == x]) for x in range(len(q))}
+        for x in range(len(q)):
+            need = np.flatnonzero(exact[x] <= min(theta[x], kth[x]))
+            assert set(need) <= got[x]
+    if case == "plain" and p <= 4:  # most pairs are never added up in single precision
+        assert neighbors._few_pairs(q, r, out, neighbors._slack(kth, metric), 5, metric, p) is not None
