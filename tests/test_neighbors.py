@@ -230,3 +230,30 @@ def test_cheap_bounds_leave_few_pairs_and_lose_none(metric, p, case):
             assert set(need) <= got[x]
     if case == "plain" and p <= 4:  # most pairs are never added up in single precision
         assert neighbors._few_pairs(q, r, out, neighbors._slack(kth, metric), 5, metric, p) is not None
+
+
+@pytest.mark.parametrize("metric,p", [("euclidean", 2.0), ("manhattan", 2.0), ("chebyshev", 2.0), ("minkowski", 3.0)])
+def test_boxes_of_rows_ask_few_pivots_and_lose_none(metric, p):
+    """With few features a row meets a small part of the pivots, and among them its nearest and every cell within reach."""
+    from nearfill.operators import neighbors as nb
+    rng = np.random.default_rng(6)
+    x, pivots = np.column_stack([rng.integers(0, 25, 6000), rng.normal(size=6000) * 9]), rng.normal(size=(800, 2)) * [7, 9] + [12, 0]
+    theta, rmax = rng.random(6000), rng.random(800)
+    whole = nb._np_dist(x, pivots, metric, p)
+    asked, seen = 0, np.zeros(len(x), int)
+    for rows, some in nb._pivots_near(x, pivots, metric, p, theta, rmax):
+        seen[rows] += 1
+        asked += len(rows) * len(some)
+        assert np.isin(whole[rows].argmin(1), some).all()
+        reach = whole[rows] - rmax <= theta[rows, None]
+        assert np.isin(np.flatnonzero(reach.any(axis=0)), some).all()
+    assert (seen == 1).all() and asked < whole.size / 4
+
+
+def test_few_bytes_are_dealt_over_all_cores(spark):
+    """A table of many narrow rows in one file is not searched in one task."""
+    from nearfill.operators import steps
+    table = steps.table(spark.range(100_000).coalesce(1), "narrow")
+    cores = spark.sparkContext.defaultParallelism
+    assert table.rdd.getNumPartitions() < cores <= steps.spread(table, 100_000).rdd.getNumPartitions()
+    assert steps.parts(spark, 100) == 1 and steps.parts(spark, 10_000_000) >= 50
